@@ -1,19 +1,20 @@
 """Naive Bayes as counts: fitting is one grouping by term, scoring one by document.
 
-A model is two tables.  ``terms`` has a row per vocabulary term (``term, df,
-idf, log_p0, log_p1`` and, for the Bernoulli form, ``log_not0, log_not1``);
-``classes`` has a single row with priors and per-class sums.
+Fitting runs its jobs at once and leaves the counts per term as a written
+table; only class sizes and sums, a handful of numbers, come to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import inf, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentimill.operators.features import idf, term_counts, tfidf, vocabulary, within_df
+from sentimill.operators.metrics import auc_by_group
 from sentimill.plans.cuts import stratified_folds
 from sentimill.plans.skew import lookup
 from sentimill.plans.staging import stage
@@ -23,19 +24,17 @@ BERNOULLI, MULTINOMIAL = "bernoulli", "multinomial"
 
 @dataclass(frozen=True)
 class NaiveBayesModel:
-    kind: str
-    terms: DataFrame
-    classes: DataFrame
+    """A row per vocabulary term and the start score of each class.
 
-    def staged(self) -> NaiveBayesModel:
-        """The same model as written tables, so that scoring does not fit again."""
-        return NaiveBayesModel(
-            self.kind, stage(self.terms, "nb-terms"), stage(self.classes, "nb-classes")
-        )
+    ``terms``: ``term, df, idf, log_p0, log_p1`` and, for the Bernoulli form,
+    ``log_not0, log_not1``.  A start score is the log prior plus, for Bernoulli,
+    what a document without any term adds.
+    """
 
-    def of_class(self, name: str) -> Column:
-        """A field of the one-row class table, as a value inside a query."""
-        return self.classes.select(name).scalar()
+    kind: str
+    terms: DataFrame
+    start0: float
+    start1: float
 
     def params(self) -> DataFrame:
         """Long form: ``class, term, log_prob``."""
@@ -44,15 +43,14 @@ class NaiveBayesModel:
         ).select("class", "term", "log_prob")
 
 
-def _log_share(part: Column, whole: Column) -> Column:
-    """Log of a share; minus infinity for an absent class."""
-    return F.coalesce(F.log(part / whole), F.lit(float("-inf")))
+def _class_sizes(docs: DataFrame, label: str) -> tuple[int, int]:
+    sizes = docs.agg(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).first()
+    return sizes[0], sizes[1]
 
 
-def _class_sizes(docs: DataFrame, label: str) -> DataFrame:
-    return docs.agg(
-        F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
-    )
+def _log_prior(n: int, total: int) -> float:
+    """Log of a class share; minus infinity for an absent class."""
+    return log(n / total) if n else -inf
 
 
 def bernoulli_nb_fit(
@@ -64,8 +62,7 @@ def bernoulli_nb_fit(
     label: str = "label",
 ) -> NaiveBayesModel:
     """Fit on term presence; ``docs`` has ``key``, ``label`` (0/1) and the array ``terms``."""
-    sizes = _class_sizes(docs, label)
-    n0, n1 = sizes.select("n0").scalar(), sizes.select("n1").scalar()
+    n0, n1 = _class_sizes(docs, label)
     counted = (
         term_counts(docs, key, [label])
         .groupBy("term")
@@ -75,30 +72,26 @@ def bernoulli_nb_fit(
             F.count_if(F.col(label) == 1).alias("n_t1"),
         )
     )
-    kept = counted.filter(within_df(F.col("df"), n0 + n1, min_df, max_df))
+    n = F.lit(n0 + n1)
+    kept = stage(counted.filter(within_df(F.col("df"), n, min_df, max_df)), "term-counts")
     p0 = (F.col("n_t0") + alpha) / (n0 + 2 * alpha)
     p1 = (F.col("n_t1") + alpha) / (n1 + 2 * alpha)
     terms = kept.select(
         "term",
         "df",
-        idf(F.col("df"), n0 + n1).alias("idf"),
+        idf(F.col("df"), n).alias("idf"),
         F.log(p0).alias("log_p0"),
         F.log(p1).alias("log_p1"),
         F.log(1 - p0).alias("log_not0"),
         F.log(1 - p1).alias("log_not1"),
     )
-    classes = terms.agg(
-        F.coalesce(F.sum("log_not0"), F.lit(0.0)).alias("base0"),
-        F.coalesce(F.sum("log_not1"), F.lit(0.0)).alias("base1"),
-    ).select(
-        n0.alias("n0"),
-        n1.alias("n1"),
-        _log_share(n0, n0 + n1).alias("log_prior0"),
-        _log_share(n1, n0 + n1).alias("log_prior1"),
-        "base0",
-        "base1",
+    base = terms.agg(F.sum("log_not0"), F.sum("log_not1")).first()
+    return NaiveBayesModel(
+        BERNOULLI,
+        terms,
+        _log_prior(n0, n0 + n1) + (base[0] or 0.0),
+        _log_prior(n1, n0 + n1) + (base[1] or 0.0),
     )
-    return NaiveBayesModel(BERNOULLI, terms, classes)
 
 
 def multinomial_nb_fit(
@@ -110,34 +103,32 @@ def multinomial_nb_fit(
     label: str = "label",
 ) -> NaiveBayesModel:
     """Fit on the TF-IDF weight each term has in each class."""
-    sizes = _class_sizes(docs, label)
-    n0, n1 = sizes.select("n0").scalar(), sizes.select("n1").scalar()
+    n0, n1 = _class_sizes(docs, label)
+    n = F.lit(n0 + n1)
     postings = term_counts(docs, key, [label])
-    vocab = vocabulary(postings, n0 + n1, min_df, max_df)
-    weights = tfidf(postings, vocab, n0 + n1, key)
-    summed = weights.groupBy("term").agg(
-        F.count("*").alias("df"),
-        F.coalesce(F.sum(F.when(F.col(label) == 0, F.col("weight"))), F.lit(0.0)).alias("s_t0"),
-        F.coalesce(F.sum(F.when(F.col(label) == 1, F.col("weight"))), F.lit(0.0)).alias("s_t1"),
-    )
-    totals = summed.agg(
-        F.sum("s_t0").alias("s0"), F.sum("s_t1").alias("s1"), F.count("*").alias("v")
+    vocab = stage(vocabulary(postings, n, min_df, max_df), "vocabulary")
+
+    def in_class(value: int) -> Column:
+        return F.sum(F.when(F.col(label) == value, F.col("weight")).otherwise(0.0))
+
+    summed = stage(
+        tfidf(postings, vocab, n, key)
+        .groupBy("term")
+        .agg(F.count("*").alias("df"), in_class(0).alias("s_t0"), in_class(1).alias("s_t1")),
+        "term-weights",
     )
-    s0, s1, v = (totals.select(c).scalar() for c in ("s0", "s1", "v"))
+    totals = summed.agg(F.sum("s_t0"), F.sum("s_t1"), F.count("*")).first()
+    s0, s1, v = totals[0] or 0.0, totals[1] or 0.0, totals[2]
     terms = summed.select(
         "term",
         "df",
-        idf(F.col("df"), n0 + n1).alias("idf"),
+        idf(F.col("df"), n).alias("idf"),
         F.log((F.col("s_t0") + alpha) / (s0 + alpha * v)).alias("log_p0"),
         F.log((F.col("s_t1") + alpha) / (s1 + alpha * v)).alias("log_p1"),
     )
-    classes = sizes.select(
-        "n0",
-        "n1",
-        _log_share(F.col("n0"), F.col("n0") + F.col("n1")).alias("log_prior0"),
-        _log_share(F.col("n1"), F.col("n0") + F.col("n1")).alias("log_prior1"),
+    return NaiveBayesModel(
+        MULTINOMIAL, terms, _log_prior(n0, n0 + n1), _log_prior(n1, n0 + n1)
     )
-    return NaiveBayesModel(MULTINOMIAL, terms, classes)
 
 
 def _evidence(model: NaiveBayesModel, docs: DataFrame, key: str) -> DataFrame:
@@ -163,18 +154,14 @@ def nb_predict(
 
     ``proba`` is the probability of class 1; equal scores give class 0.
     """
-    start0, start1 = model.of_class("log_prior0"), model.of_class("log_prior1")
-    if model.kind == BERNOULLI:
-        start0 = start0 + model.of_class("base0")
-        start1 = start1 + model.of_class("base1")
     scored = (
         docs.select(key, *keep)
         .join(_evidence(model, docs, key), key, "left")
         .select(
             key,
             *keep,
-            (start0 + F.coalesce("e0", F.lit(0.0))).alias("score0"),
-            (start1 + F.coalesce("e1", F.lit(0.0))).alias("score1"),
+            (F.lit(model.start0) + F.coalesce("e0", F.lit(0.0))).alias("score0"),
+            (F.lit(model.start1) + F.coalesce("e1", F.lit(0.0))).alias("score1"),
         )
     )
     return scored.withColumns(
@@ -427,8 +414,6 @@ def nb_grid_search(
     Scores are rounded to 12 places before ranking, so that the order in which
     logs were added up never decides between two documents.
     """
-    from sentimill.operators.metrics import auc_by_group
-
     configs = _configurations(alphas, min_dfs, max_dfs)
     placed = stratified_folds(docs, key, label, folds, seed)
     scored = _fold_scores(placed, configs, folds, key, label).withColumn(

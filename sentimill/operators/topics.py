@@ -67,37 +67,39 @@ def start_factors(
     """Number the topics of each product (at most its number of reviews) and set start values."""
     x = stage(weights.select("productid", key, "term", "weight"), "nmf-x")
     docs = x.groupBy("productid", key).agg(F.count("*").alias("n"))
-    terms = x.groupBy("productid", "term").agg(F.count("*").alias("n"))
-    sized_terms = terms.withColumn("_parts", parts(terms, "n", slots))
-    products = docs.groupBy("productid").agg(F.count("*").alias("docs")).join(
-        terms.groupBy("productid").agg(F.count("*").alias("terms")), "productid"
-    )
-    products = products.select(
-        "productid",
-        F.least(F.lit(topics), F.col("docs")).cast("int").alias("k"),
-        (F.col("docs") + F.col("terms")).alias("rows"),
+    terms = stage(x.groupBy("productid", "term").agg(F.count("*").alias("n")), "nmf-terms")
+    terms = terms.withColumn("t_parts", parts(terms, "n", slots))
+    sizes = (
+        docs.groupBy("productid")
+        .agg(F.count("*").alias("docs"))
+        .join(terms.groupBy("productid").agg(F.count("*").alias("terms")), "productid")
+        .select(
+            "productid",
+            F.least(F.lit(topics), F.col("docs")).cast("int").alias("k"),
+            (F.col("docs") + F.col("terms")).alias("rows"),
+        )
     )
-    products = stage(products.withColumn("_parts", parts(products, "rows", slots)), "nmf-products")
+    products = stage(sizes, "nmf-products")
+    products = products.withColumn("p_parts", parts(products, "rows", slots)).drop("rows")
 
     def with_product(rows: DataFrame, spread_by: str) -> DataFrame:
         """Add the product's ``k``, its number of parts and the row's own part."""
-        placed = add_part(rows, products, ["productid"], [spread_by], "p_part")
-        copies = copy_parts(products.withColumnRenamed("_parts", "p_parts"), "p_parts", "p_part")
-        return placed.join(copies.select("productid", "p_part", "p_parts", "k"), ["productid", "p_part"])
+        placed = add_part(rows, products, ["productid"], [spread_by], "p_parts", "p_part")
+        return placed.join(copy_parts(products, "p_parts", "p_part"), ["productid", "p_part"])
 
     w = with_product(docs, key).select(
         "productid", key, "p_part", "p_parts", "k", *_start("w", topics, F.col("productid"), F.col(key))
     )
-    h = with_product(sized_terms, "term").select(
+    h = with_product(terms, "term").select(
         "productid",
         "term",
-        F.col("_parts").alias("t_parts"),
+        "t_parts",
         "p_part",
         "p_parts",
         "k",
         *_start("h", topics, F.col("productid"), F.col("term")),
     )
-    parted = add_part(x, sized_terms, ["productid", "term"], [key], "t_part")
+    parted = add_part(x, terms, ["productid", "term"], [key], "t_parts", "t_part")
     return Factors(stage(parted, "nmf-x"), stage(w, "nmf-w"), stage(h, "nmf-h"), topics)
 
 

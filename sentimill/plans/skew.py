@@ -24,21 +24,24 @@ def parts(table: DataFrame, rows: str, slots: int = SLOTS) -> Column:
 
 
 def add_part(
-    rows: DataFrame, table: DataFrame, on: Sequence[str], spread_by: Sequence[str], name: str
+    rows: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    count: str,
+    name: str,
 ) -> DataFrame:
-    """Add the part number of each row; ``table`` holds the keys with their ``_parts``.
+    """Add to each row its part of the key; column ``count`` of ``table`` says how many there are.
 
     The hash makes the part the same on every retry of a task.  Fewer than
     ``slots`` keys have more than one part, so the broadcast is bounded.
     """
-    hot = table.filter(F.col("_parts") > 1).select(*on, "_parts")
+    hot = table.filter(F.col(count) > 1).select(*on, F.col(count).alias("_split"))
+    part = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_split"), F.lit(1)))
     return (
         rows.join(F.broadcast(hot), list(on), "left")
-        .withColumn(
-            name,
-            F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_parts"), F.lit(1))).cast("int"),
-        )
-        .drop("_parts")
+        .withColumn(name, part.cast("int"))
+        .drop("_split")
     )
 
 
@@ -60,6 +63,6 @@ def lookup(
     ``weight`` is the column of ``table`` that says how many rows its key has.
     """
     sized = table.withColumn("_parts", parts(table, weight, slots))
-    left = add_part(rows, sized, on, spread_by, "_part")
+    left = add_part(rows, sized, on, spread_by, "_parts", "_part")
     right = copy_parts(sized, "_parts", "_part").drop("_parts")
     return left.join(right, [*on, "_part"]).drop("_part")

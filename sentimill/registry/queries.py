@@ -353,7 +353,7 @@ def multinomial_nb_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = views.split_terms(spark, sf_dir)
-    model = naive_bayes.bernoulli_nb_fit(train).staged()
+    model = naive_bayes.bernoulli_nb_fit(train)
     return naive_bayes.nb_predict(model, test, keep=["label"])
 
 
@@ -365,7 +365,7 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def nb_predict_proba(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = views.split_terms(spark, sf_dir)
-    model = naive_bayes.bernoulli_nb_fit(train).staged()
+    model = naive_bayes.bernoulli_nb_fit(train)
     return rounded(naive_bayes.nb_predict_proba(model, test), "proba0", "proba1")
 
 
@@ -382,42 +382,42 @@ def negative_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def logistic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = views.split_terms(spark, sf_dir)
-    return linear.linear_predict(linear.logistic_fit(stage(train, "train")), test)
+    return linear.linear_predict(linear.logistic_fit(train), test)
 
 
 @register
 def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = views.split_terms(spark, sf_dir)
-    return linear.linear_predict(linear.svm_fit(stage(train, "train")), test)
+    return linear.linear_predict(linear.svm_fit(train), test)
 
 
 @register
 def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = naive_bayes.cross_validate(stage(_train(spark, sf_dir), "train"))
+    found = naive_bayes.cross_validate(_train(spark, sf_dir))
     return rounded(found, "accuracy", "mean_accuracy")
 
 
 @register
 def nb_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = naive_bayes.nb_grid_search(stage(_train(spark, sf_dir), "train"))
+    found = naive_bayes.nb_grid_search(_train(spark, sf_dir))
     return found.withColumn("is_best", F.col("is_best").cast("int"))
 
 
 @register
 def svm_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mean = linear.svm_cross_validate(stage(_train(spark, sf_dir), "train"), folds=5)
+    mean = linear.svm_cross_validate(_train(spark, sf_dir), folds=5)
     return spark.createDataFrame([(float(mean),)], "mean_accuracy double")
 
 
 @register
 def svm_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = stage(_train(spark, sf_dir), "train")
+    train = _train(spark, sf_dir)
     return linear.svm_grid_search(train, alphas=[0.001, 0.1], min_dfs=[1.0], folds=3)
 
 
 @register
 def lr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linear.lr_grid_search(stage(_train(spark, sf_dir), "train"), folds=3)
+    return linear.lr_grid_search(_train(spark, sf_dir), folds=3)
 
 
 # Evaluation ----------------------------------------------------------------------------------
@@ -512,7 +512,8 @@ def rolling_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def quarterly_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.quarterly_sentiment(views.entries_num(spark, sf_dir))
+    counts = reports.quarterly_sentiment(views.entries_num(spark, sf_dir))
+    return counts.withColumn("quarter", F.col("quarter").cast("string"))
 
 
 @register
@@ -532,7 +533,8 @@ def cumulative_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def recent_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.recent_dates(views.labelled(spark, sf_dir))
+    dates = reports.recent_dates(views.labelled(spark, sf_dir))
+    return dates.withColumn("date", F.col("date").cast("string"))
 
 
 @register

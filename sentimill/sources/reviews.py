@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentimill.operators.naive_bayes import NaiveBayesModel
@@ -100,12 +99,15 @@ def export_pairs(
 
 
 def save_model(model: NaiveBayesModel, path: str) -> None:
-    """Write the model tables below ``path``."""
+    """Write the model as two tables below ``path``."""
     model.terms.write.parquet(f"{path}/terms")
-    model.classes.withColumn("kind", F.lit(model.kind)).write.parquet(f"{path}/classes")
+    start = [(model.kind, model.start0, model.start1)]
+    model.terms.sparkSession.createDataFrame(
+        start, "kind string, start0 double, start1 double"
+    ).write.parquet(f"{path}/classes")
 
 
 def load_model(spark: SparkSession, path: str) -> NaiveBayesModel:
-    classes = spark.read.parquet(f"{path}/classes")
-    kind = classes.select("kind").first()["kind"]
-    return NaiveBayesModel(kind, spark.read.parquet(f"{path}/terms"), classes.drop("kind"))
+    start = spark.read.parquet(f"{path}/classes").first()
+    terms = spark.read.parquet(f"{path}/terms")
+    return NaiveBayesModel(start["kind"], terms, start["start0"], start["start1"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sentimill.functions.text import review_terms
 from sentimill.operators.naive_bayes import NaiveBayesModel, bernoulli_nb_fit, score_reviews
 from sentimill.operators.sampling import stratified_split
+from sentimill.plans.staging import stage
 
 FIRST_DAY = 1_325_376_000
 DAY = 86_400
@@ -52,15 +53,11 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, label, terms`` of the labelled reviews."""
-    return labelled(spark, sf_dir).select("doc_id", "label", review_terms(F.col("text")).alias("terms"))
-
-
 def split_terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test part (75/25, stratified).
+    """Training and test part (75/25, stratified) as a written table.
 
-    The split is decided on the narrow key table; the texts are joined after it.
+    The split is decided on the narrow key table and the texts are joined after
+    it; they are tokenised once for all the steps that follow.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,15 +65,16 @@ def split_terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     terms = placed.join(documents, "doc_id").select(
         "doc_id", "label", "is_train", review_terms(F.col("text")).alias("terms")
     )
+    written = stage(terms, "labelled-terms", partition_by=("is_train",))
     return (
-        terms.filter("is_train").drop("is_train"),
-        terms.filter(~F.col("is_train")).drop("is_train"),
+        written.filter("is_train").drop("is_train"),
+        written.filter(~F.col("is_train")).drop("is_train"),
     )
 
 
 def trained_model(spark: SparkSession, sf_dir: str) -> NaiveBayesModel:
-    """The Bernoulli model of the training part, as written tables."""
-    return bernoulli_nb_fit(split_terms(spark, sf_dir)[0]).staged()
+    """The Bernoulli model of the training part."""
+    return bernoulli_nb_fit(split_terms(spark, sf_dir)[0])
 
 
 def entries_text(spark: SparkSession, sf_dir: str, model: NaiveBayesModel | None = None) -> DataFrame:
