@@ -17,7 +17,7 @@ def term_counts(docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = ())
     the runs of equal words there; nothing is shuffled.
     """
     columns = [key, *keep]
-    ordered = docs.select(*columns, F.array_sort("terms").alias("_sorted"))
+    ordered = docs.select(*columns, F.sort_array("terms").alias("_sorted"))
     starts = F.filter(
         F.transform(
             "_sorted",

@@ -19,6 +19,10 @@ from sentimill.plans.staging import stage
 
 # A linear model keeps one weight per term on the driver.
 MAX_TERMS = 2**20
+# Each optimiser step is a pass over the data; these stop it when steps hardly help (fixed values).
+LR_TOLERANCE = 1e-4
+SVM_TOLERANCE = 1e-3
+ROWS_PER_PARTITION = 5000
 
 
 class TfIdfVectors(Estimator):
@@ -54,22 +58,36 @@ class TfIdfVectors(Estimator):
 def logistic_regression(rows: int, c: float = 1.0) -> LogisticRegression:
     """L2 logistic regression where ``c`` weighs the summed loss of ``rows`` documents."""
     return LogisticRegression(
-        regParam=1.0 / (c * max(rows, 1)), elasticNetParam=0.0, standardization=False
+        regParam=1.0 / (c * max(rows, 1)),
+        elasticNetParam=0.0,
+        standardization=False,
+        tol=LR_TOLERANCE,
     )
 
 
 def linear_svm(alpha: float = 0.0001) -> LinearSVC:
     """Hinge loss with L2 penalty ``alpha``."""
-    return LinearSVC(regParam=alpha, standardization=False)
+    return LinearSVC(regParam=alpha, standardization=False, tol=SVM_TOLERANCE)
+
+
+def _for_training(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The documents in as few partitions as their number asks for, and that number.
+
+    Every optimiser step is a job over all partitions, so a small set is not
+    left in many.  ``docs`` should be a written table: it is read many times.
+    """
+    rows = docs.count()
+    return docs.coalesce(max(1, -(-rows // ROWS_PER_PARTITION))), rows
 
 
 def logistic_fit(docs: DataFrame, c: float = 1.0) -> PipelineModel:
     """Fit on ``terms`` and ``label``."""
-    return Pipeline(stages=[TfIdfVectors(), logistic_regression(docs.count(), c)]).fit(docs)
+    docs, rows = _for_training(docs)
+    return Pipeline(stages=[TfIdfVectors(), logistic_regression(rows, c)]).fit(docs)
 
 
 def svm_fit(docs: DataFrame, alpha: float = 0.0001) -> PipelineModel:
-    return Pipeline(stages=[TfIdfVectors(), linear_svm(alpha)]).fit(docs)
+    return Pipeline(stages=[TfIdfVectors(), linear_svm(alpha)]).fit(_for_training(docs)[0])
 
 
 def linear_predict(model: PipelineModel, docs: DataFrame, keep: Sequence[str] = ("doc_id", "label")) -> DataFrame:
@@ -86,7 +104,8 @@ def linear_predict(model: PipelineModel, docs: DataFrame, keep: Sequence[str] =
 
 def _folded(docs: DataFrame, folds: int, key: str, label: str, seed: str) -> DataFrame:
     """The documents with their fold, written once for the many fits that follow."""
-    return stage(stratified_folds(docs.select(key, label, "terms"), key, label, folds, seed), "folds")
+    placed = stratified_folds(docs.select(key, label, "terms"), key, label, folds, seed)
+    return _for_training(stage(placed, "folds"))[0]
 
 
 def _validator(pipeline, grid, evaluator, folds: int, parallelism: int) -> CrossValidator:
@@ -139,8 +158,12 @@ def svm_grid_search(
     """``loss, penalty, alpha, min_df, mean_auc``; MLlib has no hinge loss with elastic net."""
     placed = _folded(docs, folds, key, label, seed)
     auc = BinaryClassificationEvaluator(labelCol=label)
-    log_l2 = LogisticRegression(standardization=False, elasticNetParam=0.0)
-    log_elastic = LogisticRegression(standardization=False, elasticNetParam=ELASTIC_SHARE)
+    log_l2 = LogisticRegression(
+        standardization=False, elasticNetParam=0.0, tol=SVM_TOLERANCE
+    )
+    log_elastic = LogisticRegression(
+        standardization=False, elasticNetParam=ELASTIC_SHARE, tol=SVM_TOLERANCE
+    )
     rows = []
     for loss, penalty, classifier in (
         ("hinge", "l2", linear_svm()),

@@ -213,10 +213,9 @@ def _fold_counts(postings: DataFrame, label: str, folds: int) -> DataFrame:
     )
 
 
-def _held_out(counts: str, fold: Column) -> Column:
+def _held_out(counts: str, fold: str) -> Column:
     """Documents outside a fold."""
-    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return total - F.get(counts, fold)
+    return F.expr(f"aggregate({counts}, 0L, (acc, x) -> acc + x) - get({counts}, {fold})")
 
 
 def _fold_sizes(docs: DataFrame, label: str, folds: int) -> DataFrame:
@@ -260,70 +259,55 @@ def _fold_scores(
     counts = stage(_fold_counts(postings, label, folds), "fold-counts")
     sizes = stage(_fold_sizes(docs, label, folds), "fold-sizes")  # one row per fold
 
-    def kept(lo: int | float, hi: int | float) -> Column:
-        n = F.col("n0") + F.col("n1")
-        present = F.col("t0") + F.col("t1")
-        # A document count of 1 is met by every term of the training part.
-        return (present > 0) & within_df(present, n, lo, hi)
+    def kept(lo: int | float, hi: int | float) -> str:
+        """Vocabulary of the training part; whole numbers are counts, fractions are shares."""
+        low, high = (f"{b}" if isinstance(b, int) else f"{b!r}D * (n0 + n1)" for b in (lo, hi))
+        return f"t0 + t1 > 0 AND t0 + t1 >= {low} AND t0 + t1 <= {high}"
 
-    def logs(alpha: float) -> tuple[Column, Column]:
-        p0 = (F.col("t0") + alpha) / (F.col("n0") + 2 * alpha)
-        p1 = (F.col("t1") + alpha) / (F.col("n1") + 2 * alpha)
-        return F.log(p1) - F.log(p0), F.log(1 - p1) - F.log(1 - p0)
+    def log_odds(alpha: float) -> tuple[str, str]:
+        """What a present and what an absent term add to the margin."""
+        p0, p1 = (f"((t{c} + {alpha!r}D) / (n{c} + 2 * {alpha!r}D))" for c in (0, 1))
+        return f"ln({p1}) - ln({p0})", f"ln(1 - {p1}) - ln(1 - {p0})"
+
+    alphas = {a: i for i, a in enumerate(sorted({a for a, _, _ in configs}))}
+
+    def config_sums(values: str) -> Column:
+        """Per setting, the value of its alpha summed over the terms of its vocabulary."""
+        sums = [
+            f"coalesce(sum(CASE WHEN {kept(lo, hi)} THEN {values}{alphas[a]} END), 0D)"
+            for a, lo, hi in configs
+        ]
+        return F.expr(f"array({', '.join(sums)})")
 
     # Vocabulary side: what absent terms add, per fold and setting.
+    held_out = ["fold", _held_out("c0", "fold").alias("t0"), _held_out("c1", "fold").alias("t1")]
     per_fold = (
         counts.select("c0", "c1", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
-        .select(
-            "fold",
-            _held_out("c0", F.col("fold")).alias("t0"),
-            _held_out("c1", F.col("fold")).alias("t1"),
-        )
+        .select(*held_out)
         .join(F.broadcast(sizes), "fold")
     )
-    base = per_fold.groupBy("fold").agg(
-        *[
-            F.coalesce(F.sum(F.when(kept(lo, hi), logs(a)[1])), F.lit(0.0)).alias(f"b{i}")
-            for i, (a, lo, hi) in enumerate(configs)
-        ]
-    )
-    prior = F.log(F.col("n1") / F.col("n0"))
-    offsets = (
-        sizes.join(F.broadcast(base), "fold")
-        .select("fold", F.array(*[prior + F.col(f"b{i}") for i in range(len(configs))]).alias("start"))
+    absent = [F.expr(f"{log_odds(a)[1]} AS b{i}") for a, i in alphas.items()]
+    base = per_fold.select("*", *absent).groupBy("fold").agg(config_sums("b").alias("base"))
+    offsets = sizes.join(F.broadcast(base), "fold", "left").select(
+        "fold",
+        F.expr("transform(base, b -> b + ln(n1 / n0))").alias("start"),
     )
 
-    # Document side.
+    # Document side: one narrow row per term travels to its document.
     found = (
         lookup(postings, counts, ["term"], "df", [key])
-        .select(
-            key,
-            "fold",
-            _held_out("c0", F.col("fold")).alias("t0"),
-            _held_out("c1", F.col("fold")).alias("t1"),
-        )
-        .join(F.broadcast(sizes), "fold")
+        .select(key, *held_out)
         .repartition(key)
+        .join(F.broadcast(sizes), "fold")
     )
-    alphas = sorted({a for a, _, _ in configs})
-    gains = {a: f"g{i}" for i, a in enumerate(alphas)}
-    gained = found.select(
-        key, "t0", "t1", "n0", "n1", *[(logs(a)[0] - logs(a)[1]).alias(g) for a, g in gains.items()]
-    )
-    sums = gained.groupBy(key).agg(
-        F.array(
-            *[
-                F.coalesce(F.sum(F.when(kept(lo, hi), F.col(gains[a]))), F.lit(0.0))
-                for a, lo, hi in configs
-            ]
-        ).alias("gain")
-    )
-    scored = (
-        docs.select(key, label, "fold").join(sums, key, "left").join(F.broadcast(offsets), "fold")
-    )
-    margins = F.transform(
-        "start", lambda s, i: s + F.coalesce(F.get("gain", i), F.lit(0.0))
+    gained = [
+        F.expr(f"({log_odds(a)[0]}) - ({log_odds(a)[1]}) AS g{i}") for a, i in alphas.items()
+    ]
+    gains = found.select("*", *gained).groupBy(key).agg(config_sums("g").alias("gain"))
+    scored = docs.select(key, label, "fold").join(gains, key, "left").join(
+        F.broadcast(offsets), "fold"
     )
+    margins = F.expr("transform(start, (s, i) -> s + coalesce(get(gain, i), 0D))")
     return scored.select("fold", key, label, F.posexplode(margins).alias("config", "margin"))
 
 
@@ -361,7 +345,7 @@ def _cross_scores(
 
     def outside(rows: DataFrame) -> DataFrame:
         picked = rows.withColumns(
-            {"t0": _held_out("c0", F.col("fold")), "t1": _held_out("c1", F.col("fold"))}
+            {"t0": _held_out("c0", "fold"), "t1": _held_out("c1", "fold")}
         )
         joined = picked.drop("c0", "c1").join(F.broadcast(sizes), "fold")
         p0 = (F.col("t0") + alpha) / (F.col("n0") + 2 * alpha)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from sentimill.functions import text as tx
 from sentimill.functions.constants import SHOP_WORDS, STOP_WORDS
-from sentimill.functions.hashing import digest
 from sentimill.operators.features import term_counts, unit_length
 from sentimill.operators.naive_bayes import NaiveBayesModel
 from sentimill.plans.skew import SLOTS, add_part, copy_parts, lookup, parts
@@ -50,14 +49,14 @@ class Factors:
     topics: int
 
 
-def _start(name: str, topics: int, *key: Column) -> list[Column]:
+def _start(name: str, topics: int, *key: str) -> list[Column]:
     """Start values in (0, 1]: three hex digits of a hash per topic, 0 beyond the product's topics."""
     columns = []
     for t in range(topics):
-        seed, place = f"nmf-{name}{t // 10}", 3 * (t % 10) + 1
-        digits = F.substring(digest(F.concat_ws("|", *key), seed), place, 3)
-        value = (F.conv(digits, 16, 10).cast("bigint") + 1) / F.lit(4096.0)
-        columns.append(F.when(F.lit(t) < F.col("k"), value).otherwise(0.0).alias(f"{name}{t}"))
+        seed, place = f"nmf-{name}{t // 10}:", 3 * (t % 10) + 1
+        hashed = f"md5(concat('{seed}', concat_ws('|', {', '.join(key)})))"
+        value = f"(cast(conv(substring({hashed}, {place}, 3), 16, 10) AS bigint) + 1) / 4096D"
+        columns.append(F.expr(f"CASE WHEN {t} < k THEN {value} ELSE 0D END AS {name}{t}"))
     return columns
 
 
@@ -88,7 +87,7 @@ def start_factors(
         return placed.join(copy_parts(products, "p_parts", "p_part"), ["productid", "p_part"])
 
     w = with_product(docs, key).select(
-        "productid", key, "p_part", "p_parts", "k", *_start("w", topics, F.col("productid"), F.col(key))
+        "productid", key, "p_part", "p_parts", "k", *_start("w", topics, "productid", key)
     )
     h = with_product(terms, "term").select(
         "productid",
@@ -97,7 +96,7 @@ def start_factors(
         "p_part",
         "p_parts",
         "k",
-        *_start("h", topics, F.col("productid"), F.col("term")),
+        *_start("h", topics, "productid", "term"),
     )
     parted = add_part(x, terms, ["productid", "term"], [key], "t_parts", "t_part")
     return Factors(stage(parted, "nmf-x"), stage(w, "nmf-w"), stage(h, "nmf-h"), topics)
@@ -109,8 +108,13 @@ def _names(prefix: str, topics: int) -> list[str]:
 
 def _share(topics: int) -> Column:
     """The entry divided by its reconstruction."""
-    dot = sum((F.col(f"w{t}") * F.col(f"h{t}") for t in range(topics)), F.lit(0.0))
-    return F.col("weight") / F.greatest(dot, F.lit(EPSILON))
+    dot = " + ".join(f"w{t} * h{t}" for t in range(topics))
+    return F.expr(f"weight / greatest({dot}, {EPSILON!r}D)")
+
+
+def _numerators(names: Sequence[str]) -> list[Column]:
+    """Per topic, the shares weighted by the other side."""
+    return [F.expr(f"sum(_q * {c}) AS n{t}") for t, c in enumerate(names)]
 
 
 def _with_terms(f: Factors) -> DataFrame:
@@ -123,19 +127,19 @@ def _sums(side: DataFrame, prefix: str, topics: int) -> DataFrame:
     """Per product, the summed topic weights of the other side, copied per part."""
     sums = side.groupBy("productid").agg(
         F.max("p_parts").alias("p_parts"),
-        *[F.sum(c).alias(f"s{t}") for t, c in enumerate(_names(prefix, topics))],
+        *[F.expr(f"sum({c}) AS s{t}") for t, c in enumerate(_names(prefix, topics))],
     )
     return copy_parts(sums, "p_parts", "p_part").drop("p_parts")
 
 
 def _updated(prefix: str, topics: int, l1: float, l2: float) -> list[Column]:
     """Old value times its numerator over (sum + penalties)."""
-    columns = []
-    for t in range(topics):
-        old = F.col(f"{prefix}{t}")
-        divisor = F.greatest(F.col(f"s{t}") + l1 + l2 * old, F.lit(EPSILON))
-        columns.append((old * F.col(f"n{t}") / divisor).alias(f"{prefix}{t}"))
-    return columns
+    return [
+        F.expr(
+            f"{c} * n{t} / greatest(s{t} + {l1!r}D + {l2!r}D * {c}, {EPSILON!r}D) AS {c}"
+        )
+        for t, c in enumerate(_names(prefix, topics))
+    ]
 
 
 def nmf_step(f: Factors, l1: float, l2: float, key: str = "doc_id") -> Factors:
@@ -148,8 +152,8 @@ def nmf_step(f: Factors, l1: float, l2: float, key: str = "doc_id") -> Factors:
         .withColumn("_q", share)
         .groupBy("productid", key)
         .agg(
-            *[F.max(c).alias(c) for c in ("p_part", "p_parts", "k", *w_names)],
-            *[F.sum(F.col("_q") * F.col(c)).alias(f"n{t}") for t, c in enumerate(h_names)],
+            *[F.expr(f"max({c}) AS {c}") for c in ("p_part", "p_parts", "k", *w_names)],
+            *_numerators(h_names),
         )
     )
     new_w = per_doc.join(_sums(f.h, "h", topics), ["productid", "p_part"]).select(
@@ -162,7 +166,7 @@ def nmf_step(f: Factors, l1: float, l2: float, key: str = "doc_id") -> Factors:
         .join(w.select("productid", key, *w_names), ["productid", key])
         .withColumn("_q", share)
         .groupBy("productid", "term")
-        .agg(*[F.sum(F.col("_q") * F.col(c)).alias(f"n{t}") for t, c in enumerate(w_names)])
+        .agg(*_numerators(w_names))
     )
     new_h = (
         f.h.join(per_term, ["productid", "term"])

@@ -1,100 +1,114 @@
 """Exact per-class splits by hash rank, without sorting a class.
 
 Only the hash values at the cut ranks are searched for: rows are counted per
-class and hash bucket, and just the buckets a cut falls into are ordered.  The
-split of the rows themselves is then a comparison with a few broadcast values.
+class and hash bucket, and just the buckets a cut falls into are ordered.  A
+few cut values per class then come to the driver, and the split of the rows is
+a plain column expression that needs neither a shuffle nor a join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentimill.functions.hashing import digest
 
+# 16**4 buckets: a bucket holds 1/65536 of a class.
 _HEX_DIGITS = 4
+MAX_CLASSES = 1000
 
 
-def _bucket(hash_column: str) -> Column:
-    return F.substring(hash_column, 1, _HEX_DIGITS)
-
-
-def _cut_hashes(keys: DataFrame, label: str, ranks: DataFrame) -> DataFrame:
-    """The hash at each wanted rank: ``label, cuts`` with ``cuts`` in rank order.
-
-    ``ranks`` has one row per class: ``label, wanted`` (array of ranks).
-    """
-    counted = keys.groupBy(label, _bucket("_hash").alias("_bucket")).agg(F.count("*").alias("_rows"))
-    up_to = Window.partitionBy(label).orderBy("_bucket")
-    spans = counted.withColumn("_last", F.sum("_rows").over(up_to)).join(
-        F.broadcast(ranks.select(label, "wanted")), label
+def _class_sizes(df: DataFrame, label: str) -> dict:
+    rows = (
+        df.filter(F.col(label).isNotNull())
+        .groupBy(label)
+        .agg(F.count("*").alias("n"))
+        .limit(MAX_CLASSES + 1)
+        .collect()
     )
-    cut_buckets = spans.select(
-        label,
-        "_bucket",
-        (F.col("_last") - F.col("_rows")).alias("_before"),
-        F.filter(
-            "wanted",
-            lambda r: (r > F.col("_last") - F.col("_rows")) & (r <= F.col("_last")),
-        ).alias("_ranks"),
-    ).filter(F.size("_ranks") > 0)
-    inside = keys.withColumn("_bucket", _bucket("_hash")).join(
-        F.broadcast(cut_buckets), [label, "_bucket"]
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {row[label]: row["n"] for row in sorted(rows, key=lambda row: row[label])}
+
+
+def _per_class(label: str, values: dict, kind: str) -> Column:
+    """The array of values that belongs to the row's class."""
+    column = F.lit(None)
+    for value, items in values.items():
+        array = F.array(*[F.lit(i) for i in items]).cast(f"array<{kind}>")
+        column = F.when(F.col(label) == value, array).otherwise(column)
+    return column
+
+
+def _cut_hashes(keys: DataFrame, label: str, wanted: dict) -> dict:
+    """Per class, the hash at each wanted rank, in rank order."""
+    ranks = {c: sorted({r for r in rs if r > 0}) for c, rs in wanted.items()}
+    bucket = F.substring("_hash", 1, _HEX_DIGITS)
+    counted = keys.groupBy(label, bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
+    spans = counted.withColumn(
+        "_last", F.sum("_rows").over(Window.partitionBy(label).orderBy("_bucket"))
+    ).withColumn("_before", F.col("_last") - F.col("_rows"))
+    hit = F.filter(
+        _per_class(label, ranks, "bigint"),
+        lambda r: (r > F.col("_before")) & (r <= F.col("_last")),
     )
-    position = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash"))
-    ranked = inside.withColumn("_rank", F.col("_before") + position)
-    # A rank wanted twice (a class smaller than the number of folds) gives two cuts.
-    hits = ranked.select(
-        label, "_hash", F.explode(F.filter("_ranks", lambda r: r == F.col("_rank")))
+    cut_buckets = spans.select(label, "_bucket", "_before", hit.alias("_ranks")).filter(
+        F.size("_ranks") > 0
     )
-    return hits.groupBy(label).agg(F.array_sort(F.collect_list("_hash")).alias("_cuts"))
-
-
-def _with_cuts(df: DataFrame, key: str, label: str, seed: str, ranks: DataFrame) -> DataFrame:
-    """Add ``_hash`` and ``_passed``: how many of the wanted ranks the row lies beyond."""
-    keys = df.select(F.col(label), digest(key, seed).alias("_hash"))
-    # One row per class, so broadcasting the cuts is bounded by the number of classes.
-    cuts = ranks.select(label, F.size(F.filter("wanted", lambda r: r <= 0)).alias("_zero")).join(
-        _cut_hashes(keys, label, ranks), label, "left"
-    )
-    beyond = F.size(F.filter("_cuts", lambda c: c < F.col("_hash")))
-    return (
-        df.withColumn("_hash", digest(key, seed))
-        .join(F.broadcast(cuts), label)
-        .withColumn("_passed", F.col("_zero") + F.when(F.col("_cuts").isNull(), 0).otherwise(beyond))
-        .drop("_zero", "_cuts", "_hash")
+    # At most one bucket per cut, so the broadcast is bounded.
+    inside = keys.withColumn("_bucket", bucket).join(F.broadcast(cut_buckets), [label, "_bucket"])
+    place = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash"))
+    found = (
+        inside.withColumn("_rank", F.col("_before") + place)
+        .filter(F.array_contains("_ranks", F.col("_rank")))
+        .select(label, "_rank", "_hash")
+        .collect()
     )
+    at_rank = {(row[label], row["_rank"]): row["_hash"] for row in found}
+    return {c: [at_rank[c, r] for r in rs if r > 0] for c, rs in wanted.items()}
+
+
+def _passed(df: DataFrame, key: str, label: str, seed: str, wanted: dict) -> Column:
+    """How many of its class's cut ranks a row lies beyond."""
+    keys = df.filter(F.col(label).isNotNull()).select(label, digest(key, seed).alias("_hash"))
+    cuts = _cut_hashes(keys, label, wanted)
+    column = F.lit(None)
+    for value, ranks in wanted.items():
+        # A cut at rank 0 lies before every row.
+        beyond = F.lit(sum(r <= 0 for r in ranks))
+        for cut in cuts[value]:
+            beyond = beyond + (digest(key, seed) > cut).cast("int")
+        column = F.when(F.col(label) == value, beyond).otherwise(column)
+    return column
+
+
+def _quotas(sizes: dict, share: float) -> dict:
+    """``floor(share*n)`` rows allotted to the classes by largest remainder."""
+    total = sum(sizes.values())
+    take = int(total * share)
+    exact = {c: n * take / total for c, n in sizes.items()}
+    quota = {c: int(e) for c, e in exact.items()}
+    by_remainder: Sequence = sorted(sizes, key=lambda c: (-round(exact[c] - quota[c], 9), c))
+    for c in by_remainder[: take - sum(quota.values())]:
+        quota[c] += 1
+    return quota
 
 
 def stratified_share(df: DataFrame, key: str, label: str, share: float, seed: str) -> DataFrame:
-    """Add ``is_train``: exactly ``floor(share*n)`` rows, allotted to the classes by largest remainder.
+    """Add ``is_train``: ``floor(share*n)`` rows in all, the classes in proportion.
 
-    ``key`` must be unique.  Class sizes are whole numbers, so the largest
-    remainders get the rows that rounding down leaves over.
+    ``key`` must be unique; rows without a label are left out.
     """
-    sizes = df.groupBy(label).agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(F.lit(0))
-    by_remainder = Window.partitionBy(F.lit(0)).orderBy(
-        F.desc(F.round(F.col("_exact") - F.floor("_exact"), 9)), F.col(label)
-    )
-    quota = (
-        sizes.withColumn("_total", F.sum("n").over(whole))
-        .withColumn("_take", F.floor(F.col("_total") * F.lit(share)))
-        .withColumn("_exact", F.col("n") * F.col("_take") / F.col("_total"))
-        .withColumn("_left", F.col("_take") - F.sum(F.floor("_exact")).over(whole))
-        .withColumn("_place", F.row_number().over(by_remainder))
-        .withColumn("_quota", F.floor("_exact") + (F.col("_place") <= F.col("_left")).cast("int"))
-    )
-    ranks = quota.select(label, F.array(F.col("_quota").cast("long")).alias("wanted"))
-    placed = _with_cuts(df, key, label, seed, ranks)
-    return placed.withColumn("is_train", F.col("_passed") == 0).drop("_passed")
+    quotas = _quotas(_class_sizes(df, label), share)
+    passed = _passed(df, key, label, seed, {c: [q] for c, q in quotas.items()})
+    return df.filter(F.col(label).isNotNull()).withColumn("is_train", passed == 0)
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int, seed: str) -> DataFrame:
     """Add ``fold`` (0-based); inside each class the fold sizes differ by at most one."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("n"))
-    wanted = F.transform(
-        F.sequence(F.lit(1), F.lit(folds - 1)), lambda j: F.floor(j * F.col("n") / folds)
-    )
-    placed = _with_cuts(df, key, label, seed, sizes.select(label, wanted.alias("wanted")))
-    return placed.withColumn("fold", F.col("_passed").cast("int")).drop("_passed")
+    sizes = _class_sizes(df, label)
+    wanted = {c: [j * n // folds for j in range(1, folds)] for c, n in sizes.items()}
+    passed = _passed(df, key, label, seed, wanted)
+    return df.filter(F.col(label).isNotNull()).withColumn("fold", passed)

@@ -35,3 +35,13 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     path = fresh_path(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A table scan dealt out by key when it has fewer splits than there are cores.
+
+    Text work on a table of a few large files would otherwise keep a few cores
+    busy; a table with enough splits is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -110,17 +110,17 @@ def _with_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.row_count(views.reviews_raw(spark, sf_dir))
+    return profile.row_count(views.reviews_raw(spark, sf_dir, text_work=False))
 
 
 @register
 def nan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.nan_counts(views.reviews_raw(spark, sf_dir))
+    return profile.nan_counts(views.reviews_raw(spark, sf_dir, text_work=False))
 
 
 @register
 def null_or_nan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.null_or_nan_counts(views.reviews_raw(spark, sf_dir))
+    return profile.null_or_nan_counts(views.reviews_raw(spark, sf_dir, text_work=False))
 
 
 @register
@@ -131,7 +131,7 @@ def describe_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def distinct_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = views.reviews_raw(spark, sf_dir)
+    raw = views.reviews_raw(spark, sf_dir, text_work=False)
     before = profile.distinct_scores(raw).withColumn("stage", F.lit("before"))
     after = profile.distinct_scores(
         cleaning.valid_scores(raw).withColumn("Score", F.col("Score").cast("string"))
@@ -161,12 +161,12 @@ def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.score_histogram(views.reviews_raw(spark, sf_dir))
+    return profile.score_histogram(views.reviews_raw(spark, sf_dir, text_work=False))
 
 
 @register
 def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.class_counts(views.reviews_raw(spark, sf_dir))
+    return profile.class_counts(views.reviews_raw(spark, sf_dir, text_work=False))
 
 
 @register
@@ -215,7 +215,7 @@ def clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def clean_review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and web pages: the pages have the tags and links."""
-    documents = views.table(spark, sf_dir, "documents").select(
+    documents = views.documents(spark, sf_dir).select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text"
     )
     pages = views.table(spark, sf_dir, "pages").select(
@@ -238,7 +238,7 @@ def clean_text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def valid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.valid_scores(views.reviews_raw(spark, sf_dir)).select("Id", "Score")
+    return cleaning.valid_scores(views.reviews_raw(spark, sf_dir, text_work=False)).select("Id", "Score")
 
 
 @register
@@ -293,7 +293,7 @@ def balanced_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.random_split(views.reviews_raw(spark, sf_dir)).select("Id", "split")
+    return sampling.random_split(views.reviews_raw(spark, sf_dir, text_work=False)).select("Id", "split")
 
 
 @register
@@ -307,8 +307,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = views.table(spark, sf_dir, "documents")
-    return documents.select("doc_id", tx.review_terms(F.col("text")).alias("terms"))
+    return views.documents(spark, sf_dir).select("doc_id", tx.review_terms(F.col("text")).alias("terms"))
 
 
 @register

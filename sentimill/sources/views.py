@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sentimill.functions.text import review_terms
 from sentimill.operators.naive_bayes import NaiveBayesModel, bernoulli_nb_fit, score_reviews
 from sentimill.operators.sampling import stratified_split
-from sentimill.plans.staging import stage
+from sentimill.plans.staging import spread, stage
 
 FIRST_DAY = 1_325_376_000
 DAY = 86_400
@@ -18,8 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores for work on their texts."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+
+
+def reviews_raw(spark: SparkSession, sf_dir: str, text_work: bool = True) -> DataFrame:
     """Raw reviews, all columns text: documents with a score made from their label."""
+    docs = documents(spark, sf_dir) if text_work else table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
     score = (
         F.when(F.col("quality") == 1, "5")
@@ -29,7 +35,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise((2 + doc % 3).cast("string"))
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left").select(
+    return docs.join(labels, "doc_id", "left").select(
         doc.cast("string").alias("Id"),
         F.col("source").alias("ProductId"),
         score.alias("Score"),
@@ -42,7 +48,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled reviews with the columns the report tables need."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return table(spark, sf_dir, "documents").join(labels, "doc_id").select(
+    return documents(spark, sf_dir).join(labels, "doc_id").select(
         "doc_id",
         "label",
         "text",
@@ -60,9 +66,9 @@ def split_terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     it; they are tokenised once for all the steps that follow.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    placed = stratified_split(labels.join(documents.select("doc_id"), "doc_id"))
-    terms = placed.join(documents, "doc_id").select(
+    ids = table(spark, sf_dir, "documents").select("doc_id")
+    placed = stratified_split(labels.join(ids, "doc_id", "left_semi"))
+    terms = placed.join(documents(spark, sf_dir), "doc_id").select(
         "doc_id", "label", "is_train", review_terms(F.col("text")).alias("terms")
     )
     written = stage(terms, "labelled-terms", partition_by=("is_train",))
