@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentimill.functions import text as tx
+from sentimill.plans.staging import stage
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -89,22 +90,25 @@ def short_text_share(df: DataFrame, column: str = "Text_len", limit: int = 20) -
 
 def length_histogram(df: DataFrame, column: str = "Text_len", bins: int = 10) -> DataFrame:
     """``bins`` equal-width bins between the smallest and the largest value, the last one closed."""
-    counts = (
+    # One row per distinct value, written down: limits and bins read it again.
+    counts = stage(
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
-    low = counts.agg(F.min("v").cast("double")).scalar()
-    high = counts.agg(F.max("v").cast("double")).scalar()
-    place = F.when(low == high, 0).otherwise(
-        F.least(F.floor((F.col("v") - low) * bins / (high - low)), F.lit(bins - 1))
+        .agg(F.count("*").alias("n")),
+        "value-counts",
     )
+    limits = counts.agg(F.min("v").cast("double"), F.max("v").cast("double")).first()
+    low, high = limits[0] or 0.0, limits[1] or 0.0
+    if low == high:
+        place = F.lit(0)
+    else:
+        place = F.least(F.floor((F.col("v") - low) * bins / (high - low)), F.lit(bins - 1))
     filled = counts.groupBy(place.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return frame.join(F.broadcast(filled), "bin", "left").select(
         "bin",
-        (low + F.col("bin") * (high - low) / bins).alias("low"),
-        (low + (F.col("bin") + 1) * (high - low) / bins).alias("high"),
+        (F.lit(low) + F.col("bin") * (high - low) / bins).alias("low"),
+        (F.lit(low) + (F.col("bin") + 1) * (high - low) / bins).alias("high"),
         F.coalesce("n", F.lit(0)).alias("rows"),
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sentimill.plans.running import running_totals
 from sentimill.plans.skew import lookup
+from sentimill.plans.staging import stage
 
 REVIEW_COLUMNS = (
     "text", "predicted_summary", "predicted_score", "score", "predicted_proba", "productid",
@@ -121,6 +122,8 @@ def rolling_sentiment(entries: DataFrame) -> DataFrame:
         .join(offsets, "_day")
         .select("time", "_events", (F.col("_in_day") + F.col("_before")).alias("running_sentiment"))
     )
+    # One row per second; written down because the lookup reads it more than once.
+    running = stage(running, "running")
     return lookup(events, running, ["time"], "_events", ["productid", "predicted_sentiment"]).select(
         "time", "productid", "predicted_sentiment", "running_sentiment"
     )

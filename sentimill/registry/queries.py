@@ -332,7 +332,8 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = features.term_counts(_all_terms(spark, sf_dir))
     n = features.document_total(views.table(spark, sf_dir, "documents"))
-    weighted = features.tfidf(postings, features.vocabulary(postings, n), n)
+    vocab = stage(features.vocabulary(postings, n), "vocabulary")
+    weighted = features.tfidf(postings, vocab, n)
     return rounded(weighted.select("doc_id", "term", "weight"), "weight")
 
 

@@ -62,14 +62,17 @@ def test_rolling_sentiment_equals_the_plain_window(spark):
     assert ours.exceptAll(plain).count() == 0
 
 
-def test_only_day_totals_pass_through_one_window(spark, sf_dir):
-    plan = plan_of(reports.rolling_sentiment(views.entries_num(spark, sf_dir)))
-    windows = [line.split("Window ", 1)[1] for line in plan.splitlines() if "Window [" in line]
-    # Expressions, partitioning, ordering; the middle part is absent without partitioning.
-    whole = [w for w in windows if w.count("], [") == 1]
-    assert len(windows) > len(whole) > 0
-    assert all("_of_day" in w for w in whole)
-    assert "Python" not in plan
+def test_only_day_totals_pass_through_one_window(spark, sf_dir, monkeypatch):
+    staged = []
+    monkeypatch.setattr(reports, "stage", lambda df, label: staged.append(plan_of(df)) or df)
+    plans = [plan_of(reports.rolling_sentiment(views.entries_num(spark, sf_dir))), *staged]
+    for plan in plans:
+        windows = [line.split("Window ", 1)[1] for line in plan.splitlines() if "Window [" in line]
+        # Expressions, partitioning, ordering; the middle part is absent without partitioning.
+        whole = [w for w in windows if w.count("], [") == 1]
+        assert len(windows) > len(whole) > 0
+        assert all("_of_day" in w for w in whole)
+        assert "Python" not in plan
 
 
 def test_per_product_top_is_cut_before_the_shuffle(spark):
