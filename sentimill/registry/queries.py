@@ -523,12 +523,9 @@ def yearly_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def cumulative_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ties = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "predicted_sentiment")
-    entries = views.entries_num(spark, sf_dir)
-    rows = entries.withColumn("step", F.col("predicted_sentiment"))
-    return reports.cumulative_sentiment(rows, ties[:4]).select(
-        "productid", "time", *ties[:4], "cumulative"
-    )
+    ties = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    running = reports.cumulative_sentiment(views.entries_num(spark, sf_dir), ties)
+    return running.select("productid", "time", *ties, "cumulative")
 
 
 @register
