@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sentimill.llm import packing, simhash_dedup
+from sentimill.llm import ann, mixing, packing, pii, simhash_dedup, topk_exact
 from sentimill.llm.common import table
 
 
@@ -15,6 +16,18 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op4_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op5_topk_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_exact.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -23,9 +36,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
+    "op4_pii_anchors": op4_pii_anchors,
+    "op5_topk_exact": op5_topk_exact,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_collision_ann": op9_collision_ann,
 }
 
 ORACLES: dict[str, str] = {}
