@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimill.llm import ann, mixing, packing, pii, simhash_dedup, topk_exact
+from sentimill.llm import ann, langid, mixing, packing, pii, quality, simhash_dedup, topk_exact, toxicity
 from sentimill.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op4_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
@@ -28,6 +33,11 @@ def op5_topk_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_exact.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,13 +50,21 @@ def op9_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op10_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_language_id": op2_language_id,
     "op4_pii_anchors": op4_pii_anchors,
     "op5_topk_exact": op5_topk_exact,
+    "op6_quality_votes": op6_quality_votes,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_collision_ann": op9_collision_ann,
+    "op10_toxicity_severity": op10_toxicity_severity,
 }
 
 ORACLES: dict[str, str] = {}
