@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimill.llm import ann, langid, mixing, packing, pii, quality, simhash_dedup, topk_exact, toxicity
+from sentimill.llm import ann, html_extract, langid, mixing, packing, pii, quality, simhash_dedup, topk_exact, toxicity
 from sentimill.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op3_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
@@ -58,6 +62,7 @@ def op10_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_language_id": op2_language_id,
+    "op3_html_consensus": op3_html_consensus,
     "op4_pii_anchors": op4_pii_anchors,
     "op5_topk_exact": op5_topk_exact,
     "op6_quality_votes": op6_quality_votes,
