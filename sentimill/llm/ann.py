@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 from sentimill.llm.vectors import Best, search, usable
 
 K = 20
-PROJECTIONS = 64
+PROJECTIONS = 64  # at most 255
 WIDTH = 1.0
 MARGIN = 1.7
 GROWTH = 1.12
-FIRST_RADIUS = 0.25
+#: Rows that are looked at first, and the share of the distance they leave that is tried first.
+FIRST_ROWS = 512
+FIRST_SHARE = 0.8
 SEED = 42
 
 
@@ -40,53 +42,70 @@ def threshold(projections: int = PROJECTIONS, width: float = WIDTH, margin: floa
     return max(1, int(projections * p - margin * sqrt(projections * p * (1 - p))))
 
 
+def _scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, each summed the same way wherever its row stands."""
+    return (vectors * query).sum(axis=1)
+
+
 def _kernel(longest: float):
     def count_collisions(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, best: Best) -> None:
-        k, n, dim = best.k, len(ids), vectors.shape[1]
+        n, dim = vectors.shape
         needed = threshold()
         directions = np.random.default_rng(SEED).standard_normal((dim + 1, PROJECTIONS))
         unit = vectors / longest
         last = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
         placed = unit @ directions[:dim] + last[:, None] * directions[dim]
-        order = np.argsort(placed, axis=0).astype(np.int32)
-        arrays = np.ascontiguousarray(np.take_along_axis(placed, order, axis=0).T)
-        order = np.ascontiguousarray(order.T)
+        order = np.argsort(placed, axis=0)
+        arrays = np.take_along_axis(placed, order, axis=0)
+        # Where each vector stands in each sorted array: it is in a window if this lies between the window's ends.
+        stands = np.empty((PROJECTIONS, n), dtype=np.uint16)
+        np.put_along_axis(stands, order.T, np.arange(n, dtype=np.uint16)[None, :], axis=1)
         norms = np.sqrt((queries * queries).sum(axis=1))
         centres = (queries / norms[:, None]) @ directions[:dim]
+        scales = norms * longest
+        verified = {}
+        radius = np.empty(len(queries))
         for q, own in enumerate(best.query_ids):
-            scale = norms[q] * longest
-            counts = np.zeros(n, dtype=np.int64)
-            verified = np.zeros(n, dtype=bool)
-            verified[ids == own] = True
-            begin = np.array([np.searchsorted(a, c) for a, c in zip(arrays, centres[q], strict=True)])
-            end = begin.copy()
-            radius = FIRST_RADIUS
-            # Nothing can enter the best before the radius reaches what earlier blocks have found.
-            known = best.floor(q)
-            if np.isfinite(known):
-                radius = max(radius, sqrt(max(0.0, 2 - 2 * known / scale)))
-            while True:
-                wide = WIDTH * radius
-                lower = np.array([np.searchsorted(a, c - wide, "left") for a, c in zip(arrays, centres[q], strict=True)])
-                upper = np.array([np.searchsorted(a, c + wide, "right") for a, c in zip(arrays, centres[q], strict=True)])
-                fresh = [order[j, lower[j] : begin[j]] for j in range(PROJECTIONS)]
-                fresh += [order[j, end[j] : upper[j]] for j in range(PROJECTIONS)]
-                counts += np.bincount(np.concatenate(fresh), minlength=n)
-                begin, end = lower, upper
-                found = np.flatnonzero((counts >= needed) & ~verified)
+            verified[q] = ids == own
+            if not np.isfinite(best.floor(q)):
+                # Nothing is known of this query: a few rows tell how far its windows may have to go.
+                first = np.flatnonzero(~verified[q][:FIRST_ROWS])
+                verified[q][first] = True
+                best.add(q, _scores(vectors[first], queries[q]), ids[first])
+                radius[q] = FIRST_SHARE * _distance(best.floor(q), scales[q])
+            else:
+                # Nothing can enter the best from beyond what earlier blocks have found.
+                radius[q] = _distance(best.floor(q), scales[q])
+        active = np.arange(len(queries))
+        while len(active):
+            wide = (WIDTH * radius[active])[:, None]
+            lower, upper = np.empty((2, len(active), PROJECTIONS), dtype=np.int64)
+            for j in range(PROJECTIONS):
+                lower[:, j] = np.searchsorted(arrays[:, j], centres[active, j] - wide[:, 0], "left")
+                upper[:, j] = np.searchsorted(arrays[:, j], centres[active, j] + wide[:, 0], "right")
+            begin, size = lower.astype(np.uint16), (upper - lower).astype(np.uint16)
+            going = []
+            for row, q in enumerate(active):
+                # Unsigned differences wrap round, so one comparison tests both ends.
+                inside = (stands - begin[row][:, None]) < size[row][:, None]
+                counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+                found = np.flatnonzero((counts >= needed) & ~verified[q])
                 if len(found):
-                    verified[found] = True
-                    best.add(q, (vectors[found] * queries[q]).sum(axis=1), ids[found])
-                floor = best.floor(q)
-                if np.isfinite(floor) and 2 - 2 * floor / scale <= radius * radius:
-                    break
-                if verified.all():
-                    break
-                radius *= GROWTH
+                    verified[q][found] = True
+                    best.add(int(q), _scores(vectors[found], queries[q]), ids[found])
+                if _distance(best.floor(int(q)), scales[q]) > radius[q] and not verified[q].all():
+                    going.append(q)
+            active = np.array(going, dtype=np.int64)
+            radius[active] *= GROWTH
 
     return count_collisions
 
 
+def _distance(score: float, scale: float) -> float:
+    """The distance at which a vector has this score; so far that it takes in all if there is none."""
+    return sqrt(max(0.0, 2 - 2 * score / scale)) * (1 + 1e-9) if np.isfinite(score) else 3.0
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score of each query's ``k`` nearest found."""
     rows = usable(vectors, non_zero=True)

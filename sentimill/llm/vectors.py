@@ -116,7 +116,7 @@ def search(rows: DataFrame, is_query: Column, kernel: Kernel, k: int, score_type
     blocks = stage(packed(rows, BLOCK_ROWS).withColumn("_at", F.monotonically_increasing_id()), "blocks")
     packs = stage(packed(rows.filter(is_query), PACK_ROWS).withColumn("pack", F.monotonically_increasing_id()), "packs")
     n = blocks.count()
-    groups = max(1, min(n, max(4 * spark.sparkContext.defaultParallelism, n // 4)))
+    groups = max(1, min(n, max(2 * spark.sparkContext.defaultParallelism, n // 16)))
     dealt = blocks.withColumn("g", F.pmod(F.xxhash64("_at"), F.lit(groups)).cast("int")).drop("_at")
     asked = packs.select(
         "dim", "pack", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
