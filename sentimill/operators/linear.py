@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
@@ -10,15 +11,14 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentimill.plans.cuts import stratified_folds
 from sentimill.plans.staging import stage
 
-# A linear model keeps one weight per term on the driver.
-MAX_TERMS = 2**20
+# A linear model keeps one weight per term on the driver; ``min_df`` says which terms it has.
+ALL_TERMS = 2**31 - 1
 # Each optimiser step is a pass over the data; these stop it when steps hardly help (fixed values).
 LR_TOLERANCE = 1e-4
 SVM_TOLERANCE = 1e-3
@@ -30,24 +30,26 @@ class TfIdfVectors(Estimator):
 
     MLlib's inverse document frequency lacks the ``+1`` of the smoothed form, so
     it is added to the fitted vector.  ``min_df``: 1 or more is a count, below 1
-    a share of the documents.
+    a share of the documents.  Every such term has its own weight, however many
+    there are; ``hashed_terms``, if given, asks for that many shared ones instead
+    (all terms, no ``min_df``).
     """
 
     min_df = Param(Params._dummy(), "min_df", "smallest document frequency", TypeConverters.toFloat)
 
-    def __init__(self, min_df: float = 1.0, max_terms: int = MAX_TERMS):
+    def __init__(self, min_df: float = 1.0, hashed_terms: int | None = None):
         super().__init__()
         self._setDefault(min_df=min_df)
-        self.max_terms = max_terms
+        self.hashed_terms = hashed_terms
 
     def _fit(self, docs: DataFrame) -> PipelineModel:
         min_df = self.getOrDefault(self.min_df)
-        counter = CountVectorizer(
-            inputCol="terms", outputCol="counts", minDF=min_df, vocabSize=self.max_terms + 1
-        ).fit(docs)
-        if len(counter.vocabulary) > self.max_terms:
-            # Too many terms for one weight each: all of them share hashed weights.
-            counter = HashingTF(inputCol="terms", outputCol="counts", numFeatures=self.max_terms)
+        if self.hashed_terms:
+            counter = HashingTF(inputCol="terms", outputCol="counts", numFeatures=self.hashed_terms)
+        else:
+            counter = CountVectorizer(
+                inputCol="terms", outputCol="counts", minDF=min_df, vocabSize=ALL_TERMS
+            ).fit(docs)
         idf = IDF(inputCol="counts", outputCol="idf").fit(counter.transform(docs)).idf
         scale = ElementwiseProduct(
             inputCol="counts", outputCol="weights", scalingVec=Vectors.dense(idf.toArray() + 1.0)
@@ -108,15 +110,32 @@ def _folded(docs: DataFrame, folds: int, key: str, label: str, seed: str) -> Dat
     return _for_training(stage(placed, "folds"))[0]
 
 
-def _validator(pipeline, grid, evaluator, folds: int, parallelism: int) -> CrossValidator:
-    return CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
+def _fold_features(placed: DataFrame, folds: int, min_df: float, label: str) -> list[tuple[DataFrame, DataFrame]]:
+    """Training and held-out vectors of every fold, made once for all settings that share ``min_df``."""
+    pairs = []
+    for fold in range(folds):
+        outside, inside = placed.filter(F.col("fold") != fold), placed.filter(F.col("fold") == fold)
+        model = TfIdfVectors(min_df).fit(outside)
+        written = stage(
+            model.transform(placed).select("features", label, (F.col("fold") == fold).alias("held")), "fold-vectors"
+        )
+        pairs.append((_for_training(written.filter("not held"))[0], written.filter("held")))
+    return pairs
+
+
+def _mean_metrics(
+    estimators: Sequence[Estimator], pairs: Sequence[tuple[DataFrame, DataFrame]], evaluator, parallelism: int
+) -> list[float]:
+    """Each estimator's metric, averaged over the folds; several fits run at a time."""
+
+    def one(job: tuple[Estimator, tuple[DataFrame, DataFrame]]) -> float:
+        estimator, (outside, inside) = job
+        return evaluator.evaluate(estimator.fit(outside).transform(inside))
+
+    jobs = [(estimator, pair) for estimator in estimators for pair in pairs]
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(one, jobs))
+    return [sum(found[i : i + len(pairs)]) / len(pairs) for i in range(0, len(found), len(pairs))]
 
 
 def svm_cross_validate(
@@ -129,13 +148,15 @@ def svm_cross_validate(
     parallelism: int = 4,
 ) -> float:
     """Mean held-out accuracy, features made before the folds."""
-    vectors = TfIdfVectors().fit(docs).transform(_folded(docs, folds, key, label, seed))
+    vectors = stage(
+        TfIdfVectors().fit(docs).transform(_folded(docs, folds, key, label, seed)).select("features", label, "fold"),
+        "vectors",
+    )
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy", labelCol=label)
-    pipeline = Pipeline(stages=[linear_svm(alpha)])
-    grid = ParamGridBuilder().build()
-    return _validator(pipeline, grid, accuracy, folds, parallelism).fit(
-        vectors.select("features", label, "fold")
-    ).avgMetrics[0]
+    pairs = [
+        (_for_training(vectors.filter(F.col("fold") != f))[0], vectors.filter(F.col("fold") == f)) for f in range(folds)
+    ]
+    return _mean_metrics([linear_svm(alpha)], pairs, accuracy, parallelism)[0]
 
 
 # Settings searched by default (fixed values).
@@ -145,6 +166,22 @@ LR_C = (0.001, 1.0, 0.9, 0.1, 0.05)
 ELASTIC_SHARE = 0.15
 
 
+def sgd_classifier(loss: str, penalty: str, alpha: float) -> Estimator:
+    """The model of a loss ('hinge' or 'log') and a penalty ('l2' or 'elasticnet') of weight ``alpha``."""
+    if loss == "hinge":
+        if penalty != "l2":
+            raise ValueError("hinge loss has the l2 penalty only")
+        return linear_svm(alpha)
+    share = ELASTIC_SHARE if penalty == "elasticnet" else 0.0
+    return LogisticRegression(regParam=alpha, elasticNetParam=share, standardization=False, tol=SVM_TOLERANCE)
+
+
+def _flag_best(found: DataFrame, *settings: str) -> DataFrame:
+    """Add ``is_best``: the highest metric, then the smallest settings.  One row per setting."""
+    best = found.agg(F.min_by(F.struct(*settings), F.struct(-F.round("mean_auc", 6), *settings))).scalar()
+    return found.withColumn("is_best", (F.struct(*settings) == best).cast("int"))
+
+
 def svm_grid_search(
     docs: DataFrame,
     alphas: Sequence[float] = SVM_ALPHAS,
@@ -153,40 +190,21 @@ def svm_grid_search(
     key: str = "doc_id",
     label: str = "label",
     seed: str = "folds",
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
-    """``loss, penalty, alpha, min_df, mean_auc``; MLlib has no hinge loss with elastic net."""
+    """``loss, penalty, alpha, min_df, mean_auc, is_best``; MLlib has no hinge loss with elastic net."""
     placed = _folded(docs, folds, key, label, seed)
     auc = BinaryClassificationEvaluator(labelCol=label)
-    log_l2 = LogisticRegression(
-        standardization=False, elasticNetParam=0.0, tol=SVM_TOLERANCE
-    )
-    log_elastic = LogisticRegression(
-        standardization=False, elasticNetParam=ELASTIC_SHARE, tol=SVM_TOLERANCE
-    )
+    settings = [(l, p, a) for l, p in (("hinge", "l2"), ("log", "l2"), ("log", "elasticnet")) for a in alphas]
     rows = []
-    for loss, penalty, classifier in (
-        ("hinge", "l2", linear_svm()),
-        ("log", "l2", log_l2),
-        ("log", "elasticnet", log_elastic),
-    ):
-        features = TfIdfVectors()
-        grid = (
-            ParamGridBuilder()
-            .addGrid(features.min_df, list(min_dfs))
-            .addGrid(classifier.regParam, list(alphas))
-            .build()
-        )
-        found = _validator(
-            Pipeline(stages=[features, classifier]), grid, auc, folds, parallelism
-        ).fit(placed)
-        rows += [
-            (loss, penalty, params[classifier.regParam], params[features.min_df], float(metric))
-            for params, metric in zip(grid, found.avgMetrics)
-        ]
-    return docs.sparkSession.createDataFrame(
+    for min_df in min_dfs:
+        pairs = _fold_features(placed, folds, min_df, label)
+        metrics = _mean_metrics([sgd_classifier(*setting) for setting in settings], pairs, auc, parallelism)
+        rows += [(*setting, float(min_df), float(m)) for setting, m in zip(settings, metrics, strict=True)]
+    found = docs.sparkSession.createDataFrame(
         rows, "loss string, penalty string, alpha double, min_df double, mean_auc double"
     )
+    return _flag_best(found, "loss", "penalty", "alpha", "min_df")
 
 
 def lr_grid_search(
@@ -196,21 +214,37 @@ def lr_grid_search(
     key: str = "doc_id",
     label: str = "label",
     seed: str = "folds",
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
-    """``c, mean_auc``."""
+    """``c, mean_auc, is_best``."""
     placed = _folded(docs, folds, key, label, seed)
     rows = placed.count() * (folds - 1) // folds
-    classifier = logistic_regression(rows)
-    reg_params = [1.0 / (c * max(rows, 1)) for c in cs]
-    grid = ParamGridBuilder().addGrid(classifier.regParam, reg_params).build()
-    found = _validator(
-        Pipeline(stages=[TfIdfVectors(), classifier]),
-        grid,
+    metrics = _mean_metrics(
+        [logistic_regression(rows, c) for c in cs],
+        _fold_features(placed, folds, 1.0, label),
         BinaryClassificationEvaluator(labelCol=label),
-        folds,
         parallelism,
-    ).fit(placed)
-    return docs.sparkSession.createDataFrame(
-        [(float(c), float(m)) for c, m in zip(cs, found.avgMetrics)], "c double, mean_auc double"
     )
+    found = docs.sparkSession.createDataFrame(
+        [(float(c), float(m)) for c, m in zip(cs, metrics, strict=True)], "c double, mean_auc double"
+    )
+    return _flag_best(found, "c")
+
+
+def lr_refit(docs: DataFrame, searched: DataFrame) -> PipelineModel:
+    """Logistic regression on all of ``docs`` with the best setting of a search."""
+    return logistic_fit(docs, searched.filter("is_best = 1").first()["c"])
+
+
+def svm_refit(docs: DataFrame, searched: DataFrame) -> PipelineModel:
+    best = searched.filter("is_best = 1").first()
+    stages = [TfIdfVectors(best["min_df"]), sgd_classifier(best["loss"], best["penalty"], best["alpha"])]
+    return Pipeline(stages=stages).fit(_for_training(docs)[0])
+
+
+def save_linear(model: PipelineModel, path: str) -> None:
+    model.write().save(path)
+
+
+def load_linear(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -48,6 +48,11 @@ def _class_sizes(docs: DataFrame, label: str) -> tuple[int, int]:
     return sizes[0], sizes[1]
 
 
+# Log odds of the class shares; a class that a training part lacks is ruled out.
+_PRIOR_ODDS = """CASE WHEN n0 = 0 AND n1 = 0 THEN 0D WHEN n1 = 0 THEN double('-Infinity')
+WHEN n0 = 0 THEN double('Infinity') ELSE ln(n1 / n0) END"""
+
+
 def _log_prior(n: int, total: int) -> float:
     """Log of a class share; minus infinity for an absent class."""
     return log(n / total) if n else -inf
@@ -133,7 +138,10 @@ def multinomial_nb_fit(
 
 def _evidence(model: NaiveBayesModel, docs: DataFrame, key: str) -> DataFrame:
     """``key, e0, e1``: what the known terms of a document add to each class score."""
-    found = lookup(term_counts(docs, key), model.terms, ["term"], "df", [key])
+    counts = term_counts(docs, key)
+    # A term is hot by the rows that are joined, whatever it was in training.
+    rows = counts.groupBy("term").agg(F.count("*").alias("_rows"))
+    found = lookup(counts, model.terms.join(rows, "term"), ["term"], "_rows", [key])
     if model.kind == BERNOULLI:
         return found.groupBy(key).agg(
             F.sum(F.col("log_p0") - F.col("log_not0")).alias("e0"),
@@ -290,7 +298,7 @@ def _fold_scores(
     base = per_fold.select("*", *absent).groupBy("fold").agg(config_sums("b").alias("base"))
     offsets = sizes.join(F.broadcast(base), "fold", "left").select(
         "fold",
-        F.expr("transform(base, b -> b + ln(n1 / n0))").alias("start"),
+        F.expr(f"transform(base, b -> b + {_PRIOR_ODDS})").alias("start"),
     )
 
     # Document side: one narrow row per term travels to its document.
@@ -362,7 +370,7 @@ def _cross_scores(
         F.sum("unseen").alias("base")
     )
     offsets = sizes.join(F.broadcast(base), "fold").select(
-        "fold", (F.log(F.col("n1") / F.col("n0")) + F.col("base")).alias("start")
+        "fold", (F.expr(_PRIOR_ODDS) + F.col("base")).alias("start")
     )
     gains = (
         outside(lookup(postings, counts, ["term"], "df", [key]))

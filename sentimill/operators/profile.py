@@ -88,15 +88,19 @@ def short_text_share(df: DataFrame, column: str = "Text_len", limit: int = 20) -
     )
 
 
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """``v, n``: how often each value of a column occurs."""
+    return df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+
+
 def length_histogram(df: DataFrame, column: str = "Text_len", bins: int = 10) -> DataFrame:
     """``bins`` equal-width bins between the smallest and the largest value, the last one closed."""
     # One row per distinct value, written down: limits and bins read it again.
-    counts = stage(
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("v"))
-        .agg(F.count("*").alias("n")),
-        "value-counts",
-    )
+    return histogram_of_counts(stage(value_counts(df, column), "value-counts"), bins)
+
+
+def histogram_of_counts(counts: DataFrame, bins: int = 10) -> DataFrame:
+    """The histogram of a written table of ``value_counts``."""
     limits = counts.agg(F.min("v").cast("double"), F.max("v").cast("double")).first()
     low, high = limits[0] or 0.0, limits[1] or 0.0
     if low == high:
@@ -104,7 +108,7 @@ def length_histogram(df: DataFrame, column: str = "Text_len", bins: int = 10) ->
     else:
         place = F.least(F.floor((F.col("v") - low) * bins / (high - low)), F.lit(bins - 1))
     filled = counts.groupBy(place.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    frame = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return frame.join(F.broadcast(filled), "bin", "left").select(
         "bin",
         (F.lit(low) + F.col("bin") * (high - low) / bins).alias("low"),

@@ -109,7 +109,8 @@ def rolling_sentiment(entries: DataFrame) -> DataFrame:
     per second then goes back to the events; a second that holds many of them
     is split.
     """
-    events = _distinct_events(entries)
+    # Written down: the sums and the lookup both read it.
+    events = stage(_distinct_events(entries), "events")
     per_time = events.groupBy("time").agg(
         F.sum("predicted_sentiment").alias("_sum"), F.count("*").alias("_events")
     ).withColumn("_day", F.floor(F.col("time") / _DAY))
@@ -170,6 +171,20 @@ def period_sentiment(entries: DataFrame, period: str = "Q") -> DataFrame:
     raise ValueError(f"unknown period: {period}")
 
 
+def product_period_sentiment(entries: DataFrame, period: str = "Q") -> DataFrame:
+    """Counts per product and quarter ('Q') or year ('y'), for all products; the axis limit is the product's."""
+    if period not in ("Q", "y"):
+        raise ValueError(f"unknown period: {period}")
+    name = "quarter" if period == "Q" else "year"
+    bucket = F.trunc(_day_of("time"), "quarter") if period == "Q" else F.year(_day_of("time"))
+    counts = entries.groupBy("productid", bucket.alias(name)).agg(
+        F.count_if(F.col("predicted_sentiment") == 1).alias("positive"),
+        F.count_if(F.col("predicted_sentiment") == -1).alias("negative"),
+    )
+    of_product = Window.partitionBy("productid")
+    return counts.withColumn("axis_limit", F.max(F.greatest("positive", "negative")).over(of_product) + 1)
+
+
 def cumulative_sentiment(
     entries: DataFrame, tie_break: Sequence[str] = ("doc_id",), slices: int | None = None
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from sentimill.functions.constants import SHOP_WORDS, STOP_WORDS
 from sentimill.operators.features import term_counts, unit_length
 from sentimill.operators.naive_bayes import NaiveBayesModel
 from sentimill.plans.skew import SLOTS, add_part, copy_parts, lookup, parts
-from sentimill.plans.staging import stage
+from sentimill.plans.staging import drop_staged, stage
 
 # Smallest divisor in the updates (single-precision machine epsilon, fixed value).
 EPSILON = 1.1920928955078125e-07
@@ -61,17 +61,20 @@ def _start(name: str, topics: int, *key: str) -> list[Column]:
 
 
 def start_factors(
-    weights: DataFrame, topics: int = 10, key: str = "doc_id", slots: int = SLOTS
+    weights: DataFrame, topics: int = 10, key: str = "doc_id", slots: int = SLOTS, reviews: DataFrame | None = None
 ) -> Factors:
-    """Number the topics of each product (at most its number of reviews) and set start values."""
+    """Number the topics of each product (at most its number of reviews) and set start values.
+
+    ``reviews`` (``productid, docs``) has the number of reviews; without it those with a known term are counted.
+    """
     x = stage(weights.select("productid", key, "term", "weight"), "nmf-x")
     docs = x.groupBy("productid", key).agg(F.count("*").alias("n"))
     terms = stage(x.groupBy("productid", "term").agg(F.count("*").alias("n")), "nmf-terms")
     terms = terms.withColumn("t_parts", parts(terms, "n", slots))
+    if reviews is None:
+        reviews = docs.groupBy("productid").agg(F.count("*").alias("docs"))
     sizes = (
-        docs.groupBy("productid")
-        .agg(F.count("*").alias("docs"))
-        .join(terms.groupBy("productid").agg(F.count("*").alias("terms")), "productid")
+        reviews.join(terms.groupBy("productid").agg(F.count("*").alias("terms")), "productid")
         .select(
             "productid",
             F.least(F.lit(topics), F.col("docs")).cast("int").alias("k"),
@@ -181,16 +184,35 @@ def nmf_step(f: Factors, l1: float, l2: float, key: str = "doc_id") -> Factors:
 def nmf_fit(
     weights: DataFrame,
     topics: int = 10,
-    iterations: int = 20,
+    iterations: int = 1000,
     alpha: float = 0.1,
     l1_ratio: float = 0.5,
     key: str = "doc_id",
     slots: int = SLOTS,
+    reviews: DataFrame | None = None,
+    tolerance: float | None = 1e-4,
+    check_every: int = 10,
 ) -> Factors:
-    """Factorise every product's reviews; a product with fewer reviews has that many topics."""
-    f = start_factors(weights, topics, key, slots)
-    for _ in range(iterations):
-        f = nmf_step(f, alpha * l1_ratio, alpha * (1 - l1_ratio), key)
+    """Factorise every product's reviews; a product with fewer reviews has that many topics.
+
+    Stops when ``check_every`` steps lower the root of the summed loss by less than ``tolerance`` times its start value,
+    at the latest after ``iterations`` steps; without a tolerance all steps are made.  The tables of past steps are deleted.
+    """
+    f = start_factors(weights, topics, key, slots, reviews)
+
+    def root_loss() -> float:
+        return max(0.0, 2 * (nmf_loss(f, key).agg(F.sum("loss")).first()[0] or 0.0)) ** 0.5
+
+    first = last = root_loss() if tolerance is not None else 0.0
+    for step in range(1, iterations + 1):
+        past, f = f, nmf_step(f, alpha * l1_ratio, alpha * (1 - l1_ratio), key)
+        drop_staged(past.w)
+        drop_staged(past.h)
+        if tolerance is not None and step % check_every == 0:
+            now = root_loss()
+            if last - now < tolerance * first:
+                break
+            last = now
     return f
 
 

@@ -1,99 +1,73 @@
-"""Exact per-class splits by hash rank, without sorting a class.
+"""Exact per-class splits by hash rank, without sorting a class and without the driver.
 
-Only the hash values at the cut ranks are searched for: rows are counted per
-class and hash bucket, and just the buckets a cut falls into are ordered.  A
-few cut values per class then come to the driver, and the split of the rows is
-a plain column expression that needs neither a shuffle nor a join.
+Only the hash values at the cut ranks are searched for: rows are counted per class and hash bucket, and
+just the buckets a cut falls into are ordered.  Buckets grow with the square root of the rows, so neither the buckets of a
+class nor the rows of a bucket are more than that.  The cut values are a table with one row per class, joined back under
+Spark's own size check: any number of classes will do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentimill.functions.hashing import digest
+from sentimill.plans.staging import stage
 
-# 16**4 buckets: a bucket holds 1/65536 of a class.
-_HEX_DIGITS = 4
-MAX_CLASSES = 1000
 
+def _with_passed(df: DataFrame, key: str, label: str, seed: str, ranks: Column, name: str) -> DataFrame:
+    """Add how many of its class's cut ranks a row lies beyond.
 
-def _class_sizes(df: DataFrame, label: str) -> dict:
-    rows = (
-        df.filter(F.col(label).isNotNull())
-        .groupBy(label)
-        .agg(F.count("*").alias("n"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
+    ``ranks``: the class's cut ranks (an array, in order, repeats and zeros allowed), an expression over
+    ``_n`` (rows of the class), ``_total`` (all rows) and ``_place`` windows of the class table.
+    """
+    known = df.filter(F.col(label).isNotNull())
+    # Narrow and read several times.
+    keys = stage(known.select(F.col(label).alias("_label"), digest(key, seed).alias("_hash")), "cut-keys")
+    classes = keys.groupBy("_label").agg(F.count("*").alias("_n")).withColumn(
+        "_total", F.sum("_n").over(Window.partitionBy())
     )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {row[label]: row["n"] for row in sorted(rows, key=lambda row: row[label])}
-
-
-def _per_class(label: str, values: dict, kind: str) -> Column:
-    """The array of values that belongs to the row's class."""
-    column = F.lit(None)
-    for value, items in values.items():
-        array = F.array(*[F.lit(i) for i in items]).cast(f"array<{kind}>")
-        column = F.when(F.col(label) == value, array).otherwise(column)
-    return column
-
-
-def _cut_hashes(keys: DataFrame, label: str, wanted: dict) -> dict:
-    """Per class, the hash at each wanted rank, in rank order."""
-    ranks = {c: sorted({r for r in rs if r > 0}) for c, rs in wanted.items()}
-    bucket = F.substring("_hash", 1, _HEX_DIGITS)
-    counted = keys.groupBy(label, bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
+    wanted = stage(classes.select("_label", ranks.alias("_ranks")), "cut-ranks")
+    digits = keys.agg(F.greatest(F.lit(2), F.round(F.log2(F.count("*")) / 8)).cast("int")).scalar()
+    bucket = F.left(F.col("_hash"), digits)
+    counted = keys.groupBy("_label", bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
     spans = counted.withColumn(
-        "_last", F.sum("_rows").over(Window.partitionBy(label).orderBy("_bucket"))
+        "_last", F.sum("_rows").over(Window.partitionBy("_label").orderBy("_bucket"))
     ).withColumn("_before", F.col("_last") - F.col("_rows"))
-    hit = F.filter(
-        _per_class(label, ranks, "bigint"),
-        lambda r: (r > F.col("_before")) & (r <= F.col("_last")),
-    )
-    cut_buckets = spans.select(label, "_bucket", "_before", hit.alias("_ranks")).filter(
-        F.size("_ranks") > 0
+    hit = F.filter("_ranks", lambda r: (r > F.col("_before")) & (r <= F.col("_last")))
+    cut_buckets = (
+        spans.join(wanted, "_label")
+        .select("_label", "_bucket", "_before", hit.alias("_hit"))
+        .filter(F.size("_hit") > 0)
     )
-    # At most one bucket per cut, so the broadcast is bounded.
-    inside = keys.withColumn("_bucket", bucket).join(F.broadcast(cut_buckets), [label, "_bucket"])
-    place = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash"))
+    place = F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy("_hash"))
     found = (
-        inside.withColumn("_rank", F.col("_before") + place)
-        .filter(F.array_contains("_ranks", F.col("_rank")))
-        .select(label, "_rank", "_hash")
-        .collect()
+        keys.withColumn("_bucket", bucket)
+        .join(cut_buckets, ["_label", "_bucket"])
+        .withColumn("_rank", F.col("_before") + place)
+        .filter(F.array_contains("_hit", F.col("_rank")))
+        .select("_label", "_rank", "_hash")
     )
-    at_rank = {(row[label], row["_rank"]): row["_hash"] for row in found}
-    return {c: [at_rank[c, r] for r in rs if r > 0] for c, rs in wanted.items()}
-
-
-def _passed(df: DataFrame, key: str, label: str, seed: str, wanted: dict) -> Column:
-    """How many of its class's cut ranks a row lies beyond."""
-    keys = df.filter(F.col(label).isNotNull()).select(label, digest(key, seed).alias("_hash"))
-    cuts = _cut_hashes(keys, label, wanted)
-    column = F.lit(None)
-    for value, ranks in wanted.items():
+    at_ranks = (
+        wanted.select("_label", F.explode("_ranks").alias("_rank"))
+        .join(found, ["_label", "_rank"], "left")
+        .groupBy("_label")
         # A cut at rank 0 lies before every row.
-        beyond = F.lit(sum(r <= 0 for r in ranks))
-        for cut in cuts[value]:
-            beyond = beyond + (digest(key, seed) > cut).cast("int")
-        column = F.when(F.col(label) == value, beyond).otherwise(column)
-    return column
+        .agg(F.count_if(F.col("_rank") <= 0).alias("_first"), F.collect_list("_hash").alias("_cuts"))
+    )
+    cuts = stage(at_ranks, "cuts").withColumnRenamed("_label", label)
+    beyond = F.size(F.filter("_cuts", lambda cut: digest(key, seed) > cut))
+    passed = (F.coalesce("_first", F.lit(0)) + F.coalesce(beyond, F.lit(0))).cast("int")
+    return known.join(cuts, label, "left").select(*[F.col(c) for c in df.columns], passed.alias(name))
 
 
-def _quotas(sizes: dict, share: float) -> dict:
+def _quota(share: float) -> Column:
     """``floor(share*n)`` rows allotted to the classes by largest remainder."""
-    total = sum(sizes.values())
-    take = int(total * share)
-    exact = {c: n * take / total for c, n in sizes.items()}
-    quota = {c: int(e) for c, e in exact.items()}
-    by_remainder: Sequence = sorted(sizes, key=lambda c: (-round(exact[c] - quota[c], 9), c))
-    for c in by_remainder[: take - sum(quota.values())]:
-        quota[c] += 1
-    return quota
+    take = F.floor(F.col("_total") * F.lit(share)).cast("bigint")
+    exact = F.col("_n") * take / F.col("_total")
+    by_remainder = Window.orderBy(F.desc(F.round(exact - F.floor(exact), 9)), "_label")
+    left = take - F.sum(F.floor(exact)).over(Window.partitionBy())
+    return (F.floor(exact) + (F.row_number().over(by_remainder) <= left).cast("bigint")).cast("bigint")
 
 
 def stratified_share(df: DataFrame, key: str, label: str, share: float, seed: str) -> DataFrame:
@@ -101,14 +75,11 @@ def stratified_share(df: DataFrame, key: str, label: str, share: float, seed: st
 
     ``key`` must be unique; rows without a label are left out.
     """
-    quotas = _quotas(_class_sizes(df, label), share)
-    passed = _passed(df, key, label, seed, {c: [q] for c, q in quotas.items()})
-    return df.filter(F.col(label).isNotNull()).withColumn("is_train", passed == 0)
+    placed = _with_passed(df, key, label, seed, F.array(_quota(share)), "_passed")
+    return placed.withColumn("is_train", F.col("_passed") == 0).drop("_passed")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int, seed: str) -> DataFrame:
     """Add ``fold`` (0-based); inside each class the fold sizes differ by at most one."""
-    sizes = _class_sizes(df, label)
-    wanted = {c: [j * n // folds for j in range(1, folds)] for c, n in sizes.items()}
-    passed = _passed(df, key, label, seed, wanted)
-    return df.filter(F.col(label).isNotNull()).withColumn("fold", passed)
+    ends = [F.floor(F.lit(j) * F.col("_n") / F.lit(folds)).cast("bigint") for j in range(1, folds)]
+    return _with_passed(df, key, label, seed, F.array(*ends).cast("array<bigint>"), "fold")

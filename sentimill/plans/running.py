@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from sentimill.plans.staging import stage
 
+# A slice is sorted by one task, so their number follows the rows.
+ROWS_PER_SLICE = 1_000_000
+
 
 def running_totals(
     df: DataFrame,
@@ -28,7 +31,9 @@ def running_totals(
     ``order`` (ascending) must be unique inside a ``within`` group.  Each name in
     ``peek`` adds ``next_<name>``: that column's value in the following row.
     """
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if slices is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = max(least, -(-df.count() // ROWS_PER_SLICE))
     within = list(within)
     # The slice numbers come from sampled bounds, so they are written down once:
     # both uses below must see the same ones.

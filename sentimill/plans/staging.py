@@ -12,6 +12,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The folder of this application's staged tables below each shared folder.
+_RUNS: dict[tuple[str, str], str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder the cluster names; a fresh local one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -19,14 +23,50 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="sentimill-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    local = _RUNS.get((spark.sparkContext.applicationId, "local"))
+    if local is None:
+        local = tempfile.mkdtemp(prefix="sentimill-")
+        _RUNS[spark.sparkContext.applicationId, "local"] = local
+    return local
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The one folder that holds all staged tables of this application."""
+    shared = shared_folder(spark)
+    at = (spark.sparkContext.applicationId, shared)
+    if at not in _RUNS:
+        _RUNS[at] = f"{shared}/sentimill-{uuid.uuid4().hex}"
+    return _RUNS[at]
+
+
+def _path(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _path(spark, path)
+    return files.exists(place)
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete every table this application has staged; call it when results have been written."""
+    files, place = _path(spark, run_folder(spark))
+    files.delete(place, True)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of one staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if run_folder(spark).rsplit("/", 1)[1] in file:
+            files, place = _path(spark, file)
+            files.delete(place, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the run's folder that nothing else uses."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -38,10 +78,10 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A table scan dealt out by key when it has fewer splits than there are cores.
+    """A table scan dealt out by key when it has fewer files than there are cores.
 
-    Text work on a table of a few large files would otherwise keep a few cores
-    busy; a table with enough splits is returned as it is.
+    Text work on a table of a few files would otherwise keep a few cores busy; a table with enough files is
+    returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores, key) if len(scan.inputFiles()) < cores else scan

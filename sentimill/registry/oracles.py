@@ -149,31 +149,55 @@ BNB = (
     SELECT term, count(*) AS df, count(*) FILTER (WHERE label = 0) AS c0, count(*) FILTER (WHERE label = 1) AS c1
     FROM train GROUP BY term), sizes)""",
 )
-MARGINS = (
-    "margins",
-    """SELECT l.doc_id, l.label, coalesce(e.d0, 0) + b.s0 AS s0, coalesce(e.d1, 0) + b.s1 AS s1
-FROM labelled l
+
+
+def margins_part(name: str, reviews: str, postings: str) -> tuple[str, str]:
+    return (
+        name,
+        f"""SELECT l.doc_id, l.label, coalesce(e.d0, 0) + b.s0 AS s0, coalesce(e.d1, 0) + b.s1 AS s1
+FROM {reviews} l
 LEFT JOIN (SELECT doc_id, sum(lp0 - ln0) AS d0, sum(lp1 - ln1) AS d1
-           FROM postings JOIN bnb USING (term) GROUP BY doc_id) e USING (doc_id)
+           FROM {postings} JOIN bnb USING (term) GROUP BY doc_id) e USING (doc_id)
 CROSS JOIN (SELECT any_value(ln(n0 / n::DOUBLE)) + sum(ln0) AS s0,
                    any_value(ln(n1 / n::DOUBLE)) + sum(ln1) AS s1 FROM bnb, sizes) b""",
-)
-SCORED = (
-    "scored",
-    """SELECT doc_id, label, (s1 > s0)::INT AS predicted,
+    )
+
+
+def scored_part(name: str, margins: str) -> tuple[str, str]:
+    return (
+        name,
+        f"""SELECT doc_id, label, (s1 > s0)::INT AS predicted,
        1 / (1 + CASE WHEN s0 - s1 > 700 THEN 'Infinity'::DOUBLE ELSE exp(s0 - s1) END) AS proba
-FROM margins""",
-)
+FROM {margins}""",
+    )
+
+
+MARGINS = margins_part("margins", "labelled", "postings")
+SCORED = scored_part("scored", "margins")
 TESTED = ("tested", "SELECT c.* FROM scored c JOIN split s USING (doc_id) WHERE NOT s.is_train")
+REVIEWS = (
+    "reviews",
+    """SELECT cast("Id" AS BIGINT) AS doc_id, NULL AS label, "Text" AS text, "Summary" AS predicted_summary,
+       coalesce(try_cast("Score" AS INTEGER), 0) AS score, "ProductId" AS productid, cast("Time" AS BIGINT) AS time FROM raw""",
+)
+REVIEW_POSTINGS = posting_part("review_postings", "reviews", "doc_id")
 ENTRIES = (
     "entries",
     """SELECT l.doc_id, text, predicted_summary, score, productid, time,
        predicted AS predicted_score, CASE WHEN predicted = 1 THEN 1 ELSE -1 END AS predicted_sentiment,
-       round(proba, 6) AS predicted_proba FROM labelled l JOIN scored USING (doc_id)""",
+       round(proba, 6) AS predicted_proba FROM reviews l JOIN review_scores USING (doc_id)""",
 )
 FITTED = [LABELLED, SPLIT, POSTINGS, TRAIN, SIZES, BNB]
 TEST = [*FITTED, MARGINS, SCORED, TESTED]
-ENTRY = [*FITTED, MARGINS, SCORED, ENTRIES]
+ENTRY = [
+    *FITTED,
+    RAW,
+    REVIEWS,
+    REVIEW_POSTINGS,
+    margins_part("review_margins", "reviews", "review_postings"),
+    scored_part("review_scores", "review_margins"),
+    ENTRIES,
+]
 
 NUM = (
     "num",
@@ -217,7 +241,32 @@ LEFT JOIN (SELECT "Text_len" FROM lengths WHERE {where}) t
 GROUP BY b.bin, lo, hi"""
 
 
+# The rows a profile is taken of: those the earlier rules of the funnel keep.
+FUNNEL_SHORT = '"Summary_len" < "Text_len" AND "Summary_len" BETWEEN 1 AND 20'
+FUNNEL_LONG = f'{FUNNEL_SHORT} AND "Text_len" > 20 AND "Text_len" * 0.5 > "Summary_len"'
+
+
+def described(where: str) -> str:
+    return with_ctes(
+        [RAW, LENGTHS],
+        f"""SELECT count("Text_len") AS count, round(avg("Text_len"), 6) AS mean,
+       round(stddev_samp("Text_len"), 6) AS stddev, min("Text_len") AS min, max("Text_len") AS max FROM lengths
+WHERE {where}""",
+    )
+
+
 PROFILE = {
+    "describe_lengths_kept": described(FUNNEL_LONG),
+    "short_text_share_kept": with_ctes(
+        [RAW, LENGTHS],
+        f"""SELECT count(*) FILTER (WHERE "Text_len" <= 20) AS short_rows, count(*) AS rows,
+       ((200 * count(*) FILTER (WHERE "Text_len" <= 20) + count(*)) // (2 * count(*))) / 100::DOUBLE AS share
+FROM lengths WHERE {FUNNEL_SHORT}""",
+    ),
+    "length_histogram_kept": with_ctes(
+        [RAW, LENGTHS],
+        histogram("all", FUNNEL_LONG) + "\nUNION ALL " + histogram("up to 250", f'{FUNNEL_LONG} AND "Text_len" <= 250'),
+    ),
     "row_count": with_ctes([RAW], "SELECT count(*) AS rows FROM raw"),
     "nan_counts": per_column(IS_NAN),
     "null_or_nan_counts": per_column(f"? IS NULL OR {IS_NAN}"),
@@ -624,7 +673,18 @@ def period(bucket: str, name: str) -> str:
     )
 
 
+def product_period(bucket: str, name: str) -> str:
+    return with_ctes(
+        [NUM],
+        f"""SELECT *, max(greatest(positive, negative)) OVER (PARTITION BY productid) + 1 AS axis_limit FROM (
+  SELECT productid, {bucket} AS {name}, count(*) FILTER (WHERE predicted_sentiment = 1) AS positive,
+         count(*) FILTER (WHERE predicted_sentiment = -1) AS negative FROM num GROUP BY ALL)""",
+    )
+
+
 REPORTS = {
+    "product_quarterly_sentiment": product_period(f"date_trunc('quarter', {DATE_OF_TIME})::DATE::VARCHAR", "quarter"),
+    "product_yearly_sentiment": product_period(f"year({DATE_OF_TIME})::INT", "year"),
     "top_reviews": with_ctes(
         ENTRY, f"SELECT doc_id, {REVIEW_COLUMNS} FROM entries {BEST_FIRST} LIMIT 30"
     ),
@@ -635,7 +695,7 @@ REPORTS = {
     "top_reviews_per_product": with_ctes(
         ENTRY,
         f"""SELECT doc_id, (row_number() OVER (PARTITION BY productid {BEST_FIRST}))::INT AS place,
-       {REVIEW_COLUMNS} FROM entries QUALIFY place <= 10""",
+       {REVIEW_COLUMNS} FROM entries QUALIFY place <= 30""",
     ),
     "product_negative_text": with_ctes(
         ENTRY, f"SELECT doc_id, text FROM entries WHERE predicted_score = 0 AND {LIKE}"
@@ -661,9 +721,9 @@ FROM (SELECT DISTINCT time, productid, predicted_sentiment FROM num)""",
           ROWS UNBOUNDED PRECEDING))::BIGINT AS cumulative FROM num""",
     ),
     "recent_dates": with_ctes(
-        [LABELLED],
+        [RAW, REVIEWS],
         f"""SELECT doc_id, {DATE_OF_TIME}::DATE::VARCHAR AS date
-FROM (SELECT doc_id, time FROM labelled ORDER BY time DESC, doc_id DESC LIMIT 50) ORDER BY time, doc_id""",
+FROM (SELECT doc_id, time FROM reviews ORDER BY time DESC, doc_id DESC LIMIT 50) ORDER BY time, doc_id""",
     ),
     "sorted_totals": with_ctes(
         [NUM, TOTALS],
@@ -698,7 +758,8 @@ FROM (SELECT productid, doc_id, term, tf * idf AS w FROM negative_terms JOIN bnb
     ),
     (
         "topic_numbers",
-        f"""SELECT productid, t FROM (SELECT productid, least({TOPICS}, count(DISTINCT doc_id)) AS k FROM x GROUP BY productid),
+        f"""SELECT productid, t FROM (SELECT productid, least({TOPICS}, count(*)) AS k FROM entries
+WHERE predicted_score = 0 GROUP BY productid),
 range({TOPICS}) g(t) WHERE t < k""",
     ),
     (

@@ -51,11 +51,16 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 def read_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "reviews-csv")
     reviews.write_reviews_csv(views.reviews_raw(spark, sf_dir), path)
-    return reviews.read_reviews(spark, path, multi_line=True)
+    return reviews.read_reviews(spark, path, marked=True)
+
+
+def _clean_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned reviews as a written table, for queries that read them twice."""
+    return stage(_clean(spark, sf_dir).drop("Summary_tokens"), "clean")
 
 
 def _balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.balanced_subset(_clean(spark, sf_dir))
+    return sampling.balanced_subset(_clean_once(spark, sf_dir))
 
 
 @register
@@ -64,8 +69,8 @@ def read_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     subset = _balanced(spark, sf_dir).select(
         F.col("Id").alias("Unnamed: 0"), "Id", "Text", "Summary", "Score"
     )
-    subset.write.parquet(path)
-    return reviews.read_balanced(spark, path)
+    reviews.write_reviews_csv(subset, path)
+    return reviews.read_balanced(spark, path, marked=True).withColumn("Score", F.col("Score").cast("int"))
 
 
 @register
@@ -151,14 +156,39 @@ def short_text_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lengths = _with_lengths(spark, sf_dir)
-    everything = profile.length_histogram(lengths).withColumn("texts", F.lit("all"))
-    short = profile.length_histogram(lengths.filter(F.col("Text_len") <= 250)).withColumn(
-        "texts", F.lit("up to 250")
-    )
+    return _histograms(_with_lengths(spark, sf_dir))
+
+
+def _histograms(lengths: DataFrame) -> DataFrame:
+    """All texts and those up to 250 tokens, from one counting of the lengths."""
+    counts = stage(profile.value_counts(lengths, "Text_len"), "length-counts")
+    everything = profile.histogram_of_counts(counts).withColumn("texts", F.lit("all"))
+    short = profile.histogram_of_counts(counts.filter("v <= 250")).withColumn("texts", F.lit("up to 250"))
     return rounded(everything.unionByName(short), "low", "high")
 
 
+def _funnel_lengths(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
+    """Lengths of the rows that the earlier rules of the funnel keep."""
+    s, t = F.col("Summary_len"), F.col("Text_len")
+    kept = _with_lengths(spark, sf_dir).filter((s < t) & (s >= 1) & (s <= 20))
+    return kept.filter((t > 20) & (t * 0.5 > s)) if with_text else kept
+
+
+@register
+def describe_lengths_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile.describe_lengths(_funnel_lengths(spark, sf_dir), "Text_len"), "mean", "stddev")
+
+
+@register
+def short_text_share_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.short_text_share(_funnel_lengths(spark, sf_dir, with_text=False))
+
+
+@register
+def length_histogram_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _histograms(_funnel_lengths(spark, sf_dir))
+
+
 @register
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.score_histogram(views.reviews_raw(spark, sf_dir, text_work=False))
@@ -171,7 +201,9 @@ def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def sample_short_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lengths = _with_lengths(spark, sf_dir)
+    lengths = stage(
+        _with_lengths(spark, sf_dir).filter(F.col("Summary_len") <= 1).select("Id", "Summary", "Summary_len"), "short"
+    )
     parts = [
         profile.sample_short_summaries(lengths, length, n).withColumn("length", F.lit(length))
         for length, n in ((0, 5), (1, 20))
@@ -277,13 +309,13 @@ def event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def star_subsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ones, fives = sampling.star_subsets(_clean(spark, sf_dir))
+    ones, fives = sampling.star_subsets(_clean_once(spark, sf_dir))
     return ones.unionByName(fives).select("Id", "Score")
 
 
 @register
 def undersample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.undersample(_clean(spark, sf_dir)).select("Id", "Score")
+    return sampling.undersample(_clean_once(spark, sf_dir)).select("Id", "Score")
 
 
 @register
@@ -330,7 +362,7 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = features.term_counts(_all_terms(spark, sf_dir))
+    postings = features.term_counts(stage(_all_terms(spark, sf_dir), "terms"))
     n = features.document_total(views.table(spark, sf_dir, "documents"))
     vocab = stage(features.vocabulary(postings, n), "vocabulary")
     weighted = features.tfidf(postings, vocab, n)
@@ -376,7 +408,7 @@ def score_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def negative_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return naive_bayes.negative_reviews(_entries(spark, sf_dir)).select("doc_id", "productid", "text")
+    return views.negative_text(spark, sf_dir).select("doc_id", "productid", "text")
 
 
 @register
@@ -405,19 +437,89 @@ def nb_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def svm_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mean = linear.svm_cross_validate(_train(spark, sf_dir), folds=5)
+    mean = linear.svm_cross_validate(_train(spark, sf_dir))
     return spark.createDataFrame([(float(mean),)], "mean_accuracy double")
 
 
 @register
 def svm_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = _train(spark, sf_dir)
-    return linear.svm_grid_search(train, alphas=[0.001, 0.1], min_dfs=[1.0], folds=3)
+    return linear.svm_grid_search(_train(spark, sf_dir))
 
 
 @register
 def lr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linear.lr_grid_search(_train(spark, sf_dir), folds=3)
+    return linear.lr_grid_search(_train(spark, sf_dir))
+
+
+def _linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test predictions of both linear models: ``model, label, predicted, score``."""
+    train, test = views.split_terms(spark, sf_dir)
+    lr = linear.linear_predict(linear.logistic_fit(train), test)
+    svm = linear.linear_predict(linear.svm_fit(train), test)
+    columns = ("label", "predicted")
+    return stage(
+        lr.select(F.lit("lr").alias("model"), *columns, F.round("proba", 12).alias("score")).unionByName(
+            svm.select(F.lit("svm").alias("model"), *columns, F.round("margin", 12).alias("score"))
+        ),
+        "linear-scores",
+    )
+
+
+def _per_model(scored: DataFrame, table: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    parts = [table(scored.filter(F.col("model") == m)).withColumn("model", F.lit(m)) for m in ("lr", "svm")]
+    return parts[0].unionByName(parts[1])
+
+
+@register
+def linear_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_model(_linear_scores(spark, sf_dir), metrics.accuracy)
+
+
+@register
+def linear_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By score and by predicted class."""
+    scored = _linear_scores(spark, sf_dir)
+    by_score = _per_model(scored, lambda rows: metrics.roc_auc(rows, score="score")).withColumn("by", F.lit("score"))
+    by_class = _per_model(scored, lambda rows: metrics.roc_auc(rows, score="predicted")).withColumn("by", F.lit("class"))
+    return rounded(by_score.unionByName(by_class), "auc")
+
+
+@register
+def lr_roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _linear_scores(spark, sf_dir).filter(F.col("model") == "lr")
+    return rounded(metrics.roc_curve(scored, score="score"), "fpr", "tpr", "threshold")
+
+
+@register
+def linear_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_model(_linear_scores(spark, sf_dir), metrics.confusion_matrix)
+
+
+@register
+def linear_confusion_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_model(_linear_scores(spark, sf_dir), metrics.confusion_rates)
+
+
+@register
+def lr_best_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test reviews scored by logistic regression refitted with the best setting searched."""
+    train, test = views.split_terms(spark, sf_dir)
+    return linear.linear_predict(linear.lr_refit(train, linear.lr_grid_search(train)), test)
+
+
+@register
+def svm_best_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = views.split_terms(spark, sf_dir)
+    return linear.linear_predict(linear.svm_refit(train, linear.svm_grid_search(train)), test)
+
+
+@register
+def load_linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test reviews scored by a linear model that was saved and loaded again."""
+    train, test = views.split_terms(spark, sf_dir)
+    path = fresh_path(spark, "linear-model")
+    linear.save_linear(linear.logistic_fit(train), path)
+    return linear.linear_predict(linear.load_linear(path), test)
 
 
 # Evaluation ----------------------------------------------------------------------------------
@@ -485,14 +587,12 @@ def product_top_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def top_reviews_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_reviews_per_product(_entries(spark, sf_dir), n=10)
+    return reports.top_reviews_per_product(_entries(spark, sf_dir))
 
 
 @register
 def product_negative_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.product_negative_text(
-        naive_bayes.negative_reviews(_entries(spark, sf_dir)), PRODUCT
-    )
+    return reports.product_negative_text(views.negative_text(spark, sf_dir), PRODUCT)
 
 
 @register
@@ -521,6 +621,18 @@ def yearly_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.yearly_sentiment(views.entries_num(spark, sf_dir))
 
 
+@register
+def product_quarterly_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarters of every product in one plan."""
+    counts = reports.product_period_sentiment(views.entries_num(spark, sf_dir), "Q")
+    return counts.withColumn("quarter", F.col("quarter").cast("string"))
+
+
+@register
+def product_yearly_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.product_period_sentiment(views.entries_num(spark, sf_dir), "y")
+
+
 @register
 def cumulative_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ties = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
@@ -530,7 +642,7 @@ def cumulative_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def recent_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dates = reports.recent_dates(views.labelled(spark, sf_dir))
+    dates = reports.recent_dates(views.reviews(spark, sf_dir))
     return dates.withColumn("date", F.col("date").cast("string"))
 
 
@@ -542,13 +654,15 @@ def sorted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Topics --------------------------------------------------------------------------------------
 
+# Steps of the queries that are checked against SQL; ``nmf_topics_converged`` runs until the loss settles.
 NMF_ITERATIONS = 5
 
 
 def _negative_weights(spark: SparkSession, sf_dir: str):
-    model = views.trained_model(spark, sf_dir)
-    negative = naive_bayes.negative_reviews(views.entries_text(spark, sf_dir, model))
-    return model, topics.negative_tfidf(model, negative)
+    """The stored model, the negative reviews' weights, and how many of them each product has."""
+    model, negative = views.stored_model(spark, sf_dir), views.negative_text(spark, sf_dir)
+    counts = negative.groupBy("productid").agg(F.count("*").alias("docs"))
+    return model, topics.negative_tfidf(model, negative), counts
 
 
 @register
@@ -557,8 +671,8 @@ def negative_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _topics(spark: SparkSession, sf_dir: str):
-    model, weights = _negative_weights(spark, sf_dir)
-    return model, topics.nmf_topics(weights, iterations=NMF_ITERATIONS)
+    model, weights, counts = _negative_weights(spark, sf_dir)
+    return model, topics.nmf_topics(weights, reviews=counts, iterations=NMF_ITERATIONS, tolerance=None)
 
 
 @register
@@ -566,6 +680,12 @@ def nmf_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_topics(spark, sf_dir)[1], "weight")
 
 
+@register
+def nmf_topics_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, weights, counts = _negative_weights(spark, sf_dir)
+    return rounded(topics.nmf_topics(weights, reviews=counts), "weight")
+
+
 @register
 def top_topic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.top_topic_words(_topics(spark, sf_dir)[1])

@@ -31,7 +31,7 @@ def local_session(cpus: str | int = "*", name: str = "sentimill", **extra: str)
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in {**SQL_DEFAULTS, **extra}.items():

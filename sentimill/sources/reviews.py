@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentimill.operators.naive_bayes import NaiveBayesModel
@@ -16,51 +17,88 @@ REVIEW_SCHEMA = T.StructType(
 )
 
 
+# CSV knows no difference between nothing and an empty text, so each is written as a mark of its own; a
+# value that looks like a mark is written with one more backslash.
+_NULL_MARK, _EMPTY_MARK = "\\N", "\\E"
+
+
+def _marked(column: str) -> Column:
+    value = F.col(column).cast("string")
+    text = F.when(value == "", _EMPTY_MARK).when(value.rlike(r"^\\+[NE]$"), F.concat(F.lit("\\"), value))
+    return F.when(value.isNull(), _NULL_MARK).otherwise(text.otherwise(value)).alias(column)
+
+
+def _unmarked(column: str) -> Column:
+    value = F.col(column)
+    text = F.when(value == _EMPTY_MARK, "").when(value.rlike(r"^\\{2,}[NE]$"), F.expr(f"substring(`{column}`, 2)"))
+    return F.when(value != _NULL_MARK, text.otherwise(value)).alias(column)
+
+
 def read_reviews(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = REVIEW_SCHEMA,
-    multi_line: bool = False,
+    schema: T.StructType | None = REVIEW_SCHEMA,
+    multi_line: bool = True,
+    format: str = "csv",
+    marked: bool = False,
 ) -> DataFrame:
-    """Reviews from CSV with a header (all columns text) or from Parquet.
+    """Reviews from CSV with a header (all columns text) or from Parquet, as ``format`` says.
 
-    ``multi_line`` allows line breaks inside quotes; such files are not split,
-    so a large table should then come as many files.
+    ``multi_line`` allows line breaks inside quotes; such files are not split, so a large table should then come as
+    many files.  ``marked`` files are those of ``write_reviews_csv``.  Without a schema the header names the columns.
     """
-    if path.rstrip("/").endswith(".parquet"):
-        return spark.read.schema(schema).parquet(path)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if format == "parquet":
+        return reader.parquet(path)
+    if format != "csv":
+        raise ValueError(f"unknown format: {format}")
+    df = (
+        reader.option("header", True)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    return df.select(*[_unmarked(c) for c in df.columns]) if marked else df
 
 
 def write_reviews_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Reviews as CSV that ``read_reviews`` reads back unchanged."""
+    """Reviews as CSV that ``read_reviews(marked=True)`` reads back unchanged, NULL and empty apart."""
     (
-        df.write.mode(mode)
+        df.select(*[_marked(c) for c in df.columns])
+        .write.mode(mode)
         .option("header", True)
         .option("quoteAll", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
-def read_balanced(spark: SparkSession, path: str) -> DataFrame:
-    """The labelled subset (CSV with a header, or Parquet) without its index and id columns."""
-    if path.rstrip("/").endswith(".csv"):
-        df = spark.read.option("header", True).option("escape", '"').csv(path)
-    else:
-        df = spark.read.parquet(path)
-    return df.drop("Unnamed: 0", "Id")
+def read_balanced(spark: SparkSession, path: str, format: str = "csv", marked: bool = False) -> DataFrame:
+    """The labelled subset without its index and id columns."""
+    return read_reviews(spark, path, None, format=format, marked=marked).drop("Unnamed: 0", "Id")
+
+
+ENTRY_SCHEMA = (
+    "doc_id bigint, text string, predicted_summary string, score int, time bigint, predicted_score int, "
+    "predicted_sentiment int, predicted_proba double, productid string"
+)
+
+
+def write_entries(entries: DataFrame, path: str) -> None:
+    """The scored reviews and the negative ones among them, each partitioned by product."""
+    entries.write.partitionBy("productid").parquet(f"{path}/entries")
+    written = read_entries(entries.sparkSession, path)
+    written.filter("predicted_score = 0").write.partitionBy("productid").parquet(f"{path}/negative_reviews")
+
+
+def read_entries(spark: SparkSession, path: str, table: str = "entries") -> DataFrame:
+    return spark.read.schema(ENTRY_SCHEMA).parquet(f"{path}/{table}")
 
 
 def read_sql_table(spark: SparkSession, query: str, **views: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sentimill.functions.text import review_terms
 from sentimill.operators.naive_bayes import NaiveBayesModel, bernoulli_nb_fit, score_reviews
 from sentimill.operators.sampling import stratified_split
-from sentimill.plans.staging import spread, stage
+from sentimill.plans.staging import exists, fresh_path, spread, stage
+from sentimill.sources.reviews import load_model, read_entries, save_model, write_entries
 
 FIRST_DAY = 1_325_376_000
 DAY = 86_400
@@ -83,14 +84,53 @@ def trained_model(spark: SparkSession, sf_dir: str) -> NaiveBayesModel:
     return bernoulli_nb_fit(split_terms(spark, sf_dir)[0])
 
 
-def entries_text(spark: SparkSession, sf_dir: str, model: NaiveBayesModel | None = None) -> DataFrame:
-    """Labelled reviews scored by the trained model."""
-    reviews = labelled(spark, sf_dir).withColumn("terms", review_terms(F.col("text")))
-    return score_reviews(model or trained_model(spark, sf_dir), reviews).withColumn(
-        "predicted_proba", F.round("predicted_proba", 6)
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reviews, labelled or not, with the columns the report tables need."""
+    return reviews_raw(spark, sf_dir).select(
+        F.col("Id").cast("bigint").alias("doc_id"),
+        F.col("Text").alias("text"),
+        F.col("Summary").alias("predicted_summary"),
+        # 0: without a valid score.
+        F.coalesce(F.col("Score").try_cast("int"), F.lit(0)).alias("score"),
+        F.col("ProductId").alias("productid"),
+        F.col("Time").cast("bigint").alias("time"),
     )
 
 
+# Where the batch job of an application has written its result, by input.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_scores(spark: SparkSession, sf_dir: str) -> str:
+    """The folder with ``entries``, ``negative_reviews`` and ``model``, written once in an application."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    path = _STORED.get(at)
+    if path is None or not exists(spark, path):
+        path = fresh_path(spark, "scores")
+        model = trained_model(spark, sf_dir)
+        save_model(model, f"{path}/model")
+        tokenised = reviews(spark, sf_dir).withColumn("terms", review_terms(F.col("text")))
+        scored = score_reviews(load_model(spark, f"{path}/model"), stage(tokenised, "reviews")).withColumn(
+            "predicted_proba", F.round("predicted_proba", 6)
+        )
+        write_entries(scored, path)
+        _STORED[at] = path
+    return path
+
+
+def entries_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reviews scored by the trained model, from the stored table."""
+    return read_entries(spark, stored_scores(spark, sf_dir))
+
+
+def negative_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_entries(spark, stored_scores(spark, sf_dir), "negative_reviews")
+
+
+def stored_model(spark: SparkSession, sf_dir: str) -> NaiveBayesModel:
+    return load_model(spark, f"{stored_scores(spark, sf_dir)}/model")
+
+
 def entries_num(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored reviews without text, one per line item, for the roll-ups."""
     shipped = F.col("l_shipdate")

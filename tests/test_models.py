@@ -193,3 +193,53 @@ def test_topics_do_not_depend_on_how_keys_are_split(spark):
 def test_shop_words_are_left_out(spark):
     words = spark.createDataFrame([("p", "producer", 0), ("p", "stale", 0), ("p", "good", 1)], "productid string, term string, word_class int")
     assert [r.term for r in topics.negative_words(words).collect()] == ["stale"]
+
+
+def test_a_class_missing_from_a_training_part(spark):
+    """One document of a class: the fold that holds it out has no such class to learn from."""
+    rows = [(i, int(i == 0), ["a", "b"] if i % 2 else ["b", "c"]) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>")
+    found = naive_bayes.cross_validate(docs, folds=3)
+    assert found.agg(F.sum("rows")).first()[0] == 12
+    assert found.filter("accuracy is null").count() == 0
+    assert naive_bayes.nb_grid_search(docs, alphas=[1.0], min_dfs=[1], max_dfs=[1.0], folds=3).count() == 1
+
+
+def test_min_df_holds_for_any_vocabulary(spark):
+    docs = spark.range(40).select(
+        F.array(F.lit("common"), F.concat(F.lit("t"), "id"), F.concat(F.lit("u"), F.floor(F.col("id") / 2))).alias("terms")
+    )
+    two = linear.TfIdfVectors(min_df=2.0).fit(docs).transform(docs).first()["features"]
+    one = linear.TfIdfVectors().fit(docs).transform(docs).first()["features"]
+    assert (two.size, one.size) == (21, 61)
+    assert linear.TfIdfVectors(hashed_terms=8).fit(docs).transform(docs).first()["features"].size == 8
+
+
+def test_searched_settings_are_flagged_and_refitted(spark):
+    rows = [(i, i % 2, ["good", f"w{i % 5}"] if i % 2 else ["bad", f"w{i % 5}"]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>").cache()
+    found = linear.lr_grid_search(docs, cs=[0.1, 1.0], folds=2)
+    assert found.filter("is_best = 1").count() == 1
+    scored = linear.linear_predict(linear.lr_refit(docs, found), docs)
+    assert scored.filter("predicted != label").count() == 0
+    searched = linear.svm_grid_search(docs, alphas=[0.01], min_dfs=[1.0], folds=2)
+    assert searched.count() == 3
+    assert linear.linear_predict(linear.svm_refit(docs, searched), docs).count() == 40
+
+
+def test_linear_model_round_trip(spark, tmp_path):
+    rows = [(i, i % 2, ["good"] if i % 2 else ["bad"]) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>").cache()
+    model = linear.logistic_fit(docs)
+    linear.save_linear(model, str(tmp_path / "m"))
+    again = linear.linear_predict(linear.load_linear(str(tmp_path / "m")), docs)
+    assert again.exceptAll(linear.linear_predict(model, docs)).count() == 0
+
+
+def test_topics_converge(spark):
+    rows = [("p", d, f"t{(d * 7 + j) % 11}", 1.0 + j) for d in range(8) for j in range(4)]
+    weights = spark.createDataFrame(rows, "productid string, doc_id int, term string, weight double")
+    few = topics.nmf_fit(weights, topics=2, iterations=2, tolerance=None)
+    settled = topics.nmf_fit(weights, topics=2, iterations=40, tolerance=0.02, check_every=3)
+    losses = [topics.nmf_loss(f).first()["loss"] for f in (few, settled)]
+    assert losses[1] < losses[0]

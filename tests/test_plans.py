@@ -4,9 +4,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from sentimill.operators import cleaning, reports
+from sentimill.operators import cleaning, naive_bayes, reports
+from sentimill.plans import running
+from sentimill.plans.cuts import stratified_folds, stratified_share
 from sentimill.plans.running import running_totals
 from sentimill.plans.skew import SLOTS, lookup, parts
+from sentimill.plans.staging import stage
 from sentimill.sources import views
 
 
@@ -64,9 +67,11 @@ def test_rolling_sentiment_equals_the_plain_window(spark):
 
 def test_only_day_totals_pass_through_one_window(spark, sf_dir, monkeypatch):
     staged = []
-    monkeypatch.setattr(reports, "stage", lambda df, label: staged.append(plan_of(df)) or df)
+    write = reports.stage
+    monkeypatch.setattr(reports, "stage", lambda df, label: staged.append(plan_of(df)) or write(df, label))
     plans = [plan_of(reports.rolling_sentiment(views.entries_num(spark, sf_dir))), *staged]
-    for plan in plans:
+    assert sum("lineitem" in plan for plan in plans) == 1
+    for plan in (p for p in plans if "Window [" in p):
         windows = [line.split("Window ", 1)[1] for line in plan.splitlines() if "Window [" in line]
         # Expressions, partitioning, ordering; the middle part is absent without partitioning.
         whole = [w for w in windows if w.count("], [") == 1]
@@ -96,5 +101,39 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "PushedFilters: [In(source, [1,2,3,4,5])]" in plan
 
 
-def test_hot_broadcast_is_bounded():
+def test_hot_broadcast_is_bounded(spark):
+    """However the rows fall, fewer than ``slots`` keys are split."""
+    rows = spark.range(20_000).select((F.col("id") % 5000).alias("k"))
+    table = rows.groupBy("k").agg(F.count("*").alias("n"))
+    assert table.withColumn("p", parts(table, "n", slots=100)).filter("p > 1").count() == 0
     assert SLOTS <= 10_000
+
+
+def test_any_number_of_classes_is_split_exactly(spark):
+    df = spark.range(4500).select("id", (F.col("id") % 1500).alias("label"))
+    placed = stratified_folds(df, "id", "label", 3, "s").groupBy("label", "fold").count()
+    assert placed.count() == 4500 and placed.filter("count != 1").count() == 0
+    assert stratified_share(df, "id", "label", 0.5, "s").filter("is_train").count() == 2250
+
+
+def test_split_of_a_table_without_labels(spark):
+    df = spark.range(5).select("id", F.lit(None).cast("int").alias("label"))
+    assert stratified_share(df, "id", "label", 0.75, "s").count() == 0
+    assert stratified_folds(df, "id", "label", 3, "s").count() == 0
+
+
+def test_slices_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(running, "ROWS_PER_SLICE", 100)
+    seen = []
+    monkeypatch.setattr(running, "stage", lambda df, label: seen.append(df.rdd.getNumPartitions()) or stage(df, label))
+    running_totals(spark.range(1000).withColumn("v", F.lit(1)), ["id"], {"total": "v"}).count()
+    assert seen == [10]
+
+
+def test_term_hot_only_in_the_scored_rows(spark):
+    """The weight of a term is that of the rows joined, so a term rare in training may be split."""
+    train = spark.createDataFrame([(i, i % 2, ["rare"] if i == 0 else [f"t{i}"]) for i in range(40)], "doc_id int, label int, terms array<string>")
+    model = naive_bayes.bernoulli_nb_fit(train)
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.array(F.lit("rare")).alias("terms"))
+    scored = naive_bayes.nb_predict(model, docs)
+    assert scored.count() == 3000 and scored.select("score0").distinct().count() == 1

@@ -16,14 +16,64 @@ RAW = [
 ]
 
 
-def test_csv_round_trip(spark, tmp_path):
-    df = spark.createDataFrame(RAW, reviews.REVIEW_SCHEMA)
+MARKS = [("4", "p", "", None, "\\N", "\\\\E"), ("5", None, "5", "", "\\E", "a\nb")]
+
+
+def test_csv_round_trip_row_by_row(spark, tmp_path):
+    df = spark.createDataFrame(RAW + MARKS, reviews.REVIEW_SCHEMA)
     path = str(tmp_path / "reviews")
     reviews.write_reviews_csv(df, path)
-    back = {r.Id: r for r in reviews.read_reviews(spark, path, multi_line=True).collect()}
-    assert back["1"] == df.filter("Id = '1'").first()
-    assert back["3"] == df.filter("Id = '3'").first()
-    assert back["2"].Text == "back\\slash" and back["2"].Score is None
+    back = reviews.read_reviews(spark, path, marked=True)
+    assert sorted(back.collect(), key=lambda r: r.Id) == sorted(df.collect(), key=lambda r: r.Id)
+
+
+def test_parquet_folder_needs_no_suffix(spark, tmp_path):
+    df = spark.createDataFrame(RAW, reviews.REVIEW_SCHEMA)
+    path = str(tmp_path / "folder")
+    df.write.parquet(path)
+    assert reviews.read_reviews(spark, path, format="parquet").count() == 3
+    with pytest.raises(ValueError, match="unknown format"):
+        reviews.read_reviews(spark, path, format="orc")
+
+
+def test_balanced_csv_keeps_line_breaks(spark, tmp_path):
+    rows = [("0", "1", "two\nlines, \"quoted\"", "s", "1"), ("1", "2", "plain", "", "5")]
+    path = str(tmp_path / "balanced")
+    reviews.write_reviews_csv(
+        spark.createDataFrame(rows, "`Unnamed: 0` string, Id string, Text string, Summary string, Score string"), path
+    )
+    back = reviews.read_balanced(spark, path, marked=True)
+    assert back.columns == ["Text", "Summary", "Score"]
+    assert {tuple(r) for r in back.collect()} == {r[2:] for r in rows}
+
+
+def test_entries_are_partitioned_by_product(spark, tmp_path):
+    from conftest import plan_of
+
+    rows = [(i, "t", "s", 5, i, i % 2, 1, 0.5, f"p{i % 3}") for i in range(9)]
+    reviews.write_entries(spark.createDataFrame(rows, reviews.ENTRY_SCHEMA), str(tmp_path))
+    entries = reviews.read_entries(spark, str(tmp_path))
+    assert entries.count() == 9
+    assert reviews.read_entries(spark, str(tmp_path), "negative_reviews").count() == 5
+    plan = plan_of(reports.product_timeline(entries, "p1"))
+    assert "PartitionFilters: [isnotnull(productid" in plan or "PartitionFilters: [StartsWith" in plan or "p1" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_all_reviews_are_scored(spark, sf_dir):
+    from sentimill.sources import views
+
+    assert views.entries_text(spark, sf_dir).count() == views.table(spark, sf_dir, "documents").count()
+
+
+def test_staged_tables_can_be_removed(spark, tmp_path):
+    staged = staging.stage(spark.range(5), "five")
+    kept = staging.stage(spark.range(6), "six")
+    staging.drop_staged(staged)
+    assert kept.count() == 6
+    folder = staging.run_folder(spark)
+    assert staging.exists(spark, folder)
+    staging.remove_staged(spark)
+    assert not staging.exists(spark, folder)
 
 
 def test_export_keeps_pairs_together(spark, tmp_path):
