@@ -79,7 +79,8 @@ class Model:
         known = self.weights
         counts = terms(Counter(words(text)))
         value = sum(known[w] * np.log1p(n) for w, n in counts.items() if w in known)
-        return 1.0 / (1.0 + np.exp(np.clip(np.array(self.thresholds) - value, -700, 700)))
+        with np.errstate(over="ignore"):
+            return 1.0 / (1.0 + np.exp(np.array(self.thresholds) - value))
 
 
 class _Sparse:
