@@ -28,16 +28,3 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves 1 when divided by 3; false without an id."""
     remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
     return F.coalesce(remainder == 1, F.lit(False))
-
-
-def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows chosen by the hash of their key, the same in every run; all if there are fewer.
-
-    ``df`` is counted first, so give it few columns or let them be pruned.
-    """
-    total = df.count()
-    if total <= rows:
-        return df
-    share = int(rows / total * 2**32)
-    draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(2**32))
-    return df.filter(draw < share).limit(2 * rows)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sentimill.llm import ann, html_extract, langid, mixing, packing, pii, quality, simhash_dedup, topk_exact, toxicity
 from sentimill.llm.common import table
+from sentimill.llm.oracles import ORACLES
 
 
 def vocabulary_path() -> str:
@@ -59,6 +60,8 @@ def op10_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_language_id": op2_language_id,
@@ -71,5 +74,3 @@ QUERIES = {
     "op9_collision_ann": op9_collision_ann,
     "op10_toxicity_severity": op10_toxicity_severity,
 }
-
-ORACLES: dict[str, str] = {}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentimill.llm.common import hash_sample, is_held_out, map_batches
+from sentimill.llm.common import is_held_out, map_batches
 
 #: Longest stretch of a text that is turned into numbers at once.
 CHUNK = 1 << 20
@@ -66,13 +66,15 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 
 def class_sample(rows: DataFrame, label: str, size: int, classes: int) -> DataFrame:
-    """About ``size`` rows with an equal share for each of the ``classes`` most frequent values of ``label``."""
+    """About ``size`` rows, and never more than twice that, with an equal share for each of the ``classes`` most frequent values of ``label``.
+
+    Rows are drawn by the hash of their doc_id, the same in every run; a class with fewer rows than its share is taken whole.
+    """
     common = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(classes).collect()
-    values = [row[label] for row in common]
-    parts = [hash_sample(rows.filter(F.col(label) == value), "doc_id", max(1, size // len(values))) for value in values]
-    if not parts:
+    if not common:
         return rows.limit(0)
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.union(part)
-    return sample
+    each = max(1, size // len(common))
+    bounds = [(row[label], min(2**32, int(each / row["count"] * 2**32))) for row in common]
+    bound = F.element_at(F.create_map(*[F.lit(x) for pair in bounds for x in pair]), F.col(label))
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(2**32))
+    return rows.filter(draw < F.coalesce(bound, F.lit(0))).limit(2 * size)
