@@ -25,8 +25,17 @@ HEADLINE = (
     "multinomial_nb_fit",
     "score_reviews",
     "cross_validate",
+    "nb_grid_search",
+    "logistic_fit",
+    "svm_fit",
+    "svm_cross_validate",
+    "lr_grid_search",
     "roc_auc",
     "top_reviews_per_product",
+    "product_top_reviews",
+    "product_negative_text",
+    "product_timeline",
+    "product_quarterly_sentiment",
     "nmf_topics",
 )
 
