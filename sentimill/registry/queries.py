@@ -417,6 +417,13 @@ def logistic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linear.linear_predict(linear.logistic_fit(train), test)
 
 
+@register
+def logistic_fit_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of the fitted model and a certificate that it is the optimum."""
+    train = _train(spark, sf_dir)
+    return linear.logistic_optimum(linear.logistic_fit(train), train)
+
+
 @register
 def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = views.split_terms(spark, sf_dir)

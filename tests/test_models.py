@@ -243,3 +243,12 @@ def test_topics_converge(spark):
     settled = topics.nmf_fit(weights, topics=2, iterations=40, tolerance=0.02, check_every=3)
     losses = [topics.nmf_loss(f).first()["loss"] for f in (few, settled)]
     assert losses[1] < losses[0]
+
+
+def test_a_model_off_the_optimum_is_told(spark):
+    rows = [(i, i % 2, ["good", f"w{i % 3}"] if i % 2 else ["bad", f"w{i % 3}"]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>").cache()
+    model = linear.logistic_fit(docs)
+    assert linear.logistic_optimum(model, docs).first().is_optimal == 1
+    # The same weights are no optimum of a much weaker penalty.
+    assert linear.logistic_optimum(model, docs, c=100.0, bound=1e-3).first().is_optimal == 0
