@@ -124,7 +124,7 @@ def search(rows: DataFrame, is_query: Column, kernel: Kernel, k: int, score_type
     )
     pairs = (
         dealt.repartition(groups, "g")
-        .join(asked.repartition(groups, "g").hint("shuffle_hash"), ["g", "dim"])
+        .join(asked.repartition(groups, "g"), ["g", "dim"])
         .sortWithinPartitions("pack", "dim")
     )
     dtype = np.int64 if score_type == "long" else np.float64
@@ -144,9 +144,14 @@ def search(rows: DataFrame, is_query: Column, kernel: Kernel, k: int, score_type
         if best is not None:
             yield best.rows()
 
-    # A row of the joined table is megabytes, so a batch has few.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    found = pairs.mapInArrow(batches, f"query_id long, vec_id long, score {score_type}")
+    # A row of the joined table is megabytes, so a batch has few; the setting is that of the moment a query runs.
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(batch)
+    spark.conf.set(batch, "8")
+    try:
+        found = stage(pairs.mapInArrow(batches, f"query_id long, vec_id long, score {score_type}"), "found")
+    finally:
+        spark.conf.set(batch, usual)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (
         found.withColumn("rank", place.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
