@@ -29,26 +29,67 @@ from sentimill.llm.common import map_batches
 WINNERS = 4
 VOTES_A_PAGE = 3
 
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea iframe svg math xmp noembed noframes title select object".split())
+_VOID = frozenset(
+    (
+        "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
+        "track", "wbr",
+    )
+)
+_RAW = frozenset(
+    (
+        "script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "xmp", "noembed",
+        "noframes", "title", "select", "object",
+    )
+)
 _BLOCK = frozenset(
-    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br".split()
+    (
+        "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div",
+        "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5",
+        "h6", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary",
+        "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "br",
+    )
+)
+_PARAGRAPH = frozenset(
+    (
+        "p", "pre", "blockquote", "li", "dd", "dt", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6",
+        "figcaption",
+    )
+)
+_CONTAINER = frozenset(
+    (
+        "article", "body", "center", "div", "main", "section", "td", "html", "blockquote",
+    )
 )
-_PARAGRAPH = frozenset("p pre blockquote li dd dt td th h1 h2 h3 h4 h5 h6 figcaption".split())
-_CONTAINER = frozenset("article body center div main section td html blockquote".split())
 _CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",),
 }
-_SCOPE = frozenset("ul ol dl table article section div main body html nav aside header footer form td th blockquote".split())
-_APART_TAGS = frozenset("nav footer aside form button dialog menu head".split())
-_APART_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
+_SCOPE = frozenset(
+    (
+        "ul", "ol", "dl", "table", "article", "section", "div", "main", "body", "html", "nav", "aside",
+        "header", "footer", "form", "td", "th", "blockquote",
+    )
+)
+_APART_TAGS = frozenset(
+    (
+        "nav", "footer", "aside", "form", "button", "dialog", "menu", "head",
+    )
+)
+_APART_ROLES = frozenset(
+    (
+        "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu",
+        "menubar", "form",
+    )
+)
 _APART_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement adslot banner breadcrumb breadcrumbs comment comments commentlist consent cookie "
-    "cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notification pagination "
-    "popup promo promoted related replies respond share sharing sidebar sidenav signup skip social sponsor sponsored "
-    "subscribe subscription toolbar topbar widget".split()
+    (
+        "ad", "ads", "adv", "advert", "adverts", "advertisement", "adslot", "banner", "breadcrumb",
+        "breadcrumbs", "comment", "comments", "commentlist", "consent", "cookie", "cookies", "disqus",
+        "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter",
+        "notice", "notification", "pagination", "popup", "promo", "promoted", "related", "replies",
+        "respond", "share", "sharing", "sidebar", "sidenav", "signup", "skip", "social", "sponsor",
+        "sponsored", "subscribe", "subscription", "toolbar", "topbar", "widget",
+    )
 )
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^<>\"']*)>")
