@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentimill.llm.common import map_batches
@@ -108,16 +108,14 @@ def _within_two_bits(fps: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame) -> DataFrame:
     """Pairs (a, b) of different fingerprints at most two bits apart that connect all such pairs."""
-    index = _variants(fps)
+    # The index is dealt out by key once; what stays of it is the keys that fingerprints share.
+    sharing = F.count("*").over(Window.partitionBy("key"))
     met = stage(
-        index.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-        .filter("n > 1"),
-        "variants",
+        _variants(fps).repartition("key").withColumn("n", sharing).filter("n > 1").select("key", "fp", "n"), "variants"
     )
-    pairs = met.filter(f"n = 2 and bit_count(a ^ b) <= {MAX_BITS}").select("a", "b").distinct()
-    shared = met.filter("n > 2").select("key")
-    crowded = stage(index.join(shared, "key", "left_semi").select("fp").distinct(), "crowded")
+    two = met.filter("n = 2").groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
+    pairs = two.filter(f"bit_count(a ^ b) <= {MAX_BITS}").select("a", "b").distinct()
+    crowded = met.filter("n > 2").select("fp").distinct()
     return pairs.union(_within_two_bits(crowded)).distinct()
 
 
