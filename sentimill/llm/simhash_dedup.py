@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentimill.llm import near_copies
 from sentimill.llm.common import map_batches
 from sentimill.llm.components import connected_components
 from sentimill.plans.staging import stage
@@ -137,12 +138,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that name their component; one row of each id.
+def keep_one(docs: DataFrame, words: int = near_copies.WORDS, least: float = near_copies.LEAST) -> DataFrame:
+    """One row of each group of near copies, by shingles of ``words`` words and a similarity of at least ``least``.
 
     Rows without an id have no name to be kept by: they are reduced to one per text.
     """
-    winners = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    roots = near_copies.rooted(docs, words, least)
+    ids = docs.select("doc_id", near_copies.text_hash().alias("hash"))
+    winners = ids.join(roots, "hash").groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     named = docs.join(winners, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     nameless = docs.filter(F.col("doc_id").isNull()).dropDuplicates(["text"])
     return named.select(*docs.columns).unionByName(nameless)

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sentimill.llm import langid, packing, pii, quality, queries, simhash_dedup, toxicity
+from sentimill.llm import langid, near_copies, packing, pii, quality, queries, simhash_dedup, toxicity
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [
@@ -113,6 +113,47 @@ def test_near_duplicates_of_odd_rows(spark, odd, empty):
     assert simhash_dedup.near_duplicates(empty).count() == 0
 
 
+def similarity(one, two):
+    a, b = (set(near_copies.shingles(t).tolist()) for t in (one, two))
+    return len(a & b) / len(a | b)
+
+
+def texts_with_copies(groups, copies, changes):
+    """Texts of 120 random words; each copy has words of its group's text replaced."""
+    draw = random.Random(7)
+    texts = []
+    for g in range(groups):
+        plain = [f"w{draw.randrange(5000)}" for _ in range(120)]
+        texts.append(plain)
+        for c in range(copies):
+            other = list(plain)
+            for _ in range(changes):
+                other[draw.randrange(120)] = f"new{g}x{c}"
+            texts.append(other)
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("shape", [(60, 1, 2), (12, 3, 1), (2, 60, 2)])
+def test_pairs_of_similar_shingles_are_all_connected(spark, shape):
+    texts = texts_with_copies(*shape)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    groups = {frozenset([i]) for i in range(len(texts))}
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if similarity(texts[i], texts[j]) >= 0.8]
+    assert len(alike) >= 30
+    for i, j in alike:
+        one, two = (next(g for g in groups if n in g) for n in (i, j))
+        groups = (groups - {one, two}) | {one | two}
+    assert sorted(r.doc_id for r in simhash_dedup.keep_one(docs).collect()) == sorted(min(g) for g in groups)
+
+
+def test_texts_of_one_crowded_band_that_are_not_alike_are_kept(spark):
+    """All texts share half of their words: many share bands, none is a near copy."""
+    half = " ".join(f"same{i}" for i in range(60))
+    rows = [(i, half + " " + " ".join(f"own{i}x{j}" for j in range(25))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash_dedup.keep_one(docs).count() == 80
+
+
 # Personal data -------------------------------------------------------------------------------
 
 
