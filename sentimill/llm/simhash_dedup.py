@@ -141,11 +141,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, words: int = near_copies.WORDS, least: float = near_copies.LEAST) -> DataFrame:
     """One row of each group of near copies, by shingles of ``words`` words and a similarity of at least ``least``.
 
-    Rows without an id have no name to be kept by: they are reduced to one per text.
+    The row with the smallest doc_id is kept (rows without one come last), then the one with the smallest hash of its text.
+    Groups are told apart by their texts, so rows that share a doc_id and belong to different groups are kept each.
     """
     roots = near_copies.rooted(docs, words, least)
     ids = docs.select("doc_id", near_copies.text_hash().alias("hash"))
-    winners = ids.join(roots, "hash").groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    named = docs.join(winners, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.filter(F.col("doc_id").isNull()).dropDuplicates(["text"])
-    return named.select(*docs.columns).unionByName(nameless)
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "hash"))
+    won = ids.join(roots, "hash").groupBy("root").agg(order.alias("won")).select("won.doc_id", "won.hash")
+    won = won.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == near_copies.text_hash())
+    rows = docs.join(won, same, "left_semi")
+    # Repeated rows of the document that was kept: the least of them.
+    rest = F.min(F.struct(*docs.columns)).alias("row")
+    return rows.groupBy("doc_id", F.coalesce("text", F.lit("")).alias("_text")).agg(rest).select("row.*")

@@ -154,6 +154,14 @@ def test_texts_of_one_crowded_band_that_are_not_alike_are_kept(spark):
     assert simhash_dedup.keep_one(docs).count() == 80
 
 
+def test_rows_with_one_id_and_unrelated_texts_are_kept(spark):
+    texts = texts_with_copies(4, 1, 1)
+    rows = [(7, texts[0]), (7, texts[2]), (3, texts[3]), (None, texts[4]), (None, texts[5]), (7, texts[6]), (7, texts[6])]
+    kept = simhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept if r.doc_id) == sorted([(7, texts[0]), (3, texts[3]), (7, texts[6])])
+    assert len([r for r in kept if r.doc_id is None]) == 1
+
+
 # Personal data -------------------------------------------------------------------------------
 
 
