@@ -96,9 +96,27 @@ _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^<>\"']*)>")
 _QUOTED = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[^\W\d_]+")
+_DENIALS = frozenset(("has", "no", "not", "with", "without"))
 _DIGITS = re.compile(r"\d+")
 
 
+def _names_apart(value: str) -> bool:
+    """Whether a token of a class or id is a name of boilerplate, or its last part is."""
+    for token in value.split():
+        parts = _NAME.findall(token)
+        if parts and parts[-1] in _APART_NAMES and not _DENIALS.intersection(parts[:-1]):
+            return True
+    return False
+
+
+def _self_closed(attributes: str) -> bool:
+    """Whether a tag ends with a slash that is not part of an unquoted value."""
+    last = attributes.split()[-1:]
+    if not last or not last[0].endswith("/"):
+        return False
+    return "=" not in last[0] or last[0][-2:-1] in ("'", '"')
+
+
 class Page:
     """Elements (tag, generalised path, parent, whether apart, whether in a link) and the text between their tags."""
 
@@ -106,10 +124,13 @@ class Page:
         self.tags, self.paths, self.parents, self.apart, self.linked = ["html"], ["html"], [-1], [False], [False]
         self.pieces: list[tuple[int, str]] = []
         self._open = [0]
+        self._doubtful: list[int] = []
         self._read(source)
+        self._decide()
 
     def _read(self, source: str) -> None:
         at, quoted = 0, True
+        unclosed: set[str] = set()
         while True:
             start = source.find("<", at)
             if start < 0:
@@ -142,13 +163,19 @@ class Page:
             if tag.group(1):
                 self._end(name)
             elif name in _RAW:
-                closing = re.compile(f"</{re.escape(name)}", re.I).search(source, at)
-                if closing is None:
-                    return
-                end = source.find(">", closing.end())
-                if end < 0:
+                code = name in ("script", "style")
+                if not code and _self_closed(tag.group(3)):
+                    continue
+                # A name once not found is not looked for again.
+                closing = None if name in unclosed else re.compile(f"</{re.escape(name)}", re.I).search(source, at)
+                end = source.find(">", closing.end()) if closing else -1
+                if end >= 0:
+                    at = end + 1
+                    continue
+                unclosed.add(name)
+                if code:
+                    # As in a browser, all that follows is code.
                     return
-                at = end + 1
             else:
                 self._start(name, tag.group(3))
 
@@ -169,7 +196,7 @@ class Page:
         if name in _CLOSES:
             self._close_implied(_CLOSES[name])
         parent = self._open[-1]
-        label, apart = name, self.apart[parent] or name in _APART_TAGS
+        label, apart, doubtful = name, self.apart[parent] or name in _APART_TAGS, False
         if "=" in attributes:
             for found in _ATTRIBUTE.finditer(attributes):
                 key, value = found.group(1).lower(), next(v for v in found.groups()[1:] if v is not None).lower()
@@ -178,7 +205,7 @@ class Page:
                 if key == "role":
                     apart = apart or value.strip() in _APART_ROLES
                 elif name not in ("body", "article", "main"):
-                    apart = apart or bool(_APART_NAMES.intersection(_NAME.findall(value)))
+                    doubtful = doubtful or _names_apart(value)
         if name == "header" and not any(self.tags[i] in ("article", "main") for i in self._open):
             apart = True
         if name in ("html", "body") and name in (self.tags[i] for i in self._open):
@@ -188,6 +215,8 @@ class Page:
         self.parents.append(parent)
         self.apart.append(apart)
         self.linked.append(self.linked[parent] or name == "a")
+        if doubtful and not apart:
+            self._doubtful.append(len(self.tags) - 1)
         self._open.append(len(self.tags) - 1)
 
     def _close_implied(self, names: tuple[str, ...]) -> None:
@@ -211,6 +240,29 @@ class Page:
             if name not in _BLOCK and tag in _BLOCK:
                 return
 
+    def _sizes(self, counted: list[bool] | None = None) -> list[int]:
+        """Text below each element that is neither apart nor in a link (and directly in a counted element)."""
+        sizes = [0] * len(self.tags)
+        for at, text in self.pieces:
+            if not self.apart[at] and not self.linked[at] and (counted is None or counted[at]):
+                sizes[at] += len(text.strip())
+        for i in range(len(sizes) - 1, 0, -1):
+            sizes[self.parents[i]] += sizes[i]
+        return sizes
+
+    def _decide(self) -> None:
+        """Set apart what is named like boilerplate and does not have most of the page's paragraph text."""
+        if not self._doubtful:
+            return
+        paragraph = [False] * len(self.tags)
+        for i in range(1, len(self.tags)):
+            paragraph[i] = paragraph[self.parents[i]] or self.tags[i] in _PARAGRAPH
+        sizes = self._sizes(paragraph)
+        for i in self._doubtful:
+            self.apart[i] = 2 * sizes[i] <= sizes[0]
+        for i in range(1, len(self.tags)):
+            self.apart[i] = self.apart[i] or self.apart[self.parents[i]]
+
     def scores(self) -> dict[int, float]:
         """Containers with the text of their paragraphs."""
         found: dict[int, float] = {}

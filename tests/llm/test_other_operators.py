@@ -128,6 +128,24 @@ def test_broken_and_odd_pages(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "name", ["has-sidebar", "no-sidebar", "elementor-widget-container", "post comments-open", "share-enabled"]
+)
+def test_wrappers_named_like_boilerplate_keep_their_text(name):
+    page = html_extract.Page(f"<body><div class='{name}'><article><p>the text</p></article></div><div class=ad>advert</div></body>")
+    assert page.extract(None) == "the text"
+
+
+@pytest.mark.parametrize(
+    "tag", ["<svg width='1'/>", "<math/>", "<iframe src='x' />", "<title/>", "<svg>", "<object>", "<select>"]
+)
+def test_raw_elements_without_an_end_drop_nothing(tag):
+    page = html_extract.Page(f"<body><p>one</p>{tag}<p>two</p></body>")
+    assert page.extract(None) == "one two"
+    page = html_extract.Page("<body><p>one</p><svg/><p>two</p><svg><text>no</text></svg></body>")
+    assert page.extract(None) == "one two"
+
+
 # Vectors -------------------------------------------------------------------------------------
 
 VECTOR = "vec_id long, embedding array<float>"
