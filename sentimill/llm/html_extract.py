@@ -1,16 +1,18 @@
 """Main text of web pages by consensus container paths of a host.
 
-Method: each page is parsed leniently into elements; every container is scored by the text of the paragraphs right
-below it (and half of those one level further down), links not counted.  The page's best containers vote for their
-generalised path, the tags and classes from the root with digits left out.  Votes are added up per host
-in Spark, and the leading paths of a host win.  Pages are then extracted again with the first winning path they
-have; a page that has none of them keeps its own best container.
+Method: each page is parsed leniently into elements.  From the root on, the page's main container is looked for among all text
+below each container that is not in links: one is left for its largest inner container only if that has nearly all of this text
+and no heading or paragraph of its own would be lost.  The main container votes for its generalised path, the tags and classes from the root with
+digits left out.  Votes of a host's different pages are added up in Spark.  A page takes, of all paths of its host that cover its main container,
+the one with the most votes.  If no other page has voted for that, and more than half of the votes are for a path the page
+has, it takes this one; else it keeps its own main container.  Pages without a host decide alone.
 
 Extraction takes the container's text in page order, without elements that are navigation, headers of the page, footers,
-asides, forms, adverts, notices, comments, scripts or styles by their tag, role, class or id.  Character references are decoded,
+asides, forms, adverts, notices, comments, scripts or styles by their tag, role, class or id; a class or id that only
+looks like one of these is passed over if the element has most of the page's paragraph text.  Character references are decoded,
 white space becomes one space, blocks are joined by one space.
 
-Null and empty pages have an empty text; a null url is a host of its own; broken markup (open tags, stray ends, unclosed comments or
+Null and empty pages have an empty text; broken markup (open tags, stray ends, unclosed comments or
 scripts) is read as far as it goes; repeated rows give repeated results; other columns are not read.  Every scan over a page is linear.
 """
 
@@ -21,13 +23,17 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentimill.llm.common import map_batches
+from sentimill.plans.staging import stage
 
-WINNERS = 4
-VOTES_A_PAGE = 3
+#: Share of a container's text its largest inner container must have to be taken in its place.
+NEARLY_ALL = 0.8
+#: Share of a page's main container that a path must hold to cover it.
+COVERS = 0.9
 
 _VOID = frozenset(
     (
@@ -263,48 +269,72 @@ class Page:
         for i in range(1, len(self.tags)):
             self.apart[i] = self.apart[i] or self.apart[self.parents[i]]
 
-    def scores(self) -> dict[int, float]:
-        """Containers with the text of their paragraphs."""
-        found: dict[int, float] = {}
+    def main(self) -> tuple[int | None, list[int]]:
+        """The page's main container, none without text, and the sizes of all elements."""
+        sizes = self._sizes()
+        if not sizes[0]:
+            return None, sizes
+        n = len(self.tags)
+        holder, largest = [0] * n, [-1] * n
+        paragraphs, plain, headings = [0] * n, [0] * n, [0] * n
+        in_paragraph = [False] * n
+        for i in range(1, n):
+            parent, tag = self.parents[i], self.tags[i]
+            above = holder[parent]
+            holder[i] = i if tag in _CONTAINER and tag != "blockquote" else above
+            in_paragraph[i] = holder[i] != i and (in_paragraph[parent] or tag in _PARAGRAPH)
+            headings[i] += tag == "h1" and sizes[i] > 0
+            if holder[i] == i and sizes[i] and (largest[above] < 0 or sizes[i] > sizes[largest[above]]):
+                largest[above] = i
+        for i in range(n - 1, 0, -1):
+            headings[self.parents[i]] += headings[i]
         for at, text in self.pieces:
-            if self.apart[at] or self.linked[at]:
-                continue
-            size = len(text.strip())
-            if not size:
-                continue
-            while at > 0 and self.tags[at] not in _PARAGRAPH and self.tags[at] not in _CONTAINER:
-                at = self.parents[at]
-            if self.tags[at] in _PARAGRAPH and self.tags[at] != "td":
-                at = self._container_above(at)
-            found[at] = found.get(at, 0.0) + size
-            if at > 0:
-                above = self._container_above(at)
-                found[above] = found.get(above, 0.0) + size / 2
-        return found
-
-    def _container_above(self, at: int) -> int:
-        at = max(0, self.parents[at])
-        while at > 0 and self.tags[at] not in _CONTAINER:
+            if not self.apart[at] and not self.linked[at]:
+                (paragraphs if in_paragraph[at] else plain)[holder[at]] += len(text.strip())
+        at = 0
+        while largest[at] >= 0:
+            inner, outermost = largest[at], self.tags[at] in ("html", "body")
+            if sizes[inner] < NEARLY_ALL * sizes[at]:
+                break
+            if not outermost and (paragraphs[at] or headings[at] > headings[inner]):
+                break
+            if 10 * (paragraphs[at] + plain[at]) > sizes[at]:
+                break
+            at = inner
+        return at, sizes
+
+    def vote(self) -> tuple[str, float] | None:
+        """The path of the main container and its share of the page's text."""
+        own, sizes = self.main()
+        return None if own is None else (self.paths[own], sizes[own] / sizes[0])
+
+    def candidates(self) -> dict[str, float]:
+        """The paths of all containers with text, with the share of the main container's text they hold."""
+        own, sizes = self.main()
+        if own is None:
+            return {}
+        inside = [False] * len(self.tags)
+        shares: dict[str, float] = {}
+        for i, parent in enumerate(self.parents):
+            inside[i] = i == own or (parent >= 0 and inside[parent])
+            if sizes[i] and self.tags[i] in _CONTAINER and not self.apart[i]:
+                held = sizes[i] / sizes[own] if inside[i] else 0.0
+                shares[self.paths[i]] = min(1.0, shares.get(self.paths[i], 0.0) + held)
+        at = own
+        while at >= 0:
+            if self.tags[at] in _CONTAINER:
+                shares[self.paths[at]] = 1.0
             at = self.parents[at]
-        return at
+        return shares
 
-    def votes(self) -> list[tuple[str, float]]:
-        """The best containers' paths with their share of the page's text."""
-        scores = self.scores()
-        total = sum(len(t.strip()) for at, t in self.pieces if not self.apart[at]) or 1
-        best = sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:VOTES_A_PAGE]
-        shares: dict[str, float] = {}
-        for at, score in best:
-            shares[self.paths[at]] = shares.get(self.paths[at], 0.0) + score / total
-        return list(shares.items())
-
-    def extract(self, winning: list[str] | None) -> str:
-        """The text below the first of ``winning`` that has any; else below the page's own best container."""
-        for path in winning or ():
-            if text := self._below({i for i, p in enumerate(self.paths) if p == path and not self.apart[i]}):
+    def extract(self, chosen: int | None) -> str:
+        """The text below the path with the hash ``chosen`` if there is any; else below the page's main container."""
+        if chosen is not None:
+            found = {p for p in set(self.paths) if path_hash(p) == chosen}
+            if text := self._below({i for i, p in enumerate(self.paths) if p in found and not self.apart[i]}):
                 return text
-        scores = self.scores()
-        return self._below({min(scores, key=lambda at: (-scores[at], at))}) if scores else ""
+        own, _ = self.main()
+        return "" if own is None else self._below({own})
 
     def _below(self, roots: set[int]) -> str:
         if not roots:
@@ -322,51 +352,74 @@ def host(url: Column) -> Column:
     return authority
 
 
-def votes(pages: DataFrame) -> DataFrame:
-    """host, path and vote of every page's best containers."""
+def path_hash(path: str) -> int:
+    digest = xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass"))
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def _with_keys(pages: DataFrame) -> DataFrame:
+    return pages.select("*", host(F.col("url")).alias("_host"), F.xxhash64("html").alias("_page"))
+
+
+def candidates(pages: DataFrame) -> DataFrame:
+    """host, page, path, share and vote (zero but for the main container's path) of the paths of all pages with a host."""
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            hosts, paths, shares = [], [], []
-            for name, source in zip(frame.column("host").to_pylist(), frame.column("html").to_pylist(), strict=True):
-                for path, share in Page(source or "").votes():
-                    hosts.append(name)
-                    paths.append(path)
-                    shares.append(round(share, 6))
+            rows = []
+            for name, key, source in zip(*(frame.column(c).to_pylist() for c in ("_host", "_page", "html")), strict=True):
+                page = Page(source or "")
+                cast = page.vote()
+                for path, share in page.candidates().items():
+                    rows.append((name, key, path_hash(path), share, cast[1] if path == cast[0] else 0.0))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.float64())],
-                names=["host", "path", "vote"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "page", "path", "share", "vote"]
             )
 
-    return map_batches(pages.select(host(F.col("url")).alias("host"), "html"), batches, "host string, path string, vote double")
+    asked = _with_keys(pages.select("url", "html")).filter("_host <> ''").select("_host", "_page", "html")
+    return map_batches(asked, batches, "host string, page long, path long, share double, vote double")
 
 
-def consensus(cast: DataFrame, winners: int = WINNERS) -> DataFrame:
-    """host and its winning paths, best first."""
-    # Whole numbers add up alike in any order.
-    summed = cast.groupBy("host", "path").agg(F.sum(F.round(F.col("vote") * 1e6).cast("long")).alias("votes"))
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    return (
-        summed.withColumn("place", place)
-        .filter(F.col("place") <= winners)
-        .groupBy("host")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "path"))).alias("_won"))
-        .select("host", F.col("_won.path").alias("winning"))
+def consensus(found: DataFrame) -> DataFrame:
+    """host, page and the path chosen for the page; pages that keep their own main container are left out."""
+    # Repeated pages vote once; whole numbers add up alike in any order.
+    cast = found.filter("vote > 0").groupBy("host", "page", "path").agg(F.max("vote").alias("vote"))
+    voted = stage(
+        cast.groupBy("host", "path").agg(
+            F.sum(F.round(F.col("vote") * 1e6).cast("long")).alias("votes"), F.count("*").alias("voters")
+        ),
+        "voted",
+    )
+    hosts = voted.groupBy("host").agg(F.sum("votes").alias("all_votes"), F.sum("voters").alias("all_voters"))
+    # Paths one page alone has voted for choose nothing.
+    shared = voted.filter("voters > 1").join(hosts, "host")
+    met = found.join(shared, ["host", "path"]).select(
+        "host", "page", F.struct("votes", "path").alias("choice"),
+        (F.col("share") >= COVERS).alias("covers"),
+        ((2 * F.col("votes") > F.col("all_votes")) & (F.col("all_voters") > 2)).alias("leads"),
+    )
+    best = met.groupBy("host", "page").agg(
+        F.max(F.when(F.col("covers"), F.col("choice"))).alias("covering"),
+        F.max(F.when(F.col("leads"), F.col("choice"))).alias("leading"),
     )
+    chosen = F.coalesce(F.col("covering.path"), F.col("leading.path"))
+    return best.select("host", "page", chosen.alias("chosen")).filter("chosen IS NOT NULL")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    won = consensus(votes(pages))
-    asked = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host")
-    ).join(won, "host", "left").select("page_id", "url", "html", "winning")
+    won = consensus(stage(candidates(pages), "candidates"))
+    asked = _with_keys(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")).join(
+        won.withColumnsRenamed({"host": "_host", "page": "_page"}), ["_host", "_page"], "left"
+    ).select("page_id", "url", "html", "chosen")
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             texts = [
-                Page(source or "").extract(winning)
-                for source, winning in zip(frame.column("html").to_pylist(), frame.column("winning").to_pylist(), strict=True)
+                Page(source or "").extract(chosen)
+                for source, chosen in zip(frame.column("html").to_pylist(), frame.column("chosen").to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [

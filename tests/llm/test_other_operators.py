@@ -128,6 +128,38 @@ def test_broken_and_odd_pages(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def main_text(spark, pages):
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_extract.extract(rows).collect()}
+
+
+def test_heading_lead_and_split_sections_stay_together(spark):
+    long = "word " * 60
+    inner = f"<h1>Head</h1><p>lead</p><section><p>{long}</p></section><section><p>{long}</p></section>"
+    one = f"<h1>Head</h1><p>lead</p><div class=body><p>{long}</p></div>"
+    pages = [(i, f"http://h{i % 2}.org/{i}", f"<body><nav>n</nav><article>{(inner, one)[i % 2]}</article></body>") for i in range(8)]
+    found = main_text(spark, pages)
+    assert found[0] == " ".join(f"Head lead {long} {long}".split())
+    assert found[1] == " ".join(f"Head lead {long}".split())
+
+
+def test_every_template_of_a_host_keeps_its_article(spark):
+    long = "word " * 60
+    letters = "abcdefg"
+    pages = [(i, f"http://h.org/{i}", f"<body><div class=t{x}><p>{long}{x}{i}</p></div><div class=ta><p>box</p></div></body>") for i, x in enumerate(letters * 3)]
+    pages = [(i, u, h if "class=ta><p>word" not in h else h.replace("<div class=ta><p>box</p></div>", "")) for i, u, h in pages]
+    found = main_text(spark, pages)
+    for i, x in enumerate(letters * 3):
+        assert found[i] == " ".join(f"{long}{x}{i}".split())
+
+
+def test_pages_without_a_host_decide_alone(spark):
+    long = "word " * 60
+    pages = [(i, None, f"<body><div class=a><p>{long}</p></div></body>") for i in range(5)]
+    pages.append((9, "/rel", f"<body><div class=a><p>box</p></div><div class=b><p>{long}</p></div></body>"))
+    assert main_text(spark, pages)[9] == long.strip()
+
+
 @pytest.mark.parametrize(
     "name", ["has-sidebar", "no-sidebar", "elementor-widget-container", "post comments-open", "share-enabled"]
 )
