@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,25 +196,44 @@ def nmf_fit(
 ) -> Factors:
     """Factorise every product's reviews; a product with fewer reviews has that many topics.
 
-    Stops when ``check_every`` steps lower the root of the summed loss by less than ``tolerance`` times its start value,
-    at the latest after ``iterations`` steps; without a tolerance all steps are made.  The tables of past steps are deleted.
+    A product stops when ``check_every`` steps lower the root of its own loss by less than ``tolerance`` times its own start
+    value, at the latest after ``iterations`` steps; the others go on without it.  Without a tolerance all steps are made.
+    The tables of past steps are deleted.
     """
     f = start_factors(weights, topics, key, slots, reviews)
+    x, settled_w, settled_h = f.x, [], []
 
-    def root_loss() -> float:
-        return max(0.0, 2 * (nmf_loss(f, key).agg(F.sum("loss")).first()[0] or 0.0)) ** 0.5
+    def root_losses() -> DataFrame:
+        root = F.sqrt(F.greatest(F.lit(0.0), 2 * F.coalesce("loss", F.lit(0.0))))
+        return nmf_loss(f, key).select("productid", root.alias("now"))
 
-    first = last = root_loss() if tolerance is not None else 0.0
+    if tolerance is not None:
+        falling = stage(root_losses().select("productid", F.col("now").alias("first"), F.col("now").alias("last")), "nmf-loss")
     for step in range(1, iterations + 1):
         past, f = f, nmf_step(f, alpha * l1_ratio, alpha * (1 - l1_ratio), key)
         drop_staged(past.w)
         drop_staged(past.h)
-        if tolerance is not None and step % check_every == 0:
-            now = root_loss()
-            if last - now < tolerance * first:
-                break
-            last = now
-    return f
+        if tolerance is None or step % check_every:
+            continue
+        met = stage(falling.join(root_losses(), "productid"), "nmf-loss")
+        has_settled = F.col("last") - F.col("now") < tolerance * F.col("first")
+        settled = met.filter(has_settled).select("productid")
+        falling = met.filter(~has_settled).select("productid", "first", F.col("now").alias("last"))
+        if settled.isEmpty():
+            continue
+        settled_w.append(stage(f.w.join(settled, "productid", "left_semi"), "nmf-settled"))
+        settled_h.append(stage(f.h.join(settled, "productid", "left_semi"), "nmf-settled"))
+        past = f
+        f = Factors(
+            *(stage(side.join(settled, "productid", "left_anti"), "nmf-left") for side in (f.x, f.w, f.h)), topics
+        )
+        drop_staged(past.w)
+        drop_staged(past.h)
+        if past.x is not x:
+            drop_staged(past.x)
+        if falling.isEmpty():
+            break
+    return Factors(x, reduce(DataFrame.unionByName, settled_w, f.w), reduce(DataFrame.unionByName, settled_h, f.h), topics)
 
 
 def nmf_loss(f: Factors, key: str = "doc_id") -> DataFrame:

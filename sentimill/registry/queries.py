@@ -675,7 +675,7 @@ def sorted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Topics --------------------------------------------------------------------------------------
 
-# Steps of the queries that are checked against SQL; ``nmf_topics_converged`` runs until the loss settles.
+# Steps of the queries that are checked against SQL; the ``_converged`` ones run until every product's loss settles.
 NMF_ITERATIONS = 5
 
 
@@ -730,3 +730,34 @@ def negative_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def word_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.word_weights(topics.negative_words(_classed_words(spark, sf_dir)))
+
+
+# Words of finished topics; without SQL, so beside ``QUERIES``.
+
+
+def _converged_words(spark: SparkSession, sf_dir: str):
+    model, weights, counts = _negative_weights(spark, sf_dir)
+    return model, topics.top_topic_words(topics.nmf_topics(weights, reviews=counts))
+
+
+def top_topic_words_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _converged_words(spark, sf_dir)[1]
+
+
+def word_class_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, words = _converged_words(spark, sf_dir)
+    return topics.word_class(words, model)
+
+
+def negative_words_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.negative_words(word_class_converged(spark, sf_dir))
+
+
+def word_weights_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.word_weights(negative_words_converged(spark, sf_dir))
+
+
+CONVERGED = {
+    f.__name__: f
+    for f in (top_topic_words_converged, word_class_converged, negative_words_converged, word_weights_converged)
+}

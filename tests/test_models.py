@@ -245,6 +245,21 @@ def test_topics_converge(spark):
     assert losses[1] < losses[0]
 
 
+def test_topics_of_a_product_do_not_change_with_the_other_products(spark):
+    def rows(p, n, scale):
+        return [(p, d, f"t{(d * 7 + j) % 11}", scale * (1.0 + j)) for d in range(n) for j in range(4)]
+
+    columns = "productid string, doc_id int, term string, weight double"
+    alone = spark.createDataFrame(rows("small", 5, 1.0), columns)
+    beside = spark.createDataFrame(rows("small", 5, 1.0) + rows("large", 9, 1000.0), columns)
+    settings = {"topics": 2, "iterations": 24, "tolerance": 0.01, "check_every": 3}
+    found = [
+        {(r.topic, r.term): r.weight for r in topics.nmf_topics(w, **settings).filter("productid = 'small'").collect()}
+        for w in (alone, beside)
+    ]
+    assert found[0] and found[0] == pytest.approx(found[1])
+
+
 def test_a_model_off_the_optimum_is_told(spark):
     rows = [(i, i % 2, ["good", f"w{i % 3}"] if i % 2 else ["bad", f"w{i % 3}"]) for i in range(30)]
     docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>").cache()
