@@ -4,8 +4,8 @@ Features: letters in lower case, every run of anything else one space; grams of
 2**15 places, and a text is (1 + ln count) * idf of each place, scaled to length 1.  Document frequencies
 cover all documents that may be learned from.
 
-Model: fitted on at most ``FIT_ROWS`` labelled rows (twice that bounds the draw), with an equal share for each
-language, by follow-the-regularised-leader with elastic-net penalties, a place at a time with its own step; the L1
+Model: fitted on at most ``FIT_ROWS`` labelled rows and five more for each language (small languages whole, equal shares of the
+rest for the others; no language is left out), by follow-the-regularised-leader with elastic-net penalties, a place at a time with its own step; the L1
 part keeps weights sparse.  A fifth of these rows is left out of the fit and sets the temperature, which makes the scores
 probabilities.
 
@@ -31,7 +31,6 @@ from sentimill.llm.text_features import CHUNK, class_sample, document_frequencie
 BITS = 15
 PLACES = 1 << BITS
 FIT_ROWS = 3000
-LANGUAGES = 200
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
 UNDETERMINED = "und"
@@ -117,7 +116,7 @@ def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learn from the text and lang of the documents outside the held-out third."""
     known = learnable(docs).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sample = class_sample(known.select("doc_id", "text", "lang"), "lang", rows, LANGUAGES).select("text", "lang").collect()
+    sample = class_sample(known.select("doc_id", "text", "lang"), "lang", rows).select("text", "lang").collect()
     sample = sorted((row["lang"], row["text"]) for row in sample if _LETTER.search(row["text"]))
     languages = sorted({lang for lang, _ in sample})
     total, frequencies = document_frequencies(known, gram_counts, PLACES)

@@ -4,7 +4,7 @@ Terms: the outline of a text (small letters x, capitals X, digits d, other marks
 grams of 1 to 4; and of its words, those equal to the word before, those seen before, and the rest, which count
 ``WORD_WEIGHT`` times.  Terms are
 counted into a fixed number of places and weighed by TF-IDF with document frequencies of all documents that may be
-learned from.  A singular value decomposition of at most ``FIT_ROWS`` labelled rows (twice that bounds the draw; an
+learned from.  A singular value decomposition of at most ``FIT_ROWS`` labelled rows (and five more a class at most; an
 equal share of each label) gives the latent space; the vectors of those rows are sent to all tasks, so the
 broadcast is bounded by that number.
 
@@ -107,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     shares = {row["label"]: row["count"] for row in marks.groupBy("label").count().collect()}
     prior = shares.get(1, 0) / sum(shares.values()) if shares else 0.5
     # Ids and labels are drawn first, so only the texts of the sample are joined.
-    drawn = class_sample(marks, "label", rows, 2)
+    drawn = class_sample(marks, "label", rows)
     sample = texts.join(drawn, "doc_id").select("text", "label").collect() if shares else []
     sample = sorted((row["label"], row["text"] or "") for row in sample)
     n, frequencies = document_frequencies(texts, term_counts, PLACES)

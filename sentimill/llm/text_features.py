@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentimill.llm.common import is_held_out, map_batches
@@ -65,16 +65,30 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("doc_id").isNotNull() & ~is_held_out())
 
 
-def class_sample(rows: DataFrame, label: str, size: int, classes: int) -> DataFrame:
-    """About ``size`` rows, and never more than twice that, with an equal share for each of the ``classes`` most frequent values of ``label``.
+#: Rows every class may have in a sample, however many classes there are.
+CLASS_ROWS = 5
 
-    Rows are drawn by the hash of their doc_id, the same in every run; a class with fewer rows than its share is taken whole.
+
+def water_level(counts: list[int], size: int) -> int:
+    """The most rows of a class such that classes cut to it have about ``size`` rows; what small classes leave goes to the others."""
+    left = size
+    for i, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - i)
+        if n > share:
+            return max(CLASS_ROWS, share)
+        left -= n
+    return max([CLASS_ROWS, *counts])
+
+
+def class_sample(rows: DataFrame, label: str, size: int) -> DataFrame:
+    """At most ``size`` rows and ``CLASS_ROWS`` more for each value of ``label``; every value has rows in it.
+
+    Small classes are taken whole, the others have equal shares of what is left.  Rows are drawn by their hash, the same in every run.
     """
-    common = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(classes).collect()
-    if not common:
+    counted = rows.groupBy(label).count().collect()
+    if not counted:
         return rows.limit(0)
-    each = max(1, size // len(common))
-    bounds = [(row[label], min(2**32, int(each / row["count"] * 2**32))) for row in common]
-    bound = F.element_at(F.create_map(*[F.lit(x) for pair in bounds for x in pair]), F.col(label))
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(2**32))
-    return rows.filter(draw < F.coalesce(bound, F.lit(0))).limit(2 * size)
+    each = water_level([row["count"] for row in counted], size)
+    draw = F.xxhash64(*[F.col(c) for c in rows.columns], F.lit("sample"))
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_draw", *[c for c in rows.columns if c != label]))
+    return rows.withColumn("_draw", draw).withColumn("_place", place).filter(F.col("_place") <= each).select(*rows.columns)

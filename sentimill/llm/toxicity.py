@@ -7,7 +7,7 @@ is at least ``CUE_RATIO`` times their share of the others.
 Model: P(grade > j) = logistic(w . x - threshold_j) with one weight vector for all thresholds, and thresholds in order.  x is
 ln(1 + count) of the known terms, words and word beginnings.  Known are the terms of the sample whose log-likelihood ratio between toxic and
 other documents is at least ``EVIDENCE``.  It is fitted by accelerated proximal gradient steps with an L1 penalty, which leaves
-only words with evidence, on at most ``FIT_ROWS`` labelled rows (twice that bounds the draw; an equal share of each label),
+only words with evidence, on at most ``FIT_ROWS`` labelled rows (and five more a class at most; an equal share of each label),
 outside the held-out third.  The equal share is undone in the thresholds' weights, so probabilities are those of the corpus.
 
 Severity is the expected grade, the sum of P(grade > j), from 0 to 3; ``toxic`` is 1 if P(grade > 0) is at least 0.5.
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     shares = {row["label"]: row["count"] for row in marks.groupBy("label").count().collect()}
     if len(shares) < 2:
         return Model()
-    drawn = class_sample(marks, "label", rows, 2)
+    drawn = class_sample(marks, "label", rows)
     sample = docs.select("doc_id", "text").join(drawn, "doc_id").select("text", "label").collect()
     return fit_texts(sorted((row["label"], row["text"] or "") for row in sample), shares[1] / sum(shares.values()))
 

@@ -3,13 +3,14 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sentimill.llm import langid, near_copies, packing, pii, quality, queries, simhash_dedup, toxicity
+from sentimill.llm import langid, near_copies, packing, pii, quality, queries, simhash_dedup, text_features, toxicity
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [
@@ -292,6 +293,14 @@ def test_languages_of_held_out_documents(spark):
     assert held.score.between(0, 1).all()
 
 
+def test_every_class_has_a_place_and_the_rest_is_shared(spark):
+    rows = [(i, f"text {i}", f"junk{i}") for i in range(300)] + [(1000 + i, f"text {i}", "abcd"[i % 4]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = Counter(r.lang for r in text_features.class_sample(docs, "lang", 700).collect())
+    assert len(drawn) == 304
+    assert [drawn[lang] for lang in "abcd"] == [100] * 4
+
+
 def test_language_of_odd_rows(spark, odd, empty):
     model = langid.fit(odd)
     rows = langid.predict(odd, model).collect()
