@@ -17,11 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+    rows: int = BATCH_ROWS,
 ) -> DataFrame:
-    """``mapInArrow`` with batches that stay small when rows are large."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` with batches that stay small when rows are large: of ``rows`` rows at most when ``function`` gets them."""
+
+    def small(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(frame.slice(at, rows) for frame in frames for at in range(0, frame.num_rows, rows))
+
+    return df.mapInArrow(small, schema)
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentimill.llm import mixing, topk_exact
+from sentimill.llm import collocations, lexical, mixing, topk_exact, url_filter
 
 
 def _unit(key: str, seed: str) -> str:
@@ -78,4 +78,73 @@ SELECT query_id, rank, vec_id, score FROM (
     FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)))
 WHERE rank <= {topk_exact.K}"""
 
-ORACLES = {"op1_source_mixing": MIXING, "op5_topk_exact": TOP_K}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lowered(text: str) -> str:
+    return f"translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}')"
+
+
+_TERMS = f"regexp_extract_all({_lowered('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+LEXICAL = f"""WITH numbered AS (SELECT row_number() OVER () AS place, doc_id, text FROM documents),
+tokens AS (SELECT place, doc_id, unnest({_TERMS}) AS term FROM numbered),
+counted AS MATERIALIZED (SELECT place, doc_id, term, count(*) AS tf FROM tokens GROUP BY ALL),
+sizes AS MATERIALIZED (SELECT place, sum(tf)::BIGINT AS n FROM counted GROUP BY place),
+totals AS MATERIALIZED (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+asked AS MATERIALIZED (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+weights AS MATERIALIZED (
+  SELECT term, floor(1000 * ln((2 * any_value(all_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, totals GROUP BY term),
+scored AS (
+  SELECT item_id, place, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN sizes USING (place), totals GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0)
+WHERE rank <= {lexical.K}"""
+
+COLLOCATIONS = f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_lowered('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+lines AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lines GROUP BY lang),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM lines, (SELECT unnest(range(1, {collocations.LONGEST} + 1)) AS size) WHERE len(w) >= size),
+phrases AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+cuts AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM phrases WHERE size > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, h.f AS l, t.f AS r, c.k, (2000000::HUGEINT * c.a) // (h.f::HUGEINT + t.f) AS score FROM cuts c
+  JOIN phrases h ON h.lang = c.lang AND h.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN phrases t ON t.lang = c.lang AND t.phrase = array_to_string(c.w[c.k + 1:c.size], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT p.lang, p.phrase FROM phrases p JOIN phrases q
+  ON p.lang = q.lang AND q.size > p.size AND 100::HUGEINT * q.f >= 80::HUGEINT * p.f
+  AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')
+  WHERE p.size > 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN inside USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.FIRST}"""
+
+_FITS = [
+    (verdict, f"{host}{path}", f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')")
+    for verdict, host, path in sorted(url_filter.RULES, key=lambda rule: -len(rule[1] + rule[2]))
+]
+URLS = f"""SELECT page_id, host, path,
+  CASE {" ".join(f"WHEN {fits} THEN '{rule}'" for _, rule, fits in _FITS)} END AS rule,
+  CASE {" ".join(f"WHEN {fits} THEN '{verdict}'" for verdict, _, fits in _FITS)} ELSE '{url_filter.DEFAULT}' END AS verdict
+FROM (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages))"""
+
+ORACLES = {
+    "op1_source_mixing": MIXING,
+    "op5_topk_exact": TOP_K,
+    "op11_document_tree_search": LEXICAL,
+    "op12_collocations": COLLOCATIONS,
+    "op13_url_automaton": URLS,
+}

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimill.llm import ann, html_extract, langid, mixing, packing, pii, quality, simhash_dedup, topk_exact, toxicity
+from sentimill.llm import (
+    ann,
+    collocations,
+    html_extract,
+    langid,
+    lexical,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash_dedup,
+    topk_exact,
+    toxicity,
+    url_filter,
+)
 from sentimill.llm.common import table
 from sentimill.llm.oracles import ORACLES
 
@@ -60,6 +74,18 @@ def op10_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_document_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -73,4 +99,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_collision_ann": op9_collision_ann,
     "op10_toxicity_severity": op10_toxicity_severity,
+    "op11_document_tree_search": op11_document_tree_search,
+    "op12_collocations": op12_collocations,
+    "op13_url_automaton": op13_url_automaton,
 }
