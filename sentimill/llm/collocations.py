@@ -8,8 +8,8 @@ the score floor(2000000 a / (l + r)); the lowest-scoring cut counts (equal ones:
 
 First pass: the phrases of 1 to ``LONGEST`` words that a task has read are counted by a 32-bit key within one of many hash partitions, and
 each partition's counts are merged into a Misra-Gries summary.  Its capacity exceeds the partition's mass divided by ``LEAST``, so what merging
-takes off a counter is less than ``LEAST``, and every phrase that occurs ``LEAST`` times survives.  Partitions grow in number with the text, not in size,
-so the memory of a summary is bounded, whatever the text.
+takes off a counter is less than ``LEAST``, and every phrase that occurs ``LEAST`` times survives.  Partitions grow in number with the text, not in size;
+only beyond ``PARTITIONS`` of them (some 4 TB of text) do summaries grow.
 Second pass: phrases whose key may have survived are counted exactly, as texts.  The keys reach the tasks as a Bloom filter of at most
 ``FILTER_BITS`` bits; what it or a shared key lets through besides is counted as well and falls below ``LEAST``.
 
@@ -21,6 +21,7 @@ Null and empty texts have no words; repeated rows count each; an empty table giv
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -41,6 +42,7 @@ FIRST = 2000
 GATHERED = 1 << 20
 #: Occurrences in a hash partition, by the most words the texts can have.
 PARTITION_MASS = 1 << 25
+PARTITIONS = 1 << 16
 #: Most bits of the filter (32 MB), bits for each survivor, and places of a key in it.
 FILTER_BITS = 1 << 28
 BITS_EACH = 16
@@ -63,7 +65,7 @@ class Gathered:
     """Words of texts one after the other, as numbers; 0 stands between pieces and after each text."""
 
     def __init__(self) -> None:
-        self.numbers: list[int] = []
+        self.numbers = array("i")
         self.known: dict[str, defaultdict] = {}
         self._next = count(1)
 
@@ -87,7 +89,7 @@ class Gathered:
 
     def phrases(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each length: the starts of all phrases of it and their hashes."""
-        numbers = np.array(self.numbers, dtype=np.int64)
+        numbers = np.array(self.numbers)
         words, langs = self.table()
         seeds = {lang: xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass")) for lang in self.known}
         of = xxhash.xxh64_intdigest
@@ -126,30 +128,44 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted different keys as compressed gaps, the bytes of one weight together."""
+    gaps = np.diff(keys, prepend=np.uint32(0))
+    return pa.compress(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32)[:, 0], dtype=np.uint32)
+
+
+_RUN = "part int, mass long, n_once int, once binary, n_more int, more binary, counts binary"
+
+
 def counted_keys(texts: DataFrame, partitions: int) -> DataFrame:
-    """part, mass, and the keys with their counts of what a task has gathered: ``once`` for those that occur once."""
+    """part, mass, and the keys of what a task has gathered: those that occur once, and the others with their counts."""
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gathered in _gathered(frames):
             every = np.concatenate([_keys(hashes, partitions) for _, _, hashes in gathered.phrases()])
-            keys, counts = np.unique(every, return_counts=True)
-            part = (keys >> np.uint64(32)).astype(np.int64)
-            low = keys.astype(np.uint32)
-            edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(keys) else np.zeros(1, np.int64)
+            if not len(every):
+                continue
+            every.sort()
+            first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+            keys, counts = every[first], np.diff(first, append=len(every))
+            part, low = (keys >> np.uint64(32)).astype(np.int32), keys.astype(np.uint32)
+            edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
             rows = []
             for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 n, own = counts[begin:end], low[begin:end]
                 more = n > 1
-                rows.append(
-                    (int(part[begin]), int(n.sum()), own[~more].tobytes(), own[more].tobytes(), n[more].astype(np.uint32).tobytes())
-                )
-            if rows:
-                columns = zip(*rows, strict=True)
-                types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-                arrays = [pa.array(column, kind) for column, kind in zip(columns, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["part", "mass", "once", "keys", "counts"])
+                once, several, sizes = own[~more], own[more], n[more].astype(np.uint32)
+                rows.append((int(part[begin]), int(n.sum()), len(once), _packed(once), len(several), _packed(several), sizes.tobytes()))
+            types = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
+            arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[field.split()[0] for field in _RUN.split(", ")])
 
-    return map_batches(texts, batches, "part int, mass long, once binary, keys binary, counts binary")
+    return map_batches(texts, batches, _RUN)
 
 
 class Summary:
@@ -197,8 +213,14 @@ class Summary:
 
 def survivors(counted: DataFrame, partitions: int, least: int = LEAST) -> DataFrame:
     """part and key of everything that may occur ``least`` times."""
-    masses = counted.groupBy("part").agg(F.sum("mass").alias("of_part"))
-    dealt = counted.join(masses, "part").repartition(partitions, "part").sortWithinPartitions("part")
+    # A partition's mass comes before its runs, as a row of its own: one shuffle carries both.
+    masses = counted.groupBy("part").agg(F.sum("mass").alias("mass")).withColumn("is_run", F.lit(False))
+    dealt = (
+        counted.withColumn("is_run", F.lit(True))
+        .unionByName(masses, allowMissingColumns=True)
+        .repartition(partitions, "part")
+        .sortWithinPartitions("part", "is_run")
+    )
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, summary = None, None
@@ -209,13 +231,13 @@ def survivors(counted: DataFrame, partitions: int, least: int = LEAST) -> DataFr
 
         for frame in frames:
             for row in frame.to_pylist():
-                if row["part"] != part:
+                if not row["is_run"]:
                     if summary is not None:
                         yield done()
-                    part, summary = row["part"], Summary(row["of_part"] // least + 1)
-                once = np.frombuffer(row["once"], np.uint32)
-                summary.add(once, np.ones(len(once), np.int64))
-                summary.add(np.frombuffer(row["keys"], np.uint32), np.frombuffer(row["counts"], np.uint32).astype(np.int64))
+                    part, summary = row["part"], Summary(row["mass"] // least + 1)
+                    continue
+                summary.add(_unpacked(row["once"], row["n_once"]), np.ones(row["n_once"], np.int64))
+                summary.add(_unpacked(row["more"], row["n_more"]), np.frombuffer(row["counts"], np.uint32).astype(np.int64))
         if summary is not None:
             yield done()
 
@@ -295,7 +317,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
     texts = _texts(docs)
     # Every word but a piece's last is followed by a separator.
     most = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    partitions = max(1, -(-most * LONGEST // 2 // PARTITION_MASS))
+    partitions = max(1, min(PARTITIONS, -(-most * LONGEST // 2 // PARTITION_MASS)))
     counted = stage(counted_keys(texts, partitions), "counted-keys")
     kept = key_filter(stage(survivors(counted, partitions, least), "survivors"))
     return stage(phrase_counts(texts, kept, partitions, least), "phrases")
