@@ -39,7 +39,7 @@ LONGEST = 4
 LEAST = 30
 FIRST = 2000
 #: Words that a task gathers before it counts them.
-GATHERED = 1 << 20
+GATHERED = 1 << 18
 #: Occurrences in a hash partition, by the most words the texts can have.
 PARTITION_MASS = 1 << 25
 PARTITIONS = 1 << 16
