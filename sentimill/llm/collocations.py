@@ -6,7 +6,7 @@ with a = f(phrase) of at least ``LEAST``.  Cut after its first k words, a candid
 the score floor(2000000 a / (l + r)); the lowest-scoring cut counts (equal ones: smallest k).  Candidates inside a longer one with
 100 f(longer) >= 80 a are dropped.  Returned are the first ``FIRST`` of each language by score, then a, descending, then phrase.
 
-First pass: the phrases of 1 to ``LONGEST`` words that a task has read are counted by a 32-bit key within one of many hash partitions, and
+First pass: the phrases of 1 to ``LONGEST`` words that a task has read are counted by a short key within one of many hash partitions, and
 each partition's counts are merged into a Misra-Gries summary.  Its capacity exceeds the partition's mass divided by ``LEAST``, so what merging
 takes off a counter is less than ``LEAST``, and every phrase that occurs ``LEAST`` times survives.  Partitions grow in number with the text, not in size;
 only beyond ``PARTITIONS`` of them (some 4 TB of text) do summaries grow.
@@ -24,6 +24,7 @@ from __future__ import annotations
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentimill.llm.common import map_batches
+from sentimill.llm.common import batch_rows, map_batches
 from sentimill.plans.staging import stage
 
 LONGEST = 4
@@ -116,10 +117,25 @@ def _gathered(frames: Iterator[pa.RecordBatch]) -> Iterator[Gathered]:
         yield now
 
 
-def _keys(hashes: np.ndarray, partitions: int) -> np.ndarray:
-    """Partition and 32-bit key of each hash, as one number."""
-    part = (hashes >> np.uint64(32)) % np.uint64(partitions)
-    return (part << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+@dataclass(frozen=True)
+class Layout:
+    """How hashes are dealt out: the number of partitions, and the bits of a key inside one.
+
+    Twice as many keys as a partition has occurrences, so that few share one by chance.
+    """
+
+    partitions: int
+    bits: int
+
+    @classmethod
+    def of(cls, mass: int) -> Layout:
+        partitions = max(1, min(PARTITIONS, -(-mass // PARTITION_MASS)))
+        return cls(partitions, min(32, 1 + (mass // partitions).bit_length()))
+
+    def keys(self, hashes: np.ndarray) -> np.ndarray:
+        """Partition and key of each hash, as one number."""
+        part = (hashes >> np.uint64(32)) % np.uint64(self.partitions)
+        return (part << np.uint64(32)) | (hashes & np.uint64((1 << self.bits) - 1))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -142,12 +158,12 @@ def _unpacked(packed: bytes, n: int) -> np.ndarray:
 _RUN = "part int, mass long, n_once int, once binary, n_more int, more binary, counts binary"
 
 
-def counted_keys(texts: DataFrame, partitions: int) -> DataFrame:
+def counted_keys(texts: DataFrame, layout: Layout) -> DataFrame:
     """part, mass, and the keys of what a task has gathered: those that occur once, and the others with their counts."""
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gathered in _gathered(frames):
-            every = np.concatenate([_keys(hashes, partitions) for _, _, hashes in gathered.phrases()])
+            every = np.concatenate([layout.keys(hashes) for _, _, hashes in gathered.phrases()])
             if not len(every):
                 continue
             every.sort()
@@ -211,14 +227,14 @@ class Summary:
         return self.keys[self.counts + self.taken >= least]
 
 
-def survivors(counted: DataFrame, partitions: int, least: int = LEAST) -> DataFrame:
+def survivors(counted: DataFrame, layout: Layout, least: int = LEAST) -> DataFrame:
     """part and key of everything that may occur ``least`` times."""
     # A partition's mass comes before its runs, as a row of its own: one shuffle carries both.
     masses = counted.groupBy("part").agg(F.sum("mass").alias("mass")).withColumn("is_run", F.lit(False))
     dealt = (
         counted.withColumn("is_run", F.lit(True))
         .unionByName(masses, allowMissingColumns=True)
-        .repartition(partitions, "part")
+        .repartition(layout.partitions, "part")
         .sortWithinPartitions("part", "is_run")
     )
 
@@ -281,7 +297,7 @@ def _has(kept: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return result
 
 
-def phrase_counts(texts: DataFrame, kept: np.ndarray, partitions: int, least: int = LEAST) -> DataFrame:
+def phrase_counts(texts: DataFrame, kept: np.ndarray, layout: Layout, least: int = LEAST) -> DataFrame:
     """lang, size, phrase and f of every phrase that occurs ``least`` times."""
     shared = texts.sparkSession.sparkContext.broadcast(kept)
 
@@ -290,7 +306,7 @@ def phrase_counts(texts: DataFrame, kept: np.ndarray, partitions: int, least: in
             numbers = np.array(gathered.numbers, dtype=np.int64)
             words, langs = gathered.table()
             for size, starts, hashes in gathered.phrases():
-                starts = starts[_has(shared.value, _keys(hashes, partitions))]
+                starts = starts[_has(shared.value, layout.keys(hashes))]
                 if not len(starts):
                     continue
                 # Phrases of a size are told apart by their words' numbers, two at a time.
@@ -314,13 +330,17 @@ def phrase_counts(texts: DataFrame, kept: np.ndarray, partitions: int, least: in
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """lang, size, phrase and f of all phrases of 1 to ``LONGEST`` words that occur ``least`` times in a language."""
-    texts = _texts(docs)
+    texts, spark = _texts(docs), docs.sparkSession
     # Every word but a piece's last is followed by a separator.
     most = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    partitions = max(1, min(PARTITIONS, -(-most * LONGEST // 2 // PARTITION_MASS)))
-    counted = stage(counted_keys(texts, partitions), "counted-keys")
-    kept = key_filter(stage(survivors(counted, partitions, least), "survivors"))
-    return stage(phrase_counts(texts, kept, partitions, least), "phrases")
+    layout = Layout.of(most * LONGEST // 2)
+    with batch_rows(spark):
+        counted = stage(counted_keys(texts, layout), "counted-keys")
+    with batch_rows(spark, 64):
+        found = stage(survivors(counted, layout, least), "survivors")
+    kept = key_filter(found)
+    with batch_rows(spark):
+        return stage(phrase_counts(texts, kept, layout, least), "phrases")
 
 
 def _head(phrase: Column, k: Column) -> Column:

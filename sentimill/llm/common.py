@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,18 @@ def map_batches(
     return df.mapInArrow(small, schema)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside; the session is left as it was."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def is_held_out(doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves 1 when divided by 3; false without an id."""
     remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3

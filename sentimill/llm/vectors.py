@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentimill.llm.common import batch_rows
 from sentimill.plans.staging import stage
 
 BLOCK_ROWS = 4096
@@ -144,14 +145,9 @@ def search(rows: DataFrame, is_query: Column, kernel: Kernel, k: int, score_type
         if best is not None:
             yield best.rows()
 
-    # A row of the joined table is megabytes, so a batch has few; the setting is that of the moment a query runs.
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    usual = spark.conf.get(batch)
-    spark.conf.set(batch, "8")
-    try:
+    # A row of the joined table is megabytes, so a batch has few.
+    with batch_rows(spark, 8):
         found = stage(pairs.mapInArrow(batches, f"query_id long, vec_id long, score {score_type}"), "found")
-    finally:
-        spark.conf.set(batch, usual)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (
         found.withColumn("rank", place.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
