@@ -1,19 +1,21 @@
 """Approximate nearest neighbours by collision counting over single projections.
 
 Method: every vector is projected on ``PROJECTIONS`` random directions; each direction is a sorted array of its own.
-A query opens a window around its own place in each array.  All windows have the half-width ``WIDTH`` times one radius, which
-grows by a factor (virtual rehashing: nothing is hashed again, the windows take in what lies next to them).  A vector
-whose collisions, one for each window it is in, reach the threshold is verified: its inner product is computed
-on the original vectors.  A query ends when its k-th best lies within the radius.
+A query opens a window around its own place in each array.  All windows have the half-width ``WIDTH`` times one radius.  The first radius is
+taken from the sorted arrays: windows hold ``FIRST_SHARE`` of the vectors on average.  It grows by a factor (virtual rehashing: nothing is hashed
+again, the windows take in what lies next to them).  A vector whose collisions, one for each window it is in, reach the threshold is verified: its
+inner product is computed on the original vectors.  A query ends when its k-th best lies within the radius; a later block starts with the
+distance of the k-th best of the earlier ones.
 
 A vector at the radius falls into a window with probability 2 * Phi(WIDTH) - 1, so it is verified unless its count of
-collisions stays below the threshold, which is set ``MARGIN`` standard deviations below the mean.  There is no cap on the number
-of vectors verified.
+collisions stays below the threshold, which is set ``MARGIN`` standard deviations below the mean; nearer ones are missed less.  There is no cap on
+the number of vectors verified.
 
 Largest inner product becomes nearest point by one more component: with the largest norm M of all vectors, x has
 sqrt(M**2 - |x|**2) there and queries have 0.  Vectors that are null, zero, empty or hold null or
 non-finite components take no part, nor do rows with a null vec_id; vectors meet those of their own length
-only.  Ties go to the smaller vec_id; repeated rows are candidates each, a row with the query's own id is never one.
+only.  Ties go to the smaller vec_id; repeated rows are candidates each, a row with the query's own id is never one; a query
+id with several vectors asks with one of them (see ``vectors.search``).
 """
 
 from __future__ import annotations
@@ -27,13 +29,13 @@ from pyspark.sql import functions as F
 from sentimill.llm.vectors import Best, search, usable
 
 K = 20
-PROJECTIONS = 64  # at most 255
-WIDTH = 1.0
-MARGIN = 1.7
+PROJECTIONS = 250  # at most 255
+WIDTH = 1.6
+MARGIN = 0.8
 GROWTH = 1.12
-#: Rows that are looked at first, and the share of the distance they leave that is tried first.
-FIRST_ROWS = 512
-FIRST_SHARE = 0.8
+FIRST_SHARE = 0.5
+#: Rows of a block, at most 65,535: the larger it is, the smaller is the share that has to be verified.
+BLOCK_ROWS = 1 << 14
 SEED = 42
 
 
@@ -47,58 +49,70 @@ def _scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(axis=1)
 
 
-def _kernel(longest: float):
-    def count_collisions(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, best: Best) -> None:
-        n, dim = vectors.shape
-        needed = threshold()
-        directions = np.random.default_rng(SEED).standard_normal((dim + 1, PROJECTIONS))
-        unit = vectors / longest
-        last = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
-        placed = unit @ directions[:dim] + last[:, None] * directions[dim]
-        order = np.argsort(placed, axis=0)
-        arrays = np.take_along_axis(placed, order, axis=0)
-        # Where each vector stands in each sorted array: it is in a window if this lies between the window's ends.
-        stands = np.empty((PROJECTIONS, n), dtype=np.uint16)
-        np.put_along_axis(stands, order.T, np.arange(n, dtype=np.uint16)[None, :], axis=1)
-        norms = np.sqrt((queries * queries).sum(axis=1))
-        centres = (queries / norms[:, None]) @ directions[:dim]
-        scales = norms * longest
-        verified = {}
-        radius = np.empty(len(queries))
-        for q, own in enumerate(best.query_ids):
-            verified[q] = ids == own
-            if not np.isfinite(best.floor(q)):
-                # Nothing is known of this query: a few rows tell how far its windows may have to go.
-                first = np.flatnonzero(~verified[q][:FIRST_ROWS])
-                verified[q][first] = True
-                best.add(q, _scores(vectors[first], queries[q]), ids[first])
-                radius[q] = FIRST_SHARE * _distance(best.floor(q), scales[q])
-            else:
-                # Nothing can enter the best from beyond what earlier blocks have found.
-                radius[q] = _distance(best.floor(q), scales[q])
-        active = np.arange(len(queries))
-        while len(active):
-            wide = (WIDTH * radius[active])[:, None]
-            lower, upper = np.empty((2, len(active), PROJECTIONS), dtype=np.int64)
-            for j in range(PROJECTIONS):
-                lower[:, j] = np.searchsorted(arrays[:, j], centres[active, j] - wide[:, 0], "left")
-                upper[:, j] = np.searchsorted(arrays[:, j], centres[active, j] + wide[:, 0], "right")
-            begin, size = lower.astype(np.uint16), (upper - lower).astype(np.uint16)
-            going = []
-            for row, q in enumerate(active):
-                # Unsigned differences wrap round, so one comparison tests both ends.
-                inside = (stands - begin[row][:, None]) < size[row][:, None]
-                counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
-                found = np.flatnonzero((counts >= needed) & ~verified[q])
-                if len(found):
-                    verified[q][found] = True
-                    best.add(int(q), _scores(vectors[found], queries[q]), ids[found])
-                if _distance(best.floor(int(q)), scales[q]) > radius[q] and not verified[q].all():
-                    going.append(q)
-            active = np.array(going, dtype=np.int64)
-            radius[active] *= GROWTH
-
-    return count_collisions
+def count_collisions(
+    queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, best: Best, longest: float, work: dict[str, int] | None = None
+) -> None:
+    """Add a block's best to ``best``; ``longest`` is the largest norm of all vectors, ``work`` counts verified pairs and all."""
+    n, dim = vectors.shape
+    needed = threshold()
+    directions = np.random.default_rng(SEED).standard_normal((dim + 1, PROJECTIONS))
+    unit = vectors / longest
+    last = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
+    placed = unit @ directions[:dim] + last[:, None] * directions[dim]
+    order = np.argsort(placed, axis=0)
+    arrays = np.ascontiguousarray(np.take_along_axis(placed, order, axis=0).T)
+    # Where each vector stands in each sorted array: it is in a window if this lies between the window's ends.
+    stands = np.empty((PROJECTIONS, n), dtype=np.uint16)
+    np.put_along_axis(stands, order.T, np.arange(n, dtype=np.uint16)[None, :], axis=1)
+    norms = np.sqrt((queries * queries).sum(axis=1))
+    centres = (queries / norms[:, None]) @ directions[:dim]
+    scales = norms * longest
+    for q, own in enumerate(best.query_ids):
+        verified = ids == own
+        others = n - int(verified.sum())
+        if np.isfinite(best.floor(q)):
+            # Nothing can enter the best from beyond what earlier blocks have found.
+            radius = _distance(best.floor(q), scales[q])
+        else:
+            radius = _first_radius(arrays, centres[q])
+        while True:
+            found = np.flatnonzero((_collisions(arrays, stands, centres[q], WIDTH * radius) >= needed) & ~verified)
+            if len(found):
+                verified[found] = True
+                best.add(q, _scores(vectors[found], queries[q]), ids[found])
+            # The farthest two vectors are is 2.
+            if _distance(best.floor(q), scales[q]) <= radius or radius > 2.0 or verified.all():
+                break
+            radius *= GROWTH
+        if not np.isfinite(best.floor(q)):
+            # Fewer than k so far: all candidates are results.
+            rest = np.flatnonzero(~verified)
+            verified[rest] = True
+            best.add(q, _scores(vectors[rest], queries[q]), ids[rest])
+        if work is not None:
+            work["verified"] += int(verified.sum()) - (n - others)
+            work["pairs"] += others
+
+
+def _first_radius(arrays: np.ndarray, centre: np.ndarray) -> float:
+    """The radius whose windows hold ``FIRST_SHARE`` of the vectors in half of the sorted arrays."""
+    n = arrays.shape[1]
+    reach = int(n * FIRST_SHARE / 2)
+    widths = []
+    for array, c in zip(arrays, centre, strict=True):
+        at = int(np.searchsorted(array, c))
+        low, high = array[min(n - 1, max(0, at - reach))], array[min(n - 1, at + reach)]
+        widths.append(max(c - low, high - c, 0.0))
+    return max(1e-6, float(np.median(widths)) / WIDTH)
+
+
+def _collisions(arrays: np.ndarray, stands: np.ndarray, centre: np.ndarray, half: float) -> np.ndarray:
+    """How many of a query's windows each vector is in."""
+    lower = np.array([np.searchsorted(a, c - half, "left") for a, c in zip(arrays, centre, strict=True)])
+    upper = np.array([np.searchsorted(a, c + half, "right") for a, c in zip(arrays, centre, strict=True)])
+    # Unsigned differences wrap round, so one comparison tests both ends.
+    inside = (stands - lower.astype(np.uint16)[:, None]) < (upper - lower).astype(np.uint16)[:, None]
+    return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
 
 
 def _distance(score: float, scale: float) -> float:
@@ -111,4 +125,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     rows = usable(vectors, non_zero=True)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
     longest = rows.agg(F.max(norm)).first()[0] or 1.0
-    return search(rows, is_query, _kernel(longest), k, "double")
+
+    def kernel(queries: np.ndarray, ids: np.ndarray, block: np.ndarray, best: Best) -> None:
+        count_collisions(queries, ids, block, best, longest)
+
+    return search(rows, is_query, kernel, k, "double", BLOCK_ROWS)

@@ -107,11 +107,13 @@ _DIGITS = re.compile(r"\d+")
 
 
 def _names_apart(value: str) -> bool:
-    """Whether a token of a class or id is a name of boilerplate, or its last part is."""
+    """Whether a part of a class or id is a name of boilerplate that no part before it denies."""
     for token in value.split():
-        parts = _NAME.findall(token)
-        if parts and parts[-1] in _APART_NAMES and not _DENIALS.intersection(parts[:-1]):
-            return True
+        for part in _NAME.findall(token):
+            if part in _DENIALS:
+                break
+            if part in _APART_NAMES:
+                return True
     return False
 
 
@@ -127,7 +129,7 @@ class Page:
     """Elements (tag, generalised path, parent, whether apart, whether in a link) and the text between their tags."""
 
     def __init__(self, source: str) -> None:
-        self.tags, self.paths, self.parents, self.apart, self.linked = ["html"], ["html"], [-1], [False], [False]
+        self.tags, self.paths, self.parents, self.apart, self.linked = ["html"], [path_step(0, "html")], [-1], [False], [False]
         self.pieces: list[tuple[int, str]] = []
         self._open = [0]
         self._doubtful: list[int] = []
@@ -217,7 +219,7 @@ class Page:
         if name in ("html", "body") and name in (self.tags[i] for i in self._open):
             return
         self.tags.append(name)
-        self.paths.append(f"{self.paths[parent]}>{label}" if len(self._open) < 40 else self.paths[parent])
+        self.paths.append(path_step(self.paths[parent], label))
         self.parents.append(parent)
         self.apart.append(apart)
         self.linked.append(self.linked[parent] or name == "a")
@@ -247,15 +249,24 @@ class Page:
                 return
 
     def _sizes(self, counted: list[bool] | None = None) -> list[int]:
-        """Text below each element that is neither apart nor in a link (and directly in a counted element)."""
+        """Text below each element that is not apart (and directly in a counted element).
+
+        Text in links counts only if there is no other.
+        """
         sizes = [0] * len(self.tags)
-        for at, text in self.pieces:
-            if not self.apart[at] and not self.linked[at] and (counted is None or counted[at]):
-                sizes[at] += len(text.strip())
+        for self._links in (False, True):
+            for at, text in self.pieces:
+                if self._counts(at) and (counted is None or counted[at]):
+                    sizes[at] += len(text.strip())
+            if any(sizes):
+                break
         for i in range(len(sizes) - 1, 0, -1):
             sizes[self.parents[i]] += sizes[i]
         return sizes
 
+    def _counts(self, at: int) -> bool:
+        return not self.apart[at] and (self._links or not self.linked[at])
+
     def _decide(self) -> None:
         """Set apart what is named like boilerplate and does not have most of the page's paragraph text."""
         if not self._doubtful:
@@ -289,7 +300,7 @@ class Page:
         for i in range(n - 1, 0, -1):
             headings[self.parents[i]] += headings[i]
         for at, text in self.pieces:
-            if not self.apart[at] and not self.linked[at]:
+            if self._counts(at):
                 (paragraphs if in_paragraph[at] else plain)[holder[at]] += len(text.strip())
         at = 0
         while largest[at] >= 0:
@@ -303,18 +314,18 @@ class Page:
             at = inner
         return at, sizes
 
-    def vote(self) -> tuple[str, float] | None:
+    def vote(self) -> tuple[int, float] | None:
         """The path of the main container and its share of the page's text."""
         own, sizes = self.main()
         return None if own is None else (self.paths[own], sizes[own] / sizes[0])
 
-    def candidates(self) -> dict[str, float]:
+    def candidates(self) -> dict[int, float]:
         """The paths of all containers with text, with the share of the main container's text they hold."""
         own, sizes = self.main()
         if own is None:
             return {}
         inside = [False] * len(self.tags)
-        shares: dict[str, float] = {}
+        shares: dict[int, float] = {}
         for i, parent in enumerate(self.parents):
             inside[i] = i == own or (parent >= 0 and inside[parent])
             if sizes[i] and self.tags[i] in _CONTAINER and not self.apart[i]:
@@ -330,8 +341,7 @@ class Page:
     def extract(self, chosen: int | None) -> str:
         """The text below the path with the hash ``chosen`` if there is any; else below the page's main container."""
         if chosen is not None:
-            found = {p for p in set(self.paths) if path_hash(p) == chosen}
-            if text := self._below({i for i, p in enumerate(self.paths) if p in found and not self.apart[i]}):
+            if text := self._below({i for i, p in enumerate(self.paths) if p == chosen and not self.apart[i]}):
                 return text
         own, _ = self.main()
         return "" if own is None else self._below({own})
@@ -342,8 +352,9 @@ class Page:
         inside = [False] * len(self.tags)
         for i, parent in enumerate(self.parents):
             inside[i] = i in roots or (parent >= 0 and inside[parent])
-        parts = [text if inside[at] and not self.apart[at] else " " for at, text in self.pieces]
-        return " ".join(html.unescape("".join(parts)).split())
+        # A reference does not reach from one element into another.
+        parts = [html.unescape(text) if inside[at] and not self.apart[at] else " " for at, text in self.pieces]
+        return " ".join("".join(parts).split())
 
 
 def host(url: Column) -> Column:
@@ -352,8 +363,9 @@ def host(url: Column) -> Column:
     return authority
 
 
-def path_hash(path: str) -> int:
-    digest = xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass"))
+def path_step(above: int, label: str) -> int:
+    """The path of an element from its parent's: a running hash, so depth costs nothing."""
+    digest = xxhash.xxh64_intdigest(label.encode("utf-8", "surrogatepass"), above & (1 << 64) - 1)
     return digest - (1 << 64) if digest >> 63 else digest
 
 
@@ -371,7 +383,7 @@ def candidates(pages: DataFrame) -> DataFrame:
                 page = Page(source or "")
                 cast = page.vote()
                 for path, share in page.candidates().items():
-                    rows.append((name, key, path_hash(path), share, cast[1] if path == cast[0] else 0.0))
+                    rows.append((name, key, path, share, cast[1] if path == cast[0] else 0.0))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(

@@ -36,7 +36,11 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
 UNDETERMINED = "und"
 
 _OTHER = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Letters only: superscripts, fractions and numerals of any kind are none."""
+    return any(map(str.isalpha, text))
 
 
 def gram_counts(text: str) -> np.ndarray:
@@ -53,9 +57,10 @@ def gram_counts(text: str) -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # place by language, the last row is the constant
+    weights: np.ndarray  # places seen in training by language, the last row is the constant
     idf: np.ndarray
     temperature: float = 1.0
+    rows: np.ndarray | None = None  # of each place its row of the weights; -1 for places not seen in training
 
     def features(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         counts = gram_counts(text)
@@ -64,11 +69,14 @@ class Model:
         return places, (values / max(1e-12, np.sqrt(values @ values))).astype(np.float32)
 
     def scores(self, text: str) -> np.ndarray:
-        places, values = self.features(text)
-        return values @ self.weights[places] + self.weights[-1]
+        return self.of_features(*self.features(text))
+
+    def of_features(self, places: np.ndarray, values: np.ndarray) -> np.ndarray:
+        rows = self.rows[places]
+        return values[rows >= 0] @ self.weights[rows[rows >= 0]] + self.weights[-1]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNDETERMINED, 0.0
         p = _softmax(self.scores(text) / self.temperature)
         best = int(p.argmax())
@@ -80,10 +88,10 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int) -> np.ndarray:
-    """Weights by follow-the-regularised-leader, a row at a time."""
-    z = np.zeros((PLACES + 1, classes))
-    n = np.zeros((PLACES + 1, classes))
+def _ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, size: int) -> np.ndarray:
+    """Weights by follow-the-regularised-leader, a row at a time; the rows' places are numbers of seen ones, ``size`` in all."""
+    z = np.zeros((size + 1, classes))
+    n = np.zeros((size + 1, classes))
 
     def weights(places: np.ndarray) -> np.ndarray:
         zp, root = z[places], np.sqrt(n[places])
@@ -94,7 +102,7 @@ def _ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
             places, values = rows[i]
-            places, values = np.r_[places, PLACES], np.r_[values, 1.0]
+            places, values = np.r_[places, size], np.r_[values, 1.0]
             w = weights(places)
             error = _softmax(values @ w)
             error[labels[i]] -= 1.0
@@ -103,7 +111,7 @@ def _ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes
             n[places] = before + gradient * gradient
             step = (np.sqrt(n[places]) - np.sqrt(before)) / ALPHA
             z[places] += gradient - step * w
-    return weights(np.arange(PLACES + 1)).astype(np.float32)
+    return weights(np.arange(size + 1)).astype(np.float32)
 
 
 def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
@@ -116,20 +124,25 @@ def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learn from the text and lang of the documents outside the held-out third."""
     known = learnable(docs).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sample = class_sample(known.select("doc_id", "text", "lang"), "lang", rows).select("text", "lang").collect()
-    sample = sorted((row["lang"], row["text"]) for row in sample if _LETTER.search(row["text"]))
+    hashed = known.select("doc_id", "lang", "text", F.xxhash64("text").alias("hash"))
+    # Ids and hashes are drawn; the written draw is small or not by Spark's own check.
+    drawn = class_sample(hashed.select("doc_id", "lang", "hash"), "lang", rows)
+    met = hashed.join(drawn, ["doc_id", "lang", "hash"]).groupBy("doc_id", "lang", "hash").agg(F.min("text").alias("text"))
+    sample = sorted((row["lang"], row["text"]) for row in met.select("lang", "text").collect() if has_letter(row["text"]))
     languages = sorted({lang for lang, _ in sample})
     total, frequencies = document_frequencies(known, gram_counts, PLACES)
-    model = Model(languages, np.zeros((PLACES + 1, len(languages)), np.float32), inverse(total, frequencies))
+    model = Model(languages, np.zeros((1, len(languages)), np.float32), inverse(total, frequencies), rows=np.full(PLACES, -1, np.int32))
     if not languages:
         return model
     labels = np.array([languages.index(lang) for lang, _ in sample])
     features = [model.features(text) for _, text in sample]
     kept = np.arange(len(sample)) % 5 == 4
     fitted = np.flatnonzero(~kept)
-    model.weights = _ftrl([features[i] for i in fitted], labels[fitted], len(languages))
+    seen = np.unique(np.concatenate([features[i][0] for i in fitted]))
+    model.rows[seen] = np.arange(len(seen))
+    model.weights = _ftrl([(model.rows[features[i][0]], features[i][1]) for i in fitted], labels[fitted], len(languages), len(seen))
     if kept.any():
-        scores = np.array([features[i][1] @ model.weights[features[i][0]] + model.weights[-1] for i in np.flatnonzero(kept)])
+        scores = np.array([model.of_features(*features[i]) for i in np.flatnonzero(kept)])
         model.temperature = _temperature(scores, labels[kept])
     return model
 

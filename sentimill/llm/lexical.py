@@ -337,10 +337,10 @@ def _search_pack(docs: DataFrame, own: list, k: int) -> DataFrame:
     total = written.agg(F.count("*").alias("n"), F.sum("n").alias("words")).first()
     counted = written.select(F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("df")).collect()
     items = _ranked_items(own, vocabulary, {r["place"]: r["df"] for r in counted}, total["n"], total["words"] or 0)
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(items))
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Search(shared.value, k)
+        search = Search(Items(**shared.value), k)
         for tree in _trees(frames, search.items):
             search.visit(tree)
         for item_id, (scores, ids, named) in zip(search.items.ids, search.best, strict=True):

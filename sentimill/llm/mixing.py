@@ -16,8 +16,8 @@ the rest is a run of blocks from a seeded start.  A document takes the words of
 A shard has about ``SHARD_WORDS`` words or ``SHARD_ROWS`` rows, whatever its source has, so a hot source is many
 shards.  Everything is built of DataFrame functions.
 
-Null texts have size zero and take nothing; a null source is a source of its own; a null doc_id is ordered as the empty
-id; repeated rows each take their share; an empty table gives no rows; other columns are carried but not read.
+Null texts have size zero and take nothing; a null source is a source of its own; rows with one doc_id or none are ordered by
+their texts; repeated rows each take their share; an empty table gives no rows; other columns are carried but not read.
 """
 
 from __future__ import annotations
@@ -102,25 +102,31 @@ def _overlap(a: Column, b: Column, c: Column, d: Column) -> Column:
     return F.greatest(F.lit(0).cast("long"), F.least(b, d) - F.greatest(a, c))
 
 
-def mix(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The columns ``carry`` of every row with size, source_size, target and taken (words)."""
+def mix(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target and taken (words) of every row."""
+    return _mixed(docs, ["doc_id"]).select("_row.*", "size", "source_size", "target", "taken")
+
+
+def _mixed(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """The columns ``carry`` as one column ``_row``, with size, source_size, target and taken."""
+    # Rows without a doc_id, or with one id, are told apart by their texts.
+    draw = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))
     sized = docs.select(
-        F.struct(*carry).alias("_row"),
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"),
         _source_key().alias("key"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        digest(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), SEED).alias("_draw"),
-        unit(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), SEED + " shard").alias("_unit"),
-    )
+        draw.alias("_id"),
+    ).select("_row", "key", "size", digest("_id", SEED).alias("_draw"), unit("_id", SEED + " shard").alias("_unit"))
     slim = stage(sized.select("key", "size", "_draw", "_unit"), "sized")
-    if tuple(carry) == ("doc_id",):
+    if list(carry) == ["doc_id"]:
         sized = slim = stage(sized, "sized")
     sources = stage(
         _with_targets(slim.groupBy("key").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))), "sources"
     )
-    return _place(sized, slim, sources, carry)
+    return _place(sized, slim, sources)
 
 
-def _place(sized: DataFrame, slim: DataFrame, sources: DataFrame, carry: Sequence[str]) -> DataFrame:
+def _place(sized: DataFrame, slim: DataFrame, sources: DataFrame) -> DataFrame:
     shards_of = F.greatest(
         F.lit(1), F.ceil(F.col("words") / SHARD_WORDS), F.ceil(F.col("rows") / SHARD_ROWS)
     ).cast("long")
@@ -172,15 +178,11 @@ def _place(sized: DataFrame, slim: DataFrame, sources: DataFrame, carry: Sequenc
     wrapped = (F.col("run_start") + F.col("run") - F.col("n")) * BLOCK_WORDS
     chosen = _overlap(a, b, first, last) + _overlap(a, b, F.lit(0).cast("long"), wrapped)
     taken = F.least(F.col("rounds") * F.col("size") + chosen, MOST * F.col("size"))
-    return placed.select(
-        *[F.col("_row")[name].alias(name) for name in carry], "size", "source_size", "target", taken.alias("taken")
-    )
+    return placed.select("_row", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken, to the nearest whole copy."""
-    names = docs.columns
-    taken = mix(docs, names)
+    taken = _mixed(docs, docs.columns)
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(0)
-    repeated = taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies)))
-    return repeated.select(*names)
+    return taken.select("_row", F.explode(F.array_repeat(F.lit(0), copies))).select("_row.*")

@@ -28,11 +28,11 @@ def _apportion(name: str, children: str, parent: str, child: str, votes: str, se
 
 
 _B = mixing.BLOCK_WORDS
+_DRAWN = "(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')))"
 MIXING = f"""WITH sized AS MATERIALIZED (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-         md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS draw,
-         {_unit("coalesce(doc_id::VARCHAR, '')", mixing.SEED + ' shard')} AS unit FROM documents),
+         md5('{mixing.SEED}:' || {_DRAWN}) AS draw, {_unit(_DRAWN, mixing.SEED + ' shard')} AS unit FROM documents),
 weighed AS MATERIALIZED (
   SELECT *, {mixing.MOST} * words AS cap, list_extract({list(mixing.WEIGHTS)}, 1 + ((row_number() OVER (ORDER BY key) - 1) % 3)::INT) AS weight
   FROM (SELECT key, sum(size)::BIGINT AS words, count(*) AS rows FROM sized GROUP BY key)),

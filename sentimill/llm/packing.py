@@ -14,7 +14,7 @@ Carrying it out is a lookup: pieces are ranked within their length (range-partit
 hot length is spread over tasks), and the plan says which sequence and offset each rank has.
 
 Null and empty texts give one piece holding the end id only.  Special-token strings in a text are
-ordinary text.  Repeated rows are packed each.  Columns other than doc_id and text are not read; a null
+their own ids, as the tokenizer has them.  Repeated rows are packed each.  Columns other than doc_id and text are not read; a null
 doc_id is kept.
 """
 
@@ -48,7 +48,7 @@ def _byte_of_char() -> dict[str, int]:
 class Encoder:
     """Token ids by a byte-level vocabulary file of the tokenizers library.
 
-    The ids are those of ``tokenizers`` with ``encode_special_tokens``; the merging itself is left to tiktoken,
+    The ids are those of ``tokenizers``, strings of special tokens included; the merging itself is left to tiktoken,
     which applies the same ranks several times faster.
     """
 
@@ -57,16 +57,16 @@ class Encoder:
 
         with open(vocabulary, encoding="utf-8") as file:
             content = json.load(file)
-        special = {token["content"] for token in content["added_tokens"]}
+        special = {token["content"]: token["id"] for token in content["added_tokens"]}
         of = _byte_of_char()
         ranks = {
             bytes(of[c] for c in token): rank for token, rank in content["model"]["vocab"].items() if token not in special
         }
-        self._encoding = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._encoding = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        return self._encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:

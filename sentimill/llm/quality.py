@@ -12,7 +12,7 @@ Score: the exact cosine of a document with every labelled vector, in blocks; the
 cosine as weight.  A document none of them resembles has the share of label 1 among all labels.
 
 Null texts count as empty.  Labels that are null, or of documents without an id or in the held-out third, are not learned
-from; a document labelled twice counts twice; without labels all scores are 0.5.  A null doc_id is scored; other columns are
+from; a label repeated for a document counts once in the vectors, and of texts with one id a single one does; without labels all scores are 0.5.  A null doc_id is scored; other columns are
 not read.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentimill.llm.common import is_held_out, map_batches
-from sentimill.llm.text_features import CHUNK, class_sample, document_frequencies, gram_places, inverse, learnable
+from sentimill.llm.text_features import CHUNK, document_frequencies, gram_places, inverse, labelled_sample, learnable
 
 BITS = 12
 GRAMS = 1 << BITS
@@ -106,10 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     marks = learnable(labels).filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("label"))
     shares = {row["label"]: row["count"] for row in marks.groupBy("label").count().collect()}
     prior = shares.get(1, 0) / sum(shares.values()) if shares else 0.5
-    # Ids and labels are drawn first, so only the texts of the sample are joined.
-    drawn = class_sample(marks, "label", rows)
-    sample = texts.join(drawn, "doc_id").select("text", "label").collect() if shares else []
-    sample = sorted((row["label"], row["text"] or "") for row in sample)
+    sample = labelled_sample(texts, marks, "label", rows) if shares else []
     n, frequencies = document_frequencies(texts, term_counts, PLACES)
     empty = np.zeros((0, RANK), np.float32)
     model = Model(inverse(n, frequencies), np.zeros((PLACES, RANK), np.float32), empty, np.zeros(0), prior)

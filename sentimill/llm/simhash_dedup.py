@@ -26,7 +26,6 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentimill.llm import near_copies
 from sentimill.llm.common import map_batches
 from sentimill.llm.components import connected_components
 from sentimill.plans.staging import stage
@@ -67,19 +66,18 @@ def fingerprint_of(text: str | None) -> int:
     return int(np.packbits(majority, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
+    """The columns ``keep`` (names and types) and fp, the fingerprint as a signed long."""
+    names = [column.split()[0] for column in keep.split(", ")]
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             values = [fingerprint_of(t) for t in frame.column("text").to_pylist()]
             signed = np.array(values, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [frame.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"]
-            )
+            yield pa.RecordBatch.from_arrays([*[frame.column(n) for n in names], pa.array(signed)], names=[*names, "fp"])
 
-    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(columns, batches, "doc_id long, fp long")
+    kinds = [F.col(column.split()[0]).cast(column.split()[1]) for column in keep.split(", ")]
+    return map_batches(docs.select(*kinds, "text"), batches, f"{keep}, fp long")
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -120,17 +118,22 @@ def links(fps: DataFrame) -> DataFrame:
     return pairs.union(_within_two_bits(crowded)).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable."""
-    nodes = stage(fingerprints(docs), "fingerprints")
+def rooted(nodes: DataFrame) -> DataFrame:
+    """fp, first_doc (its smallest doc_id) and root (a fingerprint that names its component) of all fingerprints, written."""
     different = stage(nodes.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "different")
     roots = connected_components(links(different.select("fp")), "a", "b")
-    linked = stage(
+    return stage(
         different.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
             "fp", "first_doc", F.coalesce("root", "fp").alias("root")
         ),
         "rooted",
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable."""
+    nodes = stage(fingerprints(docs), "fingerprints")
+    linked = rooted(nodes)
     names = linked.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     by_fp = linked.select("fp", "root").join(names, "root").select("fp", "component_id")
     return nodes.join(by_fp, "fp").select(
@@ -138,19 +141,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, words: int = near_copies.WORDS, least: float = near_copies.LEAST) -> DataFrame:
-    """One row of each group of near copies, by shingles of ``words`` words and a similarity of at least ``least``.
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component of near duplicates.
 
-    The row with the smallest doc_id is kept (rows without one come last), then the one with the smallest hash of its text.
-    Groups are told apart by their texts, so rows that share a doc_id and belong to different groups are kept each.
+    The row with the smallest doc_id is kept (rows without one come last), then the one with the smallest hash of its text, and any one of repeated
+    rows.  Rows that share a doc_id and belong to different components are kept each.
     """
-    roots = near_copies.rooted(docs, words, least)
-    ids = docs.select("doc_id", near_copies.text_hash().alias("hash"))
-    order = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "hash"))
-    won = ids.join(roots, "hash").groupBy("root").agg(order.alias("won")).select("won.doc_id", "won.hash")
-    won = won.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == near_copies.text_hash())
-    rows = docs.join(won, same, "left_semi")
-    # Repeated rows of the document that was kept: the least of them.
-    rest = F.min(F.struct(*docs.columns)).alias("row")
-    return rows.groupBy("doc_id", F.coalesce("text", F.lit("")).alias("_text")).agg(rest).select("row.*")
+    # The rows travel as one column, so names and types of the others do not matter.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").isNull().alias("nameless"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("hash"), "text",
+    )
+    nodes = stage(fingerprints(rows, "nameless boolean, doc_id long, hash string"), "fingerprints")
+    least = F.min(F.struct("nameless", "doc_id", "hash")).alias("one")
+    firsts = nodes.groupBy("fp").agg(least)
+    won = firsts.join(rooted(nodes).select("fp", "root"), "fp").groupBy("root").agg(F.min("one").alias("one")).select("one.*")
+    key = ["nameless", "doc_id", "hash"]
+    return rows.select("row", *key).join(won, key).groupBy(*key).agg(F.first("row").alias("row")).select("row.*")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentimill.llm.common import is_held_out, map_batches
+from sentimill.plans.staging import stage
 
 #: Longest stretch of a text that is turned into numbers at once.
 CHUNK = 1 << 20
@@ -69,26 +70,47 @@ def learnable(docs: DataFrame) -> DataFrame:
 CLASS_ROWS = 5
 
 
-def water_level(counts: list[int], size: int) -> int:
-    """The most rows of a class such that classes cut to it have about ``size`` rows; what small classes leave goes to the others."""
-    left = size
-    for i, n in enumerate(sorted(counts)):
-        share = left // (len(counts) - i)
-        if n > share:
+def water_level(counts: list[tuple[int, int]], size: int) -> int:
+    """The most rows of a class such that classes cut to it have about ``size`` rows; what small classes leave goes to the others.
+
+    ``counts``: (rows, number of classes with so many).
+    """
+    left, classes = size, sum(n for _, n in counts)
+    for rows, n in sorted(counts):
+        share = left // classes
+        if rows > share:
             return max(CLASS_ROWS, share)
-        left -= n
-    return max([CLASS_ROWS, *counts])
+        left -= rows * n
+        classes -= n
+    return max([CLASS_ROWS, *[rows for rows, _ in counts]])
 
 
 def class_sample(rows: DataFrame, label: str, size: int) -> DataFrame:
-    """At most ``size`` rows and ``CLASS_ROWS`` more for each value of ``label``; every value has rows in it.
+    """At most ``size`` different rows and ``CLASS_ROWS`` more for each value of ``label``, written; every value has rows in it.
 
-    Small classes are taken whole, the others have equal shares of what is left.  Rows are drawn by their hash, the same in every run.
+    ``rows`` are narrow: keys and labels, no texts.  Small classes are taken whole, the others have equal shares of what is left.  Rows are drawn by
+    their hash, the same in every run.  Only rows whose hash is below a cut, about twice a class's quota, are ranked.
     """
-    counted = rows.groupBy(label).count().collect()
-    if not counted:
-        return rows.limit(0)
-    each = water_level([row["count"] for row in counted], size)
+    sizes = stage(rows.groupBy(label).agg(F.count("*").alias("_n")), "class-sizes")
+    # Larger classes are alike for the level, so few different sizes come to the driver.
+    alike = sizes.groupBy(F.least("_n", F.lit(size)).alias("rows")).agg(F.count("*").alias("classes")).collect()
+    each = water_level([(r["rows"], r["classes"]) for r in alike], size)
+    cut = sizes.select(label, (F.lit(float(2 * each + 20)) / F.col("_n")).alias("_cut"))
     draw = F.xxhash64(*[F.col(c) for c in rows.columns], F.lit("sample"))
+    drawn = rows.join(cut, label).withColumn("_draw", draw).filter(F.col("_draw") / 2.0**64 + 0.5 < F.col("_cut"))
     place = F.row_number().over(Window.partitionBy(label).orderBy("_draw", *[c for c in rows.columns if c != label]))
-    return rows.withColumn("_draw", draw).withColumn("_place", place).filter(F.col("_place") <= each).select(*rows.columns)
+    ranked = drawn.distinct().withColumn("_place", place).filter(F.col("_place") <= each)
+    return stage(ranked.select(*rows.columns), "drawn")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> list[tuple[int, str]]:
+    """(label, text) of documents drawn from ``labels`` (doc_id and a label of few values).
+
+    The draw is bounded by ``size`` and ``CLASS_ROWS`` a value, so it is broadcast and no text is shuffled but those drawn.  Each drawn id has
+    one text: of repeated ids the one with the least hash.
+    """
+    drawn = class_sample(labels.select("doc_id", label), label, size)
+    met = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    rows = met.groupBy("doc_id", label).agg(least).select(label, "one.text").collect()
+    return sorted((row[label], row["text"] or "") for row in rows)

@@ -1,14 +1,15 @@
 """Exact top-k inner products by no-random-access aggregation.
 
 Every component of the vectors is a sorted list (by value, read downwards for a positive query component and upwards
-for a negative one).  All lists are read in step to a depth.  A candidate's score is then bounded: entries
+for a negative one).  First all lists are read in step to ``DEPTH``.  A candidate's score is then bounded: entries
 read count as they are; an entry not read is at best the value the list stands at, at worst the list's last.
-Reading stops for a query when so few candidates have an upper bound that reaches its k-th best lower bound that the
-others cannot qualify; those few are then scored.  At full depth the bounds are the scores themselves.
+Then reading goes on list by list, those first whose unread rest can move a score most, a few lists at a time; entries of candidates whose upper
+bound is below the k-th best lower bound are passed over, for those cannot qualify.  Reading stops for a query when few candidates are
+left; only their scores are resolved.  When all lists are read the bounds are the scores themselves.
 
-The bounds of a whole pack of queries against a block are two products each: of the positive and of the negative query
+The bounds of a whole pack of queries at ``DEPTH`` are two products each: of the positive and of the negative query
 components with the block's values clipped at the lists' positions.  The k-th best of earlier blocks is a
-lower bound from the start, so later blocks are read less deep.
+lower bound from the start, so later blocks are read less far.
 
 Components become floor(256 * x).  Vectors that are null, empty or hold null or non-finite components take no part, nor do
 rows with a null vec_id; vectors meet those of their own length only.  Ties go to the smaller vec_id; repeated rows are
@@ -25,8 +26,9 @@ from sentimill.llm.vectors import Best, search, usable
 
 K = 5
 SCALE = 256
-#: Shares of the lists read by the end of each round.
-DEPTHS = (1 / 8, 1 / 4, 1 / 2)
+#: Share of all lists that is read in step, and lists that are then read together.
+DEPTH = 1 / 2
+LISTS = 4
 #: So many candidates for each wanted result may be left when reading stops.
 LEFT = 16
 _EXACT = 2.0**53
@@ -47,8 +49,8 @@ def _bounds(up: np.ndarray, down: np.ndarray, vectors: np.ndarray, lists: np.nda
     return most, least
 
 
-def aggregate(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, best: Best) -> None:
-    """Add a block's best to ``best``."""
+def aggregate(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, best: Best, work: dict[str, int] | None = None) -> None:
+    """Add a block's best to ``best``; ``work`` counts entries read and passed over beyond ``DEPTH``, and scores resolved."""
     k = best.k
     if np.abs(queries).max() * np.abs(vectors).max() * vectors.shape[1] >= _EXACT:
         scores = _scores_of_any_size(queries, vectors)
@@ -56,34 +58,40 @@ def aggregate(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, best: B
             best.add(q, scores[q][ids != own], ids[ids != own])
         return
     lists = np.sort(vectors, axis=0)
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    own = ids[None, :] == best.query_ids[:, None]
-    floors = np.array([best.floor(q) for q in range(len(queries))])
-    active = np.arange(len(queries))
-    for depth in [int(len(ids) * share) for share in DEPTHS]:
-        if not len(active) or depth < 1:
-            break
-        most, least = _bounds(up[active], down[active], vectors, lists, depth)
-        most[own[active]] = -np.inf
-        least[own[active]] = -np.inf
-        reached = floors[active]
-        if least.shape[1] > k:
-            reached = np.maximum(reached, np.partition(least, least.shape[1] - k, axis=1)[:, -k])
-        left = most >= reached[:, None]
-        done = left.sum(axis=1) <= LEFT * k
-        for row in np.flatnonzero(done):
-            some = np.flatnonzero(left[row] & ~own[active[row]])
-            scores = vectors[some] @ queries[active[row]]
-            best.add(int(active[row]), scores.astype(np.int64), ids[some])
-        active = active[~done]
-    if len(active):
-        scores = queries[active] @ vectors.T
-        for row, q in enumerate(active):
-            some = np.flatnonzero((scores[row] >= floors[q]) & ~own[q])
-            if len(some) > k:
-                edge = np.partition(scores[row][some], len(some) - k)[-k]
-                some = some[scores[row][some] >= edge]
-            best.add(int(q), scores[row][some].astype(np.int64), ids[some])
+    depth = int(len(ids) * DEPTH)
+    high, low = lists[len(ids) - 1 - depth], lists[depth]
+    most, least = _bounds(np.maximum(queries, 0), np.minimum(queries, 0), vectors, lists, depth)
+    by_list = np.ascontiguousarray(vectors.T)
+    for q, query in enumerate(queries):
+        some = np.flatnonzero(ids != best.query_ids[q])
+        upper, lower, floor = most[q, some], least[q, some], best.floor(q)
+        # The unread part of a list lies between its frontier and its last entry.
+        rest = np.where(query > 0, query * (high - lists[0]), query * (low - lists[-1]))
+        order, at = np.argsort(-rest, kind="stable"), 0
+        while True:
+            if len(lower) > k:
+                floor = max(floor, np.partition(lower, len(lower) - k)[-k])
+            left = upper >= floor
+            some, upper, lower = some[left], upper[left], lower[left]
+            if len(some) <= LEFT * k or at >= len(order):
+                break
+            for j in order[at : at + LISTS]:
+                value, x = by_list[j][some], query[j]
+                if x > 0:
+                    upper += x * np.minimum(value - high[j], 0.0)
+                    lower += np.where(value > high[j], 0.0, x * (value - lists[0, j]))
+                elif x < 0:
+                    upper += x * np.maximum(value - low[j], 0.0)
+                    lower += np.where(value < low[j], 0.0, x * (value - lists[-1, j]))
+            if work is not None:
+                work["read"] += len(some) * len(order[at : at + LISTS])
+            at += LISTS
+        if work is not None:
+            work["all"] += len(ids) * len(order)
+            work["resolved"] += len(some)
+            work["pairs"] += len(ids)
+        scores = vectors[some] @ query
+        best.add(q, scores.astype(np.int64), ids[some])
 
 
 def _scaled(scale: int):

@@ -6,21 +6,23 @@ is at least ``CUE_RATIO`` times their share of the others.
 
 Model: P(grade > j) = logistic(w . x - threshold_j) with one weight vector for all thresholds, and thresholds in order.  x is
 ln(1 + count) of the known terms, words and word beginnings.  Known are the terms of the sample whose log-likelihood ratio between toxic and
-other documents is at least ``EVIDENCE``.  It is fitted by accelerated proximal gradient steps with an L1 penalty, which leaves
-only words with evidence, on at most ``FIT_ROWS`` labelled rows (and five more a class at most; an equal share of each label),
+other documents is at least ``EVIDENCE``.  It is fitted by the likelihood of the grades, whose terms are differences of neighbouring P(grade > j),
+with an L1 penalty, which leaves only words with evidence, on at most ``FIT_ROWS`` labelled rows (and five more a class at most; an equal share of each label),
 outside the held-out third.  The equal share is undone in the thresholds' weights, so probabilities are those of the corpus.
 
 Severity is the expected grade, the sum of P(grade > j), from 0 to 3; ``toxic`` is 1 if P(grade > 0) is at least 0.5.
 The model sent to tasks holds the words of the sample only, so its size is bounded.
 
 Null and empty texts have no words and get the severity of the thresholds alone.  Null labels, and labels of documents
-without an id, are not learned from; without labels of both kinds every severity is 0.  Repeated rows count each; a null doc_id is scored;
+without an id, are not learned from; without labels of both kinds every severity is 0.  A repeated label counts once, and of texts
+with one id a single one is learned from; repeated rows have a severity each; a null doc_id is scored;
 other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,14 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentimill.llm.common import is_held_out, map_batches
-from sentimill.llm.text_features import class_sample, learnable
+from sentimill.llm.text_features import labelled_sample, learnable
 
 FIT_ROWS = 6000
 BEGINNINGS = (4, 5)
 EVIDENCE = 25.0
 CUE_RATIO = 8.0
 L1 = 1e-4
-STEPS = 400
+#: The fit ends when no slope of the penalised loss is above this, a tenth of the penalty, or with a warning after so many steps.
+SLOPE = 1e-5
+MOST_STEPS = 5000
 GRADES = 3
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -99,32 +103,86 @@ class _Sparse:
         return np.bincount(self.column, self.value * r[self.row], self.shape[1])
 
 
+def _log1pexp(t: np.ndarray) -> np.ndarray:
+    return np.maximum(t, 0.0) + np.log1p(np.exp(-np.abs(t)))
+
+
+def _sigmoid(t: np.ndarray) -> np.ndarray:
+    return np.exp(-_log1pexp(-t))
+
+
+def thresholds_of(shape: np.ndarray) -> np.ndarray:
+    """The first threshold, and the logarithms of the steps to the others."""
+    return np.cumsum(np.r_[shape[:1], np.exp(shape[1:])])
+
+
+def ordinal_loss(values: np.ndarray, theta: np.ndarray, grades: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The cumulative-link likelihood: mean of -ln P(grade), its slopes by value (a row each) and by threshold.
+
+    P(grade = j) is the difference of neighbouring terms, P(grade > j - 1) - P(grade > j).
+    """
+    edges = np.r_[-np.inf, theta, np.inf]
+    a, b = values - edges[grades], values - edges[grades + 1]
+    upper, lower = _sigmoid(a), _sigmoid(b)
+    step = edges[grades + 1] - edges[grades]
+    # upper - lower, without the difference of near numbers
+    apart = -np.expm1(-step)
+    inner = np.isfinite(step)
+    loss = _log1pexp(-a) + _log1pexp(b) - np.where(inner, np.log(np.where(inner, apart, 1.0)), 0.0)
+    by_value = weight * (upper + lower - 1.0)
+    share = np.where(inner, apart, 1.0)
+    # Quotients of logistic terms; those beyond the first and the last threshold are 1.
+    to_lower = weight * np.exp(_log1pexp(b) - _log1pexp(a)) / share
+    to_upper = -weight * np.exp(_log1pexp(-a) - _log1pexp(-b)) / share
+    slopes = np.bincount(grades, to_lower, len(edges))[1:-1] + np.bincount(grades + 1, to_upper, len(edges))[1:-1]
+    return float((weight * loss).sum()), by_value, slopes
+
+
 def _fit_ordinal(x: _Sparse, grades: np.ndarray, row_weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and ordered thresholds.
+    """Shared weights and ordered thresholds of the largest penalised likelihood.
 
-    The loss is that of the binary splits grade > j, which share the weights.
+    Accelerated proximal gradient steps with backtracking, until no slope of the penalised loss is above ``SLOPE``.
     """
-    over = (grades[:, None] > np.arange(GRADES)[None, :]).astype(float)
     weight = row_weights / row_weights.sum()
-
-    share = np.clip((weight[:, None] * over).sum(axis=0), 1e-6, 1 - 1e-6)
-    w, theta = np.zeros(x.shape[1]), np.sort(np.log((1 - share) / share))
-    ahead_w, ahead_theta, pace = w, theta, 1.0
-    # Each place has its own step: a diagonal that dominates the curvature.
+    over = np.array([(weight * (grades > j)).sum() for j in range(GRADES)])
+    start = np.clip(over, 1e-6, 1 - 1e-6)
+    theta = np.log((1 - start) / start)
+    shape = np.r_[theta[:1], np.log(np.maximum(np.diff(theta), 1e-2))]
+    columns = x.shape[1]
+    # Each place has a step of its own: a diagonal that dominates the curvature by value, which is 1/2 at most.
     reach = np.bincount(x.row, np.abs(x.value), x.shape[0]) + 1.0
-    bent = np.bincount(x.column, np.abs(x.value) * (weight * reach)[x.row], x.shape[1])
-    step, theta_step = 1.0 / (0.25 * GRADES * np.maximum(bent, 1e-12)), 1.0 / (0.25 * (weight * reach).sum())
-    for _ in range(STEPS):
-        p = 1.0 / (1.0 + np.exp(np.clip(ahead_theta[None, :] - x.times(ahead_w)[:, None], -60, 60)))
-        error = (p - over) * weight[:, None]
-        moved = ahead_w - step * x.transposed_times(error.sum(axis=1))
-        new_w = np.sign(moved) * np.maximum(np.abs(moved) - step * L1, 0)
-        new_theta = np.sort(ahead_theta + theta_step * error.sum(axis=0))
+    bent = np.bincount(x.column, np.abs(x.value) * (weight * reach)[x.row], columns)
+    scale = np.r_[1.0 / (0.5 * np.maximum(bent, 1e-9)), np.full(GRADES, 1.0 / (0.5 * (weight * reach).sum()))]
+    penalty = np.r_[np.full(columns, L1), np.zeros(GRADES)]
+
+    def loss(at: np.ndarray) -> tuple[float, np.ndarray]:
+        edges = thresholds_of(at[columns:])
+        value, by_value, by_edge = ordinal_loss(x.times(at[:columns]), edges, grades, weight)
+        # A threshold moves with every step before it.
+        later = np.cumsum(by_edge[::-1])[::-1]
+        return value, np.r_[x.transposed_times(by_value), later[0], later[1:] * np.exp(at[columns + 1 :])]
+
+    now = np.r_[np.zeros(columns), shape]
+    ahead, pace, length = now, 1.0, 1.0
+    for _ in range(MOST_STEPS):
+        value, slope = loss(ahead)
+        while True:
+            moved = ahead - length * scale * slope
+            new = np.sign(moved) * np.maximum(np.abs(moved) - length * scale * penalty, 0.0)
+            change = new - ahead
+            bound = value + slope @ change + (change * change / scale).sum() / (2 * length)
+            if length < 1e-9 or loss(new)[0] <= bound + 1e-12:
+                break
+            length /= 2
+        steepest = np.abs(change / (length * scale)).max(initial=0.0)
+        if steepest <= SLOPE:
+            return new[:columns], thresholds_of(new[columns:])
+        if change @ (new - now) < 0:
+            pace = 1.0  # the last push went the wrong way
         new_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        push = (pace - 1) / new_pace
-        ahead_w, ahead_theta = new_w + push * (new_w - w), new_theta + push * (new_theta - theta)
-        w, theta, pace = new_w, new_theta, new_pace
-    return w, np.sort(theta)
+        ahead, now, pace, length = new + (pace - 1) / new_pace * (new - now), new, new_pace, length * 1.1
+    warnings.warn(f"the steepest slope is {steepest:.1e} after {MOST_STEPS} steps", stacklevel=2)
+    return now[:columns], thresholds_of(now[columns:])
 
 
 def fit_texts(sample: list[tuple[int, str]], prior: float) -> Model:
@@ -160,9 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     shares = {row["label"]: row["count"] for row in marks.groupBy("label").count().collect()}
     if len(shares) < 2:
         return Model()
-    drawn = class_sample(marks, "label", rows)
-    sample = docs.select("doc_id", "text").join(drawn, "doc_id").select("text", "label").collect()
-    return fit_texts(sorted((row["label"], row["text"] or "") for row in sample), shares[1] / sum(shares.values()))
+    return fit_texts(labelled_sample(docs, marks, "label", rows), shares[1] / sum(shares.values()))
 
 
 def severity(docs: DataFrame, model: Model) -> DataFrame:

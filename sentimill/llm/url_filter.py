@@ -182,10 +182,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, defau
     """page_id, host, path, rule and verdict of every row."""
     # Longest first, so the least number among those that fit decides.
     ranked = sorted(rules, key=lambda rule: -len(rule[1] + rule[2]))
-    shared = pages.sparkSession.sparkContext.broadcast(build(rule_globs(ranked)))
+    shared = pages.sparkSession.sparkContext.broadcast(vars(build(rule_globs(ranked))))
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        automaton = Automaton(**shared.value)
         for frame in frames:
             hosts, paths = frame.column("host").to_pylist(), frame.column("path").to_pylist()
             fits = [min(f, default=-1) for f in automaton.run([h + p for h, p in zip(hosts, paths, strict=True)])]

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from sentimill.llm.common import batch_rows
 from sentimill.plans.staging import stage
 
+#: Most rows and bytes of a block of candidates, and rows of a pack of queries.
 BLOCK_ROWS = 4096
+BLOCK_BYTES = 1 << 24
 PACK_ROWS = 1024
 
 
@@ -33,8 +35,8 @@ def usable(vectors: DataFrame, non_zero: bool = False) -> DataFrame:
     return named.filter(F.col("vec_id").isNotNull() & wanted)
 
 
-def packed(rows: DataFrame, size: int) -> DataFrame:
-    """dim, ids and vectors (raw int64 and float64) of up to ``size`` rows of one length each, packed where they lie."""
+def packed(rows: DataFrame, most: int) -> DataFrame:
+    """dim, ids and vectors (raw int64 and float64) of up to ``most`` rows and ``BLOCK_BYTES`` of one length each, packed where they lie."""
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -56,6 +58,7 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
             for dim in np.unique(lengths):
                 own = np.flatnonzero(lengths == dim)
                 matrix = values[(ends[own] - dim)[:, None] + np.arange(dim)].astype(np.float64)
+                size = min(most, max(1, BLOCK_BYTES // (8 * int(dim))))
                 for at in range(0, len(own), size):
                     have = sum(len(p[0]) for p in waiting.get(int(dim), []))
                     if have + len(own[at : at + size]) > size:
@@ -107,15 +110,19 @@ class Best:
 Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, Best], None]
 
 
-def search(rows: DataFrame, is_query: Column, kernel: Kernel, k: int, score_type: str) -> DataFrame:
+def search(
+    rows: DataFrame, is_query: Column, kernel: Kernel, k: int, score_type: str, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """query_id, rank, vec_id and score of the best ``k`` candidates of every query.
 
     ``kernel(queries, ids, vectors, best)`` adds to ``best`` what a block of candidates can contribute;
-    it must leave out the row that has the query's own id.
+    it must leave out the rows that have the query's own id.  Of several query rows with one id, the one with the least hash of its vector asks.
     """
     spark = rows.sparkSession
-    blocks = stage(packed(rows, BLOCK_ROWS).withColumn("_at", F.monotonically_increasing_id()), "blocks")
-    packs = stage(packed(rows.filter(is_query), PACK_ROWS).withColumn("pack", F.monotonically_increasing_id()), "packs")
+    asking = rows.filter(is_query).groupBy("vec_id").agg(F.min(F.struct(F.xxhash64("vector"), "vector")).alias("one"))
+    asking = asking.select("vec_id", "one.vector")
+    blocks = stage(packed(rows, block_rows).withColumn("_at", F.monotonically_increasing_id()), "blocks")
+    packs = stage(packed(asking, PACK_ROWS).withColumn("pack", F.monotonically_increasing_id()), "packs")
     n = blocks.count()
     groups = max(1, min(n, max(2 * spark.sparkContext.defaultParallelism, n // 16)))
     dealt = blocks.withColumn("g", F.pmod(F.xxhash64("_at"), F.lit(groups)).cast("int")).drop("_at")

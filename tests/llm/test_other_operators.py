@@ -67,6 +67,28 @@ def test_mixing_odd_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixed_documents_with_clashing_columns(spark):
+    docs = spark.createDataFrame(ODD, DOC)
+    for name in ("size", "taken", "target", "source_size", "_row", "_copy", "_draw"):
+        docs = docs.withColumn(name, F.lit(name))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    plain = mixing.mixed_documents(docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    assert mixed.select(*plain.columns).exceptAll(plain).count() == 0 and mixed.count() == plain.count()
+
+
+def test_rows_without_an_id_are_many_shards(spark):
+    docs = spark.range(4000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("w"), "id").alias("text"), F.lit("one").alias("source")
+    )
+    units = mixing.mix(docs)
+    assert units.count() == 4000
+    plan = docs.select(mixing.unit(F.concat_ws(":", F.lit(""), F.md5("text")), mixing.SEED + " shard").alias("u"))
+    assert plan.select(F.floor(F.col("u") * 8)).distinct().count() == 8
+    again = mixing.mix(docs)
+    assert again.exceptAll(units).count() == 0
+
+
 def test_hot_source_is_split(spark):
     docs = spark.range(3000).select(
         F.col("id").alias("doc_id"), F.lit("w " * 20).alias("text"), F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("source")
@@ -178,6 +200,34 @@ def test_raw_elements_without_an_end_drop_nothing(tag):
     assert page.extract(None) == "one two"
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "comment-list", "comments-area", "user-comments-section", "sidebar-left", "ad-container", "advert-slot", "related-posts",
+        "share-buttons", "cookie-notice-bar", "newsletter-box", "social-links", "banner-top",
+    ],
+)
+def test_boilerplate_is_known_by_any_part_of_its_name(name):
+    inner = f"<h1>Head</h1><p>the text of it</p><div class='{name}'><p>other</p></div><p>more of the text</p>"
+    for page in (f"<body><article>{inner}</article></body>", f"<body><div>{inner}</div></body>", f"<body>{inner}</body>"):
+        assert html_extract.Page(page).extract(None) == "Head the text of it more of the text"
+
+
+def test_references_end_with_their_element():
+    for source, text in (("AT&<b>amp;</b>T", "AT&amp;T"), ("&<i>lt;</i>", "&lt;"), ("a&amp;<b>&lt;</b>&#x41;", "a&<A")):
+        assert html_extract.Page(f"<body><p>{source}</p></body>").extract(None) == text
+
+
+def test_an_article_in_links_keeps_its_text():
+    page = "<body><nav><a>menu</a></nav><article><p><a href=x>all of the text</a></p><p><a href=y>stands in links</a></p></article></body>"
+    assert html_extract.Page(page).extract(None) == "all of the text stands in links"
+
+
+def test_containers_deep_down_have_paths_of_their_own():
+    page = html_extract.Page("<body>" + "<div>" * 60 + "<div class=a><p>one</p></div><div class=b><p>two</p></div>")
+    assert len(set(page.paths)) == len(page.paths)
+
+
 # Vectors -------------------------------------------------------------------------------------
 
 VECTOR = "vec_id long, embedding array<float>"
@@ -216,6 +266,52 @@ def test_top_k_is_exact(spark):
     assert topk_exact.top_k(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_a_repeated_query_id_asks_once(spark):
+    rows = [(i, [float(x) for x in np.random.default_rng(i).normal(size=4)]) for i in range(1, 30)] + [(20, [1.0, 0.0, 0.0, 0.0]), (20, [0.0, 9.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, VECTOR)
+    for found, k in ((topk_exact.top_k(df, F.col("vec_id") % 20 == 0), 5), (ann.nearest(df, F.col("vec_id") % 20 == 0), 20)):
+        rows_found = found.orderBy("rank").collect()
+        assert [r["rank"] for r in rows_found] == list(range(1, k + 1))
+        assert len({r.vec_id for r in rows_found}) == k and all(r.query_id == 20 != r.vec_id for r in rows_found)
+
+
+def unit_vectors(n, dim):
+    vectors = np.random.default_rng(6).normal(size=(n, dim))
+    return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+
+
+def test_reading_stops_before_most_scores():
+    """Exact results, and no full product: few entries are read beyond the common depth, fewer scores are resolved."""
+    from sentimill.llm.vectors import Best
+
+    vectors, ids = np.floor(256 * unit_vectors(12_000, 32)), np.arange(12_000)
+    asked = vectors[::600]
+    best, work = Best(ids[::600], 5, np.int64), {"read": 0, "all": 0, "resolved": 0, "pairs": 0}
+    for at in range(0, 12_000, 4096):
+        topk_exact.aggregate(asked, ids[at : at + 4096], vectors[at : at + 4096], best, work)
+    for q, own in enumerate(ids[::600]):
+        scores = vectors @ asked[q]
+        order = [i for i in np.lexsort((ids, -scores)) if i != own][:5]
+        assert best.found[q][1].tolist() == order and best.found[q][0].tolist() == scores[order].tolist()
+    assert work["read"] < 0.4 * work["all"] and work["resolved"] < 0.1 * work["pairs"]
+
+
+def test_few_vectors_are_verified():
+    from sentimill.llm.vectors import Best
+
+    vectors, ids = unit_vectors(20_000, 64), np.arange(20_000)
+    asked = vectors[:20_000:1000]
+    best, work = Best(ids[::1000], 20, np.float64), {"verified": 0, "pairs": 0}
+    for at in range(0, 20_000, ann.BLOCK_ROWS):
+        ann.count_collisions(asked, ids[at : at + ann.BLOCK_ROWS], vectors[at : at + ann.BLOCK_ROWS], best, 1.0, work)
+    hits = 0
+    for q, own in enumerate(ids[::1000]):
+        scores = vectors @ asked[q]
+        hits += len(set(best.found[q][1].tolist()) & {i for i in np.argsort(-scores)[:21].tolist() if i != own})
+    assert hits >= 0.9 * 20 * len(asked)
+    assert work["pairs"] == 20 * 19_999 and work["verified"] < 0.2 * work["pairs"]
+
+
 def test_bounds_hold_the_scores():
     rnd = np.random.default_rng(2)
     queries_, vectors = rnd.integers(-50, 50, (7, 6)).astype(float), rnd.integers(-50, 50, (90, 6)).astype(float)
