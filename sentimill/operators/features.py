@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentimill.plans.running import running_totals
 from sentimill.plans.skew import lookup
 
 
@@ -39,6 +40,18 @@ def term_counts(docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = ())
     )
 
 
+def known_terms(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """Counts of a model's terms; a term is hot by the rows that are joined, whatever it was in training."""
+    rows = counts.groupBy("term").agg(F.count("*").alias("_rows"))
+    return lookup(counts, terms.join(rows, "term"), ["term"], "_rows", [key]).drop("_rows")
+
+
+def dictionary(counted: DataFrame) -> DataFrame:
+    """Add ``id``: the terms (one row each) numbered from 0 in their order, without a global sort."""
+    ordered = running_totals(counted.withColumn("_one", F.lit(1)), ["term"], {"_until": "_one"})
+    return ordered.withColumn("id", (F.col("_until") - 1).cast("int")).drop("_one", "_until")
+
+
 def document_total(docs: DataFrame) -> Column:
     """Number of documents, as a value computed inside the query."""
     return docs.agg(F.count("*")).scalar()

@@ -1,214 +1,260 @@
-"""Linear classifiers on TF-IDF vectors with MLlib."""
+"""Linear classifiers on TF-IDF vectors: fits to a closed duality gap, scoring, cross-validation and searches.
+
+A fitted model is a table of terms, so scoring is the same join as for Naive Bayes and no vocabulary is needed in one place.  Fitting keeps one
+number per term and model on the driver; ``min_df`` says which terms there are.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentimill.operators import dual
+from sentimill.operators.dual import HINGE, LOG, Setting
+from sentimill.operators.features import dictionary, known_terms, term_counts
+from sentimill.operators.metrics import auc_by_group
 from sentimill.plans.cuts import stratified_folds
+from sentimill.plans.skew import lookup
 from sentimill.plans.staging import stage
 
-# A linear model keeps one weight per term on the driver; ``min_df`` says which terms it has.
-ALL_TERMS = 2**31 - 1
-# Each optimiser step is a pass over the data; these stop it when steps hardly help (fixed values).
-LR_TOLERANCE = 1e-4
-SVM_TOLERANCE = 1e-3
-ROWS_PER_PARTITION = 5000
+#: The relative gap of models that are only compared with each other.
+SEARCH_TOLERANCE = 1e-3
+SVM_ALPHA = 0.0001
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """Labelled documents as blocks of coded rows, and their terms: term, id, df and held (documents of each fold that have it)."""
+
+    blocks: DataFrame
+    terms: DataFrame
+    df: np.ndarray
+    held: np.ndarray  # fold by term
+    documents: int
+    sizes: np.ndarray  # documents of each fold
+
+    def idf(self, min_df: float = 1.0, fold: int | None = None) -> np.ndarray:
+        """Smoothed inverse document frequencies outside a fold; 0 for a term that is not in the vocabulary.
+
+        ``min_df``: 1 or more is a count, below 1 a share of the documents.
+        """
+        n = self.documents - (self.sizes[fold] if fold is not None else 0)
+        df = self.df - (self.held[fold] if fold is not None else 0)
+        least = min_df if min_df >= 1 else min_df * n
+        return np.where((df >= least) & (df > 0), np.log((n + 1.0) / (df + 1.0)) + 1.0, 0.0)
+
+
+def encode(docs: DataFrame, key: str = "doc_id", label: str = "label", folds: int = 0, seed: str = "folds") -> Corpus:
+    """Number the terms and write the documents' counts as blocks; with ``folds``, documents are dealt to stratified folds."""
+    placed = docs.select(key, F.col(label).alias("label"), "terms").filter(F.col("label").isin(0, 1))
+    if folds:
+        placed = stratified_folds(placed, key, "label", folds, seed)
+    else:
+        placed = placed.withColumn("fold", F.lit(0))
+    placed = stage(placed.withColumn("fold", F.col("fold").cast("int")), "documents")
+    postings = term_counts(placed, key, ["fold"])
+    held = F.array(*[F.count_if(F.col("fold") == f) for f in range(max(1, folds))]).alias("held")
+    terms = stage(dictionary(postings.groupBy("term").agg(F.count("*").alias("df"), held)), "dictionary")
+    coded = lookup(postings, terms.select("term", "df", "id"), ["term"], "df", [key])
+    counted = coded.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("id", "tf"))).alias("_terms"))
+    none = F.array().cast("array<struct<id:int,tf:bigint>>")
+    rows = placed.select(key, "label", "fold").join(counted, key, "left").withColumn("_terms", F.coalesce("_terms", none))
+    rows = rows.select(key, "label", "fold", F.col("_terms.id").alias("ids"), F.col("_terms.tf").alias("tfs"))
+    sizes = np.zeros(max(1, folds), dtype=np.int64)
+    for row in placed.groupBy("fold").count().collect():
+        sizes[row["fold"]] = row["count"]
+    known = terms.select("id", "df", "held").toArrow()
+    order = np.argsort(known.column("id").to_numpy())
+    frequencies = np.array(known.column("held").combine_chunks().flatten()).reshape(len(order), max(1, folds))[order].T
+    total = int(sizes.sum())
+    return Corpus(
+        dual.blocks(stage(rows, "coded"), key, total), terms, known.column("df").to_numpy()[order], frequencies, total, sizes
+    )
 
 
-class TfIdfVectors(Estimator):
-    """Array column ``terms`` to unit-length TF-IDF vectors ``features``.
+@dataclass(frozen=True)
+class LinearModel:
+    """``terms``: term, idf and weight; ``duals``: key and dual of the documents of the fit (see ``dual``)."""
 
-    MLlib's inverse document frequency lacks the ``+1`` of the smoothed form, so
-    it is added to the fitted vector.  ``min_df``: 1 or more is a count, below 1
-    a share of the documents.  Every such term has its own weight, however many
-    there are; ``hashed_terms``, if given, asks for that many shared ones instead
-    (all terms, no ``min_df``).
-    """
+    setting: Setting
+    terms: DataFrame
+    intercept: float
+    duals: DataFrame
 
-    min_df = Param(Params._dummy(), "min_df", "smallest document frequency", TypeConverters.toFloat)
-
-    def __init__(self, min_df: float = 1.0, hashed_terms: int | None = None):
-        super().__init__()
-        self._setDefault(min_df=min_df)
-        self.hashed_terms = hashed_terms
-
-    def _fit(self, docs: DataFrame) -> PipelineModel:
-        min_df = self.getOrDefault(self.min_df)
-        if self.hashed_terms:
-            counter = HashingTF(inputCol="terms", outputCol="counts", numFeatures=self.hashed_terms)
-        else:
-            counter = CountVectorizer(
-                inputCol="terms", outputCol="counts", minDF=min_df, vocabSize=ALL_TERMS
-            ).fit(docs)
-        idf = IDF(inputCol="counts", outputCol="idf").fit(counter.transform(docs)).idf
-        scale = ElementwiseProduct(
-            inputCol="counts", outputCol="weights", scalingVec=Vectors.dense(idf.toArray() + 1.0)
-        )
-        return PipelineModel([counter, scale, Normalizer(inputCol="weights", outputCol="features")])
-
-
-def logistic_regression(rows: int, c: float = 1.0) -> LogisticRegression:
+
+def logistic_setting(rows: int, c: float = 1.0) -> Setting:
     """L2 logistic regression where ``c`` weighs the summed loss of ``rows`` documents."""
-    return LogisticRegression(
-        regParam=1.0 / (c * max(rows, 1)),
-        elasticNetParam=0.0,
-        standardization=False,
-        tol=LR_TOLERANCE,
-    )
+    return Setting(LOG, 1.0 / (c * max(rows, 1)))
 
 
-def linear_svm(alpha: float = 0.0001) -> LinearSVC:
-    """Hinge loss with L2 penalty ``alpha``."""
-    return LinearSVC(regParam=alpha, standardization=False, tol=SVM_TOLERANCE)
+# Fixed value: the part of an elastic net that is L1.
+ELASTIC_SHARE = 0.15
 
 
-def _for_training(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The documents in as few partitions as their number asks for, and that number.
+def sgd_setting(loss: str, penalty: str, alpha: float) -> Setting:
+    """The model of a loss ('hinge' or 'log') and a penalty ('l2' or 'elasticnet') of weight ``alpha``."""
+    if loss not in (HINGE, LOG) or penalty not in ("l2", "elasticnet"):
+        raise ValueError(f"unknown loss or penalty: {loss}, {penalty}")
+    share = ELASTIC_SHARE if penalty == "elasticnet" else 0.0
+    return Setting(loss, alpha * (1.0 - share), alpha * share)
 
-    Every optimiser step is a job over all partitions, so a small set is not
-    left in many.  ``docs`` should be a written table: it is read many times.
-    """
-    rows = docs.count()
-    return docs.coalesce(max(1, -(-rows // ROWS_PER_PARTITION))), rows
 
+def _fit(corpus: Corpus, setting: Setting, min_df: float = 1.0, most_epochs: int = dual.MOST_EPOCHS) -> LinearModel:
+    idf = corpus.idf(min_df)
+    fit = dual.fit_many(corpus.blocks, idf, [setting], [corpus.documents], most_epochs=most_epochs)
+    spark = corpus.terms.sparkSession
+    used = np.flatnonzero(idf > 0)
+    numbers = pa.table({"id": pa.array(used, pa.int32()), "idf": idf[used], "weight": fit.weights[used, 0]})
+    weights = spark.createDataFrame(numbers)
+    terms = stage(corpus.terms.select("term", "id").join(weights, "id").select("term", "idf", "weight"), "linear-terms")
+    return LinearModel(setting, terms, float(fit.weights[-1, 0]), stage(fit.duals(), "linear-duals"))
 
-def logistic_fit(docs: DataFrame, c: float = 1.0) -> PipelineModel:
-    """Fit on ``terms`` and ``label``."""
-    docs, rows = _for_training(docs)
-    return Pipeline(stages=[TfIdfVectors(), logistic_regression(rows, c)]).fit(docs)
 
+def logistic_fit(docs: DataFrame, c: float = 1.0, key: str = "doc_id", label: str = "label") -> LinearModel:
+    """Fit on ``terms`` and ``label``."""
+    corpus = encode(docs, key, label)
+    return _fit(corpus, logistic_setting(corpus.documents, c))
 
-def svm_fit(docs: DataFrame, alpha: float = 0.0001) -> PipelineModel:
-    return Pipeline(stages=[TfIdfVectors(), linear_svm(alpha)]).fit(_for_training(docs)[0])
 
+def svm_fit(docs: DataFrame, alpha: float = SVM_ALPHA, key: str = "doc_id", label: str = "label") -> LinearModel:
+    """Hinge loss with L2 penalty ``alpha``."""
+    return _fit(encode(docs, key, label), sgd_setting(HINGE, "l2", alpha))
 
-def linear_predict(model: PipelineModel, docs: DataFrame, keep: Sequence[str] = ("doc_id", "label")) -> DataFrame:
-    """``keep``, the predicted class and, where the model has one, the probability of class 1."""
-    from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(docs)
-    margin = F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("margin")
-    columns = [*keep, F.col("prediction").cast("int").alias("predicted"), margin]
-    if "probability" in scored.columns:
-        columns.append(F.get(vector_to_array("probability"), F.lit(1)).alias("proba"))
-    return scored.select(*columns)
+def linear_predict(model: LinearModel, docs: DataFrame, keep: Sequence[str] = ("doc_id", "label"), key: str = "doc_id") -> DataFrame:
+    """``keep``, the predicted class, the margin and, for a log loss, the probability of class 1; every document is scored."""
+    weight = F.col("tf") * F.col("idf")
+    sums = (
+        known_terms(term_counts(docs, key), model.terms, key)
+        .groupBy(key)
+        .agg((F.sum(weight * F.col("weight")) / F.sqrt(F.sum(weight * weight))).alias("_sum"))
+    )
+    margin = F.lit(model.intercept) + F.coalesce("_sum", F.lit(0.0))
+    columns = list(dict.fromkeys([key, *keep]))
+    scored = docs.select(*columns).join(sums, key, "left").withColumn("margin", margin)
+    found = scored.select(*keep, (F.col("margin") > 0).cast("int").alias("predicted"), "margin")
+    return found.withColumn("proba", 1 / (1 + F.exp(-F.col("margin")))) if model.setting.loss == LOG else found
 
 
-def logistic_optimum(model: PipelineModel, docs: DataFrame, c: float = 1.0, bound: float = 1e-2) -> DataFrame:
-    """``rows, terms, is_optimal``: whether no part of the gradient at the fitted weights exceeds ``bound``.
+def optimum(
+    model: LinearModel, docs: DataFrame, key: str = "doc_id", label: str = "label", tolerance: float = 2 * dual.TOLERANCE
+) -> DataFrame:
+    """``documents, terms, relative_gap, is_optimal``: the duality gap, worked out anew from the model's weights and dual values.
 
-    The loss is convex, so this holds near the minimum only.  MLlib stops after 100 steps, which leaves about half of the
-    bound.  ``docs`` are those of the fit.
+    Nothing of the solver is used: the primal value comes from scoring ``docs`` (those of the fit), the lower bound from their vectors summed
+    with the dual values.  A model that was not trained has a gap of 1.
     """
-    from pyspark.ml.functions import vector_to_array
-
-    fitted = model.stages[-1]
-    proba = F.get(vector_to_array("probability"), F.lit(1))
-    # Summed features weighted by how far each class is off, both without a sign.
-    off = F.when(F.col("label") == 1, 1 - proba).otherwise(proba)
-    sums = {
-        row["label"]: (row["s"]["sum"].toArray(), row["r"], row["n"])
-        for row in model.transform(docs)
-        .select("label", "features", off.alias("off"))
-        .groupBy("label")
-        .agg(
-            Summarizer.metrics("sum").summary(F.col("features"), F.col("off")).alias("s"),
-            F.sum("off").alias("r"),
-            F.count("*").alias("n"),
-        )
-        .collect()
-    }
-    none = (0.0, 0.0, 0)
-    (s0, r0, n0), (s1, r1, n1) = sums.get(0, none), sums.get(1, none)
-    rows, weights = n0 + n1, fitted.coefficients.toArray()
-    gradient = (s0 - s1) / max(rows, 1) + weights / (c * max(rows, 1))
-    largest = max(abs(gradient).max(initial=0.0), abs(r0 - r1) / max(rows, 1))
+    setting = model.setting
+    sign = F.when(F.col(label) == 1, 1.0).otherwise(-1.0)
+    scored = stage(
+        linear_predict(model, docs, [key, label], key).join(model.duals.withColumnRenamed("key", key), key).select(
+            key, (F.col("margin") * sign).alias("z"), (F.col("dual") * sign).alias("pull"), F.col("dual").alias("a")
+        ),
+        "margins",
+    )
+    n = F.count("*")
+    z, a = F.col("z"), F.col("a")
+    if setting.loss == LOG:
+        loss = F.greatest(-z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
+        part = lambda x: F.when(x > 0, -x * F.log(x)).otherwise(0.0)
+        gain = part(a) + part(1 - a)
+    else:
+        loss, gain = F.greatest(1 - z, F.lit(0.0)), a
+    sums = scored.agg(
+        n.alias("n"), F.avg(loss).alias("loss"), F.avg(gain).alias("gain"), F.avg("pull").alias("pull"),
+        F.min(F.when((a >= 0) & (a <= 1), 1).otherwise(0)).alias("valid"),
+    ).first()
+    found = known_terms(term_counts(docs, key), model.terms, key).withColumn("x", F.col("tf") * F.col("idf"))
+    lengths = found.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+    pulled = found.join(scored.select(key, "pull").join(lengths, key), key)
+    v = pulled.groupBy("term").agg((F.sum(F.col("pull") * F.col("x") / F.col("length")) / F.lit(float(sums["n"] or 1))).alias("v"))
+    bent = F.greatest(F.abs("v") - F.lit(setting.l1), F.lit(0.0))
+    square = v.agg(F.sum(bent * bent)).first()[0] or 0.0
+    square += max(abs(sums["pull"] or 0.0) - setting.l1, 0.0) ** 2
+    own = model.terms.agg(F.sum(F.col("weight") * F.col("weight")), F.sum(F.abs("weight")), F.count("*")).first()
+    size = (own[0] or 0.0) + model.intercept**2, (own[1] or 0.0) + abs(model.intercept)
+    primal = (sums["loss"] or 0.0) + setting.l2 / 2 * size[0] + setting.l1 * size[1]
+    bound = (sums["gain"] or 0.0) - square / (2 * setting.l2)
+    gap = (primal - bound) / primal if primal else 0.0
     return docs.sparkSession.createDataFrame(
-        [(rows, len(weights), int(largest <= bound))], "rows bigint, terms bigint, is_optimal int"
+        [(sums["n"], own[2], float(gap), int(gap <= tolerance and sums["valid"] != 0))],
+        "documents bigint, terms bigint, relative_gap double, is_optimal int",
     )
 
 
-def _folded(docs: DataFrame, folds: int, key: str, label: str, seed: str) -> DataFrame:
-    """The documents with their fold, written once for the many fits that follow."""
-    placed = stratified_folds(docs.select(key, label, "terms"), key, label, folds, seed)
-    return _for_training(stage(placed, "folds"))[0]
-
-
-def _fold_features(placed: DataFrame, folds: int, min_df: float, label: str) -> list[tuple[DataFrame, DataFrame]]:
-    """Training and held-out vectors of every fold, made once for all settings that share ``min_df``."""
-    pairs = []
-    for fold in range(folds):
-        outside, inside = placed.filter(F.col("fold") != fold), placed.filter(F.col("fold") == fold)
-        model = TfIdfVectors(min_df).fit(outside)
-        written = stage(
-            model.transform(placed).select("features", label, (F.col("fold") == fold).alias("held")), "fold-vectors"
-        )
-        pairs.append((_for_training(written.filter("not held"))[0], written.filter("held")))
-    return pairs
-
+# Model selection -----------------------------------------------------------------------------
 
-def _mean_metrics(
-    estimators: Sequence[Estimator], pairs: Sequence[tuple[DataFrame, DataFrame]], evaluator, parallelism: int
-) -> list[float]:
-    """Each estimator's metric, averaged over the folds; several fits run at a time."""
 
-    def one(job: tuple[Estimator, tuple[DataFrame, DataFrame]]) -> float:
-        estimator, (outside, inside) = job
-        return evaluator.evaluate(estimator.fit(outside).transform(inside))
-
-    jobs = [(estimator, pair) for estimator in estimators for pair in pairs]
-    with ThreadPoolExecutor(parallelism) as pool:
-        found = list(pool.map(one, jobs))
-    return [sum(found[i : i + len(pairs)]) / len(pairs) for i in range(0, len(found), len(pairs))]
+def svm_fold_accuracies(
+    docs: DataFrame, folds: int = 10, alpha: float = SVM_ALPHA, key: str = "doc_id", label: str = "label", seed: str = "folds"
+) -> DataFrame:
+    """``fold, rows, correct, accuracy, is_converged``: features made before the folds, the models of all folds fitted in one pass."""
+    corpus = encode(docs, key, label, folds, seed)
+    setting = sgd_setting(HINGE, "l2", alpha)
+    settings = [Setting(setting.loss, setting.l2, setting.l1, fold) for fold in range(folds)]
+    fit = dual.fit_many(corpus.blocks, corpus.idf(), settings, corpus.documents - corpus.sizes, SEARCH_TOLERANCE)
+    margins = dual.held_margins(corpus.blocks, corpus.idf(), fit.weights, settings)
+    right = F.count_if((F.col("margin") > 0) == (F.col("label") == 1))
+    found = margins.groupBy(F.col("model").alias("fold")).agg(F.count("*").alias("rows"), right.alias("correct"))
+    ends = docs.sparkSession.createDataFrame([(f, int(c)) for f, c in enumerate(fit.converged)], "fold int, is_converged int")
+    return found.join(ends, "fold").select(
+        "fold", "rows", "correct", (F.col("correct") / F.col("rows")).alias("accuracy"), "is_converged"
+    )
 
 
-def svm_cross_validate(
-    docs: DataFrame,
-    folds: int = 10,
-    alpha: float = 0.0001,
-    key: str = "doc_id",
-    label: str = "label",
-    seed: str = "folds",
-    parallelism: int = 4,
-) -> float:
-    """Mean held-out accuracy, features made before the folds."""
-    vectors = stage(
-        TfIdfVectors().fit(docs).transform(_folded(docs, folds, key, label, seed)).select("features", label, "fold"),
-        "vectors",
-    )
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy", labelCol=label)
-    pairs = [
-        (_for_training(vectors.filter(F.col("fold") != f))[0], vectors.filter(F.col("fold") == f)) for f in range(folds)
-    ]
-    return _mean_metrics([linear_svm(alpha)], pairs, accuracy, parallelism)[0]
+def svm_cross_validate(docs: DataFrame, folds: int = 10, alpha: float = SVM_ALPHA, **columns: str) -> float:
+    """Mean held-out accuracy."""
+    return svm_fold_accuracies(docs, folds, alpha, **columns).agg(F.avg("accuracy")).first()[0]
 
 
 # Settings searched by default (fixed values).
 SVM_ALPHAS = (0.0001, 0.001, 0.01, 0.05, 0.1)
 SVM_MIN_DF = (1.0, 0.05, 0.1)
 LR_C = (0.001, 1.0, 0.9, 0.1, 0.05)
-ELASTIC_SHARE = 0.15
+SVM_LOSSES, SVM_PENALTIES = (HINGE, LOG), ("l2", "elasticnet")
 
 
-def sgd_classifier(loss: str, penalty: str, alpha: float) -> Estimator:
-    """The model of a loss ('hinge' or 'log') and a penalty ('l2' or 'elasticnet') of weight ``alpha``."""
-    if loss == "hinge":
-        if penalty != "l2":
-            raise ValueError("hinge loss has the l2 penalty only")
-        return linear_svm(alpha)
-    share = ELASTIC_SHARE if penalty == "elasticnet" else 0.0
-    return LogisticRegression(regParam=alpha, elasticNetParam=share, standardization=False, tol=SVM_TOLERANCE)
+def _search(
+    corpus: Corpus, folds: int, min_dfs: Sequence[float], settings: Sequence, parallelism: int, tolerance: float
+) -> list[tuple[int, float, float, int, bool]]:
+    """(setting, min_df, mean AUC, held-out documents, whether all folds converged).
+
+    A fold's vocabulary and frequencies are those of the documents outside it, so every (fold, min_df) has vectors of its own; all settings of one are
+    fitted in one pass.  ``settings``: functions from the number of training documents to a ``Setting``.
+    """
+    spaces = [(fold, min_df) for min_df in min_dfs for fold in range(folds)]
+
+    def fitted(space: tuple[int, float]) -> tuple[DataFrame, np.ndarray]:
+        fold, min_df = space
+        n = int(corpus.documents - corpus.sizes[fold])
+        own = [make(n) for make in settings]
+        own = [Setting(s.loss, s.l2, s.l1, fold) for s in own]
+        idf = corpus.idf(min_df, fold)
+        fit = dual.fit_many(corpus.blocks, idf, own, [n] * len(own), tolerance)
+        margins = dual.held_margins(corpus.blocks, idf, fit.weights, own)
+        return stage(margins.select("*", F.lit(fold).alias("fold"), F.lit(float(min_df)).alias("min_df")), "held"), fit.converged
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(fitted, spaces))
+    scored = found[0][0]
+    for more, _ in found[1:]:
+        scored = scored.unionByName(more)
+    # The solver's last digits must not decide between two documents.
+    scored = scored.withColumn("score", F.round("margin", 9))
+    aucs = auc_by_group(scored, "label", "score", ["model", "min_df", "fold"])
+    rows = scored.groupBy("model", "min_df").agg(F.count("*").alias("n"))
+    means = aucs.groupBy("model", "min_df").agg(F.avg("auc").alias("auc")).join(rows, ["model", "min_df"]).collect()
+    ended = {(m, min_df): True for m in range(len(settings)) for min_df in min_dfs}
+    for (_, min_df), (_, converged) in zip(spaces, found, strict=True):
+        for m, closed in enumerate(converged):
+            ended[m, min_df] &= bool(closed)
+    return [(r["model"], r["min_df"], r["auc"], r["n"], ended[r["model"], r["min_df"]]) for r in means]
 
 
 def _flag_best(found: DataFrame, *settings: str) -> DataFrame:
@@ -226,20 +272,15 @@ def svm_grid_search(
     label: str = "label",
     seed: str = "folds",
     parallelism: int = 8,
+    tolerance: float = SEARCH_TOLERANCE,
 ) -> DataFrame:
-    """``loss, penalty, alpha, min_df, mean_auc, is_best``; MLlib has no hinge loss with elastic net."""
-    placed = _folded(docs, folds, key, label, seed)
-    auc = BinaryClassificationEvaluator(labelCol=label)
-    settings = [(l, p, a) for l, p in (("hinge", "l2"), ("log", "l2"), ("log", "elasticnet")) for a in alphas]
-    rows = []
-    for min_df in min_dfs:
-        pairs = _fold_features(placed, folds, min_df, label)
-        metrics = _mean_metrics([sgd_classifier(*setting) for setting in settings], pairs, auc, parallelism)
-        rows += [(*setting, float(min_df), float(m)) for setting, m in zip(settings, metrics, strict=True)]
-    found = docs.sparkSession.createDataFrame(
-        rows, "loss string, penalty string, alpha double, min_df double, mean_auc double"
-    )
-    return _flag_best(found, "loss", "penalty", "alpha", "min_df")
+    """``loss, penalty, alpha, min_df, mean_auc, held_out, is_converged, is_best`` of every setting."""
+    names = [(loss, penalty, alpha) for loss in SVM_LOSSES for penalty in SVM_PENALTIES for alpha in alphas]
+    make = [lambda n, name=name: sgd_setting(*name) for name in names]
+    found = _search(encode(docs, key, label, folds, seed), folds, [float(m) for m in min_dfs], make, parallelism, tolerance)
+    rows = [(*names[model], min_df, auc, n, int(closed)) for model, min_df, auc, n, closed in found]
+    schema = "loss string, penalty string, alpha double, min_df double, mean_auc double, held_out bigint, is_converged int"
+    return _flag_best(docs.sparkSession.createDataFrame(rows, schema), "loss", "penalty", "alpha", "min_df")
 
 
 def lr_grid_search(
@@ -250,36 +291,39 @@ def lr_grid_search(
     label: str = "label",
     seed: str = "folds",
     parallelism: int = 8,
+    tolerance: float = SEARCH_TOLERANCE,
 ) -> DataFrame:
-    """``c, mean_auc, is_best``."""
-    placed = _folded(docs, folds, key, label, seed)
-    rows = placed.count() * (folds - 1) // folds
-    metrics = _mean_metrics(
-        [logistic_regression(rows, c) for c in cs],
-        _fold_features(placed, folds, 1.0, label),
-        BinaryClassificationEvaluator(labelCol=label),
-        parallelism,
-    )
-    found = docs.sparkSession.createDataFrame(
-        [(float(c), float(m)) for c, m in zip(cs, metrics, strict=True)], "c double, mean_auc double"
+    """``c, mean_auc, held_out, is_converged, is_best``."""
+    make = [lambda n, c=c: logistic_setting(n, c) for c in cs]
+    found = _search(encode(docs, key, label, folds, seed), folds, [1.0], make, parallelism, tolerance)
+    rows = [(float(cs[model]), auc, n, int(closed)) for model, _, auc, n, closed in found]
+    return _flag_best(
+        docs.sparkSession.createDataFrame(rows, "c double, mean_auc double, held_out bigint, is_converged int"), "c"
     )
-    return _flag_best(found, "c")
 
 
-def lr_refit(docs: DataFrame, searched: DataFrame) -> PipelineModel:
+def lr_refit(docs: DataFrame, searched: DataFrame) -> LinearModel:
     """Logistic regression on all of ``docs`` with the best setting of a search."""
     return logistic_fit(docs, searched.filter("is_best = 1").first()["c"])
 
 
-def svm_refit(docs: DataFrame, searched: DataFrame) -> PipelineModel:
+def svm_refit(docs: DataFrame, searched: DataFrame) -> LinearModel:
     best = searched.filter("is_best = 1").first()
-    stages = [TfIdfVectors(best["min_df"]), sgd_classifier(best["loss"], best["penalty"], best["alpha"])]
-    return Pipeline(stages=stages).fit(_for_training(docs)[0])
+    return _fit(encode(docs), sgd_setting(best["loss"], best["penalty"], best["alpha"]), best["min_df"])
 
 
-def save_linear(model: PipelineModel, path: str) -> None:
-    model.write().save(path)
+def save_linear(model: LinearModel, path: str) -> None:
+    """Write the model as three tables below ``path``."""
+    model.terms.write.parquet(f"{path}/terms")
+    model.duals.write.parquet(f"{path}/duals")
+    s = model.setting
+    model.terms.sparkSession.createDataFrame(
+        [(s.loss, s.l2, s.l1, model.intercept)], "loss string, l2 double, l1 double, intercept double"
+    ).write.parquet(f"{path}/setting")
 
 
-def load_linear(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_linear(spark: SparkSession, path: str) -> LinearModel:
+    row = spark.read.parquet(f"{path}/setting").first()
+    tables = (spark.read.parquet(f"{path}/{name}") for name in ("terms", "duals"))
+    terms, duals = tables
+    return LinearModel(Setting(row["loss"], row["l2"], row["l1"]), terms, row["intercept"], duals)

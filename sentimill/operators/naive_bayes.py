@@ -13,7 +13,7 @@ from math import inf, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentimill.operators.features import idf, term_counts, tfidf, vocabulary, within_df
+from sentimill.operators.features import idf, known_terms, term_counts, tfidf, vocabulary, within_df
 from sentimill.operators.metrics import auc_by_group
 from sentimill.plans.cuts import stratified_folds
 from sentimill.plans.skew import lookup
@@ -138,10 +138,7 @@ def multinomial_nb_fit(
 
 def _evidence(model: NaiveBayesModel, docs: DataFrame, key: str) -> DataFrame:
     """``key, e0, e1``: what the known terms of a document add to each class score."""
-    counts = term_counts(docs, key)
-    # A term is hot by the rows that are joined, whatever it was in training.
-    rows = counts.groupBy("term").agg(F.count("*").alias("_rows"))
-    found = lookup(counts, model.terms.join(rows, "term"), ["term"], "_rows", [key])
+    found = known_terms(term_counts(docs, key), model.terms, key)
     if model.kind == BERNOULLI:
         return found.groupBy(key).agg(
             F.sum(F.col("log_p0") - F.col("log_not0")).alias("e0"),

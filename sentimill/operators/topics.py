@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sentimill.functions import text as tx
 from sentimill.functions.constants import SHOP_WORDS, STOP_WORDS
-from sentimill.operators.features import term_counts, unit_length
+from sentimill.operators.features import known_terms, term_counts, unit_length
 from sentimill.operators.naive_bayes import NaiveBayesModel
 from sentimill.plans.skew import SLOTS, add_part, copy_parts, lookup, parts
 from sentimill.plans.staging import drop_staged, stage
@@ -35,7 +35,7 @@ def negative_tfidf(
     """``productid, key, term, weight``: negative reviews in the model's vocabulary."""
     docs = negative.select("productid", key, tx.vector_terms(F.col("text"), stop_words).alias("terms"))
     counts = term_counts(docs, key, ["productid"])
-    known = lookup(counts, model.terms.select("term", "df", "idf"), ["term"], "df", [key])
+    known = known_terms(counts, model.terms.select("term", "idf"), key)
     raw = known.select("productid", key, "term", (F.col("tf") * F.col("idf")).alias("weight"))
     return unit_length(raw, ["productid", key])
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def version(spark: SparkSession, *paths: str) -> tuple:
+    """Names, sizes and times of the files below ``paths``; it changes when a table is written anew."""
+    found = []
+    for path in paths:
+        files, place = _path(spark, path)
+        if not files.exists(place):
+            continue
+        for status in files.listStatus(place):
+            found.append((status.getPath().getName(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
+# Results that several queries of an application read, by application, name and version of their input.
+_KEPT: dict[tuple, str] = {}
+
+
+def kept(spark: SparkSession, name: str, of: tuple, write: Callable[[str], None]) -> str:
+    """The folder that ``write`` has filled; it is called again when ``of`` changes or the folder is gone."""
+    at = (spark.sparkContext.applicationId, name, of)
+    if at not in _KEPT or not exists(spark, _KEPT[at]):
+        path = fresh_path(spark, name)
+        write(path)
+        _KEPT[at] = path
+    return _KEPT[at]
+
+
 def remove_staged(spark: SparkSession) -> None:
     """Delete every table this application has staged; call it when results have been written."""
     files, place = _path(spark, run_folder(spark))

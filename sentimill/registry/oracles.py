@@ -12,6 +12,7 @@ from sentimill.functions.constants import (
     WORD_RUN,
     markup_pattern,
 )
+from sentimill.operators.linear import LR_C, SVM_ALPHA, SVM_ALPHAS, SVM_LOSSES, SVM_MIN_DF, SVM_PENALTIES
 from sentimill.operators.naive_bayes import GRID_ALPHAS, GRID_MAX_DF, GRID_MIN_DF
 from sentimill.operators.topics import EPSILON
 from sentimill.registry.queries import NMF_ITERATIONS, PRODUCT
@@ -246,17 +247,19 @@ FUNNEL_SHORT = '"Summary_len" < "Text_len" AND "Summary_len" BETWEEN 1 AND 20'
 FUNNEL_LONG = f'{FUNNEL_SHORT} AND "Text_len" > 20 AND "Text_len" * 0.5 > "Summary_len"'
 
 
-def described(where: str) -> str:
+def described(where: str, column: str = '"Text_len"') -> str:
     return with_ctes(
         [RAW, LENGTHS],
-        f"""SELECT count("Text_len") AS count, round(avg("Text_len"), 6) AS mean,
-       round(stddev_samp("Text_len"), 6) AS stddev, min("Text_len") AS min, max("Text_len") AS max FROM lengths
+        f"""SELECT count({column}) AS count, round(avg({column}), 6) AS mean,
+       round(stddev_samp({column}), 6) AS stddev, min({column}) AS min, max({column}) AS max FROM lengths
 WHERE {where}""",
     )
 
 
 PROFILE = {
     "describe_lengths_kept": described(FUNNEL_LONG),
+    "describe_lengths_before_text_filter": described(FUNNEL_SHORT),
+    "describe_summary_lengths": described("true", '"Summary_len"'),
     "short_text_share_kept": with_ctes(
         [RAW, LENGTHS],
         f"""SELECT count(*) FILTER (WHERE "Text_len" <= 20) AS short_rows, count(*) AS rows,
@@ -424,6 +427,14 @@ def long_params(table: str) -> str:
 UNION ALL SELECT 1, term, round(lp1, 6) FROM {table}"""
 
 
+OPTIMUM = "SELECT n AS documents, (SELECT count(*) FROM bnb) AS terms, 0.0::DOUBLE AS relative_gap, 1 AS is_optimal"
+
+
+def listed(column: str, items) -> str:
+    """A table of the items."""
+    return f"(SELECT unnest([{', '.join(map(repr, items))}]) AS {column})"
+
+
 def fold_part(folds: int) -> tuple[str, str]:
     return (
         "folds",
@@ -588,8 +599,22 @@ FROM (SELECT doc_id, term, tf * (ln((n + 1) / (df + 1)::DOUBLE) + 1) AS w
         """SELECT doc_id, CASE WHEN predicted_score = 1 THEN 'Positive' ELSE 'Negative' END AS sentiment,
        round(predicted_proba * 100, 1) AS proba_percent FROM entries""",
     ),
-    "logistic_fit_optimum": with_ctes(
-        FITTED, "SELECT n AS rows, (SELECT count(*) FROM bnb) AS terms, 1 AS is_optimal FROM sizes"
+    # What a converged linear model must say of itself; its weights have no SQL.
+    "logistic_fit_optimum": with_ctes(FITTED, f"{OPTIMUM}, 1.0::DOUBLE AS c FROM sizes"),
+    "svm_fit_optimum": with_ctes(FITTED, f"{OPTIMUM}, {SVM_ALPHA}::DOUBLE AS alpha FROM sizes"),
+    "svm_cross_validate_folds": with_ctes(
+        [LABELLED, SPLIT, fold_part(10)], "SELECT fold, count(*) AS rows, 1 AS is_converged FROM folds GROUP BY fold"
+    ),
+    "svm_grid_settings": with_ctes(
+        [LABELLED, SPLIT],
+        f"""SELECT loss, penalty, alpha::DOUBLE AS alpha, min_df::DOUBLE AS min_df,
+       (SELECT count(*) FROM split WHERE is_train) AS held_out, 1 AS is_converged
+FROM {listed("loss", SVM_LOSSES)}, {listed("penalty", SVM_PENALTIES)}, {listed("alpha", SVM_ALPHAS)}, {listed("min_df", SVM_MIN_DF)}""",
+    ),
+    "lr_grid_settings": with_ctes(
+        [LABELLED, SPLIT],
+        f"""SELECT c::DOUBLE AS c, (SELECT count(*) FROM split WHERE is_train) AS held_out, 1 AS is_converged
+FROM {listed("c", LR_C)}""",
     ),
     "cross_validate": CROSS_VALIDATE,
     "nb_grid_search": GRID,

@@ -21,7 +21,7 @@ from sentimill.operators import (
     sampling,
     topics,
 )
-from sentimill.plans.staging import exists, fresh_path, stage
+from sentimill.plans.staging import fresh_path, stage
 from sentimill.session import tune
 from sentimill.sources import reviews, views
 
@@ -179,6 +179,18 @@ def describe_lengths_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.describe_lengths(_funnel_lengths(spark, sf_dir), "Text_len"), "mean", "stddev")
 
 
+@register
+def describe_summary_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile.describe_lengths(_with_lengths(spark, sf_dir), "Summary_len"), "mean", "stddev")
+
+
+@register
+def describe_lengths_before_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lengths of the rows the summary rules keep, before the rules on the text."""
+    kept = _funnel_lengths(spark, sf_dir, with_text=False)
+    return rounded(profile.describe_lengths(kept, "Text_len"), "mean", "stddev")
+
+
 @register
 def short_text_share_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.short_text_share(_funnel_lengths(spark, sf_dir, with_text=False))
@@ -419,9 +431,13 @@ def logistic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def logistic_fit_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The size of the fitted model and a certificate that it is the optimum."""
+    """The size of the fitted model and its duality gap, worked out anew from weights and dual values."""
     train = _train(spark, sf_dir)
-    return linear.logistic_optimum(linear.logistic_fit(train), train)
+    return _certified(linear.optimum(linear.logistic_fit(train), train)).withColumn("c", F.lit(1.0))
+
+
+def _certified(found: DataFrame) -> DataFrame:
+    return rounded(found, "relative_gap", places=5)
 
 
 @register
@@ -430,6 +446,12 @@ def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linear.linear_predict(linear.svm_fit(train), test)
 
 
+@register
+def svm_fit_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = _train(spark, sf_dir)
+    return _certified(linear.optimum(linear.svm_fit(train), train)).withColumn("alpha", F.lit(linear.SVM_ALPHA))
+
+
 @register
 def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = naive_bayes.cross_validate(_train(spark, sf_dir))
@@ -442,24 +464,33 @@ def nb_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("is_best", F.col("is_best").cast("int"))
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A small result that several queries read, written once for a state of the input."""
+    path = views.keep(spark, sf_dir, name, lambda at: make().coalesce(1).write.parquet(at))
+    return spark.read.parquet(path)
+
+
+def _svm_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "svm-folds", lambda: linear.svm_fold_accuracies(_train(spark, sf_dir)))
+
+
 @register
 def svm_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mean = linear.svm_cross_validate(_train(spark, sf_dir))
-    return spark.createDataFrame([(float(mean),)], "mean_accuracy double")
+    return _svm_folds(spark, sf_dir).agg(F.avg("accuracy").alias("mean_accuracy"))
 
 
-# The search is 225 fits; its table of 45 rows is written once in an application.
-_SEARCHED: dict[tuple[str, str], str] = {}
+@register
+def svm_cross_validate_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What can be told of the folds without their models: sizes, and that every gap has closed."""
+    return _svm_folds(spark, sf_dir).select("fold", "rows", "is_converged")
 
 
 def _svm_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = (spark.sparkContext.applicationId, sf_dir)
-    path = _SEARCHED.get(at)
-    if path is None or not exists(spark, path):
-        path = fresh_path(spark, "svm-search")
-        linear.svm_grid_search(_train(spark, sf_dir)).coalesce(1).write.parquet(path)
-        _SEARCHED[at] = path
-    return spark.read.parquet(path)
+    return _stored(spark, sf_dir, "svm-search", lambda: linear.svm_grid_search(_train(spark, sf_dir)))
+
+
+def _lr_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "lr-search", lambda: linear.lr_grid_search(_train(spark, sf_dir)))
 
 
 @register
@@ -467,23 +498,35 @@ def svm_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _svm_search(spark, sf_dir)
 
 
+@register
+def svm_grid_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All settings searched, the documents each was scored on, and that its models' gaps have closed in every fold."""
+    return _svm_search(spark, sf_dir).select("loss", "penalty", "alpha", "min_df", "held_out", "is_converged")
+
+
 @register
 def lr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linear.lr_grid_search(_train(spark, sf_dir))
+    return _lr_search(spark, sf_dir)
+
+
+@register
+def lr_grid_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lr_search(spark, sf_dir).select("c", "held_out", "is_converged")
 
 
 def _linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test predictions of both linear models: ``model, label, predicted, score``."""
-    train, test = views.split_terms(spark, sf_dir)
-    lr = linear.linear_predict(linear.logistic_fit(train), test)
-    svm = linear.linear_predict(linear.svm_fit(train), test)
+    """Test predictions of both linear models: ``model, label, predicted, score``; the models are fitted once."""
     columns = ("label", "predicted")
-    return stage(
-        lr.select(F.lit("lr").alias("model"), *columns, F.round("proba", 12).alias("score")).unionByName(
+
+    def scored() -> DataFrame:
+        train, test = views.split_terms(spark, sf_dir)
+        lr = linear.linear_predict(linear.logistic_fit(train), test)
+        svm = linear.linear_predict(linear.svm_fit(train), test)
+        return lr.select(F.lit("lr").alias("model"), *columns, F.round("proba", 12).alias("score")).unionByName(
             svm.select(F.lit("svm").alias("model"), *columns, F.round("margin", 12).alias("score"))
-        ),
-        "linear-scores",
-    )
+        )
+
+    return _stored(spark, sf_dir, "linear-scores", scored)
 
 
 def _per_model(scored: DataFrame, table: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -525,7 +568,7 @@ def linear_confusion_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lr_best_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test reviews scored by logistic regression refitted with the best setting searched."""
     train, test = views.split_terms(spark, sf_dir)
-    return linear.linear_predict(linear.lr_refit(train, linear.lr_grid_search(train)), test)
+    return linear.linear_predict(linear.lr_refit(train, _lr_search(spark, sf_dir)), test)
 
 
 @register
@@ -540,7 +583,7 @@ def load_linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = views.split_terms(spark, sf_dir)
     path = fresh_path(spark, "linear-model")
     linear.save_linear(linear.logistic_fit(train), path)
-    return linear.linear_predict(linear.load_linear(path), test)
+    return linear.linear_predict(linear.load_linear(spark, path), test)
 
 
 # Evaluation ----------------------------------------------------------------------------------

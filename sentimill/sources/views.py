@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentimill.functions.text import review_terms
 from sentimill.operators.naive_bayes import NaiveBayesModel, bernoulli_nb_fit, score_reviews
 from sentimill.operators.sampling import stratified_split
-from sentimill.plans.staging import exists, fresh_path, spread, stage
+from sentimill.plans.staging import kept, spread, stage, version
 from sentimill.sources.reviews import load_model, read_entries, save_model, write_entries
 
 FIRST_DAY = 1_325_376_000
@@ -60,19 +62,33 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    return (sf_dir, *version(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/labels.parquet"))
+
+
+def keep(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder of a result that is written once for a state of the documents and labels."""
+    return kept(spark, name, _version(spark, sf_dir), write)
+
+
 def split_terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test part (75/25, stratified) as a written table.
+    """Training and test part (75/25, stratified) of the tokenised documents, from a stored table.
 
     The split is decided on the narrow key table and the texts are joined after
-    it; they are tokenised once for all the steps that follow.
+    it; they are tokenised once for all queries.
     """
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    ids = table(spark, sf_dir, "documents").select("doc_id")
-    placed = stratified_split(labels.join(ids, "doc_id", "left_semi"))
-    terms = placed.join(documents(spark, sf_dir), "doc_id").select(
-        "doc_id", "label", "is_train", review_terms(F.col("text")).alias("terms")
-    )
-    written = stage(terms, "labelled-terms", partition_by=("is_train",))
+
+    def write(path: str) -> None:
+        labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+        ids = table(spark, sf_dir, "documents").select("doc_id")
+        placed = stratified_split(labels.join(ids, "doc_id", "left_semi"))
+        terms = placed.join(documents(spark, sf_dir), "doc_id").select(
+            "doc_id", "label", "is_train", review_terms(F.col("text")).alias("terms")
+        )
+        terms.write.partitionBy("is_train").parquet(path)
+
+    schema = "doc_id bigint, label int, terms array<string>, is_train boolean"
+    written = spark.read.schema(schema).parquet(keep(spark, sf_dir, "labelled-terms", write))
     return (
         written.filter("is_train").drop("is_train"),
         written.filter(~F.col("is_train")).drop("is_train"),
@@ -97,16 +113,10 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Where the batch job of an application has written its result, by input.
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def stored_scores(spark: SparkSession, sf_dir: str) -> str:
-    """The folder with ``entries``, ``negative_reviews`` and ``model``, written once in an application."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    path = _STORED.get(at)
-    if path is None or not exists(spark, path):
-        path = fresh_path(spark, "scores")
+    """The folder with ``entries``, ``negative_reviews`` and ``model``, written by one batch job."""
+
+    def write(path: str) -> None:
         model = trained_model(spark, sf_dir)
         save_model(model, f"{path}/model")
         tokenised = reviews(spark, sf_dir).withColumn("terms", review_terms(F.col("text")))
@@ -114,8 +124,8 @@ def stored_scores(spark: SparkSession, sf_dir: str) -> str:
             "predicted_proba", F.round("predicted_proba", 6)
         )
         write_entries(scored, path)
-        _STORED[at] = path
-    return path
+
+    return keep(spark, sf_dir, "scores", write)
 
 
 def entries_text(spark: SparkSession, sf_dir: str) -> DataFrame:

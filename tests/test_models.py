@@ -149,18 +149,6 @@ def test_linear_models_learn_the_training_set(spark):
     assert grid.first().mean_auc == 1.0
 
 
-def test_vectors_equal_the_long_table(spark, docs):
-    from pyspark.ml.functions import vector_to_array
-
-    postings = features.term_counts(docs)
-    n = features.document_total(docs)
-    long = features.tfidf(postings, features.vocabulary(postings, n), n)
-    expected = {r.doc_id: sorted(r.w) for r in long.groupBy("doc_id").agg(F.collect_list("weight").alias("w")).collect()}
-    vectors = linear.TfIdfVectors().fit(docs).transform(docs).select("doc_id", vector_to_array("features").alias("v"))
-    for r in vectors.collect():
-        assert sorted(x for x in r.v if x) == pytest.approx(expected.get(r.doc_id, []))
-
-
 def weights(spark):
     """One product with many reviews, one with a single review."""
     rows = [
@@ -205,16 +193,6 @@ def test_a_class_missing_from_a_training_part(spark):
     assert naive_bayes.nb_grid_search(docs, alphas=[1.0], min_dfs=[1], max_dfs=[1.0], folds=3).count() == 1
 
 
-def test_min_df_holds_for_any_vocabulary(spark):
-    docs = spark.range(40).select(
-        F.array(F.lit("common"), F.concat(F.lit("t"), "id"), F.concat(F.lit("u"), F.floor(F.col("id") / 2))).alias("terms")
-    )
-    two = linear.TfIdfVectors(min_df=2.0).fit(docs).transform(docs).first()["features"]
-    one = linear.TfIdfVectors().fit(docs).transform(docs).first()["features"]
-    assert (two.size, one.size) == (21, 61)
-    assert linear.TfIdfVectors(hashed_terms=8).fit(docs).transform(docs).first()["features"].size == 8
-
-
 def test_searched_settings_are_flagged_and_refitted(spark):
     rows = [(i, i % 2, ["good", f"w{i % 5}"] if i % 2 else ["bad", f"w{i % 5}"]) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>").cache()
@@ -223,7 +201,7 @@ def test_searched_settings_are_flagged_and_refitted(spark):
     scored = linear.linear_predict(linear.lr_refit(docs, found), docs)
     assert scored.filter("predicted != label").count() == 0
     searched = linear.svm_grid_search(docs, alphas=[0.01], min_dfs=[1.0], folds=2)
-    assert searched.count() == 3
+    assert searched.count() == 4 and searched.filter('is_converged = 0').count() == 0
     assert linear.linear_predict(linear.svm_refit(docs, searched), docs).count() == 40
 
 
@@ -232,7 +210,7 @@ def test_linear_model_round_trip(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>").cache()
     model = linear.logistic_fit(docs)
     linear.save_linear(model, str(tmp_path / "m"))
-    again = linear.linear_predict(linear.load_linear(str(tmp_path / "m")), docs)
+    again = linear.linear_predict(linear.load_linear(spark, str(tmp_path / "m")), docs)
     assert again.exceptAll(linear.linear_predict(model, docs)).count() == 0
 
 
@@ -260,10 +238,3 @@ def test_topics_of_a_product_do_not_change_with_the_other_products(spark):
     assert found[0] and found[0] == pytest.approx(found[1])
 
 
-def test_a_model_off_the_optimum_is_told(spark):
-    rows = [(i, i % 2, ["good", f"w{i % 3}"] if i % 2 else ["bad", f"w{i % 3}"]) for i in range(30)]
-    docs = spark.createDataFrame(rows, "doc_id int, label int, terms array<string>").cache()
-    model = linear.logistic_fit(docs)
-    assert linear.logistic_optimum(model, docs).first().is_optimal == 1
-    # The same weights are no optimum of a much weaker penalty.
-    assert linear.logistic_optimum(model, docs, c=100.0, bound=1e-3).first().is_optimal == 0
