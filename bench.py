@@ -28,6 +28,9 @@ HEADLINE = (
     "nb_grid_search",
     "logistic_fit",
     "svm_fit",
+    "svm_cross_validate",
+    "lr_grid_search",
+    "svm_grid_search",
     "roc_auc",
     "top_reviews_per_product",
     "product_top_reviews",
