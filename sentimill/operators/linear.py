@@ -25,6 +25,8 @@ from sentimill.plans.staging import stage
 
 #: The relative gap of models that are only compared with each other.
 SEARCH_TOLERANCE = 1e-3
+#: The most epochs spent on them; ``is_converged`` and a warning tell when they did not do.
+SEARCH_EPOCHS = 1000
 SVM_ALPHA = 0.0001
 
 
@@ -198,7 +200,7 @@ def svm_fold_accuracies(
     corpus = encode(docs, key, label, folds, seed)
     setting = sgd_setting(HINGE, "l2", alpha)
     settings = [Setting(setting.loss, setting.l2, setting.l1, fold) for fold in range(folds)]
-    fit = dual.fit_many(corpus.blocks, corpus.idf(), settings, corpus.documents - corpus.sizes, SEARCH_TOLERANCE)
+    fit = dual.fit_many(corpus.blocks, corpus.idf(), settings, corpus.documents - corpus.sizes, SEARCH_TOLERANCE, SEARCH_EPOCHS)
     margins = dual.held_margins(corpus.blocks, corpus.idf(), fit.weights, settings)
     right = F.count_if((F.col("margin") > 0) == (F.col("label") == 1))
     found = margins.groupBy(F.col("model").alias("fold")).agg(F.count("*").alias("rows"), right.alias("correct"))
@@ -236,7 +238,7 @@ def _search(
         own = [make(n) for make in settings]
         own = [Setting(s.loss, s.l2, s.l1, fold) for s in own]
         idf = corpus.idf(min_df, fold)
-        fit = dual.fit_many(corpus.blocks, idf, own, [n] * len(own), tolerance)
+        fit = dual.fit_many(corpus.blocks, idf, own, [n] * len(own), tolerance, SEARCH_EPOCHS)
         margins = dual.held_margins(corpus.blocks, idf, fit.weights, own)
         return stage(margins.select("*", F.lit(fold).alias("fold"), F.lit(float(min_df)).alias("min_df")), "held"), fit.converged
 

@@ -608,7 +608,7 @@ FROM (SELECT doc_id, term, tf * (ln((n + 1) / (df + 1)::DOUBLE) + 1) AS w
     "svm_grid_settings": with_ctes(
         [LABELLED, SPLIT],
         f"""SELECT loss, penalty, alpha::DOUBLE AS alpha, min_df::DOUBLE AS min_df,
-       (SELECT count(*) FROM split WHERE is_train) AS held_out, 1 AS is_converged
+       (SELECT count(*) FROM split WHERE is_train) AS held_out
 FROM {listed("loss", SVM_LOSSES)}, {listed("penalty", SVM_PENALTIES)}, {listed("alpha", SVM_ALPHAS)}, {listed("min_df", SVM_MIN_DF)}""",
     ),
     "lr_grid_settings": with_ctes(
