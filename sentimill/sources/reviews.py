@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from sentimill.operators.naive_bayes import NaiveBayesModel
 from sentimill.operators.sampling import random_split
+from sentimill.plans.staging import drop_staged, stage
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -90,11 +91,33 @@ ENTRY_SCHEMA = (
 )
 
 
-def write_entries(entries: DataFrame, path: str) -> None:
-    """The scored reviews and the negative ones among them, each partitioned by product."""
-    entries.write.partitionBy("productid").parquet(f"{path}/entries")
-    written = read_entries(entries.sparkSession, path)
-    written.filter("predicted_score = 0").write.partitionBy("productid").parquet(f"{path}/negative_reviews")
+#: Rows of a file of the stored entries at most.
+FILE_ROWS = 1_000_000
+
+
+def _write_by_product(rows: DataFrame, path: str, file_rows: int) -> None:
+    """Files that each hold one range of (product, review), so a product's rows lie together and a large product has many files.
+
+    Files and row groups carry the smallest and largest product, and a Bloom filter of products.
+    """
+    ranged = rows.repartitionByRange("productid", "doc_id").sortWithinPartitions("productid", "doc_id")
+    (
+        ranged.write.option("maxRecordsPerFile", file_rows)
+        .option("parquet.bloom.filter.enabled#productid", "true")
+        .option("parquet.bloom.filter.expected.ndv#productid", "100000")
+        .parquet(path)
+    )
+
+
+def write_entries(entries: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
+    """The scored reviews and the negative ones among them, each clustered by product.
+
+    The number of files depends on the rows alone, not on the number of products.  Products '' and NULL stay apart.
+    """
+    scored = stage(entries, "scored")
+    _write_by_product(scored, f"{path}/entries", file_rows)
+    _write_by_product(scored.filter("predicted_score = 0"), f"{path}/negative_reviews", file_rows)
+    drop_staged(scored)
 
 
 def read_entries(spark: SparkSession, path: str, table: str = "entries") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,16 +48,26 @@ def test_balanced_csv_keeps_line_breaks(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {r[2:] for r in rows}
 
 
-def test_entries_are_partitioned_by_product(spark, tmp_path):
+def test_entries_are_clustered_by_product(spark, tmp_path):
     from conftest import plan_of
 
-    rows = [(i, "t", "s", 5, i, i % 2, 1, 0.5, f"p{i % 3}") for i in range(9)]
-    reviews.write_entries(spark.createDataFrame(rows, reviews.ENTRY_SCHEMA), str(tmp_path))
+    products = ["", None, "p1", "p2", "large"]
+    rows = [(i, "t", "s", 5, i, i % 2, 1, 0.5, products[min(i % 10, 4)]) for i in range(2000)]
+    reviews.write_entries(spark.createDataFrame(rows, reviews.ENTRY_SCHEMA), str(tmp_path), file_rows=100)
     entries = reviews.read_entries(spark, str(tmp_path))
-    assert entries.count() == 9
-    assert reviews.read_entries(spark, str(tmp_path), "negative_reviews").count() == 5
+    assert sorted(map(tuple, entries.select("doc_id", "productid").collect())) == [(r[0], r[-1]) for r in rows]
+    assert reviews.read_entries(spark, str(tmp_path), "negative_reviews").count() == 1000
+    held = []
+    for file in (tmp_path / "entries").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        assert meta.num_rows <= 100
+        at = meta.schema.names.index("productid")
+        held += [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+    # 200 rows of p1 lie in a few files of at most 100; the statistics of the others leave it out.
+    of_p1 = [s for s in held if s.has_min_max and s.min <= "p1" <= s.max]
+    assert len(held) >= 20 and 2 <= len(of_p1) <= 4
     plan = plan_of(reports.product_timeline(entries, "p1"))
-    assert "PartitionFilters: [isnotnull(productid" in plan or "PartitionFilters: [StartsWith" in plan or "p1" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "EqualTo(productid,p1)" in plan.split("PushedFilters")[1].split("]")[0]
 
 
 def test_all_reviews_are_scored(spark, sf_dir):
