@@ -37,7 +37,8 @@ HEADLINE = (
     "product_negative_text",
     "product_timeline",
     "product_quarterly_sentiment",
-    "nmf_topics",
+    "nmf_topics_five_steps",
+    "nmf_topics_finished",
 )
 
 

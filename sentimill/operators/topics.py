@@ -1,29 +1,21 @@
-"""Topics of negative reviews, for all products at once.
-
-The factors are long tables with one column per topic.  Every join key may be
-hot (a product with a third of the reviews, a word in most of its reviews), so
-terms of a product and products themselves are split into parts once, and the
-small side of each join is copied per part.
-"""
+"""Topics of negative reviews, for all products at once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sentimill.functions import text as tx
 from sentimill.functions.constants import SHOP_WORDS, STOP_WORDS
 from sentimill.operators.features import known_terms, term_counts, unit_length
 from sentimill.operators.naive_bayes import NaiveBayesModel
-from sentimill.plans.skew import SLOTS, add_part, copy_parts, lookup, parts
-from sentimill.plans.staging import drop_staged, stage
+from sentimill.operators.nmf import Factors, nmf_fit, nmf_residual
+from sentimill.plans.skew import lookup
 
-# Smallest divisor in the updates (single-precision machine epsilon, fixed value).
-EPSILON = 1.1920928955078125e-07
+#: The largest residual of finished topics.
+STATIONARY = 0.01
 
 
 def negative_tfidf(
@@ -40,224 +32,37 @@ def negative_tfidf(
     return unit_length(raw, ["productid", key])
 
 
-@dataclass(frozen=True)
-class Factors:
-    """``w``: per product and review, ``h``: per product and term; columns ``w0..`` and ``h0..``."""
-
-    x: DataFrame
-    w: DataFrame
-    h: DataFrame
-    topics: int
-
-
-def _start(name: str, topics: int, *key: str) -> list[Column]:
-    """Start values in (0, 1]: three hex digits of a hash per topic, 0 beyond the product's topics."""
-    columns = []
-    for t in range(topics):
-        seed, place = f"nmf-{name}{t // 10}:", 3 * (t % 10) + 1
-        hashed = f"md5(concat('{seed}', concat_ws('|', {', '.join(key)})))"
-        value = f"(cast(conv(substring({hashed}, {place}, 3), 16, 10) AS bigint) + 1) / 4096D"
-        columns.append(F.expr(f"CASE WHEN {t} < k THEN {value} ELSE 0D END AS {name}{t}"))
-    return columns
-
-
-def start_factors(
-    weights: DataFrame, topics: int = 10, key: str = "doc_id", slots: int = SLOTS, reviews: DataFrame | None = None
-) -> Factors:
-    """Number the topics of each product (at most its number of reviews) and set start values.
-
-    ``reviews`` (``productid, docs``) has the number of reviews; without it those with a known term are counted.
-    """
-    x = stage(weights.select("productid", key, "term", "weight"), "nmf-x")
-    docs = x.groupBy("productid", key).agg(F.count("*").alias("n"))
-    terms = stage(x.groupBy("productid", "term").agg(F.count("*").alias("n")), "nmf-terms")
-    terms = terms.withColumn("t_parts", parts(terms, "n", slots))
-    if reviews is None:
-        reviews = docs.groupBy("productid").agg(F.count("*").alias("docs"))
-    sizes = (
-        reviews.join(terms.groupBy("productid").agg(F.count("*").alias("terms")), "productid")
-        .select(
-            "productid",
-            F.least(F.lit(topics), F.col("docs")).cast("int").alias("k"),
-            (F.col("docs") + F.col("terms")).alias("rows"),
-        )
-    )
-    products = stage(sizes, "nmf-products")
-    products = products.withColumn("p_parts", parts(products, "rows", slots)).drop("rows")
-
-    def with_product(rows: DataFrame, spread_by: str) -> DataFrame:
-        """Add the product's ``k``, its number of parts and the row's own part."""
-        placed = add_part(rows, products, ["productid"], [spread_by], "p_parts", "p_part")
-        return placed.join(copy_parts(products, "p_parts", "p_part"), ["productid", "p_part"])
-
-    w = with_product(docs, key).select(
-        "productid", key, "p_part", "p_parts", "k", *_start("w", topics, "productid", key)
-    )
-    h = with_product(terms, "term").select(
-        "productid",
-        "term",
-        "t_parts",
-        "p_part",
-        "p_parts",
-        "k",
-        *_start("h", topics, "productid", "term"),
-    )
-    parted = add_part(x, terms, ["productid", "term"], [key], "t_parts", "t_part")
-    return Factors(stage(parted, "nmf-x"), stage(w, "nmf-w"), stage(h, "nmf-h"), topics)
-
-
-def _names(prefix: str, topics: int) -> list[str]:
-    return [f"{prefix}{t}" for t in range(topics)]
-
-
-def _share(topics: int) -> Column:
-    """The entry divided by its reconstruction."""
-    dot = " + ".join(f"w{t} * h{t}" for t in range(topics))
-    return F.expr(f"weight / greatest({dot}, {EPSILON!r}D)")
-
-
-def _numerators(names: Sequence[str]) -> list[Column]:
-    """Per topic, the shares weighted by the other side."""
-    return [F.expr(f"sum(_q * {c}) AS n{t}") for t, c in enumerate(names)]
-
-
-def _with_terms(f: Factors) -> DataFrame:
-    """Entries with the topic weights of their term."""
-    copies = copy_parts(f.h.select("productid", "term", "t_parts", *_names("h", f.topics)), "t_parts", "t_part")
-    return f.x.join(copies.drop("t_parts"), ["productid", "term", "t_part"])
-
-
-def _sums(side: DataFrame, prefix: str, topics: int) -> DataFrame:
-    """Per product, the summed topic weights of the other side, copied per part."""
-    sums = side.groupBy("productid").agg(
-        F.max("p_parts").alias("p_parts"),
-        *[F.expr(f"sum({c}) AS s{t}") for t, c in enumerate(_names(prefix, topics))],
-    )
-    return copy_parts(sums, "p_parts", "p_part").drop("p_parts")
+def topic_terms(f: Factors) -> DataFrame:
+    """``productid, topic, term, weight`` of the product's topics."""
+    long = f.h.select("productid", "term", "k", F.posexplode("h").alias("topic", "weight"))
+    return long.filter(F.col("topic") < F.col("k")).select("productid", "topic", "term", "weight")
 
 
-def _updated(prefix: str, topics: int, l1: float, l2: float) -> list[Column]:
-    """Old value times its numerator over (sum + penalties)."""
-    return [
-        F.expr(
-            f"{c} * n{t} / greatest(s{t} + {l1!r}D + {l2!r}D * {c}, {EPSILON!r}D) AS {c}"
-        )
-        for t, c in enumerate(_names(prefix, topics))
-    ]
+def nmf_topics(weights: DataFrame, **settings) -> DataFrame:
+    """``productid, topic, term, weight`` of the fitted topics."""
+    return topic_terms(nmf_fit(weights, **settings))
 
 
-def nmf_step(f: Factors, l1: float, l2: float, key: str = "doc_id") -> Factors:
-    """One multiplicative update of both factors (Kullback-Leibler loss)."""
-    topics, share = f.topics, _share(f.topics)
-    w_names, h_names = _names("w", topics), _names("h", topics)
-    per_doc = (
-        _with_terms(f)
-        .join(f.w, ["productid", key])
-        .withColumn("_q", share)
-        .groupBy("productid", key)
-        .agg(
-            *[F.expr(f"max({c}) AS {c}") for c in ("p_part", "p_parts", "k", *w_names)],
-            *_numerators(h_names),
-        )
-    )
-    new_w = per_doc.join(_sums(f.h, "h", topics), ["productid", "p_part"]).select(
-        "productid", key, "p_part", "p_parts", "k", *_updated("w", topics, l1, l2)
-    )
-    # Written down between the halves: the second needs all of the new first factor.
-    w = stage(new_w, "nmf-w")
-    per_term = (
-        _with_terms(f)
-        .join(w.select("productid", key, *w_names), ["productid", key])
-        .withColumn("_q", share)
-        .groupBy("productid", "term")
-        .agg(*_numerators(w_names))
+def topic_facts(f: Factors, bound: float = STATIONARY, key: str = "doc_id") -> DataFrame:
+    """Per product what its factors are and whether they are finished: settled by loss, and with a residual within ``bound``."""
+    reviews = f.w.groupBy("productid").agg(F.max("k").alias("topics"), F.count("*").alias("reviews"))
+    terms = f.h.groupBy("productid").agg(F.count("*").alias("terms"))
+    facts = reviews.join(terms, "productid").join(f.fits.drop("loss"), "productid")
+    return facts.join(nmf_residual(f, key=key), "productid").withColumn(
+        "is_stationary", (F.col("residual") <= bound).cast("int")
     )
-    new_h = (
-        f.h.join(per_term, ["productid", "term"])
-        .join(_sums(w, "w", topics), ["productid", "p_part"])
-        .select(
-            "productid", "term", "t_parts", "p_part", "p_parts", "k", *_updated("h", topics, l1, l2)
-        )
-    )
-    return Factors(f.x, w, stage(new_h, "nmf-h"), topics)
-
-
-def nmf_fit(
-    weights: DataFrame,
-    topics: int = 10,
-    iterations: int = 1000,
-    alpha: float = 0.1,
-    l1_ratio: float = 0.5,
-    key: str = "doc_id",
-    slots: int = SLOTS,
-    reviews: DataFrame | None = None,
-    tolerance: float | None = 1e-4,
-    check_every: int = 10,
-) -> Factors:
-    """Factorise every product's reviews; a product with fewer reviews has that many topics.
-
-    A product stops when ``check_every`` steps lower the root of its own loss by less than ``tolerance`` times its own start
-    value, at the latest after ``iterations`` steps; the others go on without it.  Without a tolerance all steps are made.
-    The tables of past steps are deleted.
-    """
-    f = start_factors(weights, topics, key, slots, reviews)
-    x, settled_w, settled_h = f.x, [], []
-
-    def root_losses() -> DataFrame:
-        root = F.sqrt(F.greatest(F.lit(0.0), 2 * F.coalesce("loss", F.lit(0.0))))
-        return nmf_loss(f, key).select("productid", root.alias("now"))
-
-    if tolerance is not None:
-        falling = stage(root_losses().select("productid", F.col("now").alias("first"), F.col("now").alias("last")), "nmf-loss")
-    for step in range(1, iterations + 1):
-        past, f = f, nmf_step(f, alpha * l1_ratio, alpha * (1 - l1_ratio), key)
-        drop_staged(past.w)
-        drop_staged(past.h)
-        if tolerance is None or step % check_every:
-            continue
-        met = stage(falling.join(root_losses(), "productid"), "nmf-loss")
-        has_settled = F.col("last") - F.col("now") < tolerance * F.col("first")
-        settled = met.filter(has_settled).select("productid")
-        falling = met.filter(~has_settled).select("productid", "first", F.col("now").alias("last"))
-        if settled.isEmpty():
-            continue
-        settled_w.append(stage(f.w.join(settled, "productid", "left_semi"), "nmf-settled"))
-        settled_h.append(stage(f.h.join(settled, "productid", "left_semi"), "nmf-settled"))
-        past = f
-        f = Factors(
-            *(stage(side.join(settled, "productid", "left_anti"), "nmf-left") for side in (f.x, f.w, f.h)), topics
-        )
-        drop_staged(past.w)
-        drop_staged(past.h)
-        if past.x is not x:
-            drop_staged(past.x)
-        if falling.isEmpty():
-            break
-    return Factors(x, reduce(DataFrame.unionByName, settled_w, f.w), reduce(DataFrame.unionByName, settled_h, f.h), topics)
 
 
-def nmf_loss(f: Factors, key: str = "doc_id") -> DataFrame:
-    """``productid, loss``: Kullback-Leibler divergence without penalties."""
-    topics = f.topics
-    entries = _with_terms(f).join(f.w, ["productid", key])
-    fitted = entries.groupBy("productid").agg(
-        F.sum(F.col("weight") * F.log(_share(topics)) - F.col("weight")).alias("_fit")
-    )
-    w_sums = f.w.groupBy("productid").agg(*[F.sum(f"w{t}").alias(f"sw{t}") for t in range(topics)])
-    h_sums = f.h.groupBy("productid").agg(*[F.sum(f"h{t}").alias(f"sh{t}") for t in range(topics)])
-    mass = sum((F.col(f"sw{t}") * F.col(f"sh{t}") for t in range(topics)), F.lit(0.0))
-    joined = fitted.join(w_sums, "productid").join(h_sums, "productid")
-    return joined.select("productid", (F.col("_fit") + mass).alias("loss"))
+def save_factors(f: Factors, path: str) -> None:
+    """Write the four tables below ``path``."""
+    for name in ("x", "w", "h", "fits"):
+        getattr(f, name).write.parquet(f"{path}/{name}")
 
 
-def nmf_topics(weights: DataFrame, **settings) -> DataFrame:
-    """``productid, topic, term, weight`` of the fitted topics."""
-    f = nmf_fit(weights, **settings)
-    columns = ", ".join(f"{t}, h{t}" for t in range(f.topics))
-    long = f.h.select(
-        "productid", "term", "k", F.expr(f"stack({f.topics}, {columns}) AS (topic, weight)")
-    )
-    return long.filter(F.col("topic") < F.col("k")).select("productid", "topic", "term", "weight")
+def load_factors(spark: SparkSession, path: str) -> Factors:
+    tables = [spark.read.parquet(f"{path}/{name}") for name in ("x", "w", "h", "fits")]
+    most = tables[2].agg(F.max(F.size("h"))).first()[0]
+    return Factors(*tables, most or 0)
 
 
 def top_topic_words(topics: DataFrame, n: int = 10) -> DataFrame:

@@ -14,7 +14,7 @@ from sentimill.functions.constants import (
 )
 from sentimill.operators.linear import LR_C, SVM_ALPHA, SVM_ALPHAS, SVM_LOSSES, SVM_MIN_DF, SVM_PENALTIES
 from sentimill.operators.naive_bayes import GRID_ALPHAS, GRID_MAX_DF, GRID_MIN_DF
-from sentimill.operators.topics import EPSILON
+from sentimill.operators.nmf import EPSILON
 from sentimill.registry.queries import NMF_ITERATIONS, PRODUCT
 
 
@@ -856,16 +856,23 @@ TOPIC = {
         [*ENTRY, *NEGATIVE[:2]],
         "SELECT productid, doc_id, term, round(weight, 6) AS weight FROM x",
     ),
-    "nmf_topics": with_ctes(
+    "nmf_topics_finished": with_ctes(
+        [*ENTRY, *NEGATIVE[:3]],
+        """SELECT productid, topics, reviews, terms, 1 AS is_settled, 1 AS is_stationary
+FROM (SELECT productid, count(*)::INT AS topics FROM topic_numbers GROUP BY productid)
+JOIN (SELECT productid, count(DISTINCT doc_id) AS reviews, count(DISTINCT term) AS terms FROM x GROUP BY productid)
+  USING (productid)""",
+    ),
+    "nmf_topics_five_steps": with_ctes(
         FACTORED,
         f"SELECT productid, t::INT AS topic, term, round(v, 6) AS weight FROM h{NMF_ITERATIONS}",
     ),
-    "top_topic_words": with_ctes([*FACTORED, WORDS], "SELECT * FROM words"),
-    "word_class": with_ctes([*FACTORED, WORDS, CLASSED], "SELECT * FROM classed"),
-    "negative_words": with_ctes(
+    "top_topic_words_five_steps": with_ctes([*FACTORED, WORDS], "SELECT * FROM words"),
+    "word_class_five_steps": with_ctes([*FACTORED, WORDS, CLASSED], "SELECT * FROM classed"),
+    "negative_words_five_steps": with_ctes(
         [*FACTORED, WORDS, CLASSED, NEGATIVE_WORDS], "SELECT * FROM negative_words"
     ),
-    "word_weights": with_ctes(
+    "word_weights_five_steps": with_ctes(
         [*FACTORED, WORDS, CLASSED, NEGATIVE_WORDS],
         """SELECT productid, term, count(*) AS frequency FROM negative_words GROUP BY productid, term
 QUALIFY row_number() OVER (PARTITION BY productid ORDER BY count(*) DESC, term) <= 200""",

@@ -718,89 +718,59 @@ def sorted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Topics --------------------------------------------------------------------------------------
 
-# Steps of the queries that are checked against SQL; the ``_converged`` ones run until every product's loss settles.
+# Steps of the ``_five_steps`` queries, whose every weight SQL can follow; the others go on until each product's topics are finished.
 NMF_ITERATIONS = 5
 
 
 def _negative_weights(spark: SparkSession, sf_dir: str):
-    """The stored model, the negative reviews' weights, and how many of them each product has."""
+    """The reviews' weights, and how many negative reviews each product has."""
     model, negative = views.stored_model(spark, sf_dir), views.negative_text(spark, sf_dir)
     counts = negative.groupBy("productid").agg(F.count("*").alias("docs"))
-    return model, topics.negative_tfidf(model, negative), counts
+    return topics.negative_tfidf(model, negative), counts
 
 
 @register
 def negative_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_negative_weights(spark, sf_dir)[1], "weight")
+    return rounded(_negative_weights(spark, sf_dir)[0], "weight")
 
 
-def _topics(spark: SparkSession, sf_dir: str):
-    model, weights, counts = _negative_weights(spark, sf_dir)
-    return model, topics.nmf_topics(weights, reviews=counts, iterations=NMF_ITERATIONS, tolerance=None)
+def _factors(spark: SparkSession, sf_dir: str, is_finished: bool) -> topics.Factors:
+    """The stored factors, fitted once for all queries."""
 
+    def write(path: str) -> None:
+        weights, counts = _negative_weights(spark, sf_dir)
+        steps = {} if is_finished else {"iterations": NMF_ITERATIONS, "tolerance": None}
+        topics.save_factors(topics.nmf_fit(weights, reviews=counts, **steps), path)
 
-@register
-def nmf_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_topics(spark, sf_dir)[1], "weight")
+    return topics.load_factors(spark, views.keep(spark, sf_dir, f"topics-{is_finished}", write))
 
 
-@register
-def nmf_topics_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, weights, counts = _negative_weights(spark, sf_dir)
-    return rounded(topics.nmf_topics(weights, reviews=counts), "weight")
+def _topic_queries(is_finished: bool) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def nmf_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(topics.topic_terms(_factors(spark, sf_dir, is_finished)), "weight")
 
+    def top_topic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return topics.top_topic_words(topics.topic_terms(_factors(spark, sf_dir, is_finished)))
 
-@register
-def top_topic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.top_topic_words(_topics(spark, sf_dir)[1])
+    def word_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return topics.word_class(top_topic_words(spark, sf_dir), views.stored_model(spark, sf_dir))
 
+    def negative_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return topics.negative_words(word_class(spark, sf_dir))
 
-def _classed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, found = _topics(spark, sf_dir)
-    return topics.word_class(topics.top_topic_words(found), model)
+    def word_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return topics.word_weights(negative_words(spark, sf_dir))
 
-
-@register
-def word_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classed_words(spark, sf_dir)
+    return {f.__name__: f for f in (nmf_topics, top_topic_words, word_class, negative_words, word_weights)}
 
 
-@register
-def negative_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.negative_words(_classed_words(spark, sf_dir))
+#: Words of finished topics have no SQL; ``nmf_topics_finished`` says of the same stored factors what SQL can check.
+FINISHED = _topic_queries(True)
+QUERIES.update({f"{name}_five_steps": query for name, query in _topic_queries(False).items()})
 
 
 @register
-def word_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.word_weights(topics.negative_words(_classed_words(spark, sf_dir)))
-
-
-# Words of finished topics; without SQL, so beside ``QUERIES``.
-
-
-def _converged_words(spark: SparkSession, sf_dir: str):
-    model, weights, counts = _negative_weights(spark, sf_dir)
-    return model, topics.top_topic_words(topics.nmf_topics(weights, reviews=counts))
-
-
-def top_topic_words_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _converged_words(spark, sf_dir)[1]
-
-
-def word_class_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, words = _converged_words(spark, sf_dir)
-    return topics.word_class(words, model)
-
-
-def negative_words_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.negative_words(word_class_converged(spark, sf_dir))
-
-
-def word_weights_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.word_weights(negative_words_converged(spark, sf_dir))
-
-
-CONVERGED = {
-    f.__name__: f
-    for f in (top_topic_words_converged, word_class_converged, negative_words_converged, word_weights_converged)
-}
+def nmf_topics_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every product's finished topics are, and that they are finished: the residual is worked out anew from the stored factors."""
+    facts = topics.topic_facts(_factors(spark, sf_dir, True))
+    return facts.select("productid", "topics", "reviews", "terms", "is_settled", "is_stationary")

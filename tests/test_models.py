@@ -10,7 +10,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from sentimill.operators import features, linear, metrics, naive_bayes, topics
+from sentimill.operators import features, linear, metrics, naive_bayes, nmf, topics
 from sentimill.sources import reviews, views
 
 DOCS = [
@@ -160,22 +160,65 @@ def weights(spark):
 
 
 def test_topic_loss_never_rises_without_penalties(spark):
-    f = topics.start_factors(weights(spark), topics=3, slots=8)
+    x = weights(spark)
     losses = []
-    for _ in range(3):
-        f = topics.nmf_step(f, 0.0, 0.0)
-        losses.append({r.productid: r.loss for r in topics.nmf_loss(f).collect()})
+    for steps in (1, 2, 3):
+        f = topics.nmf_fit(x, topics=3, iterations=steps, alpha=0.0, tolerance=None)
+        losses.append({r.productid: r.loss for r in f.fits.collect()})
+        assert losses[-1] == pytest.approx({r.productid: r.loss for r in nmf.nmf_residual(f, alpha=0.0).collect()})
     for p in ("big", "one"):
         assert losses[0][p] >= losses[1][p] - 1e-9 >= losses[2][p] - 2e-9
 
 
-def test_topics_do_not_depend_on_how_keys_are_split(spark):
-    whole = topics.nmf_topics(weights(spark), topics=3, iterations=2, slots=1)
-    split = topics.nmf_topics(weights(spark), topics=3, iterations=2, slots=64)
-    a = {(r.productid, r.topic, r.term): r.weight for r in whole.collect()}
-    b = {(r.productid, r.topic, r.term): r.weight for r in split.collect()}
-    assert a == pytest.approx(b) and all(v >= 0 for v in a.values())
-    assert {k[1] for k in a if k[0] == "one"} == {0}
+def by_name(f):
+    return (
+        {(r.productid, r.term): r.h for r in f.h.collect()},
+        {(r.productid, r.doc_id): r.w for r in f.w.collect()},
+        {r.productid: (r.steps, r.is_settled) for r in f.fits.collect()},
+    )
+
+
+@pytest.mark.parametrize("rules", [{"iterations": 2, "tolerance": None}, {"iterations": 60, "tolerance": 1e-3, "check_every": 5}])
+def test_topics_do_not_depend_on_the_blocks(spark, rules):
+    """A product in one block is fitted where it lies, one in several step by step with the others."""
+    whole = by_name(topics.nmf_fit(weights(spark), topics=3, **rules))
+    parted = by_name(topics.nmf_fit(weights(spark), topics=3, block_entries=40, **rules))
+    assert whole[2] == parted[2]
+    for a, b in zip(whole[:2], parted[:2], strict=True):
+        assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+    assert all(v >= 0 for row in whole[0].values() for v in row)
+    assert all(row[1:] == [0.0, 0.0] for (p, _), row in whole[0].items() if p == "one")
+
+
+def test_a_step_exchanges_factors_only(spark):
+    packed = spark.createDataFrame(
+        [("p", b, 2, 1, ["1"], ["t"], b"", b"", b"") for b in range(2)],
+        "productid string, block int, blocks int, k int, keys array<string>, terms array<string>, docs binary, cols binary, values binary",
+    )
+    table, name = nmf._in_place(packed)
+    given = spark.createDataFrame([], "productid string, block int, kind int, term string, given array<double>")
+    blocks = table.select("productid", "block", "terms", "docs", "cols", "values")
+    plan = nmf.step_rows(blocks, given, 2, nmf.Rules(0.0, 0.0, 1, None, 1))._jdf.queryExecution().executedPlan().toString()
+    spark.sql(f"DROP TABLE {name}")
+    assert plan.count("Exchange") == 1 and "Exchange" not in plan[plan.index("FileScan") - 200 : plan.index("FileScan")]
+
+
+def test_unfinished_topics_are_told(spark):
+    for steps, finished in ((0, 0), (5, 0), (200, 1)):
+        f = topics.nmf_fit(weights(spark).filter("productid = 'big'"), topics=3, iterations=steps, tolerance=1e-4)
+        facts = topics.topic_facts(f).first()
+        assert (facts.is_settled, facts.is_stationary) == (finished, finished)
+        assert (facts.topics, facts.reviews, facts.terms) == (3, 30, 13 if finished else facts.terms)
+
+
+def test_products_without_name_and_without_reviews(spark):
+    schema = "productid string, doc_id long, term string, weight double"
+    rows = [("", 1, "a", 1.0), (None, 2, "a", 1.0), ("p", 3, "b", 0.5), ("p", None, "b", 0.5)]
+    f = topics.nmf_fit(spark.createDataFrame(rows, schema), topics=2, iterations=3, tolerance=None)
+    assert {r.productid for r in f.fits.collect()} == {"", "p"}
+    assert sorted(r.topic for r in topics.topic_terms(f).filter("productid = ''").collect()) == [0]
+    none = topics.nmf_fit(spark.createDataFrame([], schema), topics=2)
+    assert topics.topic_terms(none).count() == 0 and none.fits.count() == 0
 
 
 def test_shop_words_are_left_out(spark):
@@ -219,7 +262,7 @@ def test_topics_converge(spark):
     weights = spark.createDataFrame(rows, "productid string, doc_id int, term string, weight double")
     few = topics.nmf_fit(weights, topics=2, iterations=2, tolerance=None)
     settled = topics.nmf_fit(weights, topics=2, iterations=40, tolerance=0.02, check_every=3)
-    losses = [topics.nmf_loss(f).first()["loss"] for f in (few, settled)]
+    losses = [f.fits.first()["loss"] for f in (few, settled)]
     assert losses[1] < losses[0]
 
 
