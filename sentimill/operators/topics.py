@@ -14,8 +14,8 @@ from sentimill.operators.naive_bayes import NaiveBayesModel
 from sentimill.operators.nmf import Factors, nmf_fit, nmf_residual
 from sentimill.plans.skew import lookup
 
-#: The largest residual of finished topics.
-STATIONARY = 0.01
+#: The largest residual of finished topics; the rule by loss stops at 0.014 and less on the given tables, five steps leave 0.07 and more.
+STATIONARY = 0.02
 
 
 def negative_tfidf(
