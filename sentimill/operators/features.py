@@ -11,13 +11,12 @@ from sentimill.plans.running import running_totals
 from sentimill.plans.skew import lookup
 
 
-def term_counts(docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
-    """``key, term, tf`` from an array column ``terms``.
+def with_counts(docs: DataFrame, columns: Sequence[str], name: str = "counts") -> DataFrame:
+    """``columns`` and the array ``name`` of (term, tf) from an array column ``terms``.
 
     A text's terms are in its own row, so counting sorts the array and measures
     the runs of equal words there; nothing is shuffled.
     """
-    columns = [key, *keep]
     ordered = docs.select(*columns, F.sort_array("terms").alias("_sorted"))
     starts = F.filter(
         F.transform(
@@ -35,9 +34,13 @@ def term_counts(docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = ())
             .alias("tf"),
         ),
     )
-    return ordered.select(*columns, "_sorted", starts.alias("_starts")).select(
-        *columns, F.inline(runs)
-    )
+    return ordered.select(*columns, "_sorted", starts.alias("_starts")).select(*columns, runs.alias(name))
+
+
+def term_counts(docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
+    """``key, term, tf`` from an array column ``terms``."""
+    columns = [key, *keep]
+    return with_counts(docs, columns, "_counts").select(*columns, F.inline("_counts"))
 
 
 def known_terms(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:

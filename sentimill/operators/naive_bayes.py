@@ -6,18 +6,19 @@ table; only class sizes and sums, a handful of numbers, come to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import inf, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentimill.operators.features import idf, known_terms, term_counts, tfidf, vocabulary, within_df
+from sentimill.operators.features import idf, known_terms, term_counts, tfidf, vocabulary, with_counts, within_df
 from sentimill.operators.metrics import auc_by_group
 from sentimill.plans.cuts import stratified_folds
 from sentimill.plans.skew import lookup
 from sentimill.plans.staging import stage
+from sentimill.plans.term_table import TermTable, fits_broadcast
 
 BERNOULLI, MULTINOMIAL = "bernoulli", "multinomial"
 
@@ -152,22 +153,42 @@ def _evidence(model: NaiveBayesModel, docs: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _evidence_in_row(model: NaiveBayesModel, docs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns, e0, e1``, found inside each document's row: nothing is shuffled."""
+    if model.kind == BERNOULLI:
+        values = {"a0": F.col("log_p0") - F.col("log_not0"), "a1": F.col("log_p1") - F.col("log_not1")}
+    else:
+        values = {"a0": F.col("idf") * F.col("log_p0"), "a1": F.col("idf") * F.col("log_p1"), "idf": F.col("idf")}
+    table = TermTable(model.terms, values)
+    found = with_counts(docs, columns, "_counts").select(*columns, table.found(F.col("_counts")).alias("_found"))
+
+    def added(value: Callable[[Column], Column]) -> Column:
+        return F.aggregate("_found", F.lit(0.0), lambda so_far, x: so_far + value(x))
+
+    if model.kind == BERNOULLI:
+        return found.select(*columns, *[added(lambda x, a=a: x[a]).alias(f"e{a[1]}") for a in ("a0", "a1")])
+    squares = added(lambda x: x["tf"] * x["idf"] * x["tf"] * x["idf"])
+    length = F.when(F.size("_found") > 0, F.sqrt(squares))
+    return found.select(*columns, *[(added(lambda x, a=a: x["tf"] * x[a]) / length).alias(f"e{a[1]}") for a in ("a0", "a1")])
+
+
 def nb_predict(
     model: NaiveBayesModel, docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = ()
 ) -> DataFrame:
     """``key``, ``keep``, ``score0, score1, predicted, proba``; every document is scored.
 
-    ``proba`` is the probability of class 1; equal scores give class 0.
+    ``proba`` is the probability of class 1; equal scores give class 0.  A model that Spark's broadcast limit allows is
+    looked up inside the documents' rows, a larger one is joined by term.
     """
-    scored = (
-        docs.select(key, *keep)
-        .join(_evidence(model, docs, key), key, "left")
-        .select(
-            key,
-            *keep,
-            (F.lit(model.start0) + F.coalesce("e0", F.lit(0.0))).alias("score0"),
-            (F.lit(model.start1) + F.coalesce("e1", F.lit(0.0))).alias("score1"),
-        )
+    if fits_broadcast(model.terms):
+        found = _evidence_in_row(model, docs, [key, *keep])
+    else:
+        found = docs.select(key, *keep).join(_evidence(model, docs, key), key, "left")
+    scored = found.select(
+        key,
+        *keep,
+        (F.lit(model.start0) + F.coalesce("e0", F.lit(0.0))).alias("score0"),
+        (F.lit(model.start1) + F.coalesce("e1", F.lit(0.0))).alias("score1"),
     )
     return scored.withColumns(
         {

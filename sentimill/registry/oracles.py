@@ -321,6 +321,7 @@ UNION ALL (SELECT "Id", "Summary", 1 AS length FROM lengths WHERE "Summary_len"
 
 TEXT = {
     "read_reviews": with_ctes([RAW], "SELECT * FROM raw"),
+    "read_reviews_in_blocks": with_ctes([RAW], "SELECT * FROM raw"),
     "read_balanced": with_ctes(
         [*CLEANED, BALANCED], 'SELECT "Text", "Summary", "Score" FROM balanced'
     ),

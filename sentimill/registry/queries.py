@@ -54,6 +54,13 @@ def read_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews.read_reviews(spark, path, marked=True)
 
 
+@register
+def read_reviews_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "reviews-csv")
+    reviews.write_reviews_csv(views.reviews_raw(spark, sf_dir), path)
+    return reviews.read_reviews(spark, path, marked=True, split=True)
+
+
 def _clean_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned reviews as a written table, for queries that read them twice."""
     return stage(_clean(spark, sf_dir).drop("Summary_tokens"), "clean")

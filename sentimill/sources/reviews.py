@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from sentimill.operators.naive_bayes import NaiveBayesModel
 from sentimill.operators.sampling import random_split
 from sentimill.plans.staging import drop_staged, stage
+from sentimill.sources import csv_blocks
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -35,6 +36,22 @@ def _unmarked(column: str) -> Column:
     return F.when(value != _NULL_MARK, text.otherwise(value)).alias(column)
 
 
+#: Files larger than this are read in blocks.
+SPLIT_BYTES = 128 * 1024 * 1024
+
+_CSV = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file; the contents are not read."""
+    return spark.read.format("binaryFile").load(path).agg(F.coalesce(F.max("length"), F.lit(0))).first()[0]
+
+
 def read_reviews(
     spark: SparkSession,
     path: str,
@@ -42,26 +59,25 @@ def read_reviews(
     multi_line: bool = True,
     format: str = "csv",
     marked: bool = False,
+    split: bool | None = None,
 ) -> DataFrame:
     """Reviews from CSV with a header (all columns text) or from Parquet, as ``format`` says.
 
-    ``multi_line`` allows line breaks inside quotes; such files are not split, so a large table should then come as
-    many files.  ``marked`` files are those of ``write_reviews_csv``.  Without a schema the header names the columns.
+    ``multi_line`` allows line breaks inside quotes.  With ``split`` such files are read in blocks by many tasks, else
+    each file by one; by default they are when a file is larger than a block (128 MB).  Both give the same rows as long as
+    quotes stand around values only, with quotes inside them doubled; a file with quotes in the middle of bare values
+    needs ``split=False``.  ``marked`` files are those of ``write_reviews_csv``.  Without a schema the header names the
+    columns.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
     if format == "parquet":
-        return reader.parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     if format != "csv":
         raise ValueError(f"unknown format: {format}")
-    df = (
-        reader.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    reader = spark.read.options(header=True, multiLine=multi_line, **_CSV)
+    whole = (reader if schema is None else reader.schema(schema)).csv(path)
+    if multi_line and split is None:
+        split = _largest_file(spark, path) > SPLIT_BYTES
+    df = csv_blocks.read_csv(spark, path, whole.schema, _CSV) if multi_line and split else whole
     return df.select(*[_unmarked(c) for c in df.columns]) if marked else df
 
 
@@ -70,19 +86,16 @@ def write_reviews_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     (
         df.select(*[_marked(c) for c in df.columns])
         .write.mode(mode)
-        .option("header", True)
-        .option("quoteAll", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
+        .options(header=True, quoteAll=True, **_CSV)
         .csv(path)
     )
 
 
-def read_balanced(spark: SparkSession, path: str, format: str = "csv", marked: bool = False) -> DataFrame:
+def read_balanced(
+    spark: SparkSession, path: str, format: str = "csv", marked: bool = False, split: bool | None = None
+) -> DataFrame:
     """The labelled subset without its index and id columns."""
-    return read_reviews(spark, path, None, format=format, marked=marked).drop("Unnamed: 0", "Id")
+    return read_reviews(spark, path, None, format=format, marked=marked, split=split).drop("Unnamed: 0", "Id")
 
 
 ENTRY_SCHEMA = (
