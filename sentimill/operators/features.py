@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,36 +11,44 @@ from sentimill.plans.running import running_totals
 from sentimill.plans.skew import lookup
 
 
-def with_counts(docs: DataFrame, columns: Sequence[str], name: str = "counts") -> DataFrame:
-    """``columns`` and the array ``name`` of (term, tf) from an array column ``terms``.
+def _starts(ordered: Column) -> Column:
+    """Where the runs of equal words in a sorted array begin."""
+    first = F.transform(ordered, lambda w, i: F.when(~w.eqNullSafe(F.get(ordered, i - 1)), i))
+    return F.filter(first, lambda i: i.isNotNull())
 
-    A text's terms are in its own row, so counting sorts the array and measures
-    the runs of equal words there; nothing is shuffled.
-    """
-    ordered = docs.select(*columns, F.sort_array("terms").alias("_sorted"))
-    starts = F.filter(
-        F.transform(
-            "_sorted",
-            lambda w, i: F.when(~w.eqNullSafe(F.get("_sorted", i - 1)), i),
-        ),
-        lambda i: i.isNotNull(),
-    )
-    runs = F.transform(
-        "_starts",
+
+def _runs(ordered: Column, starts: Column) -> Column:
+    """The words of a sorted array with the lengths of their runs: (term, tf)."""
+    return F.transform(
+        starts,
         lambda start, j: F.struct(
-            F.get("_sorted", start).alias("term"),
-            (F.coalesce(F.get("_starts", j + 1), F.size("_sorted")) - start)
-            .cast("bigint")
-            .alias("tf"),
+            F.get(ordered, start).alias("term"),
+            (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - start).cast("bigint").alias("tf"),
         ),
     )
-    return ordered.select(*columns, "_sorted", starts.alias("_starts")).select(*columns, runs.alias(name))
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
-    """``key, term, tf`` from an array column ``terms``."""
+    """``key, term, tf`` from an array column ``terms``.
+
+    A text's terms are in its own row, so counting sorts the array and measures
+    the runs of equal words there; nothing is shuffled.
+    """
     columns = [key, *keep]
-    return with_counts(docs, columns, "_counts").select(*columns, F.inline("_counts"))
+    ordered = docs.select(*columns, F.sort_array("terms").alias("_sorted"))
+    return ordered.select(*columns, "_sorted", _starts(F.col("_sorted")).alias("_starts")).select(
+        *columns, F.inline(_runs(F.col("_sorted"), F.col("_starts")))
+    )
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, even where a filter is pushed below it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def counted_terms(terms: Column) -> Column:
+    """The array of (term, tf) of an array of terms."""
+    return once(F.sort_array(terms), lambda ordered: once(_starts(ordered), lambda starts: _runs(ordered, starts)))
 
 
 def known_terms(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:

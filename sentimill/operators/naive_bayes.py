@@ -13,7 +13,7 @@ from math import inf, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentimill.operators.features import idf, known_terms, term_counts, tfidf, vocabulary, with_counts, within_df
+from sentimill.operators.features import counted_terms, idf, known_terms, once, term_counts, tfidf, vocabulary, within_df
 from sentimill.operators.metrics import auc_by_group
 from sentimill.plans.cuts import stratified_folds
 from sentimill.plans.skew import lookup
@@ -160,16 +160,19 @@ def _evidence_in_row(model: NaiveBayesModel, docs: DataFrame, columns: Sequence[
     else:
         values = {"a0": F.col("idf") * F.col("log_p0"), "a1": F.col("idf") * F.col("log_p1"), "idf": F.col("idf")}
     table = TermTable(model.terms, values)
-    found = with_counts(docs, columns, "_counts").select(*columns, table.found(F.col("_counts")).alias("_found"))
 
-    def added(value: Callable[[Column], Column]) -> Column:
-        return F.aggregate("_found", F.lit(0.0), lambda so_far, x: so_far + value(x))
+    def added(found: Column, value: Callable[[Column], Column]) -> Column:
+        return F.aggregate(found, F.lit(0.0), lambda so_far, x: so_far + value(x))
 
-    if model.kind == BERNOULLI:
-        return found.select(*columns, *[added(lambda x, a=a: x[a]).alias(f"e{a[1]}") for a in ("a0", "a1")])
-    squares = added(lambda x: x["tf"] * x["idf"] * x["tf"] * x["idf"])
-    length = F.when(F.size("_found") > 0, F.sqrt(squares))
-    return found.select(*columns, *[(added(lambda x, a=a: x["tf"] * x[a]) / length).alias(f"e{a[1]}") for a in ("a0", "a1")])
+    def sums(found: Column) -> Column:
+        if model.kind == BERNOULLI:
+            return F.struct(added(found, lambda x: x["a0"]).alias("e0"), added(found, lambda x: x["a1"]).alias("e1"))
+        length = F.sqrt(added(found, lambda x: x["tf"] * x["idf"] * x["tf"] * x["idf"]))
+        weighed = [(added(found, lambda x, a=a: x["tf"] * x[a]) / length).alias(f"e{a[1]}") for a in ("a0", "a1")]
+        return F.when(F.size(found) > 0, F.struct(*weighed))
+
+    evidence = once(table.found(counted_terms(F.col("terms"))), sums)
+    return docs.select(*columns, evidence.alias("_e")).select(*columns, "_e.e0", "_e.e1")
 
 
 def nb_predict(

@@ -1,7 +1,8 @@
 """A small table of terms as one value, looked up inside the rows that hold the terms.
 
-The table is a hash table of built-in types, an array of slots that each hold a few entries.  It is computed by a
-scalar subquery, travels to the executors once with the query and is read in place, so no row is shuffled or exploded.
+The table is a hash table of built-in types, an array of slots that each hold a few entries.  It is a constant of the
+query (Spark allows no subquery inside ``transform``), travels to the executors once with it and is read in place, so no
+row is shuffled or exploded.  It passes through the driver as JSON, which is why it must be within the broadcast limit.
 """
 
 from __future__ import annotations
@@ -42,7 +43,9 @@ class TermTable:
         filled = terms.groupBy(self._slot(F.col("term")).alias("slot")).agg(F.collect_list(entry).alias("entries"))
         every = terms.sparkSession.range(self.slots).select(F.col("id").cast("int").alias("slot"))
         whole = every.join(filled, "slot", "left").agg(F.array_sort(F.collect_list(F.struct("slot", "entries"))).alias("all"))
-        self.table = whole.select(F.col("all.entries")).scalar()
+        entries = whole.select(F.col("all.entries").alias("entries"))
+        # Folded to a constant when the query is planned.
+        self.table = F.from_json(F.lit(entries.select(F.to_json("entries")).first()[0]), entries.schema["entries"].dataType)
 
     def _slot(self, term: Column) -> Column:
         return F.pmod(F.xxhash64(term), F.lit(self.slots)).cast("int")
