@@ -216,6 +216,40 @@ def test_min_df_is_a_count_or_a_share(spark):
     assert numbers == list(range(61))
 
 
+@pytest.mark.parametrize("setting", [Setting("log", 1 / 93), Setting("hinge", 0.02)])
+def test_several_blocks_close_the_gap(docs, monkeypatch, setting):
+    """Rounds of blocks that do not see each other's changes had not closed the hinge model's gap in 4,000 epochs."""
+    monkeypatch.setattr(dual, "BLOCK_ROWS", 25)
+    corpus = linear.encode(docs)
+    assert corpus.blocks.count() > 2
+    passes, one = [], dual._pass
+    monkeypatch.setattr(dual, "_pass", lambda *a: passes.append(a[2].shape[1]) or one(*a))
+    model = linear._fit(corpus, setting)
+    assert 0 < len(passes) < 200 and set(passes) == {1}
+    assert linear.optimum(model, docs).first().is_optimal == 1
+
+
+def test_the_driver_holds_few_models_at_once(docs, monkeypatch):
+    """Models beyond the bound are fitted one group after the other and mean the same; a small vocabulary is numbered anew."""
+    settings = [Setting("log", 0.05), Setting("hinge", 0.3, 0.05), Setting("hinge", 0.3), Setting("log", 0.05, held=1)]
+    monkeypatch.setattr(dual, "BLOCK_ROWS", 35)
+    corpus = linear.encode(docs, folds=3)
+    known = [corpus.documents] * 3 + [int(corpus.documents - corpus.sizes[1])]
+    idf = corpus.idf(0.3)
+    whole = dual.fit_many(corpus.blocks, idf, settings, known, 1e-3)
+    small, idf = dual.narrowed(corpus.blocks, idf), idf[idf > 0]
+    assert 0 < len(idf) < len(corpus.df)
+    monkeypatch.setattr(dual, "MOST_NUMBERS", 2 * (len(idf) + 1))
+    widths, one = [], dual._pass
+    monkeypatch.setattr(dual, "_pass", lambda *a: widths.append(a[2].shape) or one(*a))
+    parted = dual.fit_many(small, idf, settings, known, 1e-3)
+    # Three models without an L1 penalty, two of them at once.
+    assert {w for _, w in widths} == {1, 2} and {terms for terms, _ in widths} == {len(idf) + 1}
+    assert parted.converged.all() and whole.converged.all()
+    assert np.allclose(parted.primal, whole.primal, rtol=2e-3)
+    assert [parted.duals(m).count() for m in range(4)] == [93] * 4
+
+
 def test_no_documents_and_one_class(spark):
     for rows in ([], [(1, 1, ["a"]), (2, 1, ["a", "b"]), (3, None, ["a"])]):
         docs = spark.createDataFrame(rows, DOCS)
