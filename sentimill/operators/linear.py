@@ -118,15 +118,19 @@ def _fit(corpus: Corpus, setting: Setting, min_df: float = 1.0, most_epochs: int
     return LinearModel(setting, terms, float(fit.weights[-1, 0]), stage(fit.duals(), "linear-duals"))
 
 
-def logistic_fit(docs: DataFrame, c: float = 1.0, key: str = "doc_id", label: str = "label") -> LinearModel:
-    """Fit on ``terms`` and ``label``."""
-    corpus = encode(docs, key, label)
+def logistic_fit(
+    docs: DataFrame, c: float = 1.0, key: str = "doc_id", label: str = "label", corpus: Corpus | None = None
+) -> LinearModel:
+    """Fit on ``terms`` and ``label``; ``corpus``: the documents where they are encoded already."""
+    corpus = corpus or encode(docs, key, label)
     return _fit(corpus, logistic_setting(corpus.documents, c))
 
 
-def svm_fit(docs: DataFrame, alpha: float = SVM_ALPHA, key: str = "doc_id", label: str = "label") -> LinearModel:
+def svm_fit(
+    docs: DataFrame, alpha: float = SVM_ALPHA, key: str = "doc_id", label: str = "label", corpus: Corpus | None = None
+) -> LinearModel:
     """Hinge loss with L2 penalty ``alpha``."""
-    return _fit(encode(docs, key, label), sgd_setting(HINGE, "l2", alpha))
+    return _fit(corpus or encode(docs, key, label), sgd_setting(HINGE, "l2", alpha))
 
 
 def linear_predict(model: LinearModel, docs: DataFrame, keep: Sequence[str] = ("doc_id", "label"), key: str = "doc_id") -> DataFrame:

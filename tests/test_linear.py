@@ -268,3 +268,18 @@ def test_a_round_is_one_scan_of_the_blocks(spark, docs, monkeypatch):
     monkeypatch.setattr(dual, "_rounds", lambda *a: rounds.append(len(a[2].n)) or one(*a))
     dual.fit_many(corpus.blocks, corpus.idf(), SETTINGS, [corpus.documents] * 5, 1e-3)
     assert set(rounds) == {5} and len(rounds) < 12
+
+
+@pytest.mark.parametrize("setting", [Setting("log", 1 / 93), Setting("hinge", 0.02), Setting("hinge", 0.02, held=1)])
+def test_one_large_block_makes_its_steps_in_one_task(docs, monkeypatch, setting):
+    """Every pass had been a job of its own beyond a block of 5,000 documents."""
+    monkeypatch.setattr(dual, "EPOCH_ROWS", 10)
+    corpus = linear.encode(docs, folds=3)
+    assert corpus.blocks.count() == 1
+    for name in ("_pass", "_rounds"):
+        monkeypatch.setattr(dual, name, lambda *a: pytest.fail("a job for a step"))
+    known = corpus.documents - (0 if setting.held is None else int(corpus.sizes[setting.held]))
+    fit = dual.fit_many(corpus.blocks, corpus.idf(), [setting], [known])
+    assert fit.converged.all() and -1e-12 < fit.gap[0] <= dual.TOLERANCE and fit.duals().count() == 93
+    if setting.held is None:
+        assert linear.optimum(linear._fit(corpus, setting), docs).first().is_optimal == 1
