@@ -6,9 +6,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from sentimill.operators import reports
+from sentimill.operators import naive_bayes, reports
 from sentimill.plans import staging
-from sentimill.sources import reviews
+from sentimill.sources import reviews, views
 
 RAW = [
     ("1", "p", "5", "0", 'say "hi"', "two\nlines, and a comma"),
@@ -169,3 +169,29 @@ def test_unknown_sort_column(spark):
     totals = reports.sentiment_totals(entries(spark, [(1, "p", 1, 1, 0.1)]))
     with pytest.raises(ValueError):
         reports.sorted_totals(totals, "nope")
+
+
+def test_texts_are_written_once_to_be_scored(spark, tmp_path, monkeypatch):
+    """A model too large for the rows is joined without tokenised or scored texts being staged, and gives the scores of the other way."""
+    texts = [(i, f"s{i % 3}", f"headline {'good' if i % 2 else 'awful'}\nterm{i % 5} term{i % 7} {'fine' if i % 2 else 'broken'}") for i in range(60)]
+    rows = [*texts, (60, "s0", None), (61, None, "")]
+    spark.createDataFrame(rows, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, i % 2) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    staged = []
+    for module in (views, naive_bayes):
+        one = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, label, one=one: staged.append((label, df.columns)) or one(df, label))
+    found = {}
+    for limit in ("10m", "64b"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            monkeypatch.setattr(staging, "_KEPT", {})
+            staged.clear()
+            found[limit] = sorted(views.entries_text(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [label for label, columns in staged if "text" in columns] and "evidence" in {label for label, _ in staged}
+    assert len(found["64b"]) == 62 and found["64b"] == found["10m"]
+    negative = views.negative_text(spark, str(tmp_path))
+    assert negative.count() == sum(r.predicted_score == 0 for r in found["64b"])
