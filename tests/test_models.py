@@ -281,3 +281,15 @@ def test_topics_of_a_product_do_not_change_with_the_other_products(spark):
     assert found[0] and found[0] == pytest.approx(found[1])
 
 
+
+
+def test_a_product_of_many_entries_exchanges_nothing_in_its_steps(spark, monkeypatch):
+    """Beyond 2^18 entries a product's steps had each moved and written the factors of all its terms."""
+    rows = spark.range(300_000).select(
+        F.lit("p").alias("productid"), F.floor(F.col("id") / 100).alias("doc_id"),
+        F.concat(F.lit("t"), F.col("id") % 100).alias("term"), (1 + F.col("id") % 7).cast("double").alias("weight"),
+    )
+    monkeypatch.setattr(nmf, "step_rows", lambda *a: pytest.fail("factors are exchanged"))
+    found = nmf.nmf_fit(rows, topics=2, iterations=2, tolerance=None)
+    assert (found.w.count(), found.h.count()) == (3000, 100)
+    assert found.fits.select("productid", "steps").first() == ("p", 2)
