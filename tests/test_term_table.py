@@ -1,10 +1,14 @@
 """Scoring inside the rows and scoring by joins give the same, and only the second one shuffles."""
 
+import re
+from functools import partial
+
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from sentimill.operators import naive_bayes
-from sentimill.plans import term_table
+from sentimill.plans import term_blocks, term_table
 from sentimill.sources.reviews import load_model, save_model
 
 
@@ -43,6 +47,21 @@ def test_both_ways_of_scoring_agree(spark, tmp_path, fit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
 
 
+def test_a_large_model_is_joined_with_the_terms_of_blocks(spark, monkeypatch):
+    """Every term of every document was shuffled to the model, and its two numbers back to the document."""
+    model = naive_bayes.bernoulli_nb_fit(documents(spark))
+    docs = spark.createDataFrame([*ODD, (None, ["w1", "w3"])], "doc_id long, terms array<string>").coalesce(1)
+    held = docs.select("doc_id", F.explode(F.array_distinct("terms")).alias("term")).join(model.terms, "term")
+    plain = held.groupBy("doc_id").agg(F.sum(F.col("log_p0") - F.col("log_not0")).alias("e0"), F.sum(F.col("log_p1") - F.col("log_not1")).alias("e1"))
+    monkeypatch.setattr(naive_bayes, "lookup", lambda *a: pytest.fail("the documents' terms are joined"))
+    monkeypatch.setattr(naive_bayes, "found_by_block", partial(term_blocks.found_by_block, block_terms=3))
+    rows = lambda df: {r.doc_id: (round(r.e0, 9), round(r.e1, 9)) for r in df.collect()}
+    found = naive_bayes._evidence(model, docs, "doc_id")
+    assert rows(found) == rows(plain) and set(rows(found)) == {100, 103, None}
+    # The blocks are read where they lie; only their terms and the terms' values move.
+    assert not re.search(r"Exchange hashpartitioning\(block#", plan_of(found))
+
+
 def test_rows_of_one_key_are_scored_apart(spark):
     model = naive_bayes.bernoulli_nb_fit(documents(spark))
     docs = spark.createDataFrame(ODD, "doc_id long, terms array<string>")
