@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_file
 from conftest import plan_of
 from sentimill.operators import features, linear, metrics, naive_bayes, nmf, topics
 from sentimill.sources import reviews, views
@@ -293,3 +294,22 @@ def test_a_product_of_many_entries_exchanges_nothing_in_its_steps(spark, monkeyp
     found = nmf.nmf_fit(rows, topics=2, iterations=2, tolerance=None)
     assert (found.w.count(), found.h.count()) == (3000, 100)
     assert found.fits.select("productid", "steps").first() == ("p", 2)
+
+
+def test_weights_of_negative_reviews_are_written_once(spark, tmp_path, monkeypatch):
+    """They were written by the weights' step, by the fit and with the factors, for the five steps and again for the finished topics."""
+    texts = [(i, f"s{i % 2}", f"{'good' if i % 3 else 'awful'} term{i % 5} term{i % 7} {'fine' if i % 3 else 'broken'}") for i in range(60)]
+    spark.createDataFrame([*texts, texts[0]], "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    staged, worked_out = [], []
+    one, weigh = nmf.stage, topics.negative_tfidf
+    monkeypatch.setattr(nmf, "stage", lambda df, label: staged.append(df.columns) or one(df, label))
+    monkeypatch.setattr(topics, "negative_tfidf", lambda *a: worked_out.append(1) or weigh(*a))
+    for name in ("negative_words_five_steps", "nmf_topics_finished"):
+        entry_file.queries()[name](spark, str(tmp_path)).collect()
+    assert len(worked_out) == 1 and not [c for c in staged if c == ["productid", "doc_id", "term", "weight"]]
+    # Rows that share their key share a length.
+    lengths = weigh(views.stored_model(spark, str(tmp_path)), views.negative_text(spark, str(tmp_path))).groupBy("doc_id").agg(
+        F.sum(F.col("weight") * F.col("weight")).alias("l"), F.count("*").alias("n")
+    )
+    assert {round(r.l, 9) for r in lengths.collect()} == {1.0} and max(r.n for r in lengths.collect()) == 6
