@@ -1,14 +1,17 @@
 """Scoring inside the rows and scoring by joins give the same, and only the second one shuffles."""
 
 import re
+import shutil
 from functools import partial
 
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from sentimill.functions import text as text_functions
 from sentimill.operators import naive_bayes
-from sentimill.plans import term_blocks, term_table
+from sentimill.plans import staging, term_blocks, term_table
+from sentimill.sources import views
 from sentimill.sources.reviews import load_model, save_model
 
 
@@ -62,6 +65,58 @@ def test_a_large_model_is_joined_with_the_terms_of_blocks(spark, monkeypatch):
     assert not re.search(r"Exchange hashpartitioning\(block#", plan_of(found))
 
 
+def test_a_model_is_fitted_on_blocks_as_on_the_documents(spark):
+    """F32: the training texts were tokenised and stored on their own, and their terms counted row by row."""
+    texts = [(1, ["a1", "b1", "a1"]), (1, ["c1", None, "b1"]), (2, ["b1"]), (3, ["only"]), (4, None), (5, []), (None, ["b1", "lost"]), (6, ["odd"])]
+    docs = spark.createDataFrame(texts, "doc_id long, terms array<string>").coalesce(1)
+    # Documents 1 and 2 have two labels, 5 has no terms, 6 has a label of neither class, 3 and the NULL none.
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (2, 1), (4, 0), (5, 1), (6, 2)], "doc_id long, label int")
+    rows = labels.join(docs, "doc_id")
+    counts = labels.groupBy("doc_id").agg(
+        F.count("*").alias(naive_bayes.TRAIN), F.count_if(F.col("label") == 0).alias(naive_bayes.TRAIN0), F.count_if(F.col("label") == 1).alias(naive_bayes.TRAIN1)
+    )
+    keys = ["doc_id", naive_bayes.TRAIN, naive_bayes.TRAIN0, naive_bayes.TRAIN1]
+    weighed = docs.join(F.broadcast(counts), "doc_id", "left").select("terms", "doc_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in keys[1:]])
+    n0, n1 = rows.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
+    for size in (1, 3, 1 << 23):
+        blocks = term_blocks.pack(weighed, keys, block_terms=size)
+        for bounds in ({}, {"min_df": 2}, {"max_df": 0.5}):
+            ours = naive_bayes.bernoulli_nb_fit_blocks(blocks, n0, n1, **bounds)
+            # A NULL is no word; the plain fit would count it.
+            plain = naive_bayes.bernoulli_nb_fit(rows.withColumn("terms", F.filter("terms", lambda t: t.isNotNull())), **bounds)
+            assert sorted(ours.terms.collect()) == sorted(plain.terms.collect())
+            assert (ours.start0, ours.start1) == pytest.approx((plain.start0, plain.start1))
+    # Blocks that are there are looked up whatever the model's size, with the sums that the documents' own terms give.
+    found = naive_bayes.nb_predict(ours, docs.select("doc_id").distinct(), blocks=blocks).collect()
+    held = docs.filter("doc_id <> 1 OR doc_id IS NULL")
+    apart = {r.doc_id: r.score0 for r in naive_bayes.nb_predict(ours, held).collect() if r.doc_id}
+    assert {r.doc_id: r.score0 for r in found if r.doc_id in apart} == pytest.approx(apart)
+
+
+def test_scoring_reads_each_text_s_words_once(spark, sf_dir, tmp_path, monkeypatch):
+    """F32: scoring tokenised the labelled texts twice, for the model and for the scores."""
+    shutil.copytree(sf_dir, tmp_path / "sf")
+    calls = []
+    monkeypatch.setattr(views, "review_terms", lambda text: calls.append(1) or text_functions.review_terms(text))
+    assert views.entries_text(spark, str(tmp_path / "sf")).count() > 0
+    assert len(calls) == 1
+
+
+def test_scans_are_cut_for_the_cores(spark, tmp_path):
+    """F32: with one task a core and one too many, the other cores waited for a second round."""
+    spark.range(400_000).withColumn("x", F.sha2(F.col("id").cast("string"), 512)).repartition(40).write.parquet(str(tmp_path / "t"))
+    usual = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        tasks = lambda: spark.read.parquet(str(tmp_path / "t")).select("x").rdd.getNumPartitions()
+        plain, cores = tasks(), spark.sparkContext.defaultParallelism
+        with staging.fine_scans(spark):
+            assert tasks() >= 4 * cores > plain
+        assert tasks() == plain
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", usual)
+
+
 def test_rows_of_one_key_are_scored_apart(spark):
     model = naive_bayes.bernoulli_nb_fit(documents(spark))
     docs = spark.createDataFrame(ODD, "doc_id long, terms array<string>")

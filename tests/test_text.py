@@ -90,3 +90,13 @@ def test_cleaning_is_one_stage_without_python(spark, sf_dir):
     raw = spark.createDataFrame([], "Id string, Score string, Summary string, Text string")
     plan = plan_of(cleaning.clean_reviews(raw))
     assert "Exchange" not in plan and "Python" not in plan.replace("PythonSQL", "")
+
+
+def test_one_letter_words_are_never_made(spark):
+    """F32: every word was made and measured, to drop those of one letter (a letter may take two of Java's characters)."""
+    texts = [None, "", "a b cd é ée 7 77", "x.y z'z <i>q</i>r", "\U00010400 \U00010400\U00010400 a\u0301b", "the i an 1st"]
+    long = lambda words: F.filter(words, lambda w: F.char_length(w) > 1)
+    found = values(spark, texts, tx.review_terms)
+    assert found == values(spark, texts, lambda t: long(tx.clean_review_tokens(t)))
+    assert found[2] == ["cd", "ée", "77"] and found[4] == ["\U00010428\U00010428"]
+    assert "char_length" not in plan_of(spark.createDataFrame([("a",)], "t string").select(tx.review_terms(F.col("t"))))
