@@ -102,6 +102,18 @@ def test_scoring_reads_each_text_s_words_once(spark, sf_dir, tmp_path, monkeypat
     assert len(calls) == 1
 
 
+def test_small_models_score_rows_of_one_document_apart(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    twice = docs.unionByName(docs.filter("doc_id = 7").withColumn("text", F.lit("a text of its own")))
+    alone = docs.filter("doc_id <> 7").unionByName(twice.filter("doc_id = 7 AND text = 'a text of its own'"))
+    found = {}
+    for name, table in (("plain", docs), ("twice", twice), ("alone", alone)):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.read.parquet(f"{sf_dir}/labels.parquet").filter("doc_id <> 7").write.parquet(str(tmp_path / name / "labels.parquet"))
+        found[name] = sorted(r.predicted_proba for r in views.entries_text(spark, str(tmp_path / name)).filter("doc_id = 7").collect())
+    assert found["twice"] == sorted(found["plain"] + found["alone"])
+
+
 def test_scans_are_cut_for_the_cores(spark, tmp_path):
     """F32: with one task a core and one too many, the other cores waited for a second round."""
     spark.range(400_000).withColumn("x", F.sha2(F.col("id").cast("string"), 512)).repartition(40).write.parquet(str(tmp_path / "t"))
