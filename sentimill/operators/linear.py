@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentimill.operators import dual
 from sentimill.operators.dual import HINGE, LOG, Setting
@@ -22,12 +23,15 @@ from sentimill.operators.metrics import auc_by_group
 from sentimill.plans.cuts import stratified_folds
 from sentimill.plans.skew import lookup
 from sentimill.plans.staging import stage
+from sentimill.plans.term_blocks import found_in, pack, sums_by_term
 
 #: The relative gap of models that are only compared with each other.
 SEARCH_TOLERANCE = 1e-3
 #: The most epochs spent on them; ``is_converged`` and a warning tell when they did not do.
 SEARCH_EPOCHS = 1000
 SVM_ALPHA = 0.0001
+#: Up to so many documents are encoded row by row.
+FEW_ROWS = 5000
 
 
 @dataclass(frozen=True)
@@ -59,25 +63,47 @@ def encode(docs: DataFrame, key: str = "doc_id", label: str = "label", folds: in
         placed = stratified_folds(placed, key, "label", folds, seed)
     else:
         placed = placed.withColumn("fold", F.lit(0))
-    placed = stage(placed.withColumn("fold", F.col("fold").cast("int")), "documents")
+    placed = placed.withColumn("fold", F.col("fold").cast("int"))
+    sizes = np.zeros(max(1, folds), dtype=np.int64)
+    for row in placed.groupBy("fold").count().collect():
+        sizes[row["fold"]] = row["count"]
+    total = int(sizes.sum())
+    by_block = total > FEW_ROWS and placed.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).isEmpty()
+    terms, blocks = (_coded_by_block if by_block else _coded_by_row)(placed, key, max(1, folds), total)
+    known = terms.select("id", "df", "held").toArrow()
+    order = np.argsort(known.column("id").to_numpy())
+    frequencies = np.array(known.column("held").combine_chunks().flatten()).reshape(len(order), max(1, folds))[order].T
+    return Corpus(blocks, terms, known.column("df").to_numpy()[order], frequencies, total, sizes)
+
+
+def _coded_by_row(placed: DataFrame, key: str, folds: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """The terms and the blocks of few documents, or of documents that share keys: these share their terms too."""
+    placed = stage(placed, "documents")
     postings = term_counts(placed, key, ["fold"])
-    held = F.array(*[F.count_if(F.col("fold") == f) for f in range(max(1, folds))]).alias("held")
+    held = F.array(*[F.count_if(F.col("fold") == f) for f in range(folds)]).alias("held")
     terms = stage(dictionary(postings.groupBy("term").agg(F.count("*").alias("df"), held)), "dictionary")
     coded = lookup(postings, terms.select("term", "df", "id"), ["term"], "df", [key])
     counted = coded.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("id", "tf"))).alias("_terms"))
     none = F.array().cast("array<struct<id:int,tf:bigint>>")
     rows = placed.select(key, "label", "fold").join(counted, key, "left").withColumn("_terms", F.coalesce("_terms", none))
     rows = rows.select(key, "label", "fold", F.col("_terms.id").alias("ids"), F.col("_terms.tf").alias("tfs"))
-    sizes = np.zeros(max(1, folds), dtype=np.int64)
-    for row in placed.groupBy("fold").count().collect():
-        sizes[row["fold"]] = row["count"]
-    known = terms.select("id", "df", "held").toArrow()
-    order = np.argsort(known.column("id").to_numpy())
-    frequencies = np.array(known.column("held").combine_chunks().flatten()).reshape(len(order), max(1, folds))[order].T
-    total = int(sizes.sum())
-    return Corpus(
-        dual.blocks(stage(rows, "coded"), key, total), terms, known.column("df").to_numpy()[order], frequencies, total, sizes
+    return terms, dual.blocks(stage(rows, "coded"), key, total)
+
+
+def _coded_by_block(placed: DataFrame, key: str, folds: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """The same by block: what is shuffled is a block's different terms, not its documents' terms."""
+    inside = [f"_in{f}" for f in range(folds)]
+    dealt = placed.withColumns({c: (F.col("fold") == f).cast("int") for f, c in enumerate(inside)})
+    packed = pack(dealt, [key, "label", "fold", *inside], is_whole=True)
+    counts = sums_by_term(packed, inside).select(
+        "term", sum((F.col(c) for c in inside[1:]), F.col(inside[0])).alias("df"), F.array(*inside).alias("held")
     )
+    terms = stage(dictionary(counts), "dictionary")
+    schema = dual.block_schema(placed.schema[key].dataType.simpleString())
+    shape = T.StructType(T._parse_datatype_string(schema).fields[1:])
+    rows = found_in(packed.of([key, "label", "fold"]), terms.select("term", "id"), dual.coded, shape, is_whole=True)
+    numbered = rows.select(F.monotonically_increasing_id().cast("string").alias("block"), "*")
+    return terms, stage(numbered, "blocks", most_rows=dual.FILE_PIECES)
 
 
 @dataclass(frozen=True)
@@ -204,11 +230,13 @@ def svm_fold_accuracies(
     corpus = encode(docs, key, label, folds, seed)
     setting = sgd_setting(HINGE, "l2", alpha)
     settings = [Setting(setting.loss, setting.l2, setting.l1, fold) for fold in range(folds)]
-    fit = dual.fit_many(corpus.blocks, corpus.idf(), settings, corpus.documents - corpus.sizes, SEARCH_TOLERANCE, SEARCH_EPOCHS)
-    margins = dual.held_margins(corpus.blocks, corpus.idf(), fit.weights, settings)
+    tasks = docs.sparkSession.sparkContext.defaultParallelism
+    margins, converged = dual.held_out(
+        corpus.blocks, corpus.idf(), settings, corpus.documents - corpus.sizes, SEARCH_TOLERANCE, SEARCH_EPOCHS, tasks
+    )
     right = F.count_if((F.col("margin") > 0) == (F.col("label") == 1))
     found = margins.groupBy(F.col("model").alias("fold")).agg(F.count("*").alias("rows"), right.alias("correct"))
-    ends = docs.sparkSession.createDataFrame([(f, int(c)) for f, c in enumerate(fit.converged)], "fold int, is_converged int")
+    ends = docs.sparkSession.createDataFrame([(f, int(c)) for f, c in enumerate(converged)], "fold int, is_converged int")
     return found.join(ends, "fold").select(
         "fold", "rows", "correct", (F.col("correct") / F.col("rows")).alias("accuracy"), "is_converged"
     )
@@ -235,6 +263,8 @@ def _search(
     fitted in one pass.  ``settings``: functions from the number of training documents to a ``Setting``.
     """
     spaces = [(fold, min_df) for min_df in min_dfs for fold in range(folds)]
+    tasks = -(-2 * corpus.blocks.sparkSession.sparkContext.defaultParallelism // folds)
+    in_tasks = dual.fits_task(corpus.blocks)
 
     def fitted(space: tuple[int, float]) -> tuple[DataFrame, np.ndarray]:
         fold, min_df = space
@@ -244,12 +274,13 @@ def _search(
         idf, blocks = corpus.idf(min_df, fold), corpus.blocks
         if 2 * (idf > 0).sum() < len(idf):
             idf, blocks = idf[idf > 0], dual.narrowed(blocks, idf)
-        fit = dual.fit_many(blocks, idf, own, [n] * len(own), tolerance, SEARCH_EPOCHS)
-        margins = dual.held_margins(blocks, idf, fit.weights, own)
-        return stage(margins.select("*", F.lit(fold).alias("fold"), F.lit(float(min_df)).alias("min_df")), "held"), fit.converged
+        margins, converged = dual.held_out(blocks, idf, own, [n] * len(own), tolerance, SEARCH_EPOCHS, tasks)
+        return stage(margins.select("*", F.lit(fold).alias("fold"), F.lit(float(min_df)).alias("min_df")), "held"), converged
 
     def at_once(min_df: float) -> int:
-        """Spaces fitted side by side: the driver holds a few numbers for every term and model of each."""
+        """Spaces fitted side by side: unless tasks do, the driver holds a few numbers for every term and model of each."""
+        if in_tasks:
+            return parallelism
         most = max(int((corpus.idf(min_df, fold) > 0).sum()) for fold in range(folds)) * len(settings)
         return max(1, min(parallelism, 2 * dual.MOST_NUMBERS // max(1, most)))
 

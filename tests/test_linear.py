@@ -283,3 +283,78 @@ def test_one_large_block_makes_its_steps_in_one_task(docs, monkeypatch, setting)
     assert fit.converged.all() and -1e-12 < fit.gap[0] <= dual.TOLERANCE and fit.duals().count() == 93
     if setting.held is None:
         assert linear.optimum(linear._fit(corpus, setting), docs).first().is_optimal == 1
+
+
+def no_jobs(monkeypatch):
+    for name in ("_pass", "_rounds"):
+        monkeypatch.setattr(dual, name, lambda *a: pytest.fail("a job for a step"))
+
+
+@pytest.mark.parametrize("setting", [Setting("log", 0.02, 0.01), Setting("hinge", 0.02, 0.01), Setting("hinge", 0.002, 0.0004)])
+def test_elastic_nets_make_their_steps_in_one_task(docs, monkeypatch, setting):
+    """Models with an L1 penalty took epochs over single documents, which did not end on 15,000 of them."""
+    monkeypatch.setattr(dual, "EPOCH_ROWS", 10)
+    corpus = linear.encode(docs)
+    no_jobs(monkeypatch)
+    fit = dual.fit_many(corpus.blocks, corpus.idf(), [setting], [corpus.documents], 1e-6)
+    assert fit.converged.all() and -1e-12 < fit.gap[0] <= 1e-6
+    rows = rows_of(docs)
+    x, _ = plain_vectors(rows)
+    y = np.array([1.0 if label else -1.0 for _, label, _ in rows])
+    assert fit.dual[0] - 1e-9 <= plain_fit(x, y, setting, 4000) and (fit.weights[:, 0] == 0).any()
+    assert linear.optimum(linear._fit(corpus, setting), docs).first().is_optimal == 1
+
+
+def test_documents_in_many_blocks_are_fitted_in_one_task(docs, monkeypatch):
+    """Beyond one block every pass had been a job that sent a number per term to every task and back; blocks are small now."""
+    for name, most in (("EPOCH_ROWS", 10), ("PIECE_ROWS", 20), ("FILE_PIECES", 1)):
+        monkeypatch.setattr(dual, name, most)
+    corpus = linear.encode(docs)
+    assert corpus.blocks.count() > 3 and len(corpus.blocks.inputFiles()) == corpus.blocks.count()
+    assert corpus.blocks.agg(F.sum("documents"), F.max("documents")).first()[0:2] <= (93, 20)
+    no_jobs(monkeypatch)
+    for setting in (Setting("log", 1 / 93), Setting("hinge", 0.02), Setting("hinge", 0.3, 0.05)):
+        model = linear._fit(corpus, setting)
+        assert model.duals.count() == 93 and linear.optimum(model, docs).first().is_optimal == 1
+
+
+def test_documents_encoded_by_block_are_the_same(spark, docs, monkeypatch):
+    """Documents' terms had been shuffled one by one; documents that share a key still share their terms."""
+
+    def plain(corpus):
+        terms = {r.id: r.term for r in corpus.terms.collect()}
+        found = {}
+        for r in corpus.blocks.collect():
+            ends, ids, tfs = (np.frombuffer(r[c], k) for c, k in (("ends", "i8"), ("ids", "i4"), ("tfs", "f4")))
+            own = zip(r.keys, np.frombuffer(r.labels, "i1"), np.frombuffer(r.folds, "i4"), np.r_[0, ends[:-1]], ends, strict=True)
+            for key, label, fold, a, b in own:
+                counts = sorted((terms[i], float(t)) for i, t in zip(ids[a:b], tfs[a:b], strict=True))
+                found.setdefault(key, []).append((int(label), int(fold), counts))
+            assert (r.documents, r.entries) == (len(r.keys), len(ids))
+        frequencies = {terms[i]: (int(corpus.df[i]), corpus.held[:, i].tolist()) for i in terms}
+        return found, frequencies, corpus.documents, corpus.sizes.tolist()
+
+    by_row = linear.encode(docs, folds=3)
+    monkeypatch.setattr(linear, "FEW_ROWS", 10)
+    shared, one = [], linear._coded_by_row
+    monkeypatch.setattr(linear, "_coded_by_row", lambda *a: shared.append(1) or one(*a))
+    by_block = linear.encode(docs, folds=3)
+    assert not shared and plain(by_block) == plain(by_row)
+    assert plain(by_block)[0][90] == [(1, plain(by_row)[0][90][0][1], [])]
+    for more in (docs.limit(3), docs.limit(1).withColumn("doc_id", F.lit(None).cast("long"))):
+        linear.encode(docs.unionByName(more))
+    assert len(shared) == 2
+
+
+def test_searches_hold_no_weights_on_the_driver(docs, monkeypatch):
+    """All models' weights had been collected to score the documents left out; tasks score them now."""
+    usual = linear.svm_fold_accuracies(docs, folds=3, alpha=0.3).orderBy("fold").collect()
+    searched = linear.svm_grid_search(docs, alphas=[0.3], min_dfs=[1.0], folds=2).orderBy("loss", "penalty").collect()
+    monkeypatch.setattr(dual, "EPOCH_ROWS", 10)
+    monkeypatch.setattr(dual, "fit_many", lambda *a: pytest.fail("weights on the driver"))
+    found = linear.svm_fold_accuracies(docs, folds=3, alpha=0.3).orderBy("fold").collect()
+    assert [(r.fold, r.rows, r.is_converged) for r in found] == [(r.fold, r.rows, 1) for r in usual]
+    assert [r.accuracy for r in found] == pytest.approx([r.accuracy for r in usual], abs=0.07)
+    again = linear.svm_grid_search(docs, alphas=[0.3], min_dfs=[1.0], folds=2).orderBy("loss", "penalty").collect()
+    assert [tuple(r)[:4] + tuple(r)[5:7] for r in again] == [tuple(r)[:4] + tuple(r)[5:7] for r in searched]
+    assert [r.mean_auc for r in again] == pytest.approx([r.mean_auc for r in searched], abs=0.03)
