@@ -34,6 +34,8 @@ WIDTH = 1.6
 MARGIN = 0.8
 GROWTH = 1.12
 FIRST_SHARE = 0.5
+#: Arrays that are read at a time, after how many it is seen how many vectors are left, and the share of all that is few.
+PART, LOOK, FEW = 10, 50, 4
 #: Rows of a block, at most 65,535: the larger it is, the smaller is the share that has to be verified.
 BLOCK_ROWS = 1 << 14
 SEED = 42
@@ -49,70 +51,121 @@ def _scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(axis=1)
 
 
-def count_collisions(
-    queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, best: Best, longest: float, work: dict[str, int] | None = None
-) -> None:
-    """Add a block's best to ``best``; ``longest`` is the largest norm of all vectors, ``work`` counts verified pairs and all."""
+def sorted_projections(vectors: np.ndarray, longest: float) -> tuple[np.ndarray, np.ndarray]:
+    """A block's sorted arrays, one for each direction, and where each vector stands in each."""
     n, dim = vectors.shape
-    needed = threshold()
-    directions = np.random.default_rng(SEED).standard_normal((dim + 1, PROJECTIONS))
+    directions = _directions(dim)
     unit = vectors / longest
     last = np.sqrt(np.maximum(0.0, 1.0 - (unit * unit).sum(axis=1)))
     placed = unit @ directions[:dim] + last[:, None] * directions[dim]
-    order = np.argsort(placed, axis=0)
-    arrays = np.ascontiguousarray(np.take_along_axis(placed, order, axis=0).T)
-    # Where each vector stands in each sorted array: it is in a window if this lies between the window's ends.
-    stands = np.empty((PROJECTIONS, n), dtype=np.uint16)
-    np.put_along_axis(stands, order.T, np.arange(n, dtype=np.uint16)[None, :], axis=1)
+    arrays, stands = np.empty((PROJECTIONS, n)), np.empty((PROJECTIONS, n), dtype=np.uint16)
+    for j, one in enumerate(np.ascontiguousarray(placed.T)):
+        order = np.argsort(one)
+        arrays[j] = one[order]
+        # A vector is in a window if this lies between the window's ends.
+        stands[j, order] = np.arange(n, dtype=np.uint16)
+    return arrays, stands
+
+
+def _directions(dim: int) -> np.ndarray:
+    return np.random.default_rng(SEED).standard_normal((dim + 1, PROJECTIONS))
+
+
+def count_collisions(
+    queries: np.ndarray,
+    ids: np.ndarray,
+    vectors: np.ndarray,
+    best: Best,
+    longest: float,
+    work: dict[str, int] | None = None,
+    projected: tuple[np.ndarray, np.ndarray] | None = None,
+) -> None:
+    """Add a block's best to ``best``; ``longest`` is the largest norm of all vectors, ``work`` counts verified pairs and all.
+
+    ``projected``: the block's ``sorted_projections``, if they are known.
+    """
+    n, dim = vectors.shape
+    needed = threshold()
+    arrays, stands = sorted_projections(vectors, longest) if projected is None else projected
     norms = np.sqrt((queries * queries).sum(axis=1))
-    centres = (queries / norms[:, None]) @ directions[:dim]
+    centres = (queries / norms[:, None]) @ _directions(dim)[:dim]
     scales = norms * longest
-    for q, own in enumerate(best.query_ids):
-        verified = ids == own
-        others = n - int(verified.sum())
-        if np.isfinite(best.floor(q)):
-            # Nothing can enter the best from beyond what earlier blocks have found.
-            radius = _distance(best.floor(q), scales[q])
-        else:
-            radius = _first_radius(arrays, centres[q])
-        while True:
-            found = np.flatnonzero((_collisions(arrays, stands, centres[q], WIDTH * radius) >= needed) & ~verified)
+    # Nothing can enter the best from beyond what earlier blocks have found.
+    known = np.array([np.isfinite(best.floor(q)) for q in range(len(queries))], dtype=bool)
+    radii = np.array([_distance(best.floor(q), scales[q]) if known[q] else 0.0 for q in range(len(queries))])
+    if not known.all():
+        radii[~known] = _first_radii(arrays, centres[~known])
+    verified = [ids == own for own in best.query_ids]
+    others = [n - int(same.sum()) for same in verified]
+    open_ = np.arange(len(queries))
+    while len(open_):
+        # Queries whose best may lie further off go on with wider windows.
+        lower, upper = _windows(arrays, centres[open_], WIDTH * radii[open_])
+        for at, q in enumerate(open_):
+            found = _collided(stands, lower[:, at], upper[:, at], needed)
+            found = found[~verified[q][found]]
             if len(found):
-                verified[found] = True
+                verified[q][found] = True
                 best.add(q, _scores(vectors[found], queries[q]), ids[found])
-            # The farthest two vectors are is 2.
-            if _distance(best.floor(q), scales[q]) <= radius or radius > 2.0 or verified.all():
-                break
-            radius *= GROWTH
+        # The farthest two vectors are is 2.
+        open_ = np.array(
+            [q for q in open_ if _distance(best.floor(q), scales[q]) > radii[q] and radii[q] <= 2.0 and not verified[q].all()], dtype=np.int64
+        )
+        radii[open_] *= GROWTH
+    for q in range(len(queries)):
         if not np.isfinite(best.floor(q)):
             # Fewer than k so far: all candidates are results.
-            rest = np.flatnonzero(~verified)
-            verified[rest] = True
+            rest = np.flatnonzero(~verified[q])
+            verified[q][rest] = True
             best.add(q, _scores(vectors[rest], queries[q]), ids[rest])
         if work is not None:
-            work["verified"] += int(verified.sum()) - (n - others)
-            work["pairs"] += others
+            work["verified"] += int(verified[q].sum()) - (n - others[q])
+            work["pairs"] += others[q]
 
 
-def _first_radius(arrays: np.ndarray, centre: np.ndarray) -> float:
-    """The radius whose windows hold ``FIRST_SHARE`` of the vectors in half of the sorted arrays."""
+def _first_radii(arrays: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Each query's radius whose windows hold ``FIRST_SHARE`` of the vectors in half of the sorted arrays."""
     n = arrays.shape[1]
     reach = int(n * FIRST_SHARE / 2)
-    widths = []
-    for array, c in zip(arrays, centre, strict=True):
-        at = int(np.searchsorted(array, c))
-        low, high = array[min(n - 1, max(0, at - reach))], array[min(n - 1, at + reach)]
-        widths.append(max(c - low, high - c, 0.0))
-    return max(1e-6, float(np.median(widths)) / WIDTH)
-
-
-def _collisions(arrays: np.ndarray, stands: np.ndarray, centre: np.ndarray, half: float) -> np.ndarray:
-    """How many of a query's windows each vector is in."""
-    lower = np.array([np.searchsorted(a, c - half, "left") for a, c in zip(arrays, centre, strict=True)])
-    upper = np.array([np.searchsorted(a, c + half, "right") for a, c in zip(arrays, centre, strict=True)])
-    # Unsigned differences wrap round, so one comparison tests both ends.
-    inside = (stands - lower.astype(np.uint16)[:, None]) < (upper - lower).astype(np.uint16)[:, None]
-    return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+    widths = np.empty(centres.T.shape)
+    for j, (array, c) in enumerate(zip(arrays, centres.T, strict=True)):
+        at = np.searchsorted(array, c)
+        low, high = array[np.clip(at - reach, 0, n - 1)], array[np.minimum(n - 1, at + reach)]
+        widths[j] = np.maximum(np.maximum(c - low, high - c), 0.0)
+    return np.maximum(1e-6, np.median(widths, axis=0) / WIDTH)
+
+
+def _windows(arrays: np.ndarray, centres: np.ndarray, half: np.ndarray) -> np.ndarray:
+    """Lower and upper ends of the queries' windows in each array: 2, arrays, queries."""
+    found = np.empty((2, len(arrays), len(centres)), dtype=np.int64)
+    for j, (array, c) in enumerate(zip(arrays, centres.T, strict=True)):
+        found[0, j] = np.searchsorted(array, c - half, "left")
+        found[1, j] = np.searchsorted(array, c + half, "right")
+    return found
+
+
+def _collided(stands: np.ndarray, lower: np.ndarray, upper: np.ndarray, needed: int) -> np.ndarray:
+    """The vectors that are in ``needed`` of a query's windows or more.
+
+    A few arrays are read at a time.  Once few vectors have not missed too many windows already, only these are looked up in the other arrays.
+    """
+    # A window of all 65,536 places would have a span of 0; blocks are smaller.
+    low, span = lower.astype(np.uint16)[:, None], (upper - lower).astype(np.uint16)[:, None]
+    n, spare = stands.shape[1], len(stands) - needed
+    missed, space, flags = np.zeros(n, np.uint8), np.empty((PART, n), np.uint16), np.empty((PART, n), bool)
+    for begin in range(0, len(stands), PART):
+        end = min(begin + PART, len(stands))
+        # Unsigned differences wrap round, so one comparison tests both ends.
+        np.subtract(stands[begin:end], low[begin:end], out=space[: end - begin])
+        np.greater_equal(space[: end - begin], span[begin:end], out=flags[: end - begin])
+        missed += np.add.reduce(flags[: end - begin].view(np.uint8), axis=0, dtype=np.uint8)
+        if end % LOOK == 0:
+            left = np.flatnonzero(missed <= spare)
+            if FEW * len(left) < n:
+                rest = stands[end:].take(left, axis=1)
+                outside = (rest - low[end:]) >= span[end:]
+                return left[missed[left] + np.add.reduce(outside.view(np.uint8), axis=0, dtype=np.int64) <= spare]
+    return np.flatnonzero(missed <= spare)
 
 
 def _distance(score: float, scale: float) -> float:
@@ -126,7 +179,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
     longest = rows.agg(F.max(norm)).first()[0] or 1.0
 
-    def kernel(queries: np.ndarray, ids: np.ndarray, block: np.ndarray, best: Best) -> None:
-        count_collisions(queries, ids, block, best, longest)
+    def kernel(
+        queries: np.ndarray, ids: np.ndarray, block: np.ndarray, arrays: np.ndarray, stands: np.ndarray, best: Best
+    ) -> None:
+        count_collisions(queries, ids, block, best, longest, projected=(arrays, stands))
+
+    def prepare(ids: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, ...]:
+        return ids, block, *sorted_projections(block, longest)
 
-    return search(rows, is_query, kernel, k, "double", BLOCK_ROWS)
+    return search(rows, is_query, kernel, k, "double", BLOCK_ROWS, prepare)

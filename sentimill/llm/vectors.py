@@ -3,6 +3,7 @@
 Vectors are packed into blocks of bounded size where they are read; the queries are packed likewise.  Every task
 holds a few candidate blocks and meets the query packs one after the other, so a kernel can carry what it
 knows of a pack's best from block to block.  What moves is blocks and packs, and the best ``k`` of a pack in a task.
+Blocks are dealt to the tasks one by one; where there are fewer blocks than tasks, several tasks hold a block and share the packs.
 """
 
 from __future__ import annotations
@@ -107,52 +108,70 @@ class Best:
         )
 
 
-Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, Best], None]
+Kernel = Callable[..., None]
+
+#: Most blocks that a task holds, unless there are fewer tasks than cores.
+TASK_BLOCKS = 8
+
+
+def _as_it_is(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, ...]:
+    return ids, vectors
+
+
+def _placed(rows: DataFrame, key: str) -> DataFrame:
+    """Add ``_place``: the few rows numbered from 0 in the order of ``key``; only the keys meet."""
+    numbers = rows.select(key).withColumn("_place", (F.row_number().over(Window.orderBy(key)) - 1).cast("int"))
+    return rows.join(F.broadcast(numbers), key)
 
 
 def search(
-    rows: DataFrame, is_query: Column, kernel: Kernel, k: int, score_type: str, block_rows: int = BLOCK_ROWS
+    rows: DataFrame,
+    is_query: Column,
+    kernel: Kernel,
+    k: int,
+    score_type: str,
+    block_rows: int = BLOCK_ROWS,
+    prepare: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, ...]] = _as_it_is,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the best ``k`` candidates of every query.
 
-    ``kernel(queries, ids, vectors, best)`` adds to ``best`` what a block of candidates can contribute;
-    it must leave out the rows that have the query's own id.  Of several query rows with one id, the one with the least hash of its vector asks.
+    ``kernel(queries, *prepare(ids, vectors), best)`` adds to ``best`` what a block of candidates can contribute; a task prepares a block once.
+    The kernel must leave out the rows that have the query's own id.  Of several query rows with one id, the one with the least hash of its vector asks.
     """
     spark = rows.sparkSession
     asking = rows.filter(is_query).groupBy("vec_id").agg(F.min(F.struct(F.xxhash64("vector"), "vector")).alias("one"))
     asking = asking.select("vec_id", "one.vector")
     blocks = stage(packed(rows, block_rows).withColumn("_at", F.monotonically_increasing_id()), "blocks")
     packs = stage(packed(asking, PACK_ROWS).withColumn("pack", F.monotonically_increasing_id()), "packs")
-    n = blocks.count()
-    groups = max(1, min(n, max(2 * spark.sparkContext.defaultParallelism, n // 16)))
-    dealt = blocks.withColumn("g", F.pmod(F.xxhash64("_at"), F.lit(groups)).cast("int")).drop("_at")
-    asked = packs.select(
-        "dim", "pack", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"),
+    n, tasks = blocks.count(), 2 * spark.sparkContext.defaultParallelism
+    groups = max(1, min(n, max(tasks, -(-n // TASK_BLOCKS))))
+    copies = max(1, min(packs.count(), -(-tasks // groups)))
+    numbers = lambda most: F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
+    dealt = _placed(blocks, "_at").withColumn("c", numbers(copies)).select(
+        (F.col("_place") % groups * copies + F.col("c")).alias("g"), F.lit(None).cast("long").alias("pack"), "_place", "dim", "ids", "vectors"
     )
-    pairs = (
-        dealt.repartition(groups, "g")
-        .join(asked.repartition(groups, "g"), ["g", "dim"])
-        .sortWithinPartitions("pack", "dim")
+    asked = _placed(packs, "pack").withColumn("c", numbers(groups)).select(
+        (F.col("c") * copies + F.col("_place") % copies).alias("g"), "pack", "_place", "dim", "ids", "vectors"
     )
+    # The blocks of a task come before its packs.
+    order = [F.col("pack").asc_nulls_first(), "_place"]
+    pairs = dealt.unionByName(asked).repartitionById(groups * copies, "g").sortWithinPartitions(*order)
     dtype = np.int64 if score_type == "long" else np.float64
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, best, queries = None, None, None
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {}
         for frame in frames:
             for row in frame.to_pylist():
-                if (row["pack"], row["dim"]) != current:
-                    if best is not None:
-                        yield best.rows()
-                    current = row["pack"], row["dim"]
-                    best = Best(np.frombuffer(row["query_ids"], np.int64), k, dtype)
-                    queries = np.frombuffer(row["queries"], np.float64).reshape(-1, row["dim"])
-                ids = np.frombuffer(row["ids"], np.int64)
-                kernel(queries, ids, np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"]), best)
-        if best is not None:
-            yield best.rows()
-
-    # A row of the joined table is megabytes, so a batch has few.
+                ids, vectors = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
+                if row["pack"] is None:
+                    held.setdefault(row["dim"], []).append(prepare(ids, vectors))
+                elif row["dim"] in held:
+                    best = Best(ids, k, dtype)
+                    for block in held[row["dim"]]:
+                        kernel(vectors, *block, best)
+                    yield best.rows()
+
+    # A row is megabytes, so a batch has few.
     with batch_rows(spark, 8):
         found = stage(pairs.mapInArrow(batches, f"query_id long, vec_id long, score {score_type}"), "found")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -398,3 +398,40 @@ def test_pipeline_of_odd_documents(spark):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_have_their_number(name):
     assert name.startswith("op") and name.split("_")[0][2:].isdigit()
+
+
+def test_blocks_are_dealt_to_the_tasks_evenly(spark):
+    """Tasks had been drawn by hash: one had several blocks and others none, so most of the search waited for one task."""
+    from pyspark import TaskContext
+
+    from sentimill.llm.vectors import search, usable
+
+    tasks, rows = 2 * spark.sparkContext.defaultParallelism, 8
+    vectors = spark.range(0, rows * tasks, 1, 4).select(
+        F.col("id").alias("vec_id"), F.array(*[F.lit(1.0), F.col("id").cast("double")]).alias("embedding")
+    )
+
+    def kernel(queries, ids, block, best):
+        for q in range(len(queries)):
+            best.add(q, np.full(len(ids), float(TaskContext.get().partitionId())), ids)
+
+    found = search(usable(vectors), F.col("vec_id") == 0, kernel, rows * tasks, "double", rows).collect()
+    held = {}
+    for r in found:
+        held.setdefault(r.score, []).append(r.vec_id)
+    assert len(found) == rows * tasks and len(held) == tasks and {len(ids) for ids in held.values()} == {rows}
+    # Fewer blocks than tasks: every query meets every block once, in tasks that share the queries.
+    asked = search(usable(vectors), F.col("vec_id") % 2 == 0, kernel, rows * tasks, "double", rows * tasks)
+    assert asked.groupBy("query_id").count().select("count").distinct().collect() == [(rows * tasks,)]
+
+
+def test_collisions_are_counted_exactly(monkeypatch):
+    """Vectors that have missed too many windows are given up early; the others are those that a full count finds."""
+    rnd = np.random.default_rng(5)
+    stands = np.argsort(rnd.random((ann.PROJECTIONS, 400)), axis=1).astype(np.uint16)
+    lower, width = rnd.integers(0, 200, ann.PROJECTIONS), rnd.integers(50, 200, ann.PROJECTIONS)
+    full = ((stands >= lower[:, None]) & (stands < (lower + width)[:, None])).sum(axis=0)
+    for needed in (1, 60, 80, 100, 120, 250):
+        for few in (1, 4, 10**9):
+            monkeypatch.setattr(ann, "FEW", few)
+            assert ann._collided(stands, lower, lower + width, needed).tolist() == np.flatnonzero(full >= needed).tolist()
